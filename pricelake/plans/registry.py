@@ -264,3 +264,223 @@ def q_insert_new(spark: SparkSession, sf: str) -> DataFrame:
     returned = t.lineitem.filter(F.col("l_returnflag") == "R").select(F.col("l_orderkey").alias("o_orderkey"))
     source = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
     return merge.new_rows(returned, source, ["o_orderkey"])
+
+
+# ---------------------------------------------------------------- keys, JSON, staging
+
+from pricelake.functions.json_fields import json_int, json_text  # noqa: E402
+from pricelake.functions.keys import KEY_NAMESPACE, uuid5  # noqa: E402
+from pricelake.operators import catalog, staging  # noqa: E402
+from pricelake.sources import pages as pg  # noqa: E402
+from pricelake.sources import raw as rawsrc  # noqa: E402
+from pricelake.sources import trades  # noqa: E402
+
+
+def uuid5_sql(expr: str, namespace: str = KEY_NAMESPACE) -> str:
+    """The key expression in DuckDB SQL (an independent spelling for the oracle)."""
+    ns = namespace.replace("-", "")
+    d = f"sha1(unhex('{ns}') || encode({expr}))"
+    return (
+        f"(substr({d},1,8) || '-' || substr({d},9,4) || '-5' || substr({d},14,3) || '-' || "
+        f"translate(substr({d},17,1),'0123456789abcdef','89ab89ab89ab89ab') || substr({d},18,3) || '-' || "
+        f"substr({d},21,12))"
+    )
+
+
+@register("product_keys", f"""
+SELECT name, {uuid5_sql('name')} AS id_name FROM (SELECT DISTINCT p_name AS name FROM part)
+""")
+def q_product_keys(spark: SparkSession, sf: str) -> DataFrame:
+    names = fv.Tables(spark, sf).part.select(F.col("p_name").alias("name")).distinct()
+    return names.select("name", uuid5("name").alias("id_name"))
+
+
+@register("json_field", """
+SELECT event_id, CAST(NULLIF(json_extract_string(props, '$.k'), '') AS INTEGER) AS k,
+       CAST(NULLIF(json_extract_string(props, '$.missing'), '') AS INTEGER) AS missing
+FROM events
+""")
+def q_json_field(spark: SparkSession, sf: str) -> DataFrame:
+    ev = fv.Tables(spark, sf).events
+    return ev.select("event_id", json_int(json_text("props", "$.k")).alias("k"),
+                     json_int(json_text("props", "$.missing")).alias("missing"))
+
+
+def _history_payload_rows(lineitem: DataFrame) -> DataFrame:
+    """Lines as history payloads: 24 h stats from the line's numbers, the
+    7-day block permuted, the 30-day block missing on returned lines, and the
+    90-day minimum as text ('' on open lines)."""
+    li = lineitem
+    block = lambda mn, mx, av, md, vol: F.struct(
+        F.col(mn).alias("min"), F.col(mx).alias("max"), F.col(av).alias("avg"),
+        F.col(md).alias("median"), F.col(vol).alias("volume"))
+    return li.select(
+        F.concat(F.lit("part "), F.col("l_partkey").cast("string")).alias("market_hash_name"),
+        block("l_discount", "l_tax", "l_extendedprice", "l_quantity", "l_linenumber").alias("last_24_hours"),
+        block("l_tax", "l_extendedprice", "l_quantity", "l_discount", "l_linenumber").alias("last_7_days"),
+        F.when(F.col("l_returnflag") != "R",
+               block("l_quantity", "l_discount", "l_tax", "l_extendedprice", "l_linenumber")).alias("last_30_days"),
+        F.struct(
+            F.when(F.col("l_linestatus") == "O", F.lit("")).otherwise(F.col("l_discount").cast("string")).alias("min"),
+            F.col("l_extendedprice").alias("max"), F.col("l_tax").alias("avg"),
+            F.col("l_quantity").alias("median"), F.col("l_linenumber").alias("volume"),
+        ).alias("last_90_days"),
+        "l_shipdate",
+    )
+
+
+def _d(col: str) -> str:
+    return f"CAST(CAST({col} AS DECIMAL(18,4)) AS DOUBLE)"
+
+
+@register("stage_history", f"""
+SELECT {uuid5_sql("'part ' || CAST(l_partkey AS VARCHAR)")} AS id_name,
+  {_d('l_discount')} AS last_24_hours_min, {_d('l_tax')} AS last_24_hours_max,
+  {_d('l_extendedprice')} AS last_24_hours_avg, {_d('l_quantity')} AS last_24_hours_median,
+  CAST(l_linenumber AS INTEGER) AS last_24_hours_volume,
+  {_d('l_tax')} AS last_7_days_min, {_d('l_extendedprice')} AS last_7_days_max,
+  {_d('l_quantity')} AS last_7_days_avg, {_d('l_discount')} AS last_7_days_median,
+  CAST(l_linenumber AS INTEGER) AS last_7_days_volume,
+  CASE WHEN l_returnflag <> 'R' THEN {_d('l_quantity')} END AS last_30_days_min,
+  CASE WHEN l_returnflag <> 'R' THEN {_d('l_discount')} END AS last_30_days_max,
+  CASE WHEN l_returnflag <> 'R' THEN {_d('l_tax')} END AS last_30_days_avg,
+  CASE WHEN l_returnflag <> 'R' THEN {_d('l_extendedprice')} END AS last_30_days_median,
+  CASE WHEN l_returnflag <> 'R' THEN CAST(l_linenumber AS INTEGER) END AS last_30_days_volume,
+  CASE WHEN l_linestatus <> 'O' THEN {_d('l_discount')} END AS last_90_days_min,
+  {_d('l_extendedprice')} AS last_90_days_max, {_d('l_tax')} AS last_90_days_avg,
+  {_d('l_quantity')} AS last_90_days_median, CAST(l_linenumber AS INTEGER) AS last_90_days_volume,
+  l_shipdate AS date_extracted
+FROM lineitem
+""")
+def q_stage_history(spark: SparkSession, sf: str) -> DataFrame:
+    src = _history_payload_rows(fv.Tables(spark, sf).lineitem)
+    raw = rawsrc.payloads_from_rows(src, [c for c in src.columns if c != "l_shipdate"], ts_col="l_shipdate")
+    staged = staging.stage_history(raw).drop("src_ts", "payload")
+    dec = [c for c in staged.columns if c.endswith(("_min", "_max", "_avg", "_median"))]
+    return _dbl(staged, *dec).withColumn("date_extracted", F.col("date_extracted").cast("timestamp_ntz"))
+
+
+_AS_OF = "2024-01-30"
+_LOAD_TS = "2024-01-30 12:00:00"
+
+
+@register("build_product", f"""
+WITH u AS (
+  SELECT p_name AS name, p_type AS item_page, p_brand AS market_page FROM part
+  UNION ALL SELECT n_name, NULL, '/n/' || CAST(n_regionkey AS VARCHAR) FROM nation
+  UNION ALL SELECT r_name, NULL, NULL FROM region
+), r AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY name ORDER BY item_page NULLS LAST, market_page NULLS LAST) AS rn
+  FROM (SELECT DISTINCT * FROM u WHERE name IS NOT NULL AND name <> '')
+)
+SELECT {uuid5_sql('name')} AS id_name, name, item_page, market_page FROM r WHERE rn = 1
+""")
+def q_build_product(spark: SparkSession, sf: str) -> DataFrame:
+    """Catalog from three raw loads of the same day: part names under the market
+    name field, nation names under the plain name field, region names alone."""
+    t = fv.Tables(spark, sf)
+    parts = t.part.select(F.col("p_name").alias("market_hash_name"), F.col("p_brand").alias("name"),
+                          F.col("p_type").alias("item_page"), F.col("p_brand").alias("market_page"))
+    nations = t.nation.select(F.col("n_name").alias("name"),
+                              F.concat(F.lit("/n/"), F.col("n_regionkey").cast("string")).alias("market_page"))
+    regions = t.region.select(F.col("r_name").alias("market_hash_name"))
+    raws = [rawsrc.payloads_from_rows(x, ingest_ts=_LOAD_TS) for x in (parts, nations, regions)]
+    return catalog.build_product(raws, None, as_of=_AS_OF)
+
+
+_PERIOD_STARTS = [("last_24_hours", "2024-01-30"), ("last_7_days", "2024-01-24"),
+                  ("last_30_days", "2024-01-01"), ("last_90_days", "2023-11-02")]
+
+
+def _user_period_stats(events: DataFrame) -> DataFrame:
+    """Per user, wide statistics of the 4 periods ending 2024-01-30 (one pass)."""
+    v = F.col("value").cast("decimal(18,4)")
+    aggs = []
+    for name, start in _PERIOD_STARTS:
+        inside = F.col("ts") >= F.lit(f"{start} 00:00:00").cast("timestamp_ntz")
+        x = F.when(inside, v)
+        aggs += [
+            F.min(x).alias(f"{name}_min"), F.max(x).alias(f"{name}_max"),
+            F.try_divide(F.sum(x).cast("double"), F.count(x)).alias(f"{name}_avg"),
+            F.lit(None).cast("double").alias(f"{name}_median"),
+            F.count(x).cast("int").alias(f"{name}_volume"),
+        ]
+    return events.groupBy(F.col("user_id")).agg(*aggs)
+
+
+@register("unpivot_periods", "\nUNION ALL\n".join(f"""
+SELECT user_id, '{name}' AS period,
+  CAST(MIN(CASE WHEN ts >= TIMESTAMP '{start}' THEN CAST(value AS DECIMAL(18,4)) END) AS DOUBLE) AS min,
+  CAST(MAX(CASE WHEN ts >= TIMESTAMP '{start}' THEN CAST(value AS DECIMAL(18,4)) END) AS DOUBLE) AS max,
+  CAST(SUM(CASE WHEN ts >= TIMESTAMP '{start}' THEN CAST(value AS DECIMAL(18,4)) END) AS DOUBLE)
+    / NULLIF(COUNT(CASE WHEN ts >= TIMESTAMP '{start}' THEN value END), 0) AS avg,
+  CAST(NULL AS DOUBLE) AS median,
+  CAST(COUNT(CASE WHEN ts >= TIMESTAMP '{start}' THEN value END) AS INTEGER) AS volume
+FROM events GROUP BY user_id""" for name, start in _PERIOD_STARTS))
+def q_unpivot_periods(spark: SparkSession, sf: str) -> DataFrame:
+    wide = _user_period_stats(fv.Tables(spark, sf).events)
+    long = staging.unpivot_periods(wide, ["user_id"])
+    return _dbl(long, "min", "max")
+
+
+@register("explode_trades", """
+SELECT CAST(l_orderkey AS VARCHAR) AS name, 730 AS app_id,
+       strftime(l_shipdate, '%b %d %Y %H') || ': +0' AS ts_text, l_shipdate AS ts,
+       l_extendedprice AS price, CAST(l_quantity AS BIGINT) AS amount,
+       'steam_pricehistory' AS source, CAST(NULL AS VARCHAR) AS currency, CAST(NULL AS VARCHAR) AS raw
+FROM lineitem
+""")
+def q_explode_trades(spark: SparkSession, sf: str) -> DataFrame:
+    """Each order's lines as one trade-history payload (an order has at most a
+    handful of lines), exploded back to one row per line."""
+    li = fv.Tables(spark, sf).lineitem
+    triple = F.array(
+        F.concat(F.date_format("l_shipdate", "MMM dd yyyy HH"), F.lit(": +0")),
+        F.col("l_extendedprice").cast("string"),
+        F.col("l_quantity").cast("bigint").cast("string"),
+    )
+    docs = li.groupBy(F.col("l_orderkey").cast("string").alias("market_hash_name")).agg(
+        F.to_json(F.struct(F.collect_list(triple).alias("prices"))).alias("payload"))
+    out = trades.explode_trades(docs)
+    return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@register("page_meta", """
+SELECT page_id,
+  NULLIF(regexp_extract(html, '<html[^>]*\\slang="([^"]*)"', 1), '') AS lang,
+  NULLIF(regexp_extract(html, '<title>([^<]*)</title>', 1), '') AS title,
+  NULLIF(regexp_extract(html, '<meta[^>]*\\scharset="([^"]*)"', 1), '') AS charset,
+  CAST(NULL AS VARCHAR) AS og_image
+FROM pages
+""")
+def q_page_meta(spark: SparkSession, sf: str) -> DataFrame:
+    p = fv.Tables(spark, sf).pages
+    return p.select("page_id", pg.html_lang("html").alias("lang"), pg.html_title("html").alias("title"),
+                    pg.html_charset("html").alias("charset"), pg.meta_content("html", "og:image").alias("og_image"))
+
+
+@register("url_names", """
+SELECT page_id, trim(n) AS name FROM (
+  SELECT page_id, unnest(string_split(url_decode(regexp_extract(url, '[?&]utm_source=([^&#]*)', 1)), ',')) AS n
+  FROM pages WHERE regexp_extract(url, '[?&]utm_source=([^&#]*)', 1) <> ''
+) WHERE trim(n) <> ''
+""")
+def q_url_names(spark: SparkSession, sf: str) -> DataFrame:
+    return pg.names_from_url(fv.Tables(spark, sf).pages, "url", "utm_source", keep=("page_id",))
+
+
+@register("cheapest_lines", """
+SELECT l_partkey, l_orderkey, l_linenumber, l_suppkey, l_extendedprice, l_quantity FROM (
+  SELECT l.*, ROW_NUMBER() OVER (PARTITION BY l_partkey
+           ORDER BY l_extendedprice, l_orderkey, l_linenumber, l_quantity) AS rn
+  FROM lineitem l WHERE l_partkey IN (SELECT p_partkey FROM part)
+) WHERE rn <= 5
+""")
+def q_cheapest_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """The 5 cheapest lines of every listed part (the id list is the part table)."""
+    from pricelake.operators.latest import top_n_per_key
+
+    t = fv.Tables(spark, sf)
+    order = [F.col(c) for c in ("l_extendedprice", "l_orderkey", "l_linenumber", "l_quantity")]
+    top = top_n_per_key(t.lineitem, "l_partkey", order, 5, ids=t.part, id_col="p_partkey")
+    return top.select("l_partkey", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_quantity")
