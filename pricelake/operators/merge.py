@@ -77,7 +77,7 @@ def upsert(
     update = list(non_key) if update_cols is None else [c for c in update_cols if c in non_key]
     preserved = [c for c in non_key if c not in update]
     src_keys = _source_keys(src, keys)
-    untouched = target.join(src_keys, on=list(keys), how="left_anti")
+    untouched = target.join(src_keys, on=list(keys), how="left_anti").select(*cols)
     if not preserved:
         return untouched.unionByName(src)
     matched = target.join(src_keys, on=list(keys), how="left_semi").select(
@@ -109,13 +109,13 @@ def insert_ignore(
     cols = target.columns
     src = _align(dedup_source(source, keys, order), cols)
     present = target.select(*keys).join(_source_keys(src, keys), on=list(keys), how="left_semi").distinct()
-    return target.unionByName(src.join(maybe_broadcast(present), on=list(keys), how="left_anti"))
+    return target.unionByName(src.join(maybe_broadcast(present), on=list(keys), how="left_anti").select(*cols))
 
 
 def new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source rows with no target row on ``keys`` (``INSERT ... WHERE NOT EXISTS``)."""
     present = target.select(*keys).join(_source_keys(source, keys), on=list(keys), how="left_semi").distinct()
-    return source.join(maybe_broadcast(present), on=list(keys), how="left_anti")
+    return source.join(maybe_broadcast(present), on=list(keys), how="left_anti").select(*source.columns)
 
 
 def insert_new(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -137,7 +137,7 @@ def update_from(
     )
     src = maybe_broadcast(src)
     src_keys = _source_keys(src, keys)
-    untouched = target.join(src_keys, on=list(keys), how="left_anti")
+    untouched = target.join(src_keys, on=list(keys), how="left_anti").select(*target.columns)
     updated = target.join(src, on=list(keys), how="inner").select(
         *[F.col(f"__s_{c}").alias(c) if c in cols else F.col(c) for c in target.columns]
     )

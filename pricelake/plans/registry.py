@@ -144,7 +144,7 @@ GROUP BY group_name, report_date
 def q_group_analytics(spark: SparkSession, sf: str) -> DataFrame:
     t = fv.Tables(spark, sf)
     return marts.group_analytics(
-        fv.history_from_lineitem(t.lineitem), fv.product_from_parts(t.part), FIXTURE_GROUP_RULES, _LINE_TIE
+        fv.history_from_lineitem(t.lineitem), fv.product_from_parts(t.part), FIXTURE_GROUP_RULES, _line_tie()
     )
 
 

@@ -122,7 +122,8 @@ def merge_partitions(
     if path_exists(spark, path):
         target = spark.read.format(fmt).load(path)
         touched = maybe_broadcast(source.select(part_col).distinct())
-        merged = op(target.join(touched, on=part_col, how="left_semi"), source.select(*target.columns))
+        merged = op(target.join(touched, on=part_col, how="left_semi").select(*target.columns),
+                    source.select(*target.columns))
     else:
         merged = source
     staging = scratch_dir(spark, f"stage-{uuid.uuid4().hex}")
