@@ -60,13 +60,24 @@ def _named(parsed: Column) -> Column:
     return canon_name(*[parsed[f] for f in NAME_FIELDS])
 
 
+def _parsed_with_name(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """``p`` (the parsed payload) for rows with a usable name, parsed once per row.
+
+    A plain ``filter`` on the name would be pushed below the parse by the
+    optimizer and re-parse the payload for every field it references; keeping
+    the row through ``explode`` of a filtered one-element array holds the
+    predicate above the single parse.
+    """
+    p = parse_payload("payload", schema)
+    keep = F.filter(F.array(p), lambda x: usable_name(_named(x)))
+    return raw.select(F.explode(keep).alias("p"), "created_at", "payload")
+
+
 def stage_book_a(raw: DataFrame, lenient: bool = False) -> DataFrame:
     """Book A items: key, load time, five prices; rows without a usable name dropped."""
-    schema = string_struct([*NAME_FIELDS, *BOOK_A_PRICES])
-    p = parse_payload("payload", schema)
-    parsed = raw.select(p.alias("p"), "created_at", "payload")
+    parsed = _parsed_with_name(raw, string_struct([*NAME_FIELDS, *BOOK_A_PRICES]))
     name = _named(F.col("p"))
-    return parsed.filter(usable_name(name)).select(
+    return parsed.select(
         uuid5(name).alias("id_name"),
         F.col("created_at").alias("date_extracted"),
         *[json_decimal(F.col("p")[f], PRICE_TYPE, lenient).alias(f) for f in BOOK_A_PRICES],
@@ -85,8 +96,7 @@ def stage_history(
 
     A missing period, a JSON null and '' all give NULL.
     """
-    schema = string_struct([*NAME_FIELDS, *[(pr, list(stats)) for pr in periods]])
-    parsed = raw.select(parse_payload("payload", schema).alias("p"), "created_at", "payload")
+    parsed = _parsed_with_name(raw, string_struct([*NAME_FIELDS, *[(pr, list(stats)) for pr in periods]]))
     name = _named(F.col("p"))
     cols = []
     for pr in periods:
@@ -94,7 +104,7 @@ def stage_history(
             leaf = F.col("p")[pr][s]
             typed = json_int(leaf, lenient) if s == "volume" else json_decimal(leaf, PRICE_TYPE, lenient)
             cols.append(typed.alias(f"{pr}_{s}"))
-    return parsed.filter(usable_name(name)).select(
+    return parsed.select(
         uuid5(name).alias("id_name"),
         *cols,
         F.col("created_at").alias("date_extracted"),
@@ -106,10 +116,9 @@ def stage_history(
 def stage_book_b(raw: DataFrame, lenient: bool = False) -> DataFrame:
     """Book B listings: the event time comes from the payload's ``created_at``;
     the load time is kept as ``src_ts`` (the tie-break between loads)."""
-    schema = string_struct([*NAME_FIELDS, "created_at", "price"])
-    parsed = raw.select(parse_payload("payload", schema).alias("p"), "created_at", "payload")
+    parsed = _parsed_with_name(raw, string_struct([*NAME_FIELDS, "created_at", "price"]))
     name = _named(F.col("p"))
-    return parsed.filter(usable_name(name)).select(
+    return parsed.select(
         uuid5(name).alias("id_name"),
         json_timestamp(F.col("p")["created_at"], lenient).alias("date_extracted"),
         json_decimal(F.col("p")["price"], PRICE_TYPE, lenient).alias("price"),
@@ -129,10 +138,10 @@ def dedup_staged(staged: DataFrame, keys: Sequence[str] = ("id_name", "date_extr
 
 
 def product_rows(raw: DataFrame) -> DataFrame:
-    """Catalog candidates of one raw source: canonical name and page links."""
-    schema = string_struct([*NAME_FIELDS, "item_page", "market_page"])
+    """Catalog candidates of one raw source: usable canonical name and page links."""
+    parsed = _parsed_with_name(raw, string_struct([*NAME_FIELDS, "item_page", "market_page"]))
     p = F.col("p")
-    return raw.select(parse_payload("payload", schema).alias("p")).select(
+    return parsed.select(
         _named(p).alias("name"), p["item_page"].alias("item_page"), p["market_page"].alias("market_page")
     )
 

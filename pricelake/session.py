@@ -40,7 +40,8 @@ def build_session(
     ``master`` is only set when given, so ``spark-submit`` keeps control on a
     cluster. The web UI is off: jobs here are batch and non-interactive.
     """
-    builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    builder = (SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false"))
     if master:
         builder = builder.master(master)
     for k, v in {**SEMANTIC_CONF, **PLAN_CONF, **(extra or {})}.items():
