@@ -73,20 +73,32 @@ def _product(product: DataFrame) -> DataFrame:
     return product.select("id_name", F.col("name").alias("item_name"))
 
 
-def sales_history(
+def latest_by_name_day(
     history: DataFrame,
     product: DataFrame,
     tie_breaks: Sequence[Column] = (),
 ) -> DataFrame:
-    """Last snapshot per (product name, day): 24 h average price and volume.
+    """Last snapshot per (product *name*, day), with ``item_name`` and ``report_date``.
 
-    Deduplicates by *name* after the join, as a name may in general carry
-    several ids; the dimension join is a checked broadcast, so the only
-    shuffle is the window's (with a map-side partial limit).
+    Two-level top-1: first per (id, day) — a partial limit before the shuffle
+    cuts every key, hot ones included, to one row per task — then the product
+    join and a second top-1 per (name, day) over the already reduced rows.
+    With a total order this equals a single top-1 per (name, day): a group's
+    overall winner is also the winner of its own id.
     """
-    joined = join_dimension(history, _product(product), "id_name")
-    latest = daily_latest(joined, "item_name", "date_extracted",
-                          [*tie_breaks, F.col("id_name")], day_col="report_date")
+    per_id = daily_latest(history, "id_name", "date_extracted", tie_breaks, day_col="report_date")
+    joined = join_dimension(per_id, _product(product), "id_name")
+    return latest_per_key(joined, ["item_name", "report_date"],
+                          [F.col("date_extracted").desc(), *tie_breaks, F.col("id_name")])
+
+
+def sales_history(
+    history: DataFrame,
+    product: DataFrame,
+    tie_breaks: Sequence[Column] = (),
+) -> DataFrame:
+    """Last snapshot per (product name, day): 24 h average price and volume."""
+    latest = latest_by_name_day(history, product, tie_breaks)
     return latest.select(
         "item_name",
         F.col("report_date").alias("date_extracted"),
@@ -189,9 +201,7 @@ def volatility(
     """Per (product name, day), from the latest snapshot: 7-day spread
     (max - min), spread over 7-day average (0 when the average is not
     positive or NULL) and 7-day volume."""
-    joined = join_dimension(history, _product(product), "id_name")
-    latest = daily_latest(joined, "item_name", "date_extracted",
-                          [*tie_breaks, F.col("id_name")], day_col="report_date")
+    latest = latest_by_name_day(history, product, tie_breaks)
     spread = F.col("last_7_days_max") - F.col("last_7_days_min")
     avg = F.col("last_7_days_avg")
     return latest.select(

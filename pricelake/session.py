@@ -71,6 +71,9 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         current = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
     if current:
         return current
+    master = spark.sparkContext.master or ""
+    if fallback is None and not master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder: intermediate tables go there")
     path = fallback or tempfile.mkdtemp(prefix="pricelake-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
     spark.conf.set("spark.checkpoint.dir", path)
