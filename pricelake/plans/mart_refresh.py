@@ -62,3 +62,54 @@ def refresh_marts(existing: dict[str, DataFrame | None], rows: dict[str, DataFra
         else:
             out[name] = merge.insert_ignore(cur.select(*new.columns), new, keys)
     return out
+
+
+# ---------------------------------------------------------------- path runner
+
+def run_marts(
+    spark,
+    ods_root: str,
+    marts_root: str,
+    days: Sequence | None = None,
+    rules=marts.DEFAULT_GROUP_RULES,
+    market_a: str = "market_a",
+    market_b: str = "market_b",
+) -> list[str]:
+    """Recompute the marts (all days, or ``days``) and merge them into
+    day-partitioned tables under ``marts_root``; returns the marts written.
+
+    Only the days present in the new rows are rewritten. The joined books feed
+    two marts, so they are computed once and kept (memory, spilling to disk)
+    until both are written.
+    """
+    from pyspark import StorageLevel
+
+    from pricelake.plans.ods import read_ods
+    from pricelake.sources import tables
+
+    ods = read_ods(spark, ods_root)
+    hist = _only_days(ods.history, days)
+    a, b = _only_days(ods.book_a, days), _only_days(ods.book_b, days)
+    joined = None
+    rows: dict[str, DataFrame] = {}
+    if hist is not None:
+        rows["sales_history"] = marts.sales_history(hist, ods.product)
+        rows["group_analytics"] = marts.group_analytics(hist, ods.product, rules)
+        rows["volatility"] = marts.volatility(hist, ods.product)
+    if a is not None and b is not None:
+        joined = marts.joined_books(a, b, ods.product).persist(StorageLevel.MEMORY_AND_DISK)
+        rows["order_books"] = marts.order_books(joined)
+        rows["arbitrage"] = marts.arbitrage(joined, market_a, market_b)
+    written = []
+    try:
+        for name, new in rows.items():
+            keys = marts.MART_KEYS[name]
+            op = ((lambda t, s, k=keys: merge.upsert(t, s, k)) if name in _UPSERT
+                  else (lambda t, s, k=keys: merge.insert_ignore(t, s, k)))
+            with_day = new.withColumn("day", F.to_date("date_extracted"))
+            tables.merge_partitions(spark, f"{marts_root.rstrip('/')}/{name}", with_day, "day", op)
+            written.append(name)
+    finally:
+        if joined is not None:
+            joined.unpersist()
+    return written

@@ -101,3 +101,17 @@ def test_checks_catch_seeded_faults(spark):
         "book_a: orphan key": 1,
         "book_a: future dates": 1,
     }
+
+
+def test_mart_runner_idempotent(spark, tmp):
+    paths = _docs(tmp)
+    raw_root, ods_root, marts_root = (os.path.join(tmp, x) for x in ("raw", "ods", "marts"))
+    for name, p in paths.items():
+        rawsrc.land(rawsrc.load_raw(spark, p, TS), os.path.join(raw_root, name))
+    ods.run_ods_day(spark, raw_root, ods_root, DAY)
+    assert set(mart_refresh.run_marts(spark, ods_root, marts_root)) == set(mart_refresh.MART_NAMES)
+    first = {m: rows(spark.read.parquet(os.path.join(marts_root, m))) for m in mart_refresh.MART_NAMES}
+    mart_refresh.run_marts(spark, ods_root, marts_root, days=[__import__("datetime").date(2025, 11, 5)])
+    second = {m: rows(spark.read.parquet(os.path.join(marts_root, m))) for m in mart_refresh.MART_NAMES}
+    assert first == second
+    assert len(first["arbitrage"]) == 1 and len(first["order_books"]) == 2
