@@ -19,41 +19,46 @@ DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
 def estimated_bytes(df: DataFrame) -> int | None:
     """Optimizer size estimate of ``df`` in bytes, or None when unavailable."""
     try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes().toString()))
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(size) if isinstance(size, int) else int(str(size.toString()))
     except Exception:  # Spark Connect or an unexpected plan: no estimate
         return None
 
 
 def broadcast_limit(df: DataFrame, default: int = DEFAULT_BROADCAST_LIMIT) -> int:
-    """Byte limit from ``spark.sql.autoBroadcastJoinThreshold`` when set above 0."""
+    """Byte limit for a checked broadcast.
+
+    ``spark.sql.autoBroadcastJoinThreshold`` when the session sets it (a value
+    <= 0 disables broadcasting, as it does for Spark's own rule), else ``default``.
+    """
     try:
         raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", None)
     except Exception:
         raw = None
-    if raw:
-        txt = str(raw).strip().lower()
-        mult = 1
-        for suffix, m in (("kb", 1 << 10), ("mb", 1 << 20), ("gb", 1 << 30), ("b", 1)):
-            if txt.endswith(suffix):
-                txt, mult = txt[: -len(suffix)], m
-                break
-        try:
-            val = int(float(txt) * mult)
-            if val > 0:
-                return max(val, default)
-        except ValueError:
-            pass
-    return default
+    if not raw:
+        return default
+    txt = str(raw).strip().lower()
+    mult = 1
+    for suffix, m in (("kb", 1 << 10), ("mb", 1 << 20), ("gb", 1 << 30), ("b", 1)):
+        if txt.endswith(suffix):
+            txt, mult = txt[: -len(suffix)], m
+            break
+    try:
+        return max(0, int(float(txt) * mult))
+    except ValueError:
+        return default
 
 
-def maybe_broadcast(df: DataFrame, limit: int | None = None) -> DataFrame:
-    """``broadcast(df)`` if its size estimate is at most ``limit`` bytes, else ``df``."""
+def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
+    """True when the optimizer's size estimate of ``df`` is at most ``limit`` bytes."""
     limit = broadcast_limit(df) if limit is None else limit
     est = estimated_bytes(df)
-    if est is not None and est <= limit:
-        return F.broadcast(df)
-    return df
+    return limit > 0 and est is not None and est <= limit
+
+
+def maybe_broadcast(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """``broadcast(df)`` if its size estimate is at most ``limit`` bytes, else ``df``."""
+    return F.broadcast(df) if fits_broadcast(df, limit) else df
 
 
 def join_dimension(

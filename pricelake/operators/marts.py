@@ -82,8 +82,11 @@ def latest_by_name_day(
 
     Two-level top-1: first per (id, day) — a partial limit before the shuffle
     cuts every key, hot ones included, to one row per task — then the product
-    join and a second top-1 per (name, day) over the already reduced rows.
-    With a total order this equals a single top-1 per (name, day): a group's
+    join (broadcast when its size estimate allows) and a second top-1 per
+    (name, day) over the already reduced rows. The history itself is
+    shuffled once, on compact id keys, and never for the join.
+
+    With a total order this equals one top-1 per (name, day): a group's
     overall winner is also the winner of its own id.
     """
     per_id = daily_latest(history, "id_name", "date_extracted", tie_breaks, day_col="report_date")

@@ -46,3 +46,10 @@ def test_scans_prune_columns_and_push_filters(spark):
 def test_merges_do_not_shuffle_target_when_source_small(spark):
     plan = _plan(QUERIES["upsert"](spark, SF_SMALL))
     assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+
+
+def test_name_marts_shuffle_history_once_without_broadcast(spark, no_broadcast):
+    plan = _plan(QUERIES["volatility"](spark, SF_SMALL))
+    # two-level: window (id, day) shuffle of the history, then the product join and
+    # the (name, day) window run on reduced rows
+    assert plan.count("WindowGroupLimit") >= 4
