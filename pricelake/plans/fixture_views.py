@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelake.functions.json_fields import PRICE_TYPE
+from pricelake.session import apply_defaults
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -35,9 +36,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @dataclass
 class Tables:
+    """The driver tables of one scale; makes the session's days UTC days."""
+
     spark: SparkSession
     sf_dir: str
 
+    def __post_init__(self) -> None:
+        apply_defaults(self.spark)
+
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
             return read_table(self.spark, self.sf_dir, name)
