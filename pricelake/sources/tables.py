@@ -8,9 +8,9 @@ has no MERGE. Two publishing modes cover the merge family:
   leaves the previous version current. Used for whole-table replace and for
   small tables (catalog, marts).
 * ``merge_partitions`` — for big date-partitioned tables: only the partitions
-  the new rows touch are read, merged, staged under the shared checkpoint
-  folder (cutting lineage), and swapped in with dynamic partition overwrite.
-  Untouched days are never read or rewritten.
+  the new rows touch are read (static partition filter), merged, staged under
+  the shared checkpoint folder (cutting lineage), and swapped in with dynamic
+  partition overwrite. Untouched days are never read or rewritten.
 """
 
 from __future__ import annotations
@@ -101,6 +101,11 @@ class VersionedTable:
         return gone
 
 
+# Above this many touched partitions a merge stops listing them and falls back
+# to a semi join (correct, but without partition pruning).
+MAX_LISTED_PARTITIONS = 10_000
+
+
 def merge_partitions(
     spark: SparkSession,
     path: str,
@@ -112,22 +117,37 @@ def merge_partitions(
     """Merge ``source`` into the partitioned table at ``path`` with ``op(target, source)``,
     rewriting only the partitions ``source`` touches.
 
-    The touched partition values are semi-joined (broadcast when small), which
-    lets dynamic partition pruning skip every other partition of the target.
-    The merged rows are written to a staging folder under the shared
-    checkpoint folder first, so the final overwrite never reads the files it
-    replaces, and a lost executor re-reads staged files instead of recomputing
-    the merge.
+    The touched partition values (days: a calendar-bounded handful per load)
+    are listed with one small distinct job and become a static partition
+    filter, so the scan of the target opens only those partitions. The
+    source is persisted for the duration, so it is computed once. The merged
+    rows are written to a staging folder under the shared checkpoint folder
+    first: the final overwrite never reads the files it replaces, and a lost
+    executor re-reads staged files instead of recomputing the merge.
     """
-    if path_exists(spark, path):
-        target = spark.read.format(fmt).load(path)
-        touched = maybe_broadcast(source.select(part_col).distinct())
-        merged = op(target.join(touched, on=part_col, how="left_semi").select(*target.columns),
-                    source.select(*target.columns))
-    else:
-        merged = source
-    staging = scratch_dir(spark, f"stage-{uuid.uuid4().hex}")
-    merged.write.mode("errorifexists").format(fmt).save(staging)
+    from pyspark import StorageLevel
+
+    src = source.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if path_exists(spark, path):
+            target = spark.read.format(fmt).load(path)
+            listed = [r[0] for r in src.select(part_col).distinct().limit(MAX_LISTED_PARTITIONS + 1).collect()]
+            if len(listed) <= MAX_LISTED_PARTITIONS:
+                values = [v for v in listed if v is not None]
+                cond = F.col(part_col).isin(values) if values else F.lit(False)
+                if len(values) < len(listed):
+                    cond = cond | F.col(part_col).isNull()
+                touched = target.filter(cond)
+            else:
+                days = maybe_broadcast(src.select(part_col).distinct())
+                touched = target.join(days, on=part_col, how="left_semi").select(*target.columns)
+            merged = op(touched, src.select(*target.columns))
+        else:
+            merged = src
+        staging = scratch_dir(spark, f"stage-{uuid.uuid4().hex}")
+        merged.write.mode("errorifexists").format(fmt).save(staging)
+    finally:
+        src.unpersist()
     staged = spark.read.format(fmt).load(staging)
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(part_col).format(fmt).save(path))

@@ -61,3 +61,21 @@ def test_fan_out(spark, tmp):
     a, b = os.path.join(tmp, "a"), os.path.join(tmp, "b")
     rawsrc.fan_out(rows, [rawsrc.Sink(a), rawsrc.Sink(b, fmt="json")])
     assert spark.read.parquet(a).count() == 4 and spark.read.json(b).count() == 4
+
+
+def test_merge_partitions_reads_only_touched_days(spark, tmp, monkeypatch):
+    path = os.path.join(tmp, "p")
+    schema = "k string, v int, day date"
+    days = [dt.date(2025, 11, d) for d in (1, 2, 3)]
+    tables.merge_partitions(spark, path, spark.createDataFrame([("a", 1, d) for d in days], schema), "day",
+                            lambda t, s: merge.upsert(t, s, ["k", "day"]))
+    seen = {}
+
+    def op(t, s):
+        seen["plan"] = t._jdf.queryExecution().executedPlan().toString()
+        return merge.upsert(t, s, ["k", "day"])
+
+    tables.merge_partitions(spark, path, spark.createDataFrame([("a", 5, days[1])], schema), "day", op)
+    assert "PartitionFilters: [" in seen["plan"] and "2025-11-02" in seen["plan"]
+    got = sorted((r.day.day, r.v) for r in spark.read.parquet(path).collect())
+    assert got == [(1, 1), (2, 5), (3, 1)]
