@@ -81,3 +81,34 @@ def merge_batch(spark: SparkSession, ods_path: str, kind: str = "items") -> Batc
         rows = tables.with_day(rows.filter(F.col("date_extracted").isNotNull()))
         tables.merge_partitions(spark, ods_path, rows, "day", lambda t, s: merge.upsert(t, s, ODS_KEYS))
     return fn
+
+
+def merge_and_refresh_batch(spark: SparkSession, ods_root: str, marts_root: str, kind: str = "items",
+                            **mart_args) -> BatchFn:
+    """Batch handler: merge the batch into its ODS table, then recompute the
+    marts for exactly the days the batch touched and merge them in.
+
+    Late data is handled by this rule: a snapshot arriving days later lands in
+    its own day and that day's mart rows are recomputed and replaced.
+    """
+    from pyspark import StorageLevel
+
+    from pricelake.plans.mart_refresh import run_marts
+
+    target = {"items": "book_a", "history": "history", "listings": "book_b"}[kind]
+    stager = _STAGERS[kind]
+
+    def fn(batch: DataFrame, epoch_id: int) -> None:
+        rows = staging.dedup_staged(stager(batch))
+        rows = tables.with_day(rows.filter(F.col("date_extracted").isNotNull())).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            days = [r[0] for r in rows.select("day").distinct().limit(tables.MAX_LISTED_PARTITIONS + 1).collect()]
+            tables.merge_partitions(spark, f"{ods_root.rstrip('/')}/{target}", rows, "day",
+                                    lambda t, s: merge.upsert(t, s, ODS_KEYS))
+        finally:
+            rows.unpersist()
+        if days and len(days) <= tables.MAX_LISTED_PARTITIONS:
+            run_marts(spark, ods_root, marts_root, days=days, **mart_args)
+        elif days:
+            run_marts(spark, ods_root, marts_root, **mart_args)
+    return fn

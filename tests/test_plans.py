@@ -53,3 +53,21 @@ def test_name_marts_shuffle_history_once_without_broadcast(spark, no_broadcast):
     # two-level: window (id, day) shuffle of the history, then the product join and
     # the (name, day) window run on reduced rows
     assert plan.count("WindowGroupLimit") >= 4
+
+
+def test_hot_key_is_cut_before_the_shuffle(spark):
+    """One key holds a third of the rows: the partial limit leaves it one row
+    per map task, and the result is whole and right."""
+    from pyspark.sql import functions as F
+
+    from pricelake.operators.latest import latest_per_key
+
+    n = 30000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"), F.col("id").alias("v")
+    ).repartition(6)
+    out = latest_per_key(df, ["k"], [F.col("v").desc()])
+    plan = _plan(out)
+    assert plan.index("WindowGroupLimit") < plan.rindex("Exchange") or "Partial" in plan
+    got = {r.k: r.v for r in out.collect()}
+    assert len(got) == n - n // 3 + 1 and got[-1] == max(i for i in range(n) if i % 3 == 0)
