@@ -1,812 +1,5 @@
-"""Checked queries: each runs library operators over the driver's tables
-(whole tables, no row caps) and has an independent DuckDB SQL oracle.
+"""The checked-query registry (see ``pricelake.plans.queries``)."""
 
-Decimal outputs are cast to double at the end on both sides, so the two
-engines' decimal result types do not matter for the comparison.
-"""
+from pricelake.plans.queries import ORACLES, QUERIES, register, uuid5_sql
 
-from __future__ import annotations
-
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from pricelake.operators import marts
-from pricelake.plans import fixture_views as fv
-
-Query = Callable[[SparkSession, str], DataFrame]
-
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
-
-def register(name: str, oracle: str | None = None):
-    def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
-        if oracle is not None:
-            ORACLES[name] = oracle.strip()
-        return fn
-    return deco
-
-
-def _dbl(df: DataFrame, *cols: str) -> DataFrame:
-    return df.withColumns({c: F.col(c).cast("double") for c in cols})
-
-
-# ---------------------------------------------------------------- marts
-
-def _event_tie() -> list:
-    return [F.col("event_id").desc()]
-
-
-def _line_tie() -> list:
-    return [F.col("id_name")] + [F.col(c) for c in fv.LINE_TIE_BREAKS]
-
-
-def _joined_books(spark: SparkSession, sf: str) -> DataFrame:
-    t = fv.Tables(spark, sf)
-    return marts.joined_books(
-        fv.book_a_from_events(t.events), fv.book_b_from_events(t.events),
-        fv.product_from_customers(t.customer), _event_tie(), _event_tie(),
-    )
-
-
-_BOOKS_SQL = """
-WITH a AS (
-  SELECT user_id AS id, CAST(ts AS DATE) AS day, ts, CAST(value AS DECIMAL(18,4)) AS pa,
-         ROW_NUMBER() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) AS rn
-  FROM events WHERE event_type IN ('view', 'click')
-), b AS (
-  SELECT user_id AS id, CAST(ts AS DATE) AS day, CAST(value AS DECIMAL(18,4)) AS pb,
-         ROW_NUMBER() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) AS rn
-  FROM events WHERE event_type = 'purchase'
-), j AS (
-  SELECT c.c_name AS item_name, a.pa, b.pb, a.ts
-  FROM a JOIN b ON a.id = b.id AND a.day = b.day
-  JOIN customer c ON c.c_custkey = a.id
-  WHERE a.rn = 1 AND b.rn = 1
-)
-"""
-
-
-@register("arbitrage", _BOOKS_SQL + """
-SELECT item_name,
-       CASE WHEN pa < pb THEN 'market_a' ELSE 'market_b' END AS buy_platform,
-       CASE WHEN pa < pb THEN 'market_b' ELSE 'market_a' END AS sell_platform,
-       CAST(ABS(pa - pb) AS DOUBLE) AS profit_abs,
-       CASE WHEN LEAST(pa, pb) > 0
-            THEN CAST(ABS(pa - pb) AS DOUBLE) / CAST(LEAST(pa, pb) AS DOUBLE) * 100
-            ELSE 0 END AS profit_pct,
-       ts AS date_extracted
-FROM j WHERE ABS(pa - pb) > 0
-""")
-def q_arbitrage(spark: SparkSession, sf: str) -> DataFrame:
-    return _dbl(marts.arbitrage(_joined_books(spark, sf)), "profit_abs")
-
-
-@register("order_books", _BOOKS_SQL + """
-SELECT item_name, CAST(pa AS DOUBLE) AS price_a, CAST(pb AS DOUBLE) AS price_b,
-       CAST(pa - pb AS DOUBLE) AS price_diff, ts AS date_extracted
-FROM j
-""")
-def q_order_books(spark: SparkSession, sf: str) -> DataFrame:
-    return _dbl(marts.order_books(_joined_books(spark, sf)), "price_a", "price_b", "price_diff")
-
-
-_LINE_LATEST = """
-SELECT {key} AS k, CAST(l.l_shipdate AS DATE) AS report_date, l.l_partkey,
-       CAST(l.l_extendedprice AS DECIMAL(18,4)) AS avg24, CAST(l.l_quantity AS INTEGER) AS vol24,
-       ROW_NUMBER() OVER (PARTITION BY {key}, CAST(l.l_shipdate AS DATE)
-                          ORDER BY l.l_shipdate DESC, l.l_partkey, l.l_orderkey, l.l_linenumber,
-                                   l.l_extendedprice, l.l_quantity) AS rn
-FROM lineitem l {join}
-"""
-
-
-@register("sales_history", """
-WITH d AS (""" + _LINE_LATEST.format(key="p.p_name", join="JOIN part p ON p.p_partkey = l.l_partkey") + """)
-SELECT k AS item_name, report_date AS date_extracted, CAST(avg24 AS DOUBLE) AS avg_price_24h,
-       vol24 AS volume_24h
-FROM d WHERE rn = 1
-""")
-def q_sales_history(spark: SparkSession, sf: str) -> DataFrame:
-    t = fv.Tables(spark, sf)
-    out = marts.sales_history(fv.history_from_lineitem(t.lineitem), fv.product_from_parts(t.part), _line_tie())
-    return _dbl(out, "avg_price_24h")
-
-
-# Rules of the group mart on the part names of the driver tables.
-FIXTURE_GROUP_RULES = [
-    ("Widget", ["%WIDGET%"]),
-    ("Gear", ["%gear%"]),
-    ("Fastener", ["%rod%", "%bolt%"]),
-]
-
-
-@register("group_analytics", """
-WITH d AS (""" + _LINE_LATEST.format(key="l.l_partkey", join="") + """),
-c AS (
-  SELECT CASE WHEN p.p_name ILIKE '%WIDGET%' THEN 'Widget'
-              WHEN p.p_name ILIKE '%gear%' THEN 'Gear'
-              WHEN p.p_name ILIKE '%rod%' OR p.p_name ILIKE '%bolt%' THEN 'Fastener'
-              ELSE NULL END AS group_name,
-         d.report_date, d.avg24, d.vol24
-  FROM d JOIN part p ON p.p_partkey = d.k
-  WHERE d.rn = 1
-)
-SELECT group_name, report_date AS date_extracted,
-       CAST(SUM(avg24) AS DOUBLE) / COUNT(avg24) AS avg_price,
-       CAST(SUM(vol24) AS BIGINT) AS total_volume
-FROM c WHERE group_name IS NOT NULL
-GROUP BY group_name, report_date
-""")
-def q_group_analytics(spark: SparkSession, sf: str) -> DataFrame:
-    t = fv.Tables(spark, sf)
-    return marts.group_analytics(
-        fv.history_from_lineitem(t.lineitem), fv.product_from_parts(t.part), FIXTURE_GROUP_RULES, _line_tie()
-    )
-
-
-_EVENT_SNAPSHOTS = """
-s AS (
-  SELECT user_id AS id, event_type, CAST(ts AS DATE) AS d, MAX(ts) AS ts,
-         MIN(CAST(value AS DECIMAL(18,4))) AS mn, MAX(CAST(value AS DECIMAL(18,4))) AS mx,
-         CAST(SUM(CAST(value AS DECIMAL(18,4))) AS DOUBLE) / COUNT(value) AS av,
-         CAST(COUNT(*) AS INTEGER) AS vol
-  FROM events GROUP BY user_id, event_type, CAST(ts AS DATE)
-)"""
-
-
-@register("volatility", "WITH" + _EVENT_SNAPSHOTS + """,
-r AS (
-  SELECT c.c_name AS item_name, s.*, CAST(s.ts AS DATE) AS day,
-         ROW_NUMBER() OVER (PARTITION BY c.c_name, CAST(s.ts AS DATE) ORDER BY s.ts DESC, s.id) AS rn
-  FROM s JOIN customer c ON c.c_custkey = s.id
-)
-SELECT item_name, CAST(mx - mn AS DOUBLE) AS spread_7d,
-       CASE WHEN av > 0 THEN CAST(mx - mn AS DOUBLE) / av ELSE 0 END AS volatility_index,
-       vol AS volume_7d, day AS date_extracted
-FROM r WHERE rn = 1
-""")
-def q_volatility(spark: SparkSession, sf: str) -> DataFrame:
-    t = fv.Tables(spark, sf)
-    out = marts.volatility(fv.history_from_events(t.events), fv.product_from_customers(t.customer))
-    return _dbl(out, "spread_7d")
-
-
-# ---------------------------------------------------------------- merge family
-# Target: per (user, day) before 2024-01-20, max value and first event id.
-# Source: per (user, day) from 2024-01-15, min value and last event id.
-# Days 15-19 conflict; earlier days are target-only, later days source-only.
-
-from pricelake.operators import merge  # noqa: E402
-
-_MERGE_KEYS = ["user_id", "day"]
-
-_MERGE_INPUTS_SQL = """
-WITH t AS (
-  SELECT user_id, CAST(ts AS DATE) AS day, MAX(value) AS value, MIN(event_id) AS event_id
-  FROM events WHERE ts < TIMESTAMP '2024-01-20' GROUP BY user_id, CAST(ts AS DATE)
-), s AS (
-  SELECT user_id, CAST(ts AS DATE) AS day, MIN(value) AS value, MAX(event_id) AS event_id
-  FROM events WHERE ts >= TIMESTAMP '2024-01-15' GROUP BY user_id, CAST(ts AS DATE)
-)
-"""
-
-
-def _merge_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    ev = fv.Tables(spark, sf).events
-    day = F.to_date("ts").alias("day")
-    cut_t = F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")
-    cut_s = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
-    target = ev.filter(F.col("ts") < cut_t).groupBy("user_id", day).agg(
-        F.max("value").alias("value"), F.min("event_id").alias("event_id"))
-    source = ev.filter(F.col("ts") >= cut_s).groupBy("user_id", day).agg(
-        F.min("value").alias("value"), F.max("event_id").alias("event_id"))
-    return target, source
-
-
-@register("upsert", _MERGE_INPUTS_SQL + """
-SELECT COALESCE(s.user_id, t.user_id) AS user_id, COALESCE(s.day, t.day) AS day,
-       CASE WHEN s.user_id IS NOT NULL THEN s.value ELSE t.value END AS value,
-       CASE WHEN s.user_id IS NOT NULL THEN s.event_id ELSE t.event_id END AS event_id
-FROM t FULL OUTER JOIN s ON t.user_id = s.user_id AND t.day = s.day
-""")
-def q_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    target, source = _merge_inputs(spark, sf)
-    return merge.upsert(target, source, _MERGE_KEYS)
-
-
-@register("insert_ignore", _MERGE_INPUTS_SQL + """
-SELECT COALESCE(t.user_id, s.user_id) AS user_id, COALESCE(t.day, s.day) AS day,
-       CASE WHEN t.user_id IS NOT NULL THEN t.value ELSE s.value END AS value,
-       CASE WHEN t.user_id IS NOT NULL THEN t.event_id ELSE s.event_id END AS event_id
-FROM t FULL OUTER JOIN s ON t.user_id = s.user_id AND t.day = s.day
-""")
-def q_insert_ignore(spark: SparkSession, sf: str) -> DataFrame:
-    target, source = _merge_inputs(spark, sf)
-    return merge.insert_ignore(target, source, _MERGE_KEYS)
-
-
-@register("update_from", _MERGE_INPUTS_SQL + """
-SELECT t.user_id, t.day,
-       CASE WHEN s.user_id IS NOT NULL THEN s.value ELSE t.value END AS value,
-       t.event_id
-FROM t LEFT JOIN s ON t.user_id = s.user_id AND t.day = s.day
-""")
-def q_update_from(spark: SparkSession, sf: str) -> DataFrame:
-    target, source = _merge_inputs(spark, sf)
-    return merge.update_from(target, source, _MERGE_KEYS, ["value"])
-
-
-@register("upsert_preserving", _MERGE_INPUTS_SQL + """
-SELECT s.user_id, s.day, s.value,
-       CASE WHEN t.user_id IS NOT NULL THEN t.event_id ELSE s.event_id END AS event_id
-FROM s LEFT JOIN t ON t.user_id = s.user_id AND t.day = s.day
-UNION ALL
-SELECT t.user_id, t.day, t.value, t.event_id
-FROM t WHERE (t.user_id, t.day) NOT IN (SELECT (user_id, day) FROM s)
-""")
-def q_upsert_preserving(spark: SparkSession, sf: str) -> DataFrame:
-    target, source = _merge_inputs(spark, sf)
-    return merge.upsert(target, source, _MERGE_KEYS, update_cols=["value"])
-
-
-@register("insert_new", """
-SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate
-FROM orders o
-WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey AND l.l_returnflag = 'R')
-""")
-def q_insert_new(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders not yet present among the orders with a returned line."""
-    t = fv.Tables(spark, sf)
-    returned = t.lineitem.filter(F.col("l_returnflag") == "R").select(F.col("l_orderkey").alias("o_orderkey"))
-    source = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
-    return merge.new_rows(returned, source, ["o_orderkey"])
-
-
-# ---------------------------------------------------------------- keys, JSON, staging
-
-from pricelake.functions.json_fields import json_int, json_text  # noqa: E402
-from pricelake.functions.keys import KEY_NAMESPACE, uuid5  # noqa: E402
-from pricelake.operators import catalog, staging  # noqa: E402
-from pricelake.sources import pages as pg  # noqa: E402
-from pricelake.sources import raw as rawsrc  # noqa: E402
-from pricelake.sources import trades  # noqa: E402
-
-
-def uuid5_sql(expr: str, namespace: str = KEY_NAMESPACE) -> str:
-    """The key expression in DuckDB SQL (an independent spelling for the oracle)."""
-    ns = namespace.replace("-", "")
-    d = f"sha1(unhex('{ns}') || encode({expr}))"
-    return (
-        f"(substr({d},1,8) || '-' || substr({d},9,4) || '-5' || substr({d},14,3) || '-' || "
-        f"translate(substr({d},17,1),'0123456789abcdef','89ab89ab89ab89ab') || substr({d},18,3) || '-' || "
-        f"substr({d},21,12))"
-    )
-
-
-@register("product_keys", f"""
-SELECT name, {uuid5_sql('name')} AS id_name FROM (SELECT DISTINCT p_name AS name FROM part)
-""")
-def q_product_keys(spark: SparkSession, sf: str) -> DataFrame:
-    names = fv.Tables(spark, sf).part.select(F.col("p_name").alias("name")).distinct()
-    return names.select("name", uuid5("name").alias("id_name"))
-
-
-@register("json_field", """
-SELECT event_id, CAST(NULLIF(json_extract_string(props, '$.k'), '') AS INTEGER) AS k,
-       CAST(NULLIF(json_extract_string(props, '$.missing'), '') AS INTEGER) AS missing
-FROM events
-""")
-def q_json_field(spark: SparkSession, sf: str) -> DataFrame:
-    ev = fv.Tables(spark, sf).events
-    return ev.select("event_id", json_int(json_text("props", "$.k")).alias("k"),
-                     json_int(json_text("props", "$.missing")).alias("missing"))
-
-
-def _history_payload_rows(lineitem: DataFrame) -> DataFrame:
-    """Lines as history payloads: 24 h stats from the line's numbers, the
-    7-day block permuted, the 30-day block missing on returned lines, and the
-    90-day minimum as text ('' on open lines)."""
-    li = lineitem
-    block = lambda mn, mx, av, md, vol: F.struct(
-        F.col(mn).alias("min"), F.col(mx).alias("max"), F.col(av).alias("avg"),
-        F.col(md).alias("median"), F.col(vol).alias("volume"))
-    return li.select(
-        F.concat(F.lit("part "), F.col("l_partkey").cast("string")).alias("market_hash_name"),
-        block("l_discount", "l_tax", "l_extendedprice", "l_quantity", "l_linenumber").alias("last_24_hours"),
-        block("l_tax", "l_extendedprice", "l_quantity", "l_discount", "l_linenumber").alias("last_7_days"),
-        F.when(F.col("l_returnflag") != "R",
-               block("l_quantity", "l_discount", "l_tax", "l_extendedprice", "l_linenumber")).alias("last_30_days"),
-        F.struct(
-            F.when(F.col("l_linestatus") == "O", F.lit("")).otherwise(F.col("l_discount").cast("string")).alias("min"),
-            F.col("l_extendedprice").alias("max"), F.col("l_tax").alias("avg"),
-            F.col("l_quantity").alias("median"), F.col("l_linenumber").alias("volume"),
-        ).alias("last_90_days"),
-        "l_shipdate",
-    )
-
-
-def _d(col: str) -> str:
-    return f"CAST(CAST({col} AS DECIMAL(18,4)) AS DOUBLE)"
-
-
-@register("stage_history", f"""
-SELECT {uuid5_sql("'part ' || CAST(l_partkey AS VARCHAR)")} AS id_name,
-  {_d('l_discount')} AS last_24_hours_min, {_d('l_tax')} AS last_24_hours_max,
-  {_d('l_extendedprice')} AS last_24_hours_avg, {_d('l_quantity')} AS last_24_hours_median,
-  CAST(l_linenumber AS INTEGER) AS last_24_hours_volume,
-  {_d('l_tax')} AS last_7_days_min, {_d('l_extendedprice')} AS last_7_days_max,
-  {_d('l_quantity')} AS last_7_days_avg, {_d('l_discount')} AS last_7_days_median,
-  CAST(l_linenumber AS INTEGER) AS last_7_days_volume,
-  CASE WHEN l_returnflag <> 'R' THEN {_d('l_quantity')} END AS last_30_days_min,
-  CASE WHEN l_returnflag <> 'R' THEN {_d('l_discount')} END AS last_30_days_max,
-  CASE WHEN l_returnflag <> 'R' THEN {_d('l_tax')} END AS last_30_days_avg,
-  CASE WHEN l_returnflag <> 'R' THEN {_d('l_extendedprice')} END AS last_30_days_median,
-  CASE WHEN l_returnflag <> 'R' THEN CAST(l_linenumber AS INTEGER) END AS last_30_days_volume,
-  CASE WHEN l_linestatus <> 'O' THEN {_d('l_discount')} END AS last_90_days_min,
-  {_d('l_extendedprice')} AS last_90_days_max, {_d('l_tax')} AS last_90_days_avg,
-  {_d('l_quantity')} AS last_90_days_median, CAST(l_linenumber AS INTEGER) AS last_90_days_volume,
-  l_shipdate AS date_extracted
-FROM lineitem
-""")
-def q_stage_history(spark: SparkSession, sf: str) -> DataFrame:
-    # A landed raw zone is written by many tasks and read back in many splits;
-    # spread the fixture rows the same way (the driver's file is one row group).
-    li = fv.Tables(spark, sf).lineitem
-    src = _history_payload_rows(li.repartition(spark.sparkContext.defaultParallelism))
-    raw = rawsrc.payloads_from_rows(src, [c for c in src.columns if c != "l_shipdate"], ts_col="l_shipdate")
-    staged = staging.stage_history(raw).drop("src_ts", "payload")
-    dec = [c for c in staged.columns if c.endswith(("_min", "_max", "_avg", "_median"))]
-    return _dbl(staged, *dec).withColumn("date_extracted", F.col("date_extracted").cast("timestamp_ntz"))
-
-
-_AS_OF = "2024-01-30"
-_LOAD_TS = "2024-01-30 12:00:00"
-
-
-@register("build_product", f"""
-WITH u AS (
-  SELECT p_name AS name, p_type AS item_page, p_brand AS market_page FROM part
-  UNION ALL SELECT n_name, NULL, '/n/' || CAST(n_regionkey AS VARCHAR) FROM nation
-  UNION ALL SELECT r_name, NULL, NULL FROM region
-), r AS (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY name ORDER BY item_page NULLS LAST, market_page NULLS LAST) AS rn
-  FROM (SELECT DISTINCT * FROM u WHERE name IS NOT NULL AND name <> '')
-)
-SELECT {uuid5_sql('name')} AS id_name, name, item_page, market_page FROM r WHERE rn = 1
-""")
-def q_build_product(spark: SparkSession, sf: str) -> DataFrame:
-    """Catalog from three raw loads of the same day: part names under the market
-    name field, nation names under the plain name field, region names alone."""
-    t = fv.Tables(spark, sf)
-    parts = t.part.select(F.col("p_name").alias("market_hash_name"), F.col("p_brand").alias("name"),
-                          F.col("p_type").alias("item_page"), F.col("p_brand").alias("market_page"))
-    nations = t.nation.select(F.col("n_name").alias("name"),
-                              F.concat(F.lit("/n/"), F.col("n_regionkey").cast("string")).alias("market_page"))
-    regions = t.region.select(F.col("r_name").alias("market_hash_name"))
-    raws = [rawsrc.payloads_from_rows(x, ingest_ts=_LOAD_TS) for x in (parts, nations, regions)]
-    return catalog.build_product(raws, None, as_of=_AS_OF)
-
-
-_PERIOD_STARTS = [("last_24_hours", "2024-01-30"), ("last_7_days", "2024-01-24"),
-                  ("last_30_days", "2024-01-01"), ("last_90_days", "2023-11-02")]
-
-
-def _user_period_stats(events: DataFrame) -> DataFrame:
-    """Per user, wide statistics of the 4 periods ending 2024-01-30 (one pass)."""
-    v = F.col("value").cast("decimal(18,4)")
-    aggs = []
-    for name, start in _PERIOD_STARTS:
-        inside = F.col("ts") >= F.lit(f"{start} 00:00:00").cast("timestamp_ntz")
-        x = F.when(inside, v)
-        aggs += [
-            F.min(x).alias(f"{name}_min"), F.max(x).alias(f"{name}_max"),
-            F.try_divide(F.sum(x).cast("double"), F.count(x)).alias(f"{name}_avg"),
-            F.lit(None).cast("double").alias(f"{name}_median"),
-            F.count(x).cast("int").alias(f"{name}_volume"),
-        ]
-    return events.groupBy(F.col("user_id")).agg(*aggs)
-
-
-@register("unpivot_periods", "\nUNION ALL\n".join(f"""
-SELECT user_id, '{name}' AS period,
-  CAST(MIN(CASE WHEN ts >= TIMESTAMP '{start}' THEN CAST(value AS DECIMAL(18,4)) END) AS DOUBLE) AS min,
-  CAST(MAX(CASE WHEN ts >= TIMESTAMP '{start}' THEN CAST(value AS DECIMAL(18,4)) END) AS DOUBLE) AS max,
-  CAST(SUM(CASE WHEN ts >= TIMESTAMP '{start}' THEN CAST(value AS DECIMAL(18,4)) END) AS DOUBLE)
-    / NULLIF(COUNT(CASE WHEN ts >= TIMESTAMP '{start}' THEN value END), 0) AS avg,
-  CAST(NULL AS DOUBLE) AS median,
-  CAST(COUNT(CASE WHEN ts >= TIMESTAMP '{start}' THEN value END) AS INTEGER) AS volume
-FROM events GROUP BY user_id""" for name, start in _PERIOD_STARTS))
-def q_unpivot_periods(spark: SparkSession, sf: str) -> DataFrame:
-    wide = _user_period_stats(fv.Tables(spark, sf).events)
-    long = staging.unpivot_periods(wide, ["user_id"])
-    return _dbl(long, "min", "max")
-
-
-@register("explode_trades", """
-SELECT CAST(l_orderkey AS VARCHAR) AS name, 730 AS app_id,
-       strftime(l_shipdate, '%b %d %Y %H') || ': +0' AS ts_text, l_shipdate AS ts,
-       l_extendedprice AS price, CAST(l_quantity AS BIGINT) AS amount,
-       'steam_pricehistory' AS source, CAST(NULL AS VARCHAR) AS currency, CAST(NULL AS VARCHAR) AS raw
-FROM lineitem
-""")
-def q_explode_trades(spark: SparkSession, sf: str) -> DataFrame:
-    """Each order's lines as one trade-history payload (an order has at most a
-    handful of lines), exploded back to one row per line."""
-    li = fv.Tables(spark, sf).lineitem
-    triple = F.array(
-        F.concat(F.date_format("l_shipdate", "MMM dd yyyy HH"), F.lit(": +0")),
-        F.col("l_extendedprice").cast("string"),
-        F.col("l_quantity").cast("bigint").cast("string"),
-    )
-    # collect_list gains nothing from a map-side partial aggregate; shuffling by
-    # the order key first lets the grouping reuse that single shuffle.
-    li = li.repartition("l_orderkey")
-    docs = li.groupBy("l_orderkey").agg(F.collect_list(triple).alias("prices")).select(
-        F.col("l_orderkey").cast("string").alias("market_hash_name"),
-        F.to_json(F.struct("prices")).alias("payload"))
-    out = trades.explode_trades(docs)
-    return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
-
-
-@register("page_meta", """
-SELECT page_id,
-  NULLIF(regexp_extract(html, '<html[^>]*\\slang="([^"]*)"', 1), '') AS lang,
-  NULLIF(regexp_extract(html, '<title>([^<]*)</title>', 1), '') AS title,
-  NULLIF(regexp_extract(html, '<meta[^>]*\\scharset="([^"]*)"', 1), '') AS charset,
-  CAST(NULL AS VARCHAR) AS og_image
-FROM pages
-""")
-def q_page_meta(spark: SparkSession, sf: str) -> DataFrame:
-    p = fv.Tables(spark, sf).pages
-    return p.select("page_id", pg.html_lang("html").alias("lang"), pg.html_title("html").alias("title"),
-                    pg.html_charset("html").alias("charset"), pg.meta_content("html", "og:image").alias("og_image"))
-
-
-@register("url_names", """
-SELECT page_id, trim(n) AS name FROM (
-  SELECT page_id, unnest(string_split(url_decode(regexp_extract(url, '[?&]utm_source=([^&#]*)', 1)), ',')) AS n
-  FROM pages WHERE regexp_extract(url, '[?&]utm_source=([^&#]*)', 1) <> ''
-) WHERE trim(n) <> ''
-""")
-def q_url_names(spark: SparkSession, sf: str) -> DataFrame:
-    return pg.names_from_url(fv.Tables(spark, sf).pages, "url", "utm_source", keep=("page_id",))
-
-
-@register("cheapest_lines", """
-SELECT l_partkey, l_orderkey, l_linenumber, l_suppkey, l_extendedprice, l_quantity FROM (
-  SELECT l.*, ROW_NUMBER() OVER (PARTITION BY l_partkey
-           ORDER BY l_extendedprice, l_orderkey, l_linenumber, l_quantity) AS rn
-  FROM lineitem l WHERE l_partkey IN (SELECT p_partkey FROM part)
-) WHERE rn <= 5
-""")
-def q_cheapest_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """The 5 cheapest lines of every listed part (the id list is the part table)."""
-    from pricelake.operators.latest import top_n_per_key
-
-    t = fv.Tables(spark, sf)
-    order = [F.col(c) for c in ("l_extendedprice", "l_orderkey", "l_linenumber", "l_quantity")]
-    top = top_n_per_key(t.lineitem, "l_partkey", order, 5, ids=t.part, id_col="p_partkey")
-    return top.select("l_partkey", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_quantity")
-
-
-# ---------------------------------------------------------------- quality checks
-
-from pricelake.operators import freshness as fresh  # noqa: E402
-from pricelake.operators import quality as qc  # noqa: E402
-
-_AS_OF_TS = "2024-01-30 00:00:00"
-
-
-def _labelled_docs(t: fv.Tables) -> DataFrame:
-    return t.documents.select("doc_id").join(t.labels, "doc_id", "left")
-
-
-@register("check_null_keys", """
-SELECT d.doc_id, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id
-WHERE l.quality IS NULL OR l.toxic IS NULL
-""")
-def q_check_null_keys(spark: SparkSession, sf: str) -> DataFrame:
-    return qc.null_keys(_labelled_docs(fv.Tables(spark, sf)), ["quality", "toxic"], ["doc_id", "quality", "toxic"])
-
-
-def _stored_part_keys(part: DataFrame) -> DataFrame:
-    """Part catalog with seeded key faults: no key for the smallest sizes, and
-    a key made from the upper-cased name for one brand (a normalisation bug)."""
-    key = (F.when(F.col("p_size") < 3, F.lit(None).cast("string"))
-           .when(F.col("p_brand") == "Brand#1", uuid5(F.upper("p_name")))
-           .otherwise(uuid5("p_name")))
-    return part.select("p_partkey", key.alias("id_name"), F.col("p_name").alias("name"))
-
-
-@register("check_wrong_keys", f"""
-WITH s AS (
-  SELECT p_partkey, p_name AS name,
-         CASE WHEN p_size < 3 THEN NULL
-              WHEN p_brand = 'Brand#1' THEN {uuid5_sql('upper(p_name)')}
-              ELSE {uuid5_sql('p_name')} END AS id_name
-  FROM part
-)
-SELECT p_partkey, id_name, name FROM s WHERE id_name IS DISTINCT FROM {uuid5_sql('name')}
-""")
-def q_check_wrong_keys(spark: SparkSession, sf: str) -> DataFrame:
-    stored = _stored_part_keys(fv.Tables(spark, sf).part)
-    return qc.wrong_keys(stored, "id_name", "name", show=["p_partkey", "id_name", "name"])
-
-
-@register("check_one_to_many", """
-SELECT p_name AS name, COUNT(DISTINCT p_partkey) AS cnt FROM part GROUP BY p_name
-HAVING COUNT(DISTINCT p_partkey) > 1
-""")
-def q_check_one_to_many(spark: SparkSession, sf: str) -> DataFrame:
-    return qc.one_to_many(fv.product_from_parts(fv.Tables(spark, sf).part), "name", "id_name")
-
-
-@register("check_duplicates", """
-SELECT l_orderkey, l_linenumber, COUNT(*) AS cnt FROM lineitem
-GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1
-""")
-def q_check_duplicates(spark: SparkSession, sf: str) -> DataFrame:
-    return qc.duplicates(fv.Tables(spark, sf).lineitem, ["l_orderkey", "l_linenumber"])
-
-
-@register("check_orphans", """
-SELECT d.doc_id, d.source FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id WHERE l.doc_id IS NULL
-""")
-def q_check_orphans(spark: SparkSession, sf: str) -> DataFrame:
-    t = fv.Tables(spark, sf)
-    return qc.orphans(t.documents, t.labels, "doc_id", show=["doc_id", "source"])
-
-
-@register("check_invalid_prices", """
-SELECT l.l_orderkey, l.l_linenumber, l.l_extendedprice, o.o_totalprice
-FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
-WHERE l.l_extendedprice < 0 OR l.l_discount < 0 OR l.l_tax < 0 OR o.o_totalprice < 0
-   OR (l.l_extendedprice IS NOT NULL AND o.o_totalprice IS NOT NULL AND l.l_extendedprice > o.o_totalprice)
-""")
-def q_check_invalid_prices(spark: SparkSession, sf: str) -> DataFrame:
-    """A line priced above its whole order, or any negative price."""
-    t = fv.Tables(spark, sf)
-    lines = t.lineitem.join(t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_totalprice"), "l_orderkey")
-    pred = qc.invalid_prices(["l_extendedprice", "l_discount", "l_tax", "o_totalprice"],
-                             "l_extendedprice", "o_totalprice")
-    return qc.violations(lines, pred, ["l_orderkey", "l_linenumber", "l_extendedprice", "o_totalprice"])
-
-
-@register("check_negative_values", """
-SELECT c_custkey, c_acctbal FROM customer WHERE COALESCE(c_acctbal, 0) < 0
-""")
-def q_check_negative_values(spark: SparkSession, sf: str) -> DataFrame:
-    return qc.violations(fv.Tables(spark, sf).customer, qc.negative_values(["c_acctbal"]), ["c_custkey", "c_acctbal"])
-
-
-@register("check_future", """
-SELECT event_id, user_id, ts FROM events WHERE ts > TIMESTAMP '2024-01-30 00:00:00' + INTERVAL 5 MINUTE
-""")
-def q_check_future(spark: SparkSession, sf: str) -> DataFrame:
-    return qc.future_rows(fv.Tables(spark, sf).events, "ts", _AS_OF_TS, show=["event_id", "user_id", "ts"])
-
-
-def _part_price_stats(t: fv.Tables) -> DataFrame:
-    """Per part, two statistic blocks from its lines; the median slot of the
-    first and the average slot of the second come from the list price."""
-    ext = F.col("l_extendedprice")
-    per_part = t.lineitem.groupBy("l_partkey").agg(
-        F.min(ext).alias("mn"), F.max(ext).alias("mx"),
-        (F.sum(ext.cast("decimal(18,2)")).cast("double") / F.count(ext)).alias("av"))
-    j = per_part.join(t.part.select(F.col("p_partkey").alias("l_partkey"), "p_retailprice"), "l_partkey")
-    return j.select(
-        "l_partkey",
-        F.col("mn").alias("last_24_hours_min"), F.col("mx").alias("last_24_hours_max"),
-        (F.col("p_retailprice") * 20).alias("last_24_hours_median"), F.col("av").alias("last_24_hours_avg"),
-        F.col("mn").alias("last_7_days_min"), F.col("mx").alias("last_7_days_max"),
-        F.col("av").alias("last_7_days_median"), (F.col("p_retailprice") * 10).alias("last_7_days_avg"),
-    )
-
-
-_PART_STATS_SQL = """
-WITH a AS (
-  SELECT l_partkey, MIN(l_extendedprice) AS mn, MAX(l_extendedprice) AS mx,
-         CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(l_extendedprice) AS av
-  FROM lineitem GROUP BY l_partkey
-), s AS (
-  SELECT a.l_partkey, mn, mx, p.p_retailprice * 20 AS md24, av, p.p_retailprice * 10 AS av7
-  FROM a JOIN part p ON p.p_partkey = a.l_partkey
-)
-"""
-
-
-def _inv_sql(period: str, mn: str, md: str, mx: str, av: str) -> str:
-    conds = [f"({a} IS NOT NULL AND {b} IS NOT NULL AND {a} > {b})"
-             for a, b in ((mn, mx), (mn, md), (md, mx), (mn, av), (av, mx))]
-    return (f"SELECT l_partkey, '{period}' AS period, {mn} AS min, {md} AS median, {mx} AS max, {av} AS avg "
-            f"FROM s WHERE " + " OR ".join(conds))
-
-
-@register("check_period_invariants", _PART_STATS_SQL + _inv_sql("last_24_hours", "mn", "md24", "mx", "av")
-          + "\nUNION ALL\n" + _inv_sql("last_7_days", "mn", "av", "mx", "av7"))
-def q_check_period_invariants(spark: SparkSession, sf: str) -> DataFrame:
-    stats = _part_price_stats(fv.Tables(spark, sf))
-    return qc.period_violations(stats, ["last_24_hours", "last_7_days"], ["l_partkey"])
-
-
-@register("null_profile", """
-SELECT COUNT(*) AS rows_total,
-       SUM(CASE WHEN l.quality IS NULL THEN 1 ELSE 0 END) AS null_quality,
-       SUM(CASE WHEN l.toxic IS NULL THEN 1 ELSE 0 END) AS null_toxic
-FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id
-""")
-def q_null_profile(spark: SparkSession, sf: str) -> DataFrame:
-    prof = qc.null_profile(_labelled_docs(fv.Tables(spark, sf)), {"null_quality": "quality", "null_toxic": "toxic"})
-    return prof.withColumns({c: F.col(c).cast("bigint") for c in ("null_quality", "null_toxic")})
-
-
-@register("row_counts", "\nUNION ALL\n".join(
-    f"SELECT '{n}' AS \"table\", COUNT(*) AS rows_total FROM {n}" for n in ("part", "orders", "lineitem", "events")))
-def q_row_counts(spark: SparkSession, sf: str) -> DataFrame:
-    t = fv.Tables(spark, sf)
-    return qc.row_counts({n: getattr(t, n) for n in ("part", "orders", "lineitem", "events")})
-
-
-@register("quality_report", """
-SELECT 'events: future times' AS "check", COUNT(*) AS violations FROM events
-  WHERE ts > TIMESTAMP '2024-01-30 00:00:00' + INTERVAL 5 MINUTE
-UNION ALL SELECT 'customer: negative balance', COUNT(*) FROM customer WHERE c_acctbal < 0
-UNION ALL SELECT 'lineitem: duplicate (order, line)', COUNT(*) FROM (
-  SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1)
-UNION ALL SELECT 'documents: no label', COUNT(*) FROM documents d
-  WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)
-UNION ALL SELECT 'part: name with several ids', COUNT(*) FROM (
-  SELECT 1 FROM part GROUP BY p_name HAVING COUNT(DISTINCT p_partkey) > 1)
-""")
-def q_quality_report(spark: SparkSession, sf: str) -> DataFrame:
-    """The suite over several tables as one job; the report keeps every
-    failing check with its violation count (and a bounded sample)."""
-    t = fv.Tables(spark, sf)
-    parts = [
-        qc.row_checks(t.events, {"events: future times": qc.future_time("ts", _AS_OF_TS, ts_type="timestamp_ntz")},
-                      ["event_id", "ts"]),
-        qc.row_checks(t.customer, {"customer: negative balance": qc.invalid_prices(["c_acctbal"])},
-                      ["c_custkey", "c_acctbal"]),
-        qc.as_check("lineitem: duplicate (order, line)", qc.duplicates(t.lineitem, ["l_orderkey", "l_linenumber"])),
-        qc.as_check("documents: no label", qc.orphans(t.documents, t.labels, "doc_id", show=["doc_id"])),
-        qc.as_check("part: name with several ids", qc.one_to_many(fv.product_from_parts(t.part))),
-    ]
-    return qc.suite_report(parts).select("check", "violations")
-
-
-@register("freshness", """
-SELECT 'events' AS "table", DATE '2024-01-30' AS day, COUNT(*) AS rows_today, COUNT(*) > 0 AS fresh
-FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-30'
-UNION ALL
-SELECT 'orders', DATE '2024-01-30', COUNT(*), COUNT(*) > 0 FROM orders WHERE CAST(o_orderdate AS DATE) = DATE '2024-01-30'
-""")
-def q_freshness(spark: SparkSession, sf: str) -> DataFrame:
-    t = fv.Tables(spark, sf)
-    return fresh.freshness({"events": (t.events, "ts"), "orders": (t.orders, "o_orderdate")}, "2024-01-30")
-
-
-# ---------------------------------------------------------------- day loads (T3, T5, T7, T8, M1, T10)
-
-def _iso_utc(col: str) -> F.Column:
-    return F.date_format(col, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-
-
-def _user_name(col: str = "user_id") -> F.Column:
-    return F.concat(F.lit("user "), F.col(col).cast("string"))
-
-
-@register("stage_book_b", f"""
-SELECT {uuid5_sql("'user ' || CAST(user_id AS VARCHAR)")} AS id_name, ts AS date_extracted,
-       CAST(CAST(value AS DECIMAL(18,4)) AS DOUBLE) AS price
-FROM events WHERE event_type = 'purchase'
-""")
-def q_stage_book_b(spark: SparkSession, sf: str) -> DataFrame:
-    """Purchases as listings: the listing time travels inside the payload as
-    ISO text; the load happens an hour later."""
-    ev = fv.Tables(spark, sf).events.filter(F.col("event_type") == "purchase")
-    rows = ev.select(_user_name().alias("market_hash_name"), _iso_utc("ts").alias("created_at"),
-                     F.col("value").cast("string").alias("price"),
-                     (F.col("ts") + F.expr("INTERVAL 1 HOUR")).alias("load_ts"))
-    raw = rawsrc.payloads_from_rows(rows, ["market_hash_name", "created_at", "price"], ts_col="load_ts")
-    book = staging.dedup_staged(staging.stage_book_b(raw))
-    return _dbl(book, "price").withColumn("date_extracted", F.col("date_extracted").cast("timestamp_ntz"))
-
-
-def _book_a_raw(events: DataFrame, factor: float) -> DataFrame:
-    rows = events.filter(F.col("event_type").isin(*fv.BOOK_A_TYPES)).select(
-        _user_name().alias("market_hash_name"),
-        (F.col("value") * factor).cast("string").alias("suggested_price"),
-        F.col("value").cast("string").alias("min_price"),
-        F.when(F.col("event_type") == "view", F.lit("")).otherwise(F.col("value").cast("string")).alias("max_price"),
-        "ts")
-    return rawsrc.payloads_from_rows(rows, ["market_hash_name", "suggested_price", "min_price", "max_price"],
-                                     ts_col="ts")
-
-
-@register("ods_book_a_day", f"""
-WITH a AS (
-  SELECT {uuid5_sql("'user ' || CAST(user_id AS VARCHAR)")} AS id_name, ts AS date_extracted,
-         CASE WHEN CAST(ts AS DATE) = DATE '2024-01-30' THEN value ELSE value * 2 END AS sp,
-         value AS mn, CASE WHEN event_type = 'view' THEN NULL ELSE value END AS mx
-  FROM events WHERE event_type IN ('view', 'click')
-)
-SELECT id_name, date_extracted, CAST(CAST(sp AS DECIMAL(18,4)) AS DOUBLE) AS suggested_price,
-       CAST(CAST(mn AS DECIMAL(18,4)) AS DOUBLE) AS min_price, CAST(CAST(mx AS DECIMAL(18,4)) AS DOUBLE) AS max_price,
-       CAST(NULL AS DOUBLE) AS mean_price, CAST(NULL AS DOUBLE) AS median_price
-FROM a
-""")
-def q_ods_book_a_day(spark: SparkSession, sf: str) -> DataFrame:
-    """Day load of book A: the table holds every view/click with a doubled
-    (wrong) price; the raw zone's 2024-01-30 load is filtered by its partition
-    day, staged, deduplicated and upserted, fixing that day's prices."""
-    ev = fv.Tables(spark, sf).events
-    existing = staging.dedup_staged(staging.stage_book_a(_book_a_raw(ev, 2.0)))
-    day_rows = staging.dedup_staged(staging.stage_book_a(staging.for_day(_book_a_raw(ev, 1.0), "2024-01-30")))
-    out = merge.upsert(existing, day_rows, ["id_name", "date_extracted"])
-    out = _dbl(out, *staging.BOOK_A_PRICES)
-    return out.withColumn("date_extracted", F.col("date_extracted").cast("timestamp_ntz"))
-
-
-def _catalog_loads(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Catalog fixture: one items load and one statistics load built from the
-    part table in part-key order (a later part of the same name wins), and an
-    existing catalog that already has image links."""
-    part = fv.Tables(spark, sf).part.orderBy("p_partkey")
-    items = part.select(
-        F.col("p_name").alias("market_hash_name"), F.lit("EUR").alias("currency"),
-        F.col("p_retailprice").alias("suggested_price"), F.col("p_type").alias("item_page"),
-        F.col("p_size").alias("quantity"))
-    stats = part.select(
-        F.col("p_name").alias("market_hash_name"), F.lit("EUR").alias("currency"),
-        F.col("p_brand").alias("item_page"),
-        *[F.struct(F.col("p_retailprice").alias("min"), (F.col("p_retailprice") * (i + 2)).alias("max"),
-                   F.col("p_size").alias("volume")).alias(pr) for i, pr in enumerate(staging.PERIODS[:3])])
-    names = part.select(F.col("p_name").alias("market_hash_name")).distinct()
-    existing = names.select(
-        "market_hash_name", F.lit("EUR").alias("currency"), F.lit(0.0).alias("suggested_price"),
-        F.lit(None).cast("string").alias("item_page"), F.lit(None).cast("string").alias("market_page"),
-        *[F.lit(None).cast("double").alias(c) for c in ("min_price", "max_price", "mean_price", "median_price")],
-        *[F.lit(None).cast("bigint").alias(c) for c in ("quantity", "created_at", "updated_at")],
-        F.concat(F.lit("img/"), F.col("market_hash_name")).alias("image_url"))
-    return (rawsrc.payloads_from_rows(items, ingest_ts=_LOAD_TS),
-            rawsrc.payloads_from_rows(stats, ingest_ts=_LOAD_TS), existing)
-
-
-_CATALOG_LAST = """
-WITH last AS (
-  SELECT p.* FROM part p
-  WHERE p.p_partkey = (SELECT MAX(q.p_partkey) FROM part q WHERE q.p_name = p.p_name)
-)
-"""
-
-
-@register("load_catalog_items", _CATALOG_LAST + """
-SELECT p_name AS market_hash_name, 'EUR' AS currency, p_retailprice AS suggested_price, p_type AS item_page,
-       CAST(NULL AS VARCHAR) AS market_page, CAST(NULL AS DOUBLE) AS min_price, CAST(NULL AS DOUBLE) AS max_price,
-       CAST(NULL AS DOUBLE) AS mean_price, CAST(NULL AS DOUBLE) AS median_price, CAST(p_size AS BIGINT) AS quantity,
-       CAST(NULL AS BIGINT) AS created_at, CAST(NULL AS BIGINT) AS updated_at, 'img/' || p_name AS image_url
-FROM last
-""")
-def q_load_catalog_items(spark: SparkSession, sf: str) -> DataFrame:
-    items, _, existing = _catalog_loads(spark, sf)
-    new_catalog, _ = catalog.load_catalog(items, existing)
-    return new_catalog
-
-
-@register("load_catalog_stats", _CATALOG_LAST + "\nUNION ALL\n".join(
-    f"""SELECT p_name AS market_hash_name, 'EUR' AS currency, p_brand AS item_page, CAST(NULL AS VARCHAR) AS market_page,
-       '{pr}' AS period, {f"p_retailprice AS min, p_retailprice * {i + 2} AS max" if i < 3 else
-                          "CAST(NULL AS DOUBLE) AS min, CAST(NULL AS DOUBLE) AS max"},
-       CAST(NULL AS DOUBLE) AS avg, CAST(NULL AS DOUBLE) AS median,
-       {"CAST(p_size AS BIGINT)" if i < 3 else "CAST(NULL AS BIGINT)"} AS volume
-FROM last""" for i, pr in enumerate(staging.PERIODS)))
-def q_load_catalog_stats(spark: SparkSession, sf: str) -> DataFrame:
-    """Statistics of the same load: last row per name wins, unpivoted to four
-    periods (the missing 90-day block gives a row of NULLs)."""
-    items, stats, existing = _catalog_loads(spark, sf)
-    _, agg = catalog.load_catalog(items, existing, stats, None, extracted_at=_LOAD_TS)
-    return agg.drop("extracted_at")
+__all__ = ["ORACLES", "QUERIES", "register", "uuid5_sql"]
