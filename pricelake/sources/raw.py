@@ -40,19 +40,27 @@ def documents_to_payloads(docs: DataFrame, text_col: str = "value") -> DataFrame
     )
 
 
-def load_raw(spark: SparkSession, path: str | Sequence[str], ingest_ts, json_lines: bool = False) -> DataFrame:
+def load_raw(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    ingest_ts,
+    json_lines: bool = False,
+    suffix: str | None = None,
+) -> DataFrame:
     """Load JSON documents as raw payload rows stamped with ``ingest_ts``.
 
     ``json_lines=False``: each file is one JSON document (root array or
     object), read whole — one task per file, so land big feeds as JSON lines.
     ``json_lines=True``: one JSON value per line; the reader splits files, so
-    this is the route that scales.
+    this is the route that scales. ``suffix`` (e.g. ``".json"``) takes only
+    files whose name ends with it.
     """
+    reader = spark.read.option("pathGlobFilter", f"*{suffix}") if suffix else spark.read
     if json_lines:
-        lines = spark.read.text(path).filter(F.trim("value") != "")
+        lines = reader.text(path).filter(F.trim("value") != "")
         docs = lines.select(F.col("value").alias("payload"), F.monotonically_increasing_id().alias("load_pos"))
     else:
-        docs = documents_to_payloads(spark.read.text(path, wholetext=True))
+        docs = documents_to_payloads(reader.text(path, wholetext=True))
     return _stamp(docs, ingest_ts)
 
 

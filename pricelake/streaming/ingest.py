@@ -68,6 +68,17 @@ def land_batch(raw_root: str) -> BatchFn:
     return fn
 
 
+def fan_out_batch(sinks) -> BatchFn:
+    """Batch handler: write each batch to several sinks, computing it once
+    (``sources.raw.fan_out``); file sinks append, so a retried batch should
+    go to sinks that tolerate it or be followed by a keyed merge."""
+    from pricelake.sources.raw import fan_out
+
+    def fn(batch: DataFrame, epoch_id: int) -> None:
+        fan_out(batch, sinks)
+    return fn
+
+
 _STAGERS = {"items": staging.stage_book_a, "history": staging.stage_history, "listings": staging.stage_book_b}
 
 

@@ -57,3 +57,26 @@ def test_request_filter(spark):
     df = spark.createDataFrame([("a", True), ("b", False), ("c", None), ("d", True)], "market_hash_name string, t boolean")
     names = spark.createDataFrame([("a",), ("b",), ("c",)], "name string")
     assert [r[0] for r in request_filter(df, "t", names).collect()] == ["a"]
+
+
+def test_cheapest_listings(spark):
+    from pricelake.operators.listings import cheapest_listings
+
+    rows = [(i, float(100 - i), 0, "2025-11-05T00:00:00Z", f"n{i % 3}", i % 3) for i in range(30)]
+    listings = spark.createDataFrame(rows, "id int, price double, sticker_counter int, created_at string, "
+                                           "name string, skin_id int")
+    ids = spark.createDataFrame([(0,), (2,), (7,)], "id int")
+    out = cheapest_listings(listings, ids, n=3)
+    assert out.columns == ["id", "price", "sticker_counter", "created_at", "market_hash_name", "skin_id"]
+    got = sorted((r.skin_id, r.id) for r in out.collect())
+    assert got == [(0, 21), (0, 24), (0, 27), (2, 23), (2, 26), (2, 29)]
+
+
+def test_load_raw_suffix_filter(spark, tmp):
+    d = os.path.join(tmp, "in")
+    os.makedirs(d)
+    for name, body in (("a.json", '[{"name": "x"}]'), ("b.tmp", '[{"name": "y"}]')):
+        with open(os.path.join(d, name), "w") as f:
+            f.write(body)
+    assert rawsrc.load_raw(spark, d, "2025-11-05 10:00:00", suffix=".json").count() == 1
+    assert rawsrc.load_raw(spark, d, "2025-11-05 10:00:00").count() == 2

@@ -51,3 +51,13 @@ def test_stream_refreshes_marts_of_touched_days(spark, tmp):
     vol = spark.read.parquet(os.path.join(marts_root, "volatility")).collect()
     assert len(vol) == 1 and vol[0].volatility_index == 0.4
     assert vol[0].date_extracted == dt.datetime.now(dt.timezone.utc).date()
+
+
+def test_stream_fan_out(spark, tmp):
+    from pricelake.sources.raw import Sink
+
+    landing, ckpt, a, b = (os.path.join(tmp, x) for x in ("landing", "ckpt", "a", "b"))
+    os.makedirs(landing)
+    _write(landing, "x.jsonl", [{"name": "A"}, {"name": "B"}])
+    ingest.ingest_stream(spark, landing, ckpt, ingest.fan_out_batch([Sink(a), Sink(b, fmt="json")]))
+    assert spark.read.parquet(a).count() == 2 and spark.read.json(b).count() == 2
