@@ -218,3 +218,32 @@ def q_cheapest_lines(spark: SparkSession, sf: str) -> DataFrame:
     return top.select("l_partkey", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_quantity")
 
 
+
+
+@register("latest_event_per_user_day", """
+SELECT DISTINCT ON (user_id, CAST(ts AS DATE)) user_id, CAST(ts AS DATE) AS day, event_id, ts, event_type, value
+FROM events ORDER BY user_id, CAST(ts AS DATE), ts DESC, event_id DESC
+""")
+def q_latest_event_per_user_day(spark: SparkSession, sf: str) -> DataFrame:
+    """T8 on its own: the last event of every user and day."""
+    from pricelake.operators.latest import latest_per_key
+
+    ev = fv.Tables(spark, sf).events.withColumn("day", F.to_date("ts"))
+    out = latest_per_key(ev, ["user_id", "day"], [F.col("ts").desc(), F.col("event_id").desc()])
+    return out.select("user_id", "day", "event_id", "ts", "event_type", "value")
+
+
+@register("request_filter", """
+SELECT p_partkey, p_name AS market_hash_name, p_size FROM part
+WHERE p_size > 25 AND p_name IN (SELECT p_name FROM part WHERE p_type = 'ECONOMY')
+""")
+def q_request_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """S11: the tradable flag as a row predicate and a name list (the names
+    of economy parts) as a semi join."""
+    from pricelake.operators.filters import request_filter
+
+    part = fv.Tables(spark, sf).part
+    items = part.select("p_partkey", F.col("p_name").alias("market_hash_name"), "p_size",
+                        (F.col("p_size") > 25).alias("tradable"))
+    names = part.filter(F.col("p_type") == "ECONOMY").select(F.col("p_name").alias("name"))
+    return request_filter(items, "tradable", names).drop("tradable")
