@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from pricelake.operators import merge, staging
 from pricelake.plans.ods import ODS_KEYS
 from pricelake.sources import tables
-from pricelake.sources.raw import documents_to_payloads
 
 BatchFn = Callable[[DataFrame, int], None]
 
@@ -28,17 +27,25 @@ BatchFn = Callable[[DataFrame, int], None]
 def raw_stream(spark: SparkSession, in_path: str, json_lines: bool = True, max_files: int | None = None) -> DataFrame:
     """Streaming raw rows (payload, created_at, ingest_date, load_pos) from text files.
 
-    The load time is the micro-batch's processing time.
+    The load time is the landed file's modification time: a batch that is
+    run again after a failure stamps its rows exactly as the first time, so
+    the keyed merges downstream absorb the repeat.
     """
     reader = spark.readStream.format("text")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
+    stamped = reader.option("wholetext", "false" if json_lines else "true").load(in_path).select(
+        "value", F.col("_metadata.file_modification_time").alias("__ts"))
     if json_lines:
-        lines = reader.load(in_path).filter(F.trim("value") != "")
-        docs = lines.select(F.col("value").alias("payload"), F.lit(None).cast("bigint").alias("load_pos"))
+        docs = stamped.filter(F.trim("value") != "").select(
+            F.col("value").alias("payload"), F.lit(None).cast("bigint").alias("load_pos"), "__ts")
     else:
-        docs = documents_to_payloads(reader.option("wholetext", "true").load(in_path))
-    ts = F.current_timestamp()
+        v = F.trim(F.col("value"))
+        as_array = F.when(v.startswith("["), v).when(v.startswith("{"), F.concat(F.lit("["), v, F.lit("]")))
+        docs = (stamped.select(F.posexplode(F.from_json(as_array, "array<string>")).alias("load_pos", "payload"), "__ts")
+                .filter(F.col("payload").isNotNull())
+                .select("payload", F.col("load_pos").cast("bigint").alias("load_pos"), "__ts"))
+    ts = F.col("__ts")
     return docs.select("payload", ts.alias("created_at"), F.to_date(ts).alias("ingest_date"), "load_pos")
 
 
