@@ -73,9 +73,25 @@ def _parsed_with_name(raw: DataFrame, schema: T.StructType) -> DataFrame:
     return raw.select(F.explode(keep).alias("p"), "created_at", "payload")
 
 
-def stage_book_a(raw: DataFrame, lenient: bool = False) -> DataFrame:
-    """Book A items: key, load time, five prices; rows without a usable name dropped."""
-    parsed = _parsed_with_name(raw, string_struct([*NAME_FIELDS, *BOOK_A_PRICES]))
+CATALOG_FIELDS = ("item_page", "market_page")
+
+
+def _catalog_cols(keep: bool) -> list[Column]:
+    """With ``keep``: the canonical name and page links, from the same parse."""
+    if not keep:
+        return []
+    p = F.col("p")
+    return [_named(p).alias("name"), *[p[f].alias(f) for f in CATALOG_FIELDS]]
+
+
+def stage_book_a(raw: DataFrame, lenient: bool = False, keep_catalog: bool = False) -> DataFrame:
+    """Book A items: key, load time, five prices; rows without a usable name dropped.
+
+    ``keep_catalog`` also returns ``name, item_page, market_page`` so the
+    catalog can be fed from the same single parse.
+    """
+    fields = [*NAME_FIELDS, *BOOK_A_PRICES, *(CATALOG_FIELDS if keep_catalog else ())]
+    parsed = _parsed_with_name(raw, string_struct(fields))
     name = _named(F.col("p"))
     return parsed.select(
         uuid5(name).alias("id_name"),
@@ -83,6 +99,7 @@ def stage_book_a(raw: DataFrame, lenient: bool = False) -> DataFrame:
         *[json_decimal(F.col("p")[f], PRICE_TYPE, lenient).alias(f) for f in BOOK_A_PRICES],
         F.col("created_at").alias("src_ts"),
         "payload",
+        *_catalog_cols(keep_catalog),
     )
 
 
@@ -91,12 +108,14 @@ def stage_history(
     periods: Sequence[str] = PERIODS,
     stats: Sequence[str] = PERIOD_STATS,
     lenient: bool = False,
+    keep_catalog: bool = False,
 ) -> DataFrame:
     """History snapshots flattened to ``<period>_<stat>`` columns (volume int, others decimal).
 
     A missing period, a JSON null and '' all give NULL.
     """
-    parsed = _parsed_with_name(raw, string_struct([*NAME_FIELDS, *[(pr, list(stats)) for pr in periods]]))
+    fields = [*NAME_FIELDS, *[(pr, list(stats)) for pr in periods], *(CATALOG_FIELDS if keep_catalog else ())]
+    parsed = _parsed_with_name(raw, string_struct(fields))
     name = _named(F.col("p"))
     cols = []
     for pr in periods:
@@ -110,13 +129,15 @@ def stage_history(
         F.col("created_at").alias("date_extracted"),
         F.col("created_at").alias("src_ts"),
         "payload",
+        *_catalog_cols(keep_catalog),
     )
 
 
-def stage_book_b(raw: DataFrame, lenient: bool = False) -> DataFrame:
+def stage_book_b(raw: DataFrame, lenient: bool = False, keep_catalog: bool = False) -> DataFrame:
     """Book B listings: the event time comes from the payload's ``created_at``;
     the load time is kept as ``src_ts`` (the tie-break between loads)."""
-    parsed = _parsed_with_name(raw, string_struct([*NAME_FIELDS, "created_at", "price"]))
+    fields = [*NAME_FIELDS, "created_at", "price", *(CATALOG_FIELDS if keep_catalog else ())]
+    parsed = _parsed_with_name(raw, string_struct(fields))
     name = _named(F.col("p"))
     return parsed.select(
         uuid5(name).alias("id_name"),
@@ -124,6 +145,7 @@ def stage_book_b(raw: DataFrame, lenient: bool = False) -> DataFrame:
         json_decimal(F.col("p")["price"], PRICE_TYPE, lenient).alias("price"),
         F.col("created_at").alias("src_ts"),
         "payload",
+        *_catalog_cols(keep_catalog),
     )
 
 
@@ -134,7 +156,12 @@ def dedup_staged(staged: DataFrame, keys: Sequence[str] = ("id_name", "date_extr
     for k in keys:
         keyed = keyed.filter(F.col(k).isNotNull())
     out = latest_per_key(keyed, list(keys), [F.col("src_ts").desc(), F.col("payload").desc()])
-    return out.drop("src_ts", "payload")
+    return out.drop("src_ts", "payload", "name", *CATALOG_FIELDS)
+
+
+def catalog_part(staged: DataFrame) -> DataFrame:
+    """``(name, item_page, market_page)`` of staged rows made with ``keep_catalog``."""
+    return staged.select("name", *CATALOG_FIELDS)
 
 
 def product_rows(raw: DataFrame) -> DataFrame:

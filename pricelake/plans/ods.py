@@ -14,10 +14,12 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 
 from pricelake.operators import merge, staging
-from pricelake.operators.catalog import PRODUCT_COLUMNS, build_product
+from pricelake.operators.catalog import PRODUCT_COLUMNS, catalog_candidates
 from pricelake.sources import raw as rawsrc
 from pricelake.sources import tables
 
@@ -44,24 +46,51 @@ def _merge_or_new(target: DataFrame | None, fresh: DataFrame) -> DataFrame:
     return fresh if target is None else merge.upsert(target.select(*fresh.columns), fresh, ODS_KEYS)
 
 
-def staged_day(raw: Raw, as_of) -> Ods:
-    """The day's deduplicated rows of each ODS table (nothing merged yet)."""
-    def day(df):
-        return None if df is None else staging.for_day(df, as_of)
+_STAGERS = (("items", staging.stage_book_a), ("history", staging.stage_history), ("listings", staging.stage_book_b))
 
-    items, hist, lst = day(raw.items), day(raw.history), day(raw.listings)
-    product = build_product([raw.items, raw.history, raw.out_of_stock, raw.listings], None, as_of)
-    book_a = staging.dedup_staged(staging.stage_book_a(items)) if items is not None else None
-    history = staging.dedup_staged(staging.stage_history(hist)) if hist is not None else None
-    book_b = staging.dedup_staged(staging.stage_book_b(lst)) if lst is not None else None
-    return Ods(product, book_a, history, book_b)
+
+def staged_day(raw: Raw, as_of, persist: bool = False) -> tuple[Ods, list[DataFrame]]:
+    """The day's deduplicated rows of each ODS table (nothing merged yet).
+
+    Each raw source of the day is parsed once: its staged rows carry the name
+    and page links too, and feed both the catalog candidates and the book.
+    With ``persist`` the staged rows are kept (memory, spilling to disk) for
+    the several writes that read them; the second list holds them so the
+    caller can release them.
+    """
+    from pyspark import StorageLevel
+
+    kept: list[DataFrame] = []
+    staged: dict[str, DataFrame] = {}
+    for kind, stager in _STAGERS:
+        df = getattr(raw, kind)
+        if df is None:
+            continue
+        rows = stager(staging.for_day(df, as_of), keep_catalog=True)
+        if persist:
+            rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+            kept.append(rows)
+        staged[kind] = rows
+    names = [staging.catalog_part(r) for r in staged.values()]
+    if raw.out_of_stock is not None:
+        names.append(staging.product_rows(staging.for_day(raw.out_of_stock, as_of)))
+    product = catalog_candidates(reduce(DataFrame.unionByName, names)) if names else None
+
+    def dedup(kind):
+        return staging.dedup_staged(staged[kind]) if kind in staged else None
+
+    return Ods(product, dedup("items"), dedup("history"), dedup("listings")), kept
 
 
 def ods_day(raw: Raw, ods: Ods, as_of) -> Ods:
     """New content of every ODS table after loading ``as_of`` (DataFrames only)."""
-    fresh = staged_day(raw, as_of)
-    product = (fresh.product if ods.product is None
-               else merge.insert_ignore(ods.product.select(*PRODUCT_COLUMNS), fresh.product, ["id_name"]))
+    fresh, _ = staged_day(raw, as_of)
+    if fresh.product is None:
+        product = ods.product
+    elif ods.product is None:
+        product = fresh.product
+    else:
+        product = merge.insert_ignore(ods.product.select(*PRODUCT_COLUMNS), fresh.product, ["id_name"])
     book_a = ods.book_a if fresh.book_a is None else _merge_or_new(ods.book_a, fresh.book_a)
     history = ods.history if fresh.history is None else _merge_or_new(ods.history, fresh.history)
     book_b = ods.book_b if fresh.book_b is None else merge.replace(None, fresh.book_b)
@@ -90,22 +119,27 @@ def run_ods_day(spark: SparkSession, raw_root: str, ods_root: str, as_of: _dt.da
     only the days present in the load are rewritten.
     """
     raw = read_raw_zone(spark, raw_root)
-    fresh = staged_day(raw, as_of)
+    fresh, kept = staged_day(raw, as_of, persist=True)
     root = ods_root.rstrip("/")
     out: dict[str, int | None] = {}
-    prod_t = tables.VersionedTable(spark, f"{root}/product")
-    out["product"] = prod_t.apply(
-        lambda cur: fresh.product if cur is None
-        else merge.insert_ignore(cur.select(*PRODUCT_COLUMNS), fresh.product, ["id_name"]))
-    for name, rows in (("book_a", fresh.book_a), ("history", fresh.history)):
-        if rows is None:
-            out[name] = None
-            continue
-        tables.merge_partitions(spark, f"{root}/{name}", tables.with_day(rows), "day",
-                                lambda t, s: merge.upsert(t, s, ODS_KEYS))
-        out[name] = 0
-    if fresh.book_b is not None:
-        out["book_b"] = tables.VersionedTable(spark, f"{root}/book_b").replace(fresh.book_b)
+    try:
+        if fresh.product is not None:
+            prod_t = tables.VersionedTable(spark, f"{root}/product")
+            out["product"] = prod_t.apply(
+                lambda cur: fresh.product if cur is None
+                else merge.insert_ignore(cur.select(*PRODUCT_COLUMNS), fresh.product, ["id_name"]))
+        for name, rows in (("book_a", fresh.book_a), ("history", fresh.history)):
+            if rows is None:
+                out[name] = None
+                continue
+            tables.merge_partitions(spark, f"{root}/{name}", tables.with_day(rows), "day",
+                                    lambda t, s: merge.upsert(t, s, ODS_KEYS))
+            out[name] = 0
+        if fresh.book_b is not None:
+            out["book_b"] = tables.VersionedTable(spark, f"{root}/book_b").replace(fresh.book_b)
+    finally:
+        for df in kept:
+            df.unpersist()
     return out
 
 

@@ -89,42 +89,55 @@ def fan_out_batch(sinks) -> BatchFn:
 _STAGERS = {"items": staging.stage_book_a, "history": staging.stage_history, "listings": staging.stage_book_b}
 
 
-def merge_batch(spark: SparkSession, ods_path: str, kind: str = "items") -> BatchFn:
-    """Batch handler: stage the batch's payloads of one source kind, keep the
-    latest per (key, time) and upsert into the day-partitioned ODS table."""
-    stager = _STAGERS[kind]
+def _merge_staged(spark: SparkSession, batch: DataFrame, kind: str, ods_path: str,
+                  product_path: str | None) -> list:
+    """Stage a batch once (kept while it is read twice), insert its new names
+    into the catalog, upsert its rows into the day-partitioned table; returns
+    the touched days."""
+    from pyspark import StorageLevel
 
-    def fn(batch: DataFrame, epoch_id: int) -> None:
-        rows = staging.dedup_staged(stager(batch))
-        rows = tables.with_day(rows.filter(F.col("date_extracted").isNotNull()))
+    from pricelake.operators.catalog import PRODUCT_COLUMNS, catalog_candidates
+
+    staged = _STAGERS[kind](batch, keep_catalog=True).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if product_path is not None:
+            fresh = catalog_candidates(staging.catalog_part(staged))
+            tables.VersionedTable(spark, product_path).apply(
+                lambda cur: fresh if cur is None
+                else merge.insert_ignore(cur.select(*PRODUCT_COLUMNS), fresh, ["id_name"]))
+        rows = tables.with_day(staging.dedup_staged(staged).filter(F.col("date_extracted").isNotNull()))
+        days = [r[0] for r in rows.select("day").distinct().limit(tables.MAX_LISTED_PARTITIONS + 1).collect()]
         tables.merge_partitions(spark, ods_path, rows, "day", lambda t, s: merge.upsert(t, s, ODS_KEYS))
+    finally:
+        staged.unpersist()
+    return days
+
+
+def merge_batch(spark: SparkSession, ods_path: str, kind: str = "items", product_path: str | None = None) -> BatchFn:
+    """Batch handler: stage the batch's payloads of one source kind, keep the
+    latest per (key, time) and upsert into the day-partitioned ODS table;
+    with ``product_path``, new names also go into the catalog (insert-ignore)."""
+    def fn(batch: DataFrame, epoch_id: int) -> None:
+        _merge_staged(spark, batch, kind, ods_path, product_path)
     return fn
 
 
 def merge_and_refresh_batch(spark: SparkSession, ods_root: str, marts_root: str, kind: str = "items",
                             **mart_args) -> BatchFn:
-    """Batch handler: merge the batch into its ODS table, then recompute the
-    marts for exactly the days the batch touched and merge them in.
+    """Batch handler: merge the batch into its ODS table (and its new names
+    into the catalog), then recompute the marts for exactly the days the
+    batch touched and merge them in.
 
     Late data is handled by this rule: a snapshot arriving days later lands in
     its own day and that day's mart rows are recomputed and replaced.
     """
-    from pyspark import StorageLevel
-
     from pricelake.plans.mart_refresh import run_marts
 
     target = {"items": "book_a", "history": "history", "listings": "book_b"}[kind]
-    stager = _STAGERS[kind]
+    root = ods_root.rstrip("/")
 
     def fn(batch: DataFrame, epoch_id: int) -> None:
-        rows = staging.dedup_staged(stager(batch))
-        rows = tables.with_day(rows.filter(F.col("date_extracted").isNotNull())).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            days = [r[0] for r in rows.select("day").distinct().limit(tables.MAX_LISTED_PARTITIONS + 1).collect()]
-            tables.merge_partitions(spark, f"{ods_root.rstrip('/')}/{target}", rows, "day",
-                                    lambda t, s: merge.upsert(t, s, ODS_KEYS))
-        finally:
-            rows.unpersist()
+        days = _merge_staged(spark, batch, kind, f"{root}/{target}", f"{root}/product")
         if days and len(days) <= tables.MAX_LISTED_PARTITIONS:
             run_marts(spark, ods_root, marts_root, days=days, **mart_args)
         elif days:

@@ -33,16 +33,11 @@ def test_stream_picks_each_file_once(spark, tmp):
 def test_stream_refreshes_marts_of_touched_days(spark, tmp):
     import datetime as dt
 
-    from pricelake.operators import catalog
-    from pricelake.sources import raw as rawsrc
     from pricelake.sources import tables
 
     landing, ckpt, ods_root, marts_root = (os.path.join(tmp, x) for x in ("landing", "ckpt", "ods", "marts"))
     os.makedirs(landing)
-    # catalog and one history snapshot already loaded
-    names = spark.createDataFrame([("AK-47 | Redline",)], "market_hash_name string")
-    prod = catalog.build_product([rawsrc.payloads_from_rows(names, ingest_ts="2025-11-05 08:00:00")])
-    tables.VersionedTable(spark, os.path.join(ods_root, "product")).replace(prod)
+    # the catalog is empty: the stream's own names fill it
     snap = {"market_hash_name": "AK-47 | Redline",
             "last_24_hours": {"min": 9, "max": 11, "avg": 10, "median": 10, "volume": 5},
             "last_7_days": {"min": 8, "max": 12, "avg": 10, "median": 10, "volume": 30}}
@@ -51,6 +46,8 @@ def test_stream_refreshes_marts_of_touched_days(spark, tmp):
     vol = spark.read.parquet(os.path.join(marts_root, "volatility")).collect()
     assert len(vol) == 1 and vol[0].volatility_index == 0.4
     assert vol[0].date_extracted == dt.datetime.now(dt.timezone.utc).date()
+    prod = tables.VersionedTable(spark, os.path.join(ods_root, "product")).read()
+    assert [r.name for r in prod.collect()] == ["AK-47 | Redline"]
 
 
 def test_stream_fan_out(spark, tmp):
