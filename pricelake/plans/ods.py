@@ -156,3 +156,13 @@ def read_ods(spark: SparkSession, ods_root: str) -> Ods:
         history=part("history"),
         book_b=tables.VersionedTable(spark, f"{root}/book_b").read(),
     )
+
+
+def raw_freshness(spark: SparkSession, raw_root: str, as_of) -> DataFrame:
+    """The freshness gate over the landed raw zone: ``(table, day, rows_today,
+    fresh)`` per source, counted on the ``ingest_date`` partition (pruned)."""
+    from pricelake.operators.freshness import freshness
+
+    raw = read_raw_zone(spark, raw_root)
+    present = {n: (getattr(raw, n), "ingest_date") for n in RAW_NAMES if getattr(raw, n) is not None}
+    return freshness(present, as_of, day_is_column=True)

@@ -75,3 +75,14 @@ def ods_summaries(ods: Ods) -> dict[str, DataFrame]:
 def run_checks(ods: Ods, as_of_ts) -> None:
     """Fail once, listing every failing check (bounded samples only reach the driver)."""
     qc.assert_clean(ods_report(ods, as_of_ts))
+
+
+def check_ods_root(spark, ods_root: str, as_of_ts, fail: bool = True) -> DataFrame:
+    """Run the suite on the ODS tables under ``ods_root``; with ``fail``,
+    raise once listing every failing check. Returns the report."""
+    from pricelake.plans.ods import read_ods
+
+    report = ods_report(read_ods(spark, ods_root), as_of_ts)
+    if fail:
+        qc.assert_clean(report)
+    return report

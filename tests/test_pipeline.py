@@ -115,3 +115,34 @@ def test_mart_runner_idempotent(spark, tmp):
     second = {m: rows(spark.read.parquet(os.path.join(marts_root, m))) for m in mart_refresh.MART_NAMES}
     assert first == second
     assert len(first["arbitrage"]) == 1 and len(first["order_books"]) == 2
+
+
+def test_two_days(spark, tmp):
+    import datetime as dt
+
+    paths = _docs(tmp)
+    raw_root, ods_root = os.path.join(tmp, "raw"), os.path.join(tmp, "ods")
+    for name, p in paths.items():
+        rawsrc.land(rawsrc.load_raw(spark, p, TS), os.path.join(raw_root, name))
+    ods.run_ods_day(spark, raw_root, ods_root, DAY)
+    day2 = os.path.join(tmp, "landing2")
+    os.makedirs(day2)
+    with open(os.path.join(day2, "h.json"), "w") as f:
+        json.dump({"market_hash_name": "New | Item", "last_24_hours": {"avg": 1, "volume": 1}}, f)
+    with open(os.path.join(day2, "l.json"), "w") as f:
+        json.dump([{"id": 9, "price": 2, "created_at": "2025-11-06T01:00:00Z", "market_hash_name": "New | Item"}], f)
+    ts2 = "2025-11-06 10:00:00"
+    rawsrc.land(rawsrc.load_raw(spark, os.path.join(day2, "h.json"), ts2), os.path.join(raw_root, "history"))
+    rawsrc.land(rawsrc.load_raw(spark, os.path.join(day2, "l.json"), ts2), os.path.join(raw_root, "listings"))
+
+    gate = {r.table: r.rows_today for r in ods.raw_freshness(spark, raw_root, "2025-11-06").collect()}
+    assert gate == {"items": 0, "history": 1, "listings": 1}
+
+    ods.run_ods_day(spark, raw_root, ods_root, "2025-11-06")
+    o = ods.read_ods(spark, ods_root)
+    assert o.product.count() == 4  # catalog accumulates
+    assert sorted(r.day for r in o.history.select("day").distinct().collect()) == [dt.date(2025, 11, 5), dt.date(2025, 11, 6)]
+    assert o.history.count() == 3 and o.book_a.count() == 3
+    assert [float(r.price) for r in o.book_b.collect()] == [2.0]  # replaced by the day's listings
+    rep = ods_checks.check_ods_root(spark, ods_root, "2025-11-06 12:00:00", fail=False)
+    assert {r.check for r in rep.collect()} == {"history: invariants broken for last_7_days"}
