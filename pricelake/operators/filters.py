@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pricelake.operators.joins import maybe_broadcast
+
 
 def request_filter(
     df: DataFrame,
@@ -18,6 +20,6 @@ def request_filter(
     if tradable_col is not None:
         df = df.filter(F.coalesce(F.col(tradable_col).cast("boolean"), F.lit(False)))
     if names is not None:
-        wanted = names.select(F.col(names_col).alias(name_col)).distinct()
-        df = df.join(wanted, on=name_col, how="left_semi")
+        wanted = names.select(F.col(names_col).alias(name_col))
+        df = df.join(maybe_broadcast(wanted), on=name_col, how="left_semi")
     return df

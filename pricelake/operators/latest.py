@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pricelake.operators.joins import maybe_broadcast
+
 _RN = "__rn"
 
 
@@ -53,8 +55,8 @@ def top_n_per_key(
     """
     if ids is not None:
         id_col = id_col or key
-        wanted = ids.select(F.col(id_col).alias(key)).distinct()
-        df = df.join(wanted, on=key, how="left_semi")
+        wanted = ids.select(F.col(id_col).alias(key))
+        df = df.join(maybe_broadcast(wanted), on=key, how="left_semi")
     return latest_per_key(df, [key], order, n)
 
 

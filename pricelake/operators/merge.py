@@ -48,7 +48,12 @@ def dedup_source(source: DataFrame, keys: Sequence[str], order: Sequence[Column]
 
 
 def _source_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return maybe_broadcast(source.select(*keys).filter(_key_not_null(keys)).distinct())
+    """Key columns of the source (NULL keys never match), broadcast when small.
+
+    No ``distinct``: duplicates on the right of a semi or anti join change
+    nothing, so deduplicating would only add a shuffle.
+    """
+    return maybe_broadcast(source.select(*keys).filter(_key_not_null(keys)))
 
 
 def _align(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -108,13 +113,13 @@ def insert_ignore(
     """
     cols = target.columns
     src = _align(dedup_source(source, keys, order), cols)
-    present = target.select(*keys).join(_source_keys(src, keys), on=list(keys), how="left_semi").distinct()
+    present = target.select(*keys).join(_source_keys(src, keys), on=list(keys), how="left_semi")
     return target.unionByName(src.join(maybe_broadcast(present), on=list(keys), how="left_anti").select(*cols))
 
 
 def new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source rows with no target row on ``keys`` (``INSERT ... WHERE NOT EXISTS``)."""
-    present = target.select(*keys).join(_source_keys(source, keys), on=list(keys), how="left_semi").distinct()
+    present = target.select(*keys).join(_source_keys(source, keys), on=list(keys), how="left_semi")
     return source.join(maybe_broadcast(present), on=list(keys), how="left_anti").select(*source.columns)
 
 
