@@ -1,7 +1,8 @@
 """Joins against dimension tables with a checked broadcast.
 
 A side is broadcast only when the optimizer's size estimate for it (the same
-estimate Spark's own broadcast rule reads) is under a byte limit; otherwise
+estimate Spark's own broadcast rule reads), inflated for in-memory expansion
+of compressed files, is under a byte limit; otherwise
 the join is left to a shuffle join, which AQE may still turn into a
 broadcast at runtime from the real shuffle size.
 """
@@ -14,6 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
+# The optimizer sizes a Parquet scan by its (compressed) file bytes; rows in
+# memory are commonly several times larger. The check multiplies by this.
+EXPANSION_FACTOR = 4
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -50,10 +54,11 @@ def broadcast_limit(df: DataFrame, default: int = DEFAULT_BROADCAST_LIMIT) -> in
 
 
 def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
-    """True when the optimizer's size estimate of ``df`` is at most ``limit`` bytes."""
+    """True when the optimizer's size estimate of ``df``, times
+    ``EXPANSION_FACTOR``, is at most ``limit`` bytes. No estimate: False."""
     limit = broadcast_limit(df) if limit is None else limit
     est = estimated_bytes(df)
-    return limit > 0 and est is not None and est <= limit
+    return limit > 0 and est is not None and est * EXPANSION_FACTOR <= limit
 
 
 def maybe_broadcast(df: DataFrame, limit: int | None = None) -> DataFrame:

@@ -6,6 +6,9 @@ def test_size_estimate_and_checked_broadcast(spark):
     assert joins.estimated_bytes(small) is not None
     assert joins.fits_broadcast(small)
     assert not joins.fits_broadcast(small, limit=1)
+    est = joins.estimated_bytes(small)
+    assert joins.fits_broadcast(small, limit=est * joins.EXPANSION_FACTOR)
+    assert not joins.fits_broadcast(small, limit=est * joins.EXPANSION_FACTOR - 1)
     plan = spark.range(10).join(joins.maybe_broadcast(small), "id")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
 
