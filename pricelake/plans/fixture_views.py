@@ -30,6 +30,15 @@ TABLES = (
 ).split()
 
 
+def parallelism(spark: SparkSession) -> int:
+    """Task slots of the session (the shuffle-partition setting where the
+    session has no local context, e.g. a remote client)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

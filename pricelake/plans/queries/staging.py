@@ -83,7 +83,7 @@ def q_stage_history(spark: SparkSession, sf: str) -> DataFrame:
     # A landed raw zone is written by many tasks and read back in many splits;
     # spread the fixture rows the same way (the driver's file is one row group).
     li = fv.Tables(spark, sf).lineitem
-    src = _history_payload_rows(li.repartition(spark.sparkContext.defaultParallelism))
+    src = _history_payload_rows(li.repartition(fv.parallelism(spark)))
     raw = rawsrc.payloads_from_rows(src, [c for c in src.columns if c != "l_shipdate"], ts_col="l_shipdate")
     staged = staging.stage_history(raw).drop("src_ts", "payload")
     dec = [c for c in staged.columns if c.endswith(("_min", "_max", "_avg", "_median"))]
