@@ -145,8 +145,8 @@ def q_check_period_invariants(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("null_profile", """
 SELECT COUNT(*) AS rows_total,
-       SUM(CASE WHEN l.quality IS NULL THEN 1 ELSE 0 END) AS null_quality,
-       SUM(CASE WHEN l.toxic IS NULL THEN 1 ELSE 0 END) AS null_toxic
+       CAST(SUM(CASE WHEN l.quality IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_quality,
+       CAST(SUM(CASE WHEN l.toxic IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_toxic
 FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id
 """)
 def q_null_profile(spark: SparkSession, sf: str) -> DataFrame:
