@@ -37,3 +37,17 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
+
+
+_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+          "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE", "boolean": "BOOLEAN"}
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_column_types_match_oracle(spark, con, name):
+    df = entry.queries()[name](spark, SF_SMALL)
+    rel = con.sql(entry.oracle_sql()[name])
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    for f in df.schema.fields:
+        spark_type = f.dataType.simpleString()
+        assert _TYPES.get(spark_type, spark_type.upper()) == duck_types[f.name], (f.name, spark_type)
