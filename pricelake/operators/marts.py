@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricelake.operators.joins import join_dimension
+from pricelake.operators.joins import fits_broadcast, join_dimension
 from pricelake.operators.latest import daily_latest, latest_per_key
 
 # The default product-group rules, in priority order (the first
@@ -119,18 +119,25 @@ def group_analytics(
     """Per (group, day): average 24 h price and total 24 h volume of the
     latest snapshot of each product in the group.
 
-    The group aggregate has few keys and huge groups; Spark's partial
-    (map-side) aggregation makes the shuffle one row per group per task.
+    Products are classified on the dimension side. When the classified
+    products fit a broadcast, they are joined map-side *before* the
+    keep-latest window, so only grouped products' history is shuffled. The
+    group aggregate has few keys and huge groups; Spark's partial (map-side)
+    aggregation makes its shuffle one row per group per task.
     """
-    latest = daily_latest(history, "id_name", "date_extracted", tie_breaks, day_col="report_date")
-    classified = join_dimension(latest, _product(product), "id_name").select(
-        classify(F.col("item_name"), rules).alias("group_name"),
-        "report_date",
-        F.col("last_24_hours_avg").alias("p"),
-        F.col("last_24_hours_volume").alias("v"),
-    )
+    groups = _product(product).select(
+        "id_name", classify(F.col("item_name"), rules).alias("group_name")
+    ).filter(F.col("group_name").isNotNull())
+    if fits_broadcast(groups):
+        # map-side join first: history of products in no group never reaches the shuffle
+        kept = history.join(F.broadcast(groups), "id_name")
+        latest = daily_latest(kept, "id_name", "date_extracted", tie_breaks, day_col="report_date")
+    else:
+        latest = daily_latest(history, "id_name", "date_extracted", tie_breaks, day_col="report_date")
+        latest = latest.join(groups, "id_name")
     return (
-        classified.filter(F.col("group_name").isNotNull())
+        latest.select("group_name", "report_date",
+                      F.col("last_24_hours_avg").alias("p"), F.col("last_24_hours_volume").alias("v"))
         .groupBy("group_name", F.col("report_date").alias("date_extracted"))
         .agg(
             _ratio(F.sum("p"), F.count("p")).alias("avg_price"),
@@ -217,6 +224,6 @@ def volatility(
 
 
 __all__ = [
-    "DEFAULT_GROUP_RULES", "MART_KEYS", "classify", "sales_history", "group_analytics",
-    "joined_books", "order_books", "arbitrage", "volatility", "latest_per_key",
+    "DEFAULT_GROUP_RULES", "MART_KEYS", "classify", "latest_by_name_day", "sales_history", "group_analytics",
+    "joined_books", "order_books", "arbitrage", "volatility",
 ]
