@@ -72,14 +72,14 @@ def q_ods_book_a_day(spark: SparkSession, sf: str) -> DataFrame:
 
 def _catalog_loads(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Catalog fixture: one items load and one statistics load built from the
-    part table in part-key order (a later part of the same name wins), and an
-    existing catalog that already has image links."""
-    part = fv.Tables(spark, sf).part.orderBy("p_partkey")
-    items = part.select(
+    part table, positioned in the load by part key (a later part of the same
+    name wins), and an existing catalog that already has image links."""
+    part = fv.Tables(spark, sf).part
+    items = part.select("p_partkey",
         F.col("p_name").alias("market_hash_name"), F.lit("EUR").alias("currency"),
         F.col("p_retailprice").alias("suggested_price"), F.col("p_type").alias("item_page"),
         F.col("p_size").alias("quantity"))
-    stats = part.select(
+    stats = part.select("p_partkey",
         F.col("p_name").alias("market_hash_name"), F.lit("EUR").alias("currency"),
         F.col("p_brand").alias("item_page"),
         *[F.struct(F.col("p_retailprice").alias("min"), (F.col("p_retailprice") * (i + 2)).alias("max"),
@@ -91,8 +91,11 @@ def _catalog_loads(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame,
         *[F.lit(None).cast("double").alias(c) for c in ("min_price", "max_price", "mean_price", "median_price")],
         *[F.lit(None).cast("bigint").alias(c) for c in ("quantity", "created_at", "updated_at")],
         F.concat(F.lit("img/"), F.col("market_hash_name")).alias("image_url"))
-    return (rawsrc.payloads_from_rows(items, ingest_ts=LOAD_TS),
-            rawsrc.payloads_from_rows(stats, ingest_ts=LOAD_TS), existing)
+    def load(df):
+        return rawsrc.payloads_from_rows(df, [c for c in df.columns if c != "p_partkey"],
+                                         ingest_ts=LOAD_TS, pos_col="p_partkey")
+
+    return load(items), load(stats), existing
 
 
 _CATALOG_LAST = """

@@ -69,18 +69,21 @@ def payloads_from_rows(
     payload_cols: Sequence[str] | None = None,
     ingest_ts=None,
     ts_col: str | None = None,
+    pos_col: str | None = None,
 ) -> DataFrame:
     """Raw rows from an existing DataFrame: ``payload_cols`` (default: all)
     become one JSON object per row (NULL fields omitted, as a source that
-    leaves a key out). The load time is a constant ``ingest_ts`` or a column ``ts_col``.
+    leaves a key out). The load time is a constant ``ingest_ts`` or a column
+    ``ts_col``; the position in the load is ``pos_col`` when given.
     """
     cols = list(payload_cols) if payload_cols is not None else list(df.columns)
     ts = F.col(ts_col).cast("timestamp") if ts_col else _ts_lit(ingest_ts)
+    pos = F.col(pos_col).cast("bigint") if pos_col else F.monotonically_increasing_id()
     return df.select(
         F.to_json(F.struct(*[F.col(c) for c in cols])).alias("payload"),
         ts.alias("created_at"),
         F.to_date(ts).alias("ingest_date"),
-        F.monotonically_increasing_id().alias("load_pos"),
+        pos.alias("load_pos"),
     )
 
 
