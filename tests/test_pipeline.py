@@ -111,7 +111,7 @@ def test_mart_runner_idempotent(spark, tmp):
     ods.run_ods_day(spark, raw_root, ods_root, DAY)
     assert set(mart_refresh.run_marts(spark, ods_root, marts_root)) == set(mart_refresh.MART_NAMES)
     first = {m: rows(spark.read.parquet(os.path.join(marts_root, m))) for m in mart_refresh.MART_NAMES}
-    mart_refresh.run_marts(spark, ods_root, marts_root, days=[__import__("datetime").date(2025, 11, 5)])
+    mart_refresh.run_marts(spark, ods_root, marts_root, days=["2025-11-05"])  # days as text work too
     second = {m: rows(spark.read.parquet(os.path.join(marts_root, m))) for m in mart_refresh.MART_NAMES}
     assert first == second
     assert len(first["arbitrage"]) == 1 and len(first["order_books"]) == 2
