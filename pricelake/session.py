@@ -84,3 +84,31 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, name)
+
+
+def sizing_conf(
+    input_bytes: int,
+    executor_memory_bytes: int,
+    cores_per_executor: int,
+    executors: int,
+) -> dict[str, str]:
+    """Shuffle and split sizes for a cluster run, so partitions fit in memory.
+
+    A task gets roughly ``executor memory / cores`` of heap, of which about
+    half serves execution (sorts, hash tables, WindowGroupLimit buffers).
+    Target partitions of at most a quarter of that, capped at 256 MB; take
+    enough shuffle partitions for the whole input at that size (never fewer
+    than 3 waves of the cluster's cores), and let AQE coalesce small ones and
+    split skewed ones from the real sizes.
+    """
+    per_task = executor_memory_bytes // max(1, cores_per_executor)
+    target = max(32 << 20, min(256 << 20, per_task // 4))
+    cores = max(1, cores_per_executor * executors)
+    partitions = max(3 * cores, -(-input_bytes // target))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(min(target, 128 << 20)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target),
+    }
