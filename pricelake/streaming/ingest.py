@@ -52,12 +52,23 @@ def raw_stream(spark: SparkSession, in_path: str, json_lines: bool = True, max_f
 def ingest_stream(
     spark: SparkSession,
     in_path: str,
-    checkpoint: str,
+    checkpoint: str | None,
     on_batch: BatchFn,
     json_lines: bool = True,
     wait: bool = True,
 ):
-    """Run ``on_batch`` over every file not yet seen under ``in_path``, then stop."""
+    """Run ``on_batch`` over every file not yet seen under ``in_path``, then stop.
+
+    ``checkpoint=None`` keeps the stream's progress under the shared
+    ``spark.checkpoint.dir``, in a folder named after ``in_path`` (so the next
+    run of the same feed resumes where this one stopped).
+    """
+    if checkpoint is None:
+        import hashlib
+
+        from pricelake.session import scratch_dir
+
+        checkpoint = scratch_dir(spark, "streams/" + hashlib.sha1(in_path.encode()).hexdigest()[:16])
     q = (raw_stream(spark, in_path, json_lines).writeStream
          .foreachBatch(on_batch)
          .option("checkpointLocation", checkpoint)

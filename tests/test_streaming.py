@@ -80,3 +80,13 @@ def test_stream_whole_documents(spark, tmp):
     ingest.ingest_stream(spark, landing, os.path.join(tmp, "ck"),
                          lambda df, e: seen.extend(r.payload for r in df.collect()), json_lines=False)
     assert sorted(json.loads(p)["name"] for p in seen) == ["A", "B"]
+
+
+def test_default_checkpoint_under_shared_dir(spark, tmp):
+    landing = os.path.join(tmp, "landing")
+    os.makedirs(landing)
+    _write(landing, "a.jsonl", [{"name": "A"}])
+    seen = []
+    for _ in range(2):
+        ingest.ingest_stream(spark, landing, None, lambda df, e: seen.append(df.count()))
+    assert sum(seen) == 1  # second run resumed from the shared checkpoint
