@@ -48,15 +48,19 @@ def extract_meta(
     name_col: str = "name",
     tag: str = "og_image",
     limit: int | None = None,
+    extracted_at=None,
 ) -> DataFrame:
     """Rows ``(name, image_url, source)`` for pages with a non-null url and
     name whose meta tag has content. ``limit`` caps the number of *hits* (a
-    per-run quota), applied after the filter; default: no cap."""
+    per-run quota), applied after the filter; default: no cap. With
+    ``extracted_at`` the rows also carry that extraction time."""
     hits = pages.filter(F.col(url_col).isNotNull() & F.col(name_col).isNotNull()).select(
         F.col(name_col).alias("name"),
         meta_content(html_col, value).alias("image_url"),
         F.lit(tag).alias("source"),
     ).filter(F.col("image_url").isNotNull())
+    if extracted_at is not None:
+        hits = hits.withColumn("extracted_at", F.lit(extracted_at).cast("timestamp"))
     return hits.limit(limit) if limit is not None else hits
 
 

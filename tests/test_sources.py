@@ -43,6 +43,8 @@ def test_meta_both_orders(spark):
     got = sorted((r.name, r.image_url) for r in pg.extract_meta(df).collect())
     assert got == [("a", "http://i/1.png"), ("b", "http://i/2.png")]
     assert pg.extract_meta(df, limit=1).count() == 1
+    stamped = pg.extract_meta(df, extracted_at="2025-11-05 10:00:00").first()
+    assert stamped.extracted_at == dt.datetime(2025, 11, 5, 10)
 
 
 def test_names_from_url(spark):
