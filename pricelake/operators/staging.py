@@ -39,9 +39,18 @@ RAW_SCHEMA = T.StructType([
     T.StructField("payload", T.StringType()),
     T.StructField("created_at", T.TimestampType()),
     T.StructField("ingest_date", T.DateType()),
+    T.StructField("load_pos", T.LongType()),
 ])
 
 
+def _tie_cols(raw: DataFrame) -> list[Column]:
+    """Compact tie-breaks for rows of one key and load time: the position in
+    the load (a later element wins) and a 64-bit hash of the payload text.
+    The payload itself never has to travel through the dedup shuffle."""
+    pos = F.col("load_pos") if "load_pos" in raw.columns else F.lit(None).cast("bigint")
+    return [pos.alias("src_pos"), F.xxhash64("payload").alias("src_hash")]
+
+
 def period_columns(periods: Sequence[str] = PERIODS, stats: Sequence[str] = PERIOD_STATS) -> list[str]:
     return [f"{p}_{s}" for p in periods for s in stats]
 
@@ -70,7 +79,7 @@ def _parsed_with_name(raw: DataFrame, schema: T.StructType) -> DataFrame:
     """
     p = parse_payload("payload", schema)
     keep = F.filter(F.array(p), lambda x: usable_name(_named(x)))
-    return raw.select(F.explode(keep).alias("p"), "created_at", "payload")
+    return raw.select(F.explode(keep).alias("p"), "created_at", *_tie_cols(raw))
 
 
 CATALOG_FIELDS = ("item_page", "market_page")
@@ -98,7 +107,7 @@ def stage_book_a(raw: DataFrame, lenient: bool = False, keep_catalog: bool = Fal
         F.col("created_at").alias("date_extracted"),
         *[json_decimal(F.col("p")[f], PRICE_TYPE, lenient).alias(f) for f in BOOK_A_PRICES],
         F.col("created_at").alias("src_ts"),
-        "payload",
+        "src_pos", "src_hash",
         *_catalog_cols(keep_catalog),
     )
 
@@ -128,7 +137,7 @@ def stage_history(
         *cols,
         F.col("created_at").alias("date_extracted"),
         F.col("created_at").alias("src_ts"),
-        "payload",
+        "src_pos", "src_hash",
         *_catalog_cols(keep_catalog),
     )
 
@@ -144,19 +153,21 @@ def stage_book_b(raw: DataFrame, lenient: bool = False, keep_catalog: bool = Fal
         json_timestamp(F.col("p")["created_at"], lenient).alias("date_extracted"),
         json_decimal(F.col("p")["price"], PRICE_TYPE, lenient).alias("price"),
         F.col("created_at").alias("src_ts"),
-        "payload",
+        "src_pos", "src_hash",
         *_catalog_cols(keep_catalog),
     )
 
 
 def dedup_staged(staged: DataFrame, keys: Sequence[str] = ("id_name", "date_extracted")) -> DataFrame:
-    """Latest load per key; equal load times are broken by the payload text,
-    so the survivor does not depend on how the input was partitioned."""
+    """Latest load per key; within one load the later element wins, then the
+    payload hash decides, so the survivor does not depend on how the input
+    was partitioned."""
     keyed = staged
     for k in keys:
         keyed = keyed.filter(F.col(k).isNotNull())
-    out = latest_per_key(keyed, list(keys), [F.col("src_ts").desc(), F.col("payload").desc()])
-    return out.drop("src_ts", "payload", "name", *CATALOG_FIELDS)
+    order = [F.col("src_ts").desc(), F.col("src_pos").desc_nulls_last(), F.col("src_hash").desc()]
+    out = latest_per_key(keyed, list(keys), order)
+    return out.drop("src_ts", "src_pos", "src_hash", "name", *CATALOG_FIELDS)
 
 
 def catalog_part(staged: DataFrame) -> DataFrame:

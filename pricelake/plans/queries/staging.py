@@ -85,7 +85,7 @@ def q_stage_history(spark: SparkSession, sf: str) -> DataFrame:
     li = fv.Tables(spark, sf).lineitem
     src = _history_payload_rows(li.repartition(fv.parallelism(spark)))
     raw = rawsrc.payloads_from_rows(src, [c for c in src.columns if c != "l_shipdate"], ts_col="l_shipdate")
-    staged = staging.stage_history(raw).drop("src_ts", "payload")
+    staged = staging.stage_history(raw).drop("src_ts", "src_pos", "src_hash")
     dec = [c for c in staged.columns if c.endswith(("_min", "_max", "_avg", "_median"))]
     return _dbl(staged, *dec).withColumn("date_extracted", F.col("date_extracted").cast("timestamp_ntz"))
 

@@ -87,10 +87,14 @@ def test_stage_book_b_event_time(spark):
 
 def test_dedup_staged_is_deterministic(spark):
     payloads = [json.dumps({"name": "X", "suggested_price": i}) for i in range(20)]
-    raw = _raw(spark, payloads)
+    raw = _raw(spark, payloads).coalesce(1)
     a = staging.dedup_staged(staging.stage_book_a(raw)).collect()
     b = staging.dedup_staged(staging.stage_book_a(raw.repartition(7))).collect()
     assert len(a) == 1 and a == b
+    assert a[0].suggested_price == Decimal("19.0000")  # the later element of the load wins
+    no_pos = staging.dedup_staged(staging.stage_book_a(raw.drop("load_pos"))).collect()
+    again = staging.dedup_staged(staging.stage_book_a(raw.drop("load_pos").repartition(5))).collect()
+    assert len(no_pos) == 1 and no_pos == again  # payload hash decides
 
 
 def test_for_day_prunes_other_days(spark):
