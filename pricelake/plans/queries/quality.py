@@ -199,3 +199,13 @@ def q_freshness(spark: SparkSession, sf: str) -> DataFrame:
     return fresh.freshness({"events": (t.events, "ts"), "orders": (t.orders, "o_orderdate")}, "2024-01-30")
 
 
+
+
+@register("check_orders_without_lines", """
+SELECT o.o_orderkey, o.o_orderstatus FROM orders o
+WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)
+""")
+def q_check_orders_without_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Orphans the other way round: the referenced table is the big fact table."""
+    t = fv.Tables(spark, sf)
+    return qc.orphans(t.orders, t.lineitem, "o_orderkey", "l_orderkey", show=["o_orderkey", "o_orderstatus"])
