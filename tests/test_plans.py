@@ -71,3 +71,18 @@ def test_hot_key_is_cut_before_the_shuffle(spark):
     assert plan.index("WindowGroupLimit") < plan.rindex("Exchange") or "Partial" in plan
     got = {r.k: r.v for r in out.collect()}
     assert len(got) == n - n // 3 + 1 and got[-1] == max(i for i in range(n) if i % 3 == 0)
+
+
+def test_day_filter_prunes_raw_partitions(spark, tmp):
+    from pyspark.sql import functions as F
+
+    from pricelake.operators import staging
+    from pricelake.sources import raw as rawsrc
+
+    rows = spark.createDataFrame([("x",)], "p string")
+    for day in ("2025-11-01", "2025-11-02", "2025-11-03"):
+        rawsrc.land(rawsrc.payloads_from_rows(rows, ingest_ts=f"{day} 10:00:00"), os.path.join(tmp, "raw"))
+    day = staging.for_day(rawsrc.read_raw(spark, os.path.join(tmp, "raw")), "2025-11-02")
+    plan = _plan(day)
+    assert "PartitionFilters: [isnotnull(ingest_date" in plan and "= 2025-11-02" in plan
+    assert day.count() == 1 and day.select(F.col("ingest_date").cast("string")).first()[0] == "2025-11-02"
