@@ -49,14 +49,15 @@ def _merge_or_new(target: DataFrame | None, fresh: DataFrame) -> DataFrame:
 _STAGERS = (("items", staging.stage_book_a), ("history", staging.stage_history), ("listings", staging.stage_book_b))
 
 
-def staged_day(raw: Raw, as_of, persist: bool = False) -> tuple[Ods, list[DataFrame]]:
+def staged_day(raw: Raw, as_of, persist: bool = False, lenient: bool = False) -> tuple[Ods, list[DataFrame]]:
     """The day's deduplicated rows of each ODS table (nothing merged yet).
 
     Each raw source of the day is parsed once: its staged rows carry the name
     and page links too, and feed both the catalog candidates and the book.
     With ``persist`` the staged rows are kept (memory, spilling to disk) for
     the several writes that read them; the second list holds them so the
-    caller can release them.
+    caller can release them. ``lenient`` turns unreadable numbers and times
+    into NULL instead of failing the load.
     """
     from pyspark import StorageLevel
 
@@ -66,7 +67,7 @@ def staged_day(raw: Raw, as_of, persist: bool = False) -> tuple[Ods, list[DataFr
         df = getattr(raw, kind)
         if df is None:
             continue
-        rows = stager(staging.for_day(df, as_of), keep_catalog=True)
+        rows = stager(staging.for_day(df, as_of), lenient=lenient, keep_catalog=True)
         if persist:
             rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
             kept.append(rows)
@@ -82,9 +83,9 @@ def staged_day(raw: Raw, as_of, persist: bool = False) -> tuple[Ods, list[DataFr
     return Ods(product, dedup("items"), dedup("history"), dedup("listings")), kept
 
 
-def ods_day(raw: Raw, ods: Ods, as_of) -> Ods:
+def ods_day(raw: Raw, ods: Ods, as_of, lenient: bool = False) -> Ods:
     """New content of every ODS table after loading ``as_of`` (DataFrames only)."""
-    fresh, _ = staged_day(raw, as_of)
+    fresh, _ = staged_day(raw, as_of, lenient=lenient)
     if fresh.product is None:
         product = ods.product
     elif ods.product is None:
@@ -111,7 +112,9 @@ def read_raw_zone(spark: SparkSession, raw_root: str) -> Raw:
     return Raw(**found)
 
 
-def run_ods_day(spark: SparkSession, raw_root: str, ods_root: str, as_of: _dt.date | str) -> dict[str, int | None]:
+def run_ods_day(
+    spark: SparkSession, raw_root: str, ods_root: str, as_of: _dt.date | str, lenient: bool = False
+) -> dict[str, int | None]:
     """Load day ``as_of`` from the raw zone into the ODS tables under ``ods_root``.
 
     Catalog and book B are versioned tables (small; replaced or
@@ -119,7 +122,7 @@ def run_ods_day(spark: SparkSession, raw_root: str, ods_root: str, as_of: _dt.da
     only the days present in the load are rewritten.
     """
     raw = read_raw_zone(spark, raw_root)
-    fresh, kept = staged_day(raw, as_of, persist=True)
+    fresh, kept = staged_day(raw, as_of, persist=True, lenient=lenient)
     root = ods_root.rstrip("/")
     out: dict[str, int | None] = {}
     try:

@@ -106,3 +106,12 @@ def test_unpivot_keeps_missing_periods(spark):
     wide = spark.createDataFrame([("a", 1.0, None)], "id string, last_24_hours_min double, last_7_days_min double")
     long = staging.unpivot_periods(wide, ["id"], periods=("last_24_hours", "last_7_days"), stats=("min",))
     assert sorted((r.period, r.min) for r in long.collect()) == [("last_24_hours", 1.0), ("last_7_days", None)]
+
+
+def test_lenient_staging(spark):
+    import pytest
+
+    raw = _raw(spark, [json.dumps({"name": "A", "suggested_price": "abc"})])
+    with pytest.raises(Exception):
+        staging.stage_book_a(raw).collect()
+    assert staging.stage_book_a(raw, lenient=True).first().suggested_price is None
