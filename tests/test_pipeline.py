@@ -146,3 +146,14 @@ def test_two_days(spark, tmp):
     assert [float(r.price) for r in o.book_b.collect()] == [2.0]  # replaced by the day's listings
     rep = ods_checks.check_ods_root(spark, ods_root, "2025-11-06 12:00:00", fail=False)
     assert {r.check for r in rep.collect()} == {"history: invariants broken for last_7_days"}
+
+
+def test_ods_day_dataframe_api(spark, tmp):
+    """The same day load on DataFrames only (no paths): twice gives the same tables."""
+    paths = _docs(tmp)
+    raw = ods.Raw(**{k: rawsrc.load_raw(spark, p, TS) for k, p in paths.items()})
+    first = ods.ods_day(raw, ods.Ods(), DAY)
+    second = ods.ods_day(raw, first, DAY)
+    for name in ("product", "book_a", "history", "book_b"):
+        assert rows(getattr(first, name)) == rows(getattr(second, name)), name
+    assert first.product.count() == 3 and first.book_b.count() == 4
