@@ -155,7 +155,7 @@ def q_unpivot_periods(spark: SparkSession, sf: str) -> DataFrame:
 SELECT CAST(l_orderkey AS VARCHAR) AS name, 730 AS app_id,
        strftime(l_shipdate, '%b %d %Y %H') || ': +0' AS ts_text, l_shipdate AS ts,
        l_extendedprice AS price, CAST(l_quantity AS BIGINT) AS amount,
-       'steam_pricehistory' AS source, CAST(NULL AS VARCHAR) AS currency, CAST(NULL AS VARCHAR) AS raw
+       'steam_pricehistory' AS source, '5' AS currency, CAST(NULL AS VARCHAR) AS raw
 FROM lineitem
 """)
 def q_explode_trades(spark: SparkSession, sf: str) -> DataFrame:

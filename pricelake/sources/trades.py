@@ -12,10 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # The trade-date text format (month abbreviation, day, year,
-# hour, then ": +<offset>") and the defaults the loader tags rows with.
+# hour, then ": +<offset>") and the defaults the loader tags rows with (app id,
+# source tag, currency code).
 TRADE_TS_PATTERN = "MMM dd yyyy HH z"
 TRADE_TS_SUFFIX = r": \+\d+$"
+DEFAULT_APP_ID = 730
 DEFAULT_SOURCE = "steam_pricehistory"
+DEFAULT_CURRENCY = "5"
 PRICES_SCHEMA = "struct<prices: array<array<string>>>"
 
 
@@ -23,9 +26,9 @@ def explode_trades(
     df: DataFrame,
     name_col: str = "market_hash_name",
     json_col: str = "payload",
-    app_id: int | None = 730,
+    app_id: int | None = DEFAULT_APP_ID,
     source: str = DEFAULT_SOURCE,
-    currency: str | None = None,
+    currency: str | None = DEFAULT_CURRENCY,
 ) -> DataFrame:
     """Explode each row's price triples; price -> double, amount -> bigint.
 
