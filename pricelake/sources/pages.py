@@ -50,11 +50,12 @@ def extract_meta(
     limit: int | None = None,
     extracted_at=None,
 ) -> DataFrame:
-    """Rows ``(name, image_url, source)`` for pages with a non-null url and
+    """Rows ``(name, image_url, source)`` for pages with a non-empty url and
     name whose meta tag has content. ``limit`` caps the number of *hits* (a
     per-run quota), applied after the filter; default: no cap. With
     ``extracted_at`` the rows also carry that extraction time."""
-    hits = pages.filter(F.col(url_col).isNotNull() & F.col(name_col).isNotNull()).select(
+    present = (F.coalesce(F.col(url_col), F.lit("")) != "") & (F.coalesce(F.col(name_col), F.lit("")) != "")
+    hits = pages.filter(present).select(
         F.col(name_col).alias("name"),
         meta_content(html_col, value).alias("image_url"),
         F.lit(tag).alias("source"),

@@ -37,6 +37,8 @@ def test_meta_both_orders(spark):
         ("<META content='http://i/2.png' property='og:image' />", "b", "u"),
         ('<meta property="og:image">', "c", "u"),
         ('<meta property="og:image" content="http://i/4.png">', None, "u"),
+        ('<meta property="og:image" content="http://i/5.png">', "", "u"),
+        ('<meta property="og:image" content="http://i/6.png">', "f", ""),
         ('<meta property="og:title" content="x">', "e", "u"),
     ]
     df = spark.createDataFrame(html, "html string, name string, url string")
