@@ -82,11 +82,15 @@ _ITEM_TYPES = {
 
 
 def parse_items(raw: DataFrame) -> DataFrame:
-    """Item payloads -> typed item rows, plus ``load_pos`` (later wins)."""
+    """Item payloads -> typed item rows, plus ``load_pos`` (later wins).
+
+    The catalog loader never rejects a load over one odd value: text that is
+    not a number becomes NULL (``try_cast``).
+    """
     p = F.col("p")
     parsed = raw.select(parse_payload("payload", string_struct(list(ITEM_FIELDS))).alias("p"), "load_pos")
     return parsed.select(
-        *[p[f].cast(_ITEM_TYPES[f]).alias(f) if f in _ITEM_TYPES else p[f].alias(f) for f in ITEM_FIELDS],
+        *[p[f].try_cast(_ITEM_TYPES[f]).alias(f) if f in _ITEM_TYPES else p[f].alias(f) for f in ITEM_FIELDS],
         "load_pos",
     )
 
@@ -99,7 +103,7 @@ def parse_period_stats(raw: DataFrame) -> DataFrame:
     p = F.col("p")
     parsed = raw.select(parse_payload("payload", schema).alias("p"), "load_pos")
     stats = [
-        p[pr][s].cast("bigint" if s == "volume" else "double").alias(f"{pr}_{s}")
+        p[pr][s].try_cast("bigint" if s == "volume" else "double").alias(f"{pr}_{s}")
         for pr in PERIODS for s in PERIOD_STATS
     ]
     return parsed.select(p["market_hash_name"].alias("market_hash_name"), p["currency"].alias("currency"),
