@@ -152,9 +152,13 @@ def joined_books(
     product: DataFrame,
     tie_breaks_a: Sequence[Column] = (),
     tie_breaks_b: Sequence[Column] = (),
+    scale_b: float | None = None,
 ) -> DataFrame:
     """Latest row per (product, day) on each side, joined on product *and* day.
 
+    Prices are compared as they are (no unit or currency conversion);
+    ``scale_b`` multiplies side B's price when the markets quote differently.
+
     Both dedup windows are partitioned by (id_name, day) and the join is on
     the same columns, so the two window shuffles also serve the join. The
     product join comes last (broadcast when small). Returns
@@ -165,7 +169,8 @@ def joined_books(
     ).select("id_name", "day", F.col("suggested_price").alias("price_a"), "date_extracted")
     b = daily_latest(
         book_b.filter(F.col("date_extracted").isNotNull()), "id_name", "date_extracted", tie_breaks_b
-    ).select("id_name", "day", F.col("price").alias("price_b"))
+    ).select("id_name", "day", (F.col("price") if scale_b is None
+                                else F.col("price") * F.lit(scale_b)).alias("price_b"))
     ab = a.join(b, on=["id_name", "day"], how="inner")
     return join_dimension(ab, _product(product), "id_name").select(
         "item_name", "price_a", "price_b", "date_extracted"

@@ -88,3 +88,15 @@ def test_sales_history_latest_per_name_day(spark):
     p = spark.createDataFrame([("k1", "one")], "id_name string, name string")
     got = sorted((r.date_extracted, r.volume_24h) for r in marts.sales_history(h, p).collect())
     assert got == [(dt.date(2025, 11, 5), 2), (dt.date(2025, 11, 6), 3)]
+
+
+def test_books_scale_side_b(spark):
+    from pyspark.sql import functions as F
+
+    a = spark.createDataFrame([("k1", T2, Decimal(10))], f"id_name string, date_extracted timestamp, suggested_price {D}")
+    b = spark.createDataFrame([("k1", T1, Decimal(5))], f"id_name string, date_extracted timestamp, price {D}")
+    p = spark.createDataFrame([("k1", "one")], "id_name string, name string")
+    r = marts.arbitrage(marts.joined_books(a, b, p, scale_b=2.0)).collect()
+    assert r == []  # 10 vs 5 x 2: no gap
+    r = marts.order_books(marts.joined_books(a, b, p)).first()
+    assert r.price_diff == Decimal("5.0000")
