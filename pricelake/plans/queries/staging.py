@@ -152,27 +152,33 @@ def q_unpivot_periods(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("explode_trades", """
-SELECT CAST(l_orderkey AS VARCHAR) AS name, 730 AS app_id,
+SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS name, 730 AS app_id,
        strftime(l_shipdate, '%b %d %Y %H') || ': +0' AS ts_text, l_shipdate AS ts,
        l_extendedprice AS price, CAST(l_quantity AS BIGINT) AS amount,
        'steam_pricehistory' AS source, '5' AS currency, CAST(NULL AS VARCHAR) AS raw
 FROM lineitem
+UNION ALL
+SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR), 730,
+       strftime(l_shipdate, '%b %d %Y %H') || ': +0', l_shipdate,
+       l_extendedprice * (1 - l_discount), CAST(l_quantity AS BIGINT),
+       'steam_pricehistory', '5', CAST(NULL AS VARCHAR)
+FROM lineitem
 """)
 def q_explode_trades(spark: SparkSession, sf: str) -> DataFrame:
-    """Each order's lines as one trade-history payload (an order has at most a
-    handful of lines), exploded back to one row per line."""
+    """Each line as one trade-history payload holding two trades (list and
+    discounted price), exploded back to rows. No grouping: a payload is
+    built from its own row, so no key gathers rows anywhere."""
     li = fv.Tables(spark, sf).lineitem
-    triple = F.array(
-        F.concat(F.date_format("l_shipdate", "MMM dd yyyy HH"), F.lit(": +0")),
-        F.col("l_extendedprice").cast("string"),
-        F.col("l_quantity").cast("bigint").cast("string"),
+    when = F.concat(F.date_format("l_shipdate", "MMM dd yyyy HH"), F.lit(": +0"))
+    qty = F.col("l_quantity").cast("bigint").cast("string")
+    prices = F.array(
+        F.array(when, F.col("l_extendedprice").cast("string"), qty),
+        F.array(when, (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("string"), qty),
     )
-    # collect_list gains nothing from a map-side partial aggregate; shuffling by
-    # the order key first lets the grouping reuse that single shuffle.
-    li = li.repartition("l_orderkey")
-    docs = li.groupBy("l_orderkey").agg(F.collect_list(triple).alias("prices")).select(
-        F.col("l_orderkey").cast("string").alias("market_hash_name"),
-        F.to_json(F.struct("prices")).alias("payload"))
+    docs = li.select(
+        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+        .alias("market_hash_name"),
+        F.to_json(F.struct(prices.alias("prices"))).alias("payload"))
     out = trades.explode_trades(docs)
     return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
