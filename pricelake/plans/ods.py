@@ -136,7 +136,7 @@ def run_ods_day(
                 out[name] = None
                 continue
             tables.merge_partitions(spark, f"{root}/{name}", tables.with_day(rows), "day",
-                                    lambda t, s: merge.upsert(t, s, ODS_KEYS))
+                                    lambda t, s: merge.upsert(t, s, ODS_KEYS), sort_within=ODS_KEYS)
             out[name] = 0
         if fresh.book_b is not None:
             out["book_b"] = tables.VersionedTable(spark, f"{root}/book_b").replace(fresh.book_b)

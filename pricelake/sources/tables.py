@@ -113,10 +113,15 @@ def merge_partitions(
     part_col: str,
     op: Callable[[DataFrame, DataFrame], DataFrame],
     fmt: str = "parquet",
+    sort_within: Sequence[str] = (),
 ) -> None:
     """Merge ``source`` into the partitioned table at ``path`` with ``op(target, source)``,
     rewriting only the partitions ``source`` touches.
 
+    ``sort_within`` orders each partition's files by those columns, so
+    Parquet's per-row-group min/max lets readers that filter on them skip
+    most of a day (the order also satisfies the partitioned writer's own sort).
+
     The touched partition values (days: a calendar-bounded handful per load)
     are listed with one small distinct job and become a static partition
     filter, so the scan of the target opens only those partitions. The
@@ -149,6 +154,8 @@ def merge_partitions(
     finally:
         src.unpersist()
     staged = spark.read.format(fmt).load(staging)
+    if sort_within:
+        staged = staged.sortWithinPartitions(part_col, *sort_within)
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(part_col).format(fmt).save(path))
     fs, _ = _fs(spark, staging)

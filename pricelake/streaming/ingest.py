@@ -118,7 +118,8 @@ def _merge_staged(spark: SparkSession, batch: DataFrame, kind: str, ods_path: st
                 else merge.insert_ignore(cur.select(*PRODUCT_COLUMNS), fresh, ["id_name"]))
         rows = tables.with_day(staging.dedup_staged(staged).filter(F.col("date_extracted").isNotNull()))
         days = [r[0] for r in rows.select("day").distinct().limit(tables.MAX_LISTED_PARTITIONS + 1).collect()]
-        tables.merge_partitions(spark, ods_path, rows, "day", lambda t, s: merge.upsert(t, s, ODS_KEYS))
+        tables.merge_partitions(spark, ods_path, rows, "day", lambda t, s: merge.upsert(t, s, ODS_KEYS),
+                                sort_within=ODS_KEYS)
     finally:
         staged.unpersist()
     return days

@@ -79,3 +79,18 @@ def test_merge_partitions_reads_only_touched_days(spark, tmp, monkeypatch):
     assert "PartitionFilters: [" in seen["plan"] and "2025-11-02" in seen["plan"]
     got = sorted((r.day.day, r.v) for r in spark.read.parquet(path).collect())
     assert got == [(1, 1), (2, 5), (3, 1)]
+
+
+def test_merge_partitions_sorts_within_days(spark, tmp):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    path = os.path.join(tmp, "p")
+    rows = spark.createDataFrame([(f"k{i % 97:03d}", i, dt.date(2025, 11, 1 + i % 2)) for i in range(400)],
+                                 "k string, v int, day date").repartition(5)
+    tables.merge_partitions(spark, path, rows, "day", lambda t, s: merge.upsert(t, s, ["k", "day"]),
+                            sort_within=["k"])
+    for f in glob.glob(os.path.join(path, "day=*", "*.parquet")):
+        ks = pq.read_table(f, columns=["k"]).column("k").to_pylist()
+        assert ks == sorted(ks)
