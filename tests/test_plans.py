@@ -86,3 +86,9 @@ def test_day_filter_prunes_raw_partitions(spark, tmp):
     plan = _plan(day)
     assert "PartitionFilters: [isnotnull(ingest_date" in plan and "= 2025-11-02" in plan
     assert day.count() == 1 and day.select(F.col("ingest_date").cast("string")).first()[0] == "2025-11-02"
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_cross_or_nested_loop_joins(spark, name):
+    plan = _plan(QUERIES[name](spark, SF_SMALL))
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
