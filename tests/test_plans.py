@@ -92,3 +92,15 @@ def test_day_filter_prunes_raw_partitions(spark, tmp):
 def test_no_cross_or_nested_loop_joins(spark, name):
     plan = _plan(QUERIES[name](spark, SF_SMALL))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+@pytest.mark.parametrize("name,table,wide", [
+    ("check_orphans", "documents", "text"), ("check_null_keys", "documents", "text"),
+    ("null_profile", "documents", "text"), ("url_names", "pages", "html"), ("quality_report", "documents", "text"),
+])
+def test_wide_columns_are_pruned(spark, name, table, wide):
+    import re
+
+    plan = _plan(QUERIES[name](spark, SF_SMALL))
+    for scan in re.findall(r"FileScan parquet \[([^\]]*)\][^\n]*" + table + r"\.parquet", plan):
+        assert wide not in [c.split("#")[0] for c in scan.split(",")]
