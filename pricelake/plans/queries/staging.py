@@ -1,4 +1,4 @@
-"""Keys, JSON staging, catalog, unpivot and source operators."""
+"""Keys, JSON staging, catalog build, period unpivot and keep-latest on the driver tables."""
 
 from __future__ import annotations
 
@@ -10,9 +10,8 @@ from pricelake.functions.keys import uuid5
 from pricelake.operators import catalog, staging
 from pricelake.plans import fixture_views as fv
 from pricelake.plans.queries.base import _dbl, register, uuid5_sql, AS_OF, LOAD_TS
-from pricelake.sources import pages as pg
 from pricelake.sources import raw as rawsrc
-from pricelake.sources import trades
+
 
 @register("product_keys", f"""
 SELECT name, {uuid5_sql('name')} AS id_name FROM (SELECT DISTINCT p_name AS name FROM part)
@@ -151,81 +150,6 @@ def q_unpivot_periods(spark: SparkSession, sf: str) -> DataFrame:
     return _dbl(long, "min", "max")
 
 
-@register("explode_trades", """
-SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS name, 730 AS app_id,
-       strftime(l_shipdate, '%b %d %Y %H') || ': +0' AS ts_text, l_shipdate AS ts,
-       l_extendedprice AS price, CAST(l_quantity AS BIGINT) AS amount,
-       'steam_pricehistory' AS source, '5' AS currency, CAST(NULL AS VARCHAR) AS raw
-FROM lineitem
-UNION ALL
-SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR), 730,
-       strftime(l_shipdate, '%b %d %Y %H') || ': +0', l_shipdate,
-       l_extendedprice * (1 - l_discount), CAST(l_quantity AS BIGINT),
-       'steam_pricehistory', '5', CAST(NULL AS VARCHAR)
-FROM lineitem
-""")
-def q_explode_trades(spark: SparkSession, sf: str) -> DataFrame:
-    """Each line as one trade-history payload holding two trades (list and
-    discounted price), exploded back to rows. No grouping: a payload is
-    built from its own row, so no key gathers rows anywhere."""
-    li = fv.Tables(spark, sf).lineitem
-    when = F.concat(F.date_format("l_shipdate", "MMM dd yyyy HH"), F.lit(": +0"))
-    qty = F.col("l_quantity").cast("bigint").cast("string")
-    prices = F.array(
-        F.array(when, F.col("l_extendedprice").cast("string"), qty),
-        F.array(when, (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("string"), qty),
-    )
-    docs = li.select(
-        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
-        .alias("market_hash_name"),
-        F.to_json(F.struct(prices.alias("prices"))).alias("payload"))
-    out = trades.explode_trades(docs)
-    return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
-
-
-@register("page_meta", """
-SELECT page_id,
-  NULLIF(regexp_extract(html, '<html[^>]*\\slang="([^"]*)"', 1), '') AS lang,
-  NULLIF(regexp_extract(html, '<title>([^<]*)</title>', 1), '') AS title,
-  NULLIF(regexp_extract(html, '<meta[^>]*\\scharset="([^"]*)"', 1), '') AS charset,
-  CAST(NULL AS VARCHAR) AS og_image
-FROM pages
-""")
-def q_page_meta(spark: SparkSession, sf: str) -> DataFrame:
-    p = fv.Tables(spark, sf).pages
-    return p.select("page_id", pg.html_lang("html").alias("lang"), pg.html_title("html").alias("title"),
-                    pg.html_charset("html").alias("charset"), pg.meta_content("html", "og:image").alias("og_image"))
-
-
-@register("url_names", """
-SELECT page_id, trim(n) AS name FROM (
-  SELECT page_id, unnest(string_split(url_decode(regexp_extract(url, '[?&]utm_source=([^&#]*)', 1)), ',')) AS n
-  FROM pages WHERE regexp_extract(url, '[?&]utm_source=([^&#]*)', 1) <> ''
-) WHERE trim(n) <> ''
-""")
-def q_url_names(spark: SparkSession, sf: str) -> DataFrame:
-    return pg.names_from_url(fv.Tables(spark, sf).pages, "url", "utm_source", keep=("page_id",))
-
-
-@register("cheapest_lines", """
-SELECT l_partkey, l_orderkey, l_linenumber, l_suppkey, l_extendedprice, l_quantity FROM (
-  SELECT l.*, ROW_NUMBER() OVER (PARTITION BY l_partkey
-           ORDER BY l_extendedprice, l_orderkey, l_linenumber, l_quantity) AS rn
-  FROM lineitem l WHERE l_partkey IN (SELECT p_partkey FROM part)
-) WHERE rn <= 5
-""")
-def q_cheapest_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """The 5 cheapest lines of every listed part (the id list is the part table)."""
-    from pricelake.operators.latest import top_n_per_key
-
-    t = fv.Tables(spark, sf)
-    order = [F.col(c) for c in ("l_extendedprice", "l_orderkey", "l_linenumber", "l_quantity")]
-    top = top_n_per_key(t.lineitem, "l_partkey", order, 5, ids=t.part, id_col="p_partkey")
-    return top.select("l_partkey", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_quantity")
-
-
-
-
 @register("latest_event_per_user_day", """
 SELECT DISTINCT ON (user_id, CAST(ts AS DATE)) user_id, CAST(ts AS DATE) AS day, event_id, ts, event_type, value
 FROM events ORDER BY user_id, CAST(ts AS DATE), ts DESC, event_id DESC
@@ -237,19 +161,3 @@ def q_latest_event_per_user_day(spark: SparkSession, sf: str) -> DataFrame:
     ev = fv.Tables(spark, sf).events.withColumn("day", F.to_date("ts"))
     out = latest_per_key(ev, ["user_id", "day"], [F.col("ts").desc(), F.col("event_id").desc()])
     return out.select("user_id", "day", "event_id", "ts", "event_type", "value")
-
-
-@register("request_filter", """
-SELECT p_partkey, p_name AS market_hash_name, p_size FROM part
-WHERE p_size > 25 AND p_name IN (SELECT p_name FROM part WHERE p_type = 'ECONOMY')
-""")
-def q_request_filter(spark: SparkSession, sf: str) -> DataFrame:
-    """S11: the tradable flag as a row predicate and a name list (the names
-    of economy parts) as a semi join."""
-    from pricelake.operators.filters import request_filter
-
-    part = fv.Tables(spark, sf).part
-    items = part.select("p_partkey", F.col("p_name").alias("market_hash_name"), "p_size",
-                        (F.col("p_size") > 25).alias("tradable"))
-    names = part.filter(F.col("p_type") == "ECONOMY").select(F.col("p_name").alias("name"))
-    return request_filter(items, "tradable", names).drop("tradable")
