@@ -1,12 +1,16 @@
 """Raw payload rows -> typed ODS rows.
 
-Raw rows are ``payload STRING, created_at TIMESTAMP, ingest_date DATE`` with
-``ingest_date`` the partition column (UTC day of ``created_at``). Each staging
-function parses the payload once (``from_json`` with string leaves), derives
-the product key from the canonical name, and casts with ``nullif(x, '')``.
-
-The ODS step of a day is then ``latest_per_key`` on (id_name, date_extracted)
-followed by one merge — the staging is computed once and shared.
+Raw rows are ``payload STRING, created_at TIMESTAMP, ingest_date DATE,
+load_pos BIGINT`` with ``ingest_date`` the partition column (UTC day of
+``created_at``) and ``load_pos`` the element's position in its load. Each
+staging function parses the payload once (``from_json`` with string leaves),
+derives the product key from the canonical name, and casts with
+``nullif(x, '')``. It keeps ``src_ts``, ``src_pos`` and ``src_hash`` (a 64-bit
+payload hash) as compact tie-breaks instead of the payload text.
+
+The ODS step of a day is then ``dedup_staged`` (keep-latest on
+(id_name, date_extracted)) followed by one merge; the staging is computed
+once and shared with the catalog.
 """
 
 from __future__ import annotations
