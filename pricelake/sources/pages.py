@@ -78,3 +78,22 @@ def names_from_url(df: DataFrame, url_col: str, key: str = "market_hash_name", k
         .filter(F.col("name") != "")
     )
 
+
+
+def item_images(
+    items: DataFrame,
+    pages: DataFrame,
+    name_col: str = "market_hash_name",
+    page_col: str = "item_page",
+    url_col: str = "url",
+    html_col: str = "html",
+    limit: int | None = None,
+    extracted_at=None,
+) -> DataFrame:
+    """Image rows for items: each item's page (matched on its page URL in a
+    table of stored pages) -> its ``og:image``. Items without a name or page,
+    and pages without the tag, give no row; ``limit`` caps the hits."""
+    wanted = items.select(F.col(name_col).alias("name"), F.col(page_col).alias(url_col))
+    joined = wanted.join(pages.select(url_col, html_col), on=url_col, how="inner")
+    return extract_meta(joined, html_col=html_col, url_col=url_col, name_col="name",
+                        limit=limit, extracted_at=extracted_at)

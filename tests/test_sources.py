@@ -84,3 +84,12 @@ def test_load_raw_suffix_filter(spark, tmp):
             f.write(body)
     assert rawsrc.load_raw(spark, d, "2025-11-05 10:00:00", suffix=".json").count() == 1
     assert rawsrc.load_raw(spark, d, "2025-11-05 10:00:00").count() == 2
+
+
+def test_item_images(spark):
+    items = spark.createDataFrame([("A", "u1"), ("B", "u2"), ("C", None), (None, "u1")],
+                                  "market_hash_name string, item_page string")
+    pages = spark.createDataFrame([("u1", '<meta property="og:image" content="http://i/a.png">'),
+                                   ("u2", "<html></html>")], "url string, html string")
+    got = [(r.name, r.image_url, r.source) for r in pg.item_images(items, pages).collect()]
+    assert got == [("A", "http://i/a.png", "og_image")]
