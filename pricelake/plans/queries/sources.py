@@ -28,8 +28,10 @@ FROM lineitem
 def q_explode_trades(spark: SparkSession, sf: str) -> DataFrame:
     """Each line as one trade-history payload holding two trades (list and
     discounted price), exploded back to rows. No grouping: a payload is
-    built from its own row, so no key gathers rows anywhere."""
-    li = fv.Tables(spark, sf).lineitem
+    built from its own row, so no key gathers rows anywhere. The payload rows
+    are spread like a landed raw zone, which is read in many splits (the
+    driver's file is one row group)."""
+    li = fv.Tables(spark, sf).lineitem.repartition(fv.parallelism(spark))
     when = F.concat(F.date_format("l_shipdate", "MMM dd yyyy HH"), F.lit(": +0"))
     qty = F.col("l_quantity").cast("bigint").cast("string")
     prices = F.array(
