@@ -12,6 +12,10 @@ Every operator is written so that when the source is small enough to
 broadcast, the target is only *scanned* (anti/semi joins against the
 broadcast source keys) and never shuffled. When the source is big too, the
 same plans fall back to shuffle joins on the keys.
+
+The source is read up to three times (its keys for the anti and semi joins,
+its rows for the union). Persist it when it is costly to recompute;
+``sources.tables.merge_partitions`` does so for the duration of a merge.
 """
 
 from __future__ import annotations
