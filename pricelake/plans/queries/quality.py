@@ -209,3 +209,44 @@ def q_check_orders_without_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Orphans the other way round: the referenced table is the big fact table."""
     t = fv.Tables(spark, sf)
     return qc.orphans(t.orders, t.lineitem, "o_orderkey", "l_orderkey", show=["o_orderkey", "o_orderstatus"])
+
+
+def _fixture_ods(t: fv.Tables):
+    """An ODS built from the driver tables: customers as products keyed by the
+    name's key; views/clicks as book A (a view's max price is half its min:
+    an invalid row); purchases as book B priced 100 lower (some negative)."""
+    from pricelake.plans.ods import Ods
+
+    cust = t.customer.select("c_custkey", F.col("c_name").alias("name"), uuid5("c_name").alias("id_name"))
+    product = cust.select("id_name", "name", F.lit(None).cast("string").alias("item_page"),
+                          F.lit(None).cast("string").alias("market_page"))
+    ev = t.events.join(F.broadcast(cust.select(F.col("c_custkey").alias("user_id"), "id_name")), "user_id")
+    v = F.col("value").cast("decimal(18,4)")
+    book_a = ev.filter(F.col("event_type").isin("view", "click")).select(
+        "id_name", F.col("ts").cast("timestamp").alias("date_extracted"), v.alias("suggested_price"),
+        v.alias("min_price"),
+        F.when(F.col("event_type") == "view", v / 2).otherwise(v).cast("decimal(18,4)").alias("max_price"),
+        F.lit(None).cast("decimal(18,4)").alias("mean_price"), F.lit(None).cast("decimal(18,4)").alias("median_price"))
+    book_b = ev.filter(F.col("event_type") == "purchase").select(
+        "id_name", F.col("ts").cast("timestamp").alias("date_extracted"), (v - 100).alias("price"))
+    return Ods(product=product, book_a=book_a, book_b=book_b)
+
+
+@register("ods_quality_report", """
+WITH e AS (SELECT * FROM events WHERE user_id IN (SELECT c_custkey FROM customer)),
+r AS (
+  SELECT 'book_a: invalid price values' AS "check", COUNT(*) AS violations
+  FROM e WHERE event_type = 'view'
+  UNION ALL SELECT 'book_a: future dates', COUNT(*) FROM e
+  WHERE event_type IN ('view', 'click') AND ts > TIMESTAMP '2024-01-30 00:00:00' + INTERVAL 5 MINUTE
+  UNION ALL SELECT 'book_b: negative price', COUNT(*) FROM e WHERE event_type = 'purchase' AND value < 100
+  UNION ALL SELECT 'book_b: future dates', COUNT(*) FROM e
+  WHERE event_type = 'purchase' AND ts > TIMESTAMP '2024-01-30 00:00:00' + INTERVAL 5 MINUTE
+)
+SELECT "check", violations FROM r WHERE violations > 0
+""")
+def q_ods_quality_report(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole ODS suite (every check of every table, one job) on the fixture ODS."""
+    from pricelake.plans.ods_checks import ods_report
+
+    return ods_report(_fixture_ods(fv.Tables(spark, sf)), AS_OF_TS).select("check", "violations")
