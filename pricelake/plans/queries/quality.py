@@ -236,7 +236,7 @@ def _fixture_ods(t: fv.Tables):
 WITH e AS (SELECT * FROM events WHERE user_id IN (SELECT c_custkey FROM customer)),
 r AS (
   SELECT 'book_a: invalid price values' AS "check", COUNT(*) AS violations
-  FROM e WHERE event_type = 'view'
+  FROM e WHERE event_type = 'view' AND CAST(value AS DECIMAL(18,4)) > CAST(value AS DECIMAL(18,4)) / 2
   UNION ALL SELECT 'book_a: future dates', COUNT(*) FROM e
   WHERE event_type IN ('view', 'click') AND ts > TIMESTAMP '2024-01-30 00:00:00' + INTERVAL 5 MINUTE
   UNION ALL SELECT 'book_b: negative price', COUNT(*) FROM e WHERE event_type = 'purchase' AND value < 100
