@@ -63,9 +63,14 @@ class VersionedTable:
     def path_of(self, version: int) -> str:
         return f"{self.root}/{_PREFIX}{version:06d}"
 
-    def read(self) -> DataFrame | None:
-        v = self.current()
-        return None if v is None else self.spark.read.format(self.fmt).load(self.path_of(v))
+    def read(self, version: int | None = None) -> DataFrame | None:
+        """The current content, or a given committed ``version`` (kept until pruned)."""
+        v = self.current() if version is None else version
+        if v is None:
+            return None
+        if version is not None and version not in self.versions():
+            raise ValueError(f"no committed version {version} under {self.root}")
+        return self.spark.read.format(self.fmt).load(self.path_of(v))
 
     def write(self, df: DataFrame, partition_by: Sequence[str] = ()) -> int:
         """Write ``df`` as the next version and return its number."""

@@ -14,6 +14,7 @@ def test_versioned_table_replace_and_prune(spark, tmp):
     t.replace(spark.range(3))
     t.apply(lambda cur: merge.append(cur, spark.range(10, 12)))
     assert t.versions() == [1, 2] and t.read().count() == 5
+    assert t.read(version=1).count() == 3
     assert t.prune(keep=1) == [1] and t.versions() == [2]
 
 
