@@ -250,3 +250,17 @@ def q_ods_quality_report(spark: SparkSession, sf: str) -> DataFrame:
     from pricelake.plans.ods_checks import ods_report
 
     return ods_report(_fixture_ods(fv.Tables(spark, sf)), AS_OF_TS).select("check", "violations")
+
+
+@register("ods_book_a_summary", """
+SELECT COUNT(*) AS rows_total,
+       CAST(SUM(0) AS BIGINT) AS null_min, CAST(SUM(0) AS BIGINT) AS null_max,
+       CAST(COUNT(*) AS BIGINT) AS null_mean, CAST(COUNT(*) AS BIGINT) AS null_median
+FROM events WHERE event_type IN ('view', 'click') AND user_id IN (SELECT c_custkey FROM customer)
+""")
+def q_ods_book_a_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """The book-A summary of the ODS suite (row total and NULLs per price) on the fixture ODS."""
+    from pricelake.plans.ods_checks import ods_summaries
+
+    out = ods_summaries(_fixture_ods(fv.Tables(spark, sf)))["book_a"]
+    return out.withColumns({c: F.col(c).cast("bigint") for c in out.columns if c.startswith("null_")})
