@@ -157,3 +157,19 @@ def test_ods_day_dataframe_api(spark, tmp):
     for name in ("product", "book_a", "history", "book_b"):
         assert rows(getattr(first, name)) == rows(getattr(second, name)), name
     assert first.product.count() == 3 and first.book_b.count() == 4
+
+
+def test_tables_match_declared_schemas(spark, tmp):
+    from pricelake.plans import schemas
+
+    paths = _docs(tmp)
+    raw = ods.Raw(**{k: rawsrc.load_raw(spark, p, TS) for k, p in paths.items()})
+    assert [(f.name, f.dataType) for f in raw.items.schema.fields] == \
+        [(f.name, f.dataType) for f in schemas.RAW.fields]
+    o = ods.ods_day(raw, ods.Ods(), DAY)
+    for name, schema in schemas.ODS.items():
+        got = [(f.name, f.dataType) for f in getattr(o, name).schema.fields]
+        assert got == [(f.name, f.dataType) for f in schema.fields], name
+    for name, df in mart_refresh.mart_rows(o).items():
+        got = [(f.name, f.dataType) for f in df.schema.fields]
+        assert got == [(f.name, f.dataType) for f in schemas.MARTS[name].fields], name
