@@ -25,16 +25,21 @@ def _stamp(df: DataFrame, ingest_ts) -> DataFrame:
     return df.select("payload", ts.alias("created_at"), F.to_date(ts).alias("ingest_date"), "load_pos")
 
 
-def documents_to_payloads(docs: DataFrame, text_col: str = "value") -> DataFrame:
+def documents_to_payloads(docs: DataFrame, text_col: str = "value", lenient: bool = False) -> DataFrame:
     """One row per element of a root array, one row for a root object,
-    none for an empty array or a scalar; each payload is the element's JSON text."""
+    none for an empty array or a scalar; each payload is the element's JSON text.
+
+    A malformed document fails the load (as a JSON reader would), unless
+    ``lenient``, which skips it.
+    """
     v = F.trim(F.col(text_col))
     as_array = (
         F.when(v.startswith("["), v)
         .when(v.startswith("{"), F.concat(F.lit("["), v, F.lit("]")))
     )
+    mode = {"mode": "PERMISSIVE" if lenient else "FAILFAST"}
     return (
-        docs.select(F.posexplode(F.from_json(as_array, "array<string>")).alias("load_pos", "payload"))
+        docs.select(F.posexplode(F.from_json(as_array, "array<string>", mode)).alias("load_pos", "payload"))
         .filter(F.col("payload").isNotNull())
         .select("payload", F.col("load_pos").cast("bigint").alias("load_pos"))
     )
@@ -46,6 +51,7 @@ def load_raw(
     ingest_ts,
     json_lines: bool = False,
     suffix: str | None = None,
+    lenient: bool = False,
 ) -> DataFrame:
     """Load JSON documents as raw payload rows stamped with ``ingest_ts``.
 
@@ -53,14 +59,15 @@ def load_raw(
     object), read whole — one task per file, so land big feeds as JSON lines.
     ``json_lines=True``: one JSON value per line; the reader splits files, so
     this is the route that scales. ``suffix`` (e.g. ``".json"``) takes only
-    files whose name ends with it.
+    files whose name ends with it. A malformed document fails the load unless
+    ``lenient``.
     """
     reader = spark.read.option("pathGlobFilter", f"*{suffix}") if suffix else spark.read
     if json_lines:
         lines = reader.text(path).filter(F.trim("value") != "")
         docs = lines.select(F.col("value").alias("payload"), F.monotonically_increasing_id().alias("load_pos"))
     else:
-        docs = documents_to_payloads(reader.text(path, wholetext=True))
+        docs = documents_to_payloads(reader.text(path, wholetext=True), lenient=lenient)
     return _stamp(docs, ingest_ts)
 
 

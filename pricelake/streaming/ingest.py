@@ -29,7 +29,9 @@ def raw_stream(spark: SparkSession, in_path: str, json_lines: bool = True, max_f
 
     The load time is the landed file's modification time: a batch that is
     run again after a failure stamps its rows exactly as the first time, so
-    the keyed merges downstream absorb the repeat.
+    the keyed merges downstream absorb the repeat. A malformed whole
+    document is skipped: failing the batch would stall the stream on that
+    file for good (the batch loader ``sources.raw.load_raw`` fails instead).
     """
     reader = spark.readStream.format("text")
     if max_files:

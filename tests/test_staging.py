@@ -115,3 +115,15 @@ def test_lenient_staging(spark):
     with pytest.raises(Exception):
         staging.stage_book_a(raw).collect()
     assert staging.stage_book_a(raw, lenient=True).first().suggested_price is None
+
+
+def test_malformed_document_fails_unless_lenient(spark, tmp):
+    import pytest
+
+    d = os.path.join(tmp, "bad")
+    os.makedirs(d)
+    _write(os.path.join(d, "ok.json"), [{"name": "x"}])
+    _write(os.path.join(d, "bad.json"), '[{"name": }')
+    with pytest.raises(Exception):
+        rawsrc.load_raw(spark, d, TS).collect()
+    assert rawsrc.load_raw(spark, d, TS, lenient=True).count() == 1
