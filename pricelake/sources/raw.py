@@ -94,9 +94,16 @@ def payloads_from_rows(
     )
 
 
-def land(raw: DataFrame, path: str, fmt: str = "parquet") -> None:
+def land(raw: DataFrame, path: str, fmt: str = "parquet", stamp=None) -> None:
     """Write raw rows partitioned by ``ingest_date``; re-landing a day replaces
-    that day only (dynamic partition overwrite), other days stay."""
+    that day only (dynamic partition overwrite), other days stay.
+
+    ``stamp`` (a date) files the rows under that day instead of their load
+    day, e.g. a run's logical date when a past day is loaded late.
+    """
+    if stamp is not None:
+        day = stamp if isinstance(stamp, _dt.date) else _dt.date.fromisoformat(str(stamp)[:10])
+        raw = raw.withColumn("ingest_date", F.lit(day))
     (raw.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("ingest_date").format(fmt).save(path))
 

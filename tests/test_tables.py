@@ -95,3 +95,12 @@ def test_merge_partitions_sorts_within_days(spark, tmp):
     for f in glob.glob(os.path.join(path, "day=*", "*.parquet")):
         ks = pq.read_table(f, columns=["k"]).column("k").to_pylist()
         assert ks == sorted(ks)
+
+
+def test_land_with_a_stamp(spark, tmp):
+    path = os.path.join(tmp, "raw")
+    rows = rawsrc.payloads_from_rows(spark.createDataFrame([("x",)], "payload string"),
+                                     ingest_ts="2025-11-05 10:00:00")
+    rawsrc.land(rows, path, stamp="2025-11-03")
+    got = rawsrc.read_raw(spark, path).select("ingest_date").collect()
+    assert [r.ingest_date for r in got] == [dt.date(2025, 11, 3)]
