@@ -35,6 +35,8 @@ def latest_per_key(
     """
     if n < 1:
         raise ValueError("n must be >= 1")
+    if not order:
+        raise ValueError("an order is required: without one the survivor would be arbitrary")
     w = Window.partitionBy(*_cols(keys)).orderBy(*order)
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) <= n).drop(_RN)
 

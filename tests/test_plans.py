@@ -104,3 +104,12 @@ def test_wide_columns_are_pruned(spark, name, table, wide):
     plan = _plan(QUERIES[name](spark, SF_SMALL))
     for scan in re.findall(r"FileScan parquet \[([^\]]*)\][^\n]*" + table + r"\.parquet", plan):
         assert wide not in [c.split("#")[0] for c in scan.split(",")]
+
+
+def test_latest_needs_an_order(spark):
+    from pricelake.operators.latest import latest_per_key
+
+    with pytest.raises(ValueError):
+        latest_per_key(spark.range(3), ["id"], [])
+    with pytest.raises(ValueError):
+        latest_per_key(spark.range(3), ["id"], [spark.range(1).id], n=0)
