@@ -25,12 +25,14 @@ def _stamp(df: DataFrame, ingest_ts) -> DataFrame:
     return df.select("payload", ts.alias("created_at"), F.to_date(ts).alias("ingest_date"), "load_pos")
 
 
-def documents_to_payloads(docs: DataFrame, text_col: str = "value", lenient: bool = False) -> DataFrame:
+def documents_to_payloads(
+    docs: DataFrame, text_col: str = "value", lenient: bool = False, keep: Sequence[str] = ()
+) -> DataFrame:
     """One row per element of a root array, one row for a root object,
     none for an empty array or a scalar; each payload is the element's JSON text.
 
     A malformed document fails the load (as a JSON reader would), unless
-    ``lenient``, which skips it.
+    ``lenient``, which skips it. ``keep`` columns of ``docs`` ride along.
     """
     v = F.trim(F.col(text_col))
     as_array = (
@@ -39,9 +41,9 @@ def documents_to_payloads(docs: DataFrame, text_col: str = "value", lenient: boo
     )
     mode = {"mode": "PERMISSIVE" if lenient else "FAILFAST"}
     return (
-        docs.select(F.posexplode(F.from_json(as_array, "array<string>", mode)).alias("load_pos", "payload"))
+        docs.select(F.posexplode(F.from_json(as_array, "array<string>", mode)).alias("load_pos", "payload"), *keep)
         .filter(F.col("payload").isNotNull())
-        .select("payload", F.col("load_pos").cast("bigint").alias("load_pos"))
+        .select("payload", F.col("load_pos").cast("bigint").alias("load_pos"), *keep)
     )
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pricelake.operators import merge, staging
 from pricelake.plans.ods import ODS_KEYS
 from pricelake.sources import tables
+from pricelake.sources.raw import documents_to_payloads
 
 BatchFn = Callable[[DataFrame, int], None]
 
@@ -42,11 +43,7 @@ def raw_stream(spark: SparkSession, in_path: str, json_lines: bool = True, max_f
         docs = stamped.filter(F.trim("value") != "").select(
             F.col("value").alias("payload"), F.lit(None).cast("bigint").alias("load_pos"), "__ts")
     else:
-        v = F.trim(F.col("value"))
-        as_array = F.when(v.startswith("["), v).when(v.startswith("{"), F.concat(F.lit("["), v, F.lit("]")))
-        docs = (stamped.select(F.posexplode(F.from_json(as_array, "array<string>")).alias("load_pos", "payload"), "__ts")
-                .filter(F.col("payload").isNotNull())
-                .select("payload", F.col("load_pos").cast("bigint").alias("load_pos"), "__ts"))
+        docs = documents_to_payloads(stamped, lenient=True, keep=("__ts",))
     ts = F.col("__ts")
     return docs.select("payload", ts.alias("created_at"), F.to_date(ts).alias("ingest_date"), "load_pos")
 
