@@ -45,7 +45,8 @@ def test_stream_refreshes_marts_of_touched_days(spark, tmp):
     ingest.ingest_stream(spark, landing, ckpt, ingest.merge_and_refresh_batch(spark, ods_root, marts_root, "history"))
     vol = spark.read.parquet(os.path.join(marts_root, "volatility")).collect()
     assert len(vol) == 1 and vol[0].volatility_index == 0.4
-    assert vol[0].date_extracted == dt.datetime.now(dt.timezone.utc).date()
+    landed = dt.datetime.fromtimestamp(os.path.getmtime(os.path.join(landing, "h1.jsonl")), dt.timezone.utc)
+    assert vol[0].date_extracted == landed.date()
     prod = tables.VersionedTable(spark, os.path.join(ods_root, "product")).read()
     assert [r.name for r in prod.collect()] == ["AK-47 | Redline"]
 
