@@ -148,6 +148,12 @@ def test_two_days(spark, tmp):
     assert {r.check for r in rep.collect()} == {"history: invariants broken for last_7_days"}
     # checking only the day just loaded: day 1's fault is not in it
     ods_checks.check_ods_root(spark, ods_root, "2025-11-06 12:00:00", days=["2025-11-06"])
+    import pytest
+
+    from pricelake.operators.quality import QualityError
+
+    with pytest.raises(QualityError):  # ... but checking day 1 finds it
+        ods_checks.check_ods_root(spark, ods_root, "2025-11-06 12:00:00", days=[dt.date(2025, 11, 5)])
 
 
 def test_ods_day_dataframe_api(spark, tmp):
