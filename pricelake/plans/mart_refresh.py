@@ -21,9 +21,12 @@ _UPSERT = {"sales_history", "group_analytics", "volatility"}
 
 
 def _only_days(df: DataFrame | None, days: Sequence | None) -> DataFrame | None:
+    """Rows of the given UTC days. Day-partitioned ODS tables are filtered on
+    their ``day`` partition column, so only those days' files are read."""
     if df is None or days is None:
         return df
-    return df.filter(F.to_date("date_extracted").isin(list(days)))
+    col = F.col("day") if "day" in df.columns else F.to_date("date_extracted")
+    return df.filter(col.isin(list(days)))
 
 
 def mart_rows(

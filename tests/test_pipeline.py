@@ -181,3 +181,16 @@ def test_tables_match_declared_schemas(spark, tmp):
     for name, df in mart_refresh.mart_rows(o).items():
         got = [(f.name, f.dataType) for f in df.schema.fields]
         assert got == [(f.name, f.dataType) for f in schemas.MARTS[name].fields], name
+
+
+def test_day_scoped_marts_prune_partitions(spark, tmp):
+    paths = _docs(tmp)
+    raw_root, ods_root = os.path.join(tmp, "raw"), os.path.join(tmp, "ods")
+    for name, p in paths.items():
+        rawsrc.land(rawsrc.load_raw(spark, p, TS), os.path.join(raw_root, name))
+    ods.run_ods_day(spark, raw_root, ods_root, DAY)
+    o = ods.read_ods(spark, ods_root)
+    rows_ = mart_refresh.mart_rows(o, days=[DAY])
+    plan = rows_["sales_history"]._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and "2025-11-05" in plan
+    assert rows_["sales_history"].count() == 2
