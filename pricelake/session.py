@@ -66,10 +66,12 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     On a cluster that setting points at shared storage and is used as is. Only
     when it is unset (local runs, tests) do we set a scratch folder ourselves.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
+    sc = spark.sparkContext
+    in_context = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
+    current = spark.conf.get("spark.checkpoint.dir", None) or in_context
     if current:
+        if not in_context:
+            sc.setCheckpointDir(current)  # DataFrame.checkpoint() lands in the same shared folder
         return current
     master = spark.sparkContext.master or ""
     if fallback is None and not master.startswith("local"):
