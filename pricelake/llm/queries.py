@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pricelake.llm.bpe import encode_documents
 from pricelake.llm.line_dedup import dedup_lines
 from pricelake.llm.simhash import near_duplicates
+from pricelake.llm.toxicity import fit, score_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -62,3 +63,16 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return encode_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
                             public_tokenizers.PATTERN, ids=False, digests=True)
+
+
+def fold(folds: int):
+    """crc32 of doc_id as text, modulo ``folds``."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = fit(docs, labels, fold(3) != 1)
+    return score_documents(docs, model).select("doc_id", (fold(3) == 1).alias("held_out"), "score", "predicted")
