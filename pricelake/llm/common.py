@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from pricelake.session import ensure_checkpoint_dir
 
+#: Spark's own setting that removes a query's shuffle files when it has ended.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 #: Column names the operators add to a row while they work on it.
 KEY_ID, KEY_HASH = "__llm_id", "__llm_hash"
 
@@ -27,11 +30,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared checkpoint folder and read again.
 
     It cuts the lineage: a lost executor costs no earlier stage, and every
-    later reader sees the same rows.
+    later reader sees the same rows. The shuffle files of the write are of no
+    further use and go with its end, so that steps don't add up on disk.
     """
     spark = df.sparkSession
     path = os.path.join(ensure_checkpoint_dir(spark), f"llm-{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

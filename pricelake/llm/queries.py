@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelake.llm.bpe import encode_documents
+from pricelake.llm.decontaminate import find_contamination
 from pricelake.llm.line_dedup import dedup_lines
+from pricelake.llm.seed_extend import dedup_substrings
 from pricelake.llm.simhash import near_duplicates
 from pricelake.llm.toxicity import fit, score_documents
 
@@ -76,3 +78,17 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = fit(docs, labels, fold(3) != 1)
     return score_documents(docs, model).select("doc_id", (fold(3) == 1).alias("held_out"), "score", "predicted")
+
+
+@query
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), window=10)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query
+def op8_seed_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = dedup_substrings(documents(spark, sf_dir), width=13)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))

@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from pricelake.llm.common import arrow_rows, pieces, stored
 from pricelake.llm.components import components
-from pricelake.llm.symbols import text_buffer, word_spans
+from pricelake.llm.symbols import LOWER, text_buffer, word_spans
 
 #: Blocks that two linked fingerprints must share; more blocks make smaller buckets and more copies.
 KEEP = 2
@@ -42,14 +42,10 @@ TILE = 2048
 #: The hash seed of the fingerprints.
 SEED = 42
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[ord("A"): ord("Z") + 1] += 32
-
-
 def fingerprints_of(texts: pa.Array, shingle: int) -> np.ndarray:
     """The 64-bit fingerprint of each text."""
     raw, offsets = text_buffer(texts)
-    raw = _LOWER[raw]
+    raw = LOWER[raw]
     starts, ends, first = word_spans(raw, offsets)
     joined, shift = _single_spaced(raw, starts, ends)
     hashes, owner = [], []

@@ -67,14 +67,21 @@ def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]: offsets[-1]], offsets - offsets[0]
 
 
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-
-
-def word_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Byte starts and ends of the words ``[^\\x20\\x09-\\x0D]+`` and the number of words before each document."""
+#: Bytes of the words ``[^\\x20\\x09-\\x0D]+``.
+NOT_BLANK = np.ones(256, dtype=bool)
+NOT_BLANK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
+#: Bytes of the words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+``: digits, a-z and all of non-ASCII characters.
+ALNUM = np.zeros(256, dtype=bool)
+ALNUM[0x30:0x3A] = ALNUM[0x61:0x7B] = ALNUM[0x80:] = True
+#: A-Z to a-z.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[0x41:0x5B] += 32
+
+
+def word_spans(raw: np.ndarray, offsets: np.ndarray, kind: np.ndarray = NOT_BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte starts and ends of the words (runs of ``kind`` bytes) and the number of words before each document."""
     inside = np.zeros(len(raw) + 2, dtype=bool)
-    np.logical_not(_SPACE[raw], out=inside[1:-1])
+    inside[1:-1] = kind[raw]
     edge = np.zeros(len(raw) + 1, dtype=bool)
     edge[offsets] = True
     starts = np.flatnonzero(inside[1:] & (~inside[:-1] | edge))
@@ -96,31 +103,37 @@ def _sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(out[: len(out) - rest], out[rest:]) if rest else out
 
 
-def window_runs(symbols: np.ndarray, doc_starts: np.ndarray, k: int, width: int):
+def window_runs(symbols: np.ndarray, doc_starts: np.ndarray, k: int, width: int, chunk: int = 1 << 20):
     """Winnow a batch: runs of consecutive ``width``-windows with one anchor.
 
     The anchor of a window is its leftmost k-gram of least hash. It depends on
     the window's content alone, so equal windows have equal anchors at equal
     offsets. Returns (doc, first, count, anchor hash, anchor position) per run; windows
     first .. first+count-1 (symbol positions in the batch) share the anchor.
+    At most ``chunk`` windows are worked on at once; a run may end where a chunk does.
     """
-    n = len(symbols)
-    empty = np.zeros(0, dtype=np.int64)
-    if n < width:
+    n = len(symbols) - width + 1
+    parts = [_runs_of(symbols[b: b + chunk + width - 1], b, doc_starts, k, width) for b in range(0, max(0, n), chunk)]
+    if not parts:
+        empty = np.zeros(0, dtype=np.int64)
         return empty, empty, empty, empty.astype(np.uint64), empty
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+def _runs_of(symbols: np.ndarray, begin: int, doc_starts: np.ndarray, k: int, width: int):
+    n = len(symbols)
     at = np.arange(n - k + 1, dtype=np.int64)
     gram = RunHash(symbols, BASE_B).of(at, at + k)
-    bits = max(1, int(n).bit_length())
-    low = np.uint64((1 << bits) - 1)
+    low = np.uint64((1 << int(n).bit_length()) - 1)
+    # The hash's high bits and the position in one number: the least of a window names the leftmost least k-gram.
     least = _sliding_min((gram & ~low) | at.astype(np.uint64), width - k + 1) & low
     start = np.arange(n - width + 1, dtype=np.int64)
-    doc = np.searchsorted(doc_starts, start, side="right") - 1
-    fits = start + width <= doc_starts[doc + 1]
+    doc = np.searchsorted(doc_starts, start + begin, side="right") - 1
+    fits = start + begin + width <= doc_starts[doc + 1]
     new = np.ones(len(start), dtype=bool)
     new[1:] = (least[1:] != least[:-1]) | (doc[1:] != doc[:-1]) | ~fits[:-1]
     new &= fits
     first = np.flatnonzero(new)
-    bounds = np.append(first, len(start))
-    counts = np.add.reduceat(fits.astype(np.int64), bounds[:-1]) if len(first) else empty
+    counts = np.add.reduceat(fits.astype(np.int64), first) if len(first) else first
     where = least[first].astype(np.int64)
-    return doc[first], first, counts, gram[where], where
+    return doc[first], first + begin, counts, gram[where], where + begin
