@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelake.llm.bpe import encode_documents
+from pricelake.llm.columnwise import dedup_bytes
 from pricelake.llm.decontaminate import find_contamination
 from pricelake.llm.line_dedup import dedup_lines
 from pricelake.llm.seed_extend import dedup_substrings
@@ -92,3 +93,9 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_seed_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_substrings(documents(spark, sf_dir), width=13)
     return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = dedup_bytes(documents(spark, sf_dir), width=200)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
