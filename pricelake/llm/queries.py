@@ -11,6 +11,7 @@ from pricelake.llm.bpe import encode_documents
 from pricelake.llm.columnwise import dedup_bytes
 from pricelake.llm.decontaminate import find_contamination
 from pricelake.llm.line_dedup import dedup_lines
+from pricelake.llm.quality import assess
 from pricelake.llm.seed_extend import dedup_substrings
 from pricelake.llm.simhash import near_duplicates
 from pricelake.llm.toxicity import fit, score_documents
@@ -99,3 +100,9 @@ def op8_seed_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_bytes(documents(spark, sf_dir), width=200)
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assess(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
