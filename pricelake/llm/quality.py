@@ -36,8 +36,10 @@ class Rules:
 
     min_words: int = 50
     max_repeat_share: float = 0.5
-    #: A line must end in one of these, closing quotes and brackets aside.
-    terminal: str = r"[.!?…。！？:;][\"'”’»)\]]*$"
+    #: What ends a sentence, closing quotes and brackets aside.
+    sentence_end: str = r"[.!?…。！？:;][\"'”’»)\]]*(?=$|\s)"
+    #: A line that doesn't end a sentence must have so many sentence ends inside.
+    min_sentences: int = 2
     #: Symbols and separators a word at most.
     max_symbols_per_word: float = 0.3
     #: Repeated exclamation or question marks a word at most.
@@ -62,7 +64,8 @@ def line_fails(line: Column, rules: Rules = Rules()) -> Column:
     letters = F.regexp_count(line, F.lit(r"\p{L}"))
     capitals = F.regexp_count(line, F.lit(r"\p{Lu}"))
     return (F.when(F.length(line) == 0, F.lit(None))
-            .when(~line.rlike(rules.terminal), F.lit("punctuation"))
+            .when(~line.rlike(rules.sentence_end.replace(r"(?=$|\s)", "$"))
+                  & (F.regexp_count(line, F.lit(rules.sentence_end)) < rules.min_sentences), F.lit("punctuation"))
             .when(shouts > rules.max_shouts_per_word * words, F.lit("punctuation"))
             .when(symbols > rules.max_symbols_per_word * words, F.lit("navigation"))
             .when((words > 3) & (capitals > rules.max_capitals * letters), F.lit("navigation"))
