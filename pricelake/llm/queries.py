@@ -11,6 +11,7 @@ from pricelake.llm.bpe import encode_documents
 from pricelake.llm.columnwise import dedup_bytes
 from pricelake.llm.decontaminate import find_contamination
 from pricelake.llm.line_dedup import dedup_lines
+from pricelake.llm.ngram_trie import score_documents as lm_scores
 from pricelake.llm.pii import KINDS, find_personal_data, listed
 from pricelake.llm.quality import assess
 from pricelake.llm.seed_extend import dedup_substrings
@@ -114,3 +115,9 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_personal_data(documents(spark, sf_dir))
     counts = [F.expr(f"cast(size(filter(base, x -> x.kind = {k})) AS bigint)").alias(f"n_{kind}") for k, kind in enumerate(KINDS)]
     return found.select("doc_id", *counts, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
+@query
+def op5_lm_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lm_scores(documents(spark, sf_dir), fold(5) != 1)
+    return out.select("doc_id", (fold(5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
