@@ -1,7 +1,7 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-Training sees confirmed toxic documents (positives) and other documents of
-unknown kind (unlabelled, toxic ones among them). With the class prior p, the
+Training sees confirmed toxic documents (positives) and a sample of all
+documents, their labels unseen (unlabelled, toxic ones among them). With the class prior p, the
 risk of calling everything right is estimated as
 
     p * R_pos(+) + max(0, R_unl(-) - p * R_pos(-))
@@ -52,7 +52,7 @@ class Settings:
     min_docs: int = 5
     rounds: int = 600
     learning_rate: float = 0.05
-    l2: float = 5e-3
+    l2: float = 1e-3
     threshold: float = 0.7
     seed: int = 7
 
@@ -98,7 +98,8 @@ def training_texts(docs: DataFrame, labels: DataFrame, learn: Column, settings:
         return None, 0.0
     mixed = F.xxhash64(F.col("doc_id"), F.lit(settings.seed))
     confirmed = known.filter("toxic = 1").select("doc_id").distinct()
-    others = docs.filter(learn).select("doc_id").join(confirmed, "doc_id", "left_anti").distinct()
+    # The unlabelled sample stands for all text, toxic documents included: that is what the prior speaks of.
+    others = docs.filter(learn).select("doc_id").distinct()
     chosen = _sample(confirmed, settings.max_positive, mixed).withColumn("toxic", F.lit(True)).unionByName(
         _sample(others, settings.max_unlabelled, mixed).withColumn("toxic", F.lit(False)))
     # The list is bounded by the settings, so its join with the documents is a broadcast.
