@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricelake.llm.common import KEY_HASH, KEY_ID, arrow_rows, attach, keyed, pieces, stored
+from pricelake.llm.common import KEY_HASH, KEY_ID, arrow_rows, attach, keyed, pieces, stored, with_key
 from pricelake.llm.symbols import ALNUM, LOWER, RunHash, text_buffer, word_hashes, word_spans
 from pricelake.operators.joins import maybe_broadcast
 
@@ -151,6 +151,17 @@ def _probed(docs: DataFrame, sizes: list[int], bounds: np.ndarray, window: int)
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_words, n_hit, items) per document: words, words inside benchmark windows, sorted ids of the items found."""
+    return _found(docs, benchmark, window, id_col, text_col).select(F.col(KEY_ID).alias(id_col), "n_words", "n_hit", "items")
+
+
+def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the documents that hold a window of an item; all columns stay."""
+    leaks = _found(docs, benchmark, window, id_col, text_col).filter("n_hit > 0").select(KEY_ID, KEY_HASH).distinct()
+    return attach(with_key(docs, id_col, text_col), leaks, "left_anti").drop(KEY_ID, KEY_HASH)
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
+    """(key, n_words, n_hit, items) per document."""
     spark = docs.sparkSession
     arrow_rows(spark)
     slim = keyed(docs, id_col, text_col)
@@ -186,7 +197,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10,
                .select(KEY_ID, KEY_HASH, start.alias("start"), "width", "words"))
         facts.append(hit)
     if not facts:
-        return base.select(F.col(KEY_ID).alias(id_col), "n_words", F.lit(0).cast("long").alias("n_hit"),
+        return base.select(KEY_ID, KEY_HASH, "n_words", F.lit(0).cast("long").alias("n_hit"),
                            F.array().cast("array<string>").alias("items"))
     hits = facts[0]
     for more in facts[1:]:
@@ -202,5 +213,5 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10,
     items = (hits.select(KEY_ID, KEY_HASH, "words").distinct().join(maybe_broadcast(held, BROADCAST_BYTES), "words")
              .groupBy(KEY_ID, KEY_HASH).agg(F.sort_array(F.collect_set("item")).alias("items")))
     out = attach(attach(base, covered), items)
-    return out.select(F.col(KEY_ID).alias(id_col), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+    return out.select(KEY_ID, KEY_HASH, "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
                       F.coalesce("items", F.array().cast("array<string>")).alias("items"))

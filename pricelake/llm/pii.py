@@ -63,6 +63,13 @@ CONTEXT_WORDS = {
     "card": r"(?i)card|visa|master|credit|pay|account",
     "phone": r"(?i)tel|phone|call|fax|mobile|cell",
 }
+#: The plain form of a candidate x, whose shape the features describe: without country code or disguise.
+PLAIN = {
+    "email": r"""regexp_replace(regexp_replace(x.value, r'\x20?[\[({]at[\])}]\x20?', '@'), r'\x20?[\[({]dot[\])}]\x20?', '.')""",
+    "ip": r"regexp_replace(x.value, r'[\[\]()]', '')",
+    "card": "x.value",
+    "phone": r"regexp_replace(x.value, r'^\+[0-9]{1,3}\x20?', '')",
+}
 FEATURES = ("kind", "length", "digits", "letters", "marks", "groups", "longest", "first_group", "last_group",
             "before_letter", "before_digit", "before_mark", "after_letter", "after_digit", "after_mark",
             "context_word", "context_digits")
@@ -118,12 +125,12 @@ def _features(kind: int, text: str) -> str:
     before, after = f"substr({text}, greatest(x.start, 1), least(x.start, 1))", f"substr({text}, x.end + 1, 1)"
     near = f"concat(substr({text}, greatest(x.start - 23, 1), least(x.start, 24)), ' ', substr({text}, x.end + 1, 12))"
     values = {
-        "kind": f"{kind}", "length": "length(x.value)", "digits": "regexp_count(x.value, '[0-9]')",
-        "letters": "regexp_count(x.value, '[A-Za-z]')", "marks": "regexp_count(x.value, '[^A-Za-z0-9]')",
-        "groups": "regexp_count(x.value, '[0-9]+')",
-        "longest": "array_max(transform(split(x.value, '[^0-9]+'), g -> length(g)))",
-        "first_group": "length(regexp_extract(x.value, '^[^0-9]*([0-9]*)', 1))",
-        "last_group": "length(regexp_extract(x.value, '([0-9]*)[^0-9]*$', 1))",
+        "kind": f"{kind}", "length": "length(x.plain)", "digits": "regexp_count(x.plain, '[0-9]')",
+        "letters": "regexp_count(x.plain, '[A-Za-z]')", "marks": "regexp_count(x.plain, '[^A-Za-z0-9]')",
+        "groups": "regexp_count(x.plain, '[0-9]+')",
+        "longest": "array_max(transform(split(x.plain, '[^0-9]+'), g -> length(g)))",
+        "first_group": "length(regexp_extract(x.plain, '^[^0-9]*([0-9]*)', 1))",
+        "last_group": "length(regexp_extract(x.plain, '([0-9]*)[^0-9]*$', 1))",
         "before_letter": rf"cast({before} RLIKE r'\p{{L}}' AS int)", "before_digit": f"cast({before} RLIKE '[0-9]' AS int)",
         "before_mark": rf"cast({before} RLIKE r'[^\p{{L}}0-9\s+(]' AS int)",
         "after_letter": rf"cast({after} RLIKE r'\p{{L}}' AS int)", "after_digit": f"cast({after} RLIKE '[0-9]' AS int)",
@@ -147,7 +154,7 @@ def with_spans(docs: DataFrame, text_col: str = "__text") -> DataFrame:
     for k, kind in enumerate(KINDS):
         out = out.withColumn(f"__cand_{kind}", find_spans(text_col, GENERATORS[kind], NEEDS[kind]))
         out = out.withColumn(f"__cand_{kind}", F.expr(
-            f"transform(__cand_{kind}, x -> named_struct('start', x.start, 'end', x.end, "
+            f"transform(transform(__cand_{kind}, x -> struct(x.start AS start, x.end AS end, {PLAIN[kind]} AS plain)), x -> named_struct('start', x.start, 'end', x.end, "
             f"'known', exists(__base_{kind}, b -> b.start < x.end AND x.start < b.end), {_features(k, text_col)}))"))
     return out
 
@@ -175,8 +182,8 @@ def train(docs: DataFrame, settings: Settings = Settings()):
     chosen = maybe.withColumn("o", F.xxhash64("__id", F.lit(settings.seed))).orderBy("o").limit(settings.sample_docs).select("__id").distinct()
     chosen = stored(chosen.coalesce(1), "pii-sample")
     some = with_spans(docs.join(F.broadcast(chosen), "__id"))
-    each = some.select(F.explode(F.concat(*[F.col(f"__cand_{k}") for k in KINDS])).alias("c"))
-    each = stored(each.select("c.*").withColumn("fold", F.pmod(F.xxhash64(F.struct("*")), F.lit(4))), "pii-candidates")
+    each = some.select("__id", F.explode(F.concat(*[F.col(f"__cand_{k}") for k in KINDS])).alias("c"))
+    each = stored(each.select("c.*", F.pmod(F.xxhash64("__id", "c.kind", "c.start"), F.lit(4)).alias("fold")), "pii-candidates")
     classes = each.filter("fold <> 0").agg(F.count_if(F.col("known")), F.count_if(~F.col("known"))).first()
     if not all(classes):
         return None, {}

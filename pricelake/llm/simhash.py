@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricelake.llm.common import arrow_rows, pieces, stored
+from pricelake.llm.common import KEY_HASH, KEY_ID, arrow_rows, attach, keyed, pieces, stored, with_key
 from pricelake.llm.components import components
 from pricelake.llm.symbols import LOWER, text_buffer, word_spans
 
@@ -101,17 +101,18 @@ def _steps(edges: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp): the fingerprint of each row as a signed 64-bit number."""
+    """(key, fp): the row key (id and text hash) and the fingerprint, a signed 64-bit number, of each row."""
     arrow_rows(docs.sparkSession)
-    slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    slim = keyed(docs, id_col, text_col)
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
             marks = fingerprints_of(batch.column(1), shingle)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(marks.view(np.int64))],
+                                             names=[KEY_ID, KEY_HASH, "fp"])
 
-    schema = T.StructType([slim.schema["doc_id"], T.StructField("fp", T.LongType())])
-    return slim.mapInArrow(compute, schema).withColumnRenamed("doc_id", id_col)
+    schema = T.StructType([slim.schema[KEY_ID], T.StructField(KEY_HASH, T.LongType()), T.StructField("fp", T.LongType())])
+    return slim.mapInArrow(compute, schema)
 
 
 def _bucket_masks(radius: int, keep: int = KEEP) -> list[int]:
@@ -245,17 +246,32 @@ def links(marks: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
     return near.unionByName(far)
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fingerprint as 16 hex digits, component_id) of each row; ids are integers.
-
-    component_id is the least id reachable over links, the row's own included.
-    """
-    marked = stored(fingerprints(docs, shingle, id_col, text_col).withColumnRenamed(id_col, "doc_id"), "simhash")
-    distinct = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "marks")
+def groups(docs: DataFrame, shingle: int, radius: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(key, fp, component, component_id) per row; ``component`` is a fingerprint that names the group."""
+    marked = stored(fingerprints(docs, shingle, id_col, text_col), "simhash")
+    distinct = stored(marked.groupBy("fp").agg(F.min(KEY_ID).alias("least")), "marks")
     found = components(links(distinct.select("fp", F.col("fp").alias("node")), radius))
     placed = distinct.join(found, distinct["fp"] == found["node"], "left").select(
         "fp", "least", F.coalesce("component", "fp").alias("component"))
     heads = placed.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = placed.join(heads, "component").select("fp", "component_id")
-    return marked.join(named, "fp").select(
-        F.col("doc_id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return marked.join(placed.join(heads, "component").select("fp", "component", "component_id"), "fp")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, fingerprint as 16 hex digits, component_id) of each row.
+
+    component_id is the least id reachable over links, the row's own included.
+    """
+    return groups(docs, shingle, radius, id_col, text_col).select(
+        F.col(KEY_ID).alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each group, that of least id (null ids last, ties by text hash), with all its columns."""
+    found = stored(groups(docs, shingle, radius, id_col, text_col), "near")
+    first = F.min(F.struct(F.col(KEY_ID).isNull(), KEY_ID, KEY_HASH)).alias("first")
+    heads = found.groupBy("component").agg(first).select(f"first.{KEY_ID}", f"first.{KEY_HASH}")
+    kept = attach(with_key(docs, id_col, text_col), heads, "left_semi")
+    twins = found.groupBy(KEY_ID, KEY_HASH).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # Texts are dealt out again only if rows repeat.
+    return (kept if twins.isEmpty() else kept.dropDuplicates([KEY_ID, KEY_HASH])).drop(KEY_ID, KEY_HASH)
