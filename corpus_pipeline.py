@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 from pricelake.llm.bpe import encode_documents
 from pricelake.llm.common import stored
-from pricelake.llm.decontaminate import find_contamination
+from pricelake.llm.decontaminate import remove_contaminated
 from pricelake.llm.line_dedup import dedup_lines
-from pricelake.llm.simhash import near_duplicates
+from pricelake.llm.simhash import keep_one
 from pricelake.llm.toxicity import fit, score_documents
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -39,20 +39,13 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document of least id stays; of repeated rows, one."""
-    found = stored(near_duplicates(docs, shingle=3, radius=2), "near")
-    heads = (found.filter((F.col("doc_id") == F.col("component_id")) | F.col("component_id").isNull())
-             .groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")))
-    kept = docs.join(heads.select("doc_id"), docs["doc_id"].eqNullSafe(heads["doc_id"]), "left_semi")
-    # Texts are dealt out again only if some id has several rows.
-    return kept if heads.filter("rows > 1").isEmpty() else kept.dropDuplicates(["doc_id"])
+    """Of each group of near duplicates the document of least id stays."""
+    return keep_one(docs, shingle=3, radius=2)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
-    found = find_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), window=10)
-    leaks = found.filter("n_hit > 0").select("doc_id").distinct()
-    return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["doc_id"]), "left_anti")
+    return remove_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), window=10)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
