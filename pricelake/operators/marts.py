@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricelake.operators.joins import fits_broadcast, join_dimension
+from pricelake.operators.joins import join_dimension, maybe_broadcast
 from pricelake.operators.latest import daily_latest, latest_per_key
 
 # The default product-group rules, in priority order (the first
@@ -119,22 +119,19 @@ def group_analytics(
     """Per (group, day): average 24 h price and total 24 h volume of the
     latest snapshot of each product in the group.
 
-    Products are classified on the dimension side. When the classified
-    products fit a broadcast, they are joined map-side *before* the
-    keep-latest window, so only grouped products' history is shuffled. The
+    Products are classified on the dimension side. A semi join on the grouped
+    ids comes first (it changes no row, and only grouped products' history
+    is shuffled), then keep-latest, then the join, so the result is
+    the same whether or not Spark broadcasts the products. The
     group aggregate has few keys and huge groups; Spark's partial (map-side)
     aggregation makes its shuffle one row per group per task.
     """
     groups = _product(product).select(
         "id_name", classify(F.col("item_name"), rules).alias("group_name")
     ).filter(F.col("group_name").isNotNull())
-    if fits_broadcast(groups):
-        # map-side join first: history of products in no group never reaches the shuffle
-        kept = history.join(F.broadcast(groups), "id_name")
-        latest = daily_latest(kept, "id_name", "date_extracted", tie_breaks, day_col="report_date")
-    else:
-        latest = daily_latest(history, "id_name", "date_extracted", tie_breaks, day_col="report_date")
-        latest = latest.join(groups, "id_name")
+    kept = history.join(maybe_broadcast(groups.select("id_name")), "id_name", "left_semi")
+    latest = daily_latest(kept, "id_name", "date_extracted", tie_breaks, day_col="report_date")
+    latest = join_dimension(latest, groups, "id_name")
     return (
         latest.select("group_name", "report_date",
                       F.col("last_24_hours_avg").alias("p"), F.col("last_24_hours_volume").alias("v"))

@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricelake.operators.joins import maybe_broadcast
+from pricelake.operators.joins import fits_broadcast, maybe_broadcast
 from pricelake.operators.latest import latest_per_key
 
 _MATCHED = "__matched"
@@ -111,19 +111,22 @@ def insert_ignore(
 ) -> DataFrame:
     """Insert source rows whose key is not in the target; on conflict do nothing.
 
-    Within the source the first row per key in ``order`` wins. The target's
-    keys are semi-joined against the broadcast source keys (a map-side scan
-    of the key columns only), so the anti join runs small-against-small.
+    Within the source the first row per key in ``order`` wins.
     """
-    cols = target.columns
-    src = _align(dedup_source(source, keys, order), cols)
-    present = target.select(*keys).join(_source_keys(src, keys), on=list(keys), how="left_semi")
-    return target.unionByName(src.join(maybe_broadcast(present), on=list(keys), how="left_anti").select(*cols))
+    src = _align(dedup_source(source, keys, order), target.columns)
+    return target.unionByName(new_rows(target, src, keys))
 
 
 def new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Source rows with no target row on ``keys`` (``INSERT ... WHERE NOT EXISTS``)."""
-    present = target.select(*keys).join(_source_keys(source, keys), on=list(keys), how="left_semi")
+    """Source rows with no target row on ``keys`` (``INSERT ... WHERE NOT EXISTS``).
+
+    One anti join against the target's keys. A source that fits a broadcast
+    first narrows these keys in a map-side scan, so that the target is not
+    shuffled; the rows are the same either way.
+    """
+    present = target.select(*keys)
+    if fits_broadcast(source.select(*keys)):
+        present = present.join(_source_keys(source, keys), on=list(keys), how="left_semi")
     return source.join(maybe_broadcast(present), on=list(keys), how="left_anti").select(*source.columns)
 
 
@@ -140,17 +143,16 @@ def update_from(
     order: Sequence[Column] | None = None,
 ) -> DataFrame:
     """Matched target rows take the source's ``cols`` (a NULL in the source
-    overwrites); unmatched target rows stay; source-only rows are ignored."""
+    overwrites); unmatched target rows stay; source-only rows are ignored.
+
+    One left join, which reads the target once; a broadcast source shuffles nothing."""
     src = dedup_source(source, keys, order).filter(_key_not_null(keys)).select(
-        *keys, *[F.col(c).alias(f"__s_{c}") for c in cols]
-    )
-    src = maybe_broadcast(src)
-    src_keys = _source_keys(src, keys)
-    untouched = target.join(src_keys, on=list(keys), how="left_anti").select(*target.columns)
-    updated = target.join(src, on=list(keys), how="inner").select(
-        *[F.col(f"__s_{c}").alias(c) if c in cols else F.col(c) for c in target.columns]
+        *keys, *[F.col(c).alias(f"__s_{c}") for c in cols], F.lit(True).alias(_MATCHED)
     )
-    return untouched.unionByName(updated)
+    joined = target.join(maybe_broadcast(src), on=list(keys), how="left")
+    return joined.select(
+        *[F.when(F.col(_MATCHED), F.col(f"__s_{c}")).otherwise(F.col(c)).alias(c) if c in cols else F.col(c)
+          for c in target.columns])
 
 
 def replace(target: DataFrame | None, source: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ For the UTC day ``as_of``:
 2. book A and history: stage once, keep the latest load per
    (key, time), upsert on (key, time) — the update-then-insert-new pair of
    the original job is one upsert here;
-3. book B: the day's deduplicated listings replace the table.
+3. book B: the day's deduplicated listings replace the table (on paths: their day).
 """
 
 from __future__ import annotations
@@ -17,9 +17,11 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from pricelake.operators import merge, staging
 from pricelake.operators.catalog import PRODUCT_COLUMNS, catalog_candidates
+from pricelake.plans.schemas import ODS as ODS_SCHEMAS
 from pricelake.sources import raw as rawsrc
 from pricelake.sources import tables
 
@@ -112,14 +114,28 @@ def read_raw_zone(spark: SparkSession, raw_root: str) -> Raw:
     return Raw(**found)
 
 
+def add_to_catalog(spark: SparkSession, path: str, fresh: DataFrame) -> int | None:
+    """Insert the names that the catalog lacks; without any, no new version is written."""
+    table = tables.VersionedTable(spark, path)
+    current = table.read()
+    if current is None:
+        return table.write(fresh)
+    current = current.select(*PRODUCT_COLUMNS)
+    if merge.new_rows(current, fresh, ["id_name"]).isEmpty():
+        return table.current()
+    return table.write(merge.insert_ignore(current, fresh, ["id_name"]))
+
+
 def run_ods_day(
     spark: SparkSession, raw_root: str, ods_root: str, as_of: _dt.date | str, lenient: bool = False
 ) -> dict[str, int | None]:
     """Load day ``as_of`` from the raw zone into the ODS tables under ``ods_root``.
 
-    Catalog and book B are versioned tables (small; replaced or
-    insert-ignored whole). Book A and history are partitioned by ``day`` and
-    only the days present in the load are rewritten.
+    The catalog is a versioned table (small; insert-ignored whole). The books
+    and history are partitioned by ``day`` and only the days present in the
+    load are rewritten: book A and history by upsert; of book B a load
+    replaces its days, so a day holds the listings of its last load (a
+    stream's batches, which bring a day bit by bit, upsert them instead).
     """
     raw = read_raw_zone(spark, raw_root)
     fresh, kept = staged_day(raw, as_of, persist=True, lenient=lenient)
@@ -127,10 +143,7 @@ def run_ods_day(
     out: dict[str, int | None] = {}
     try:
         if fresh.product is not None:
-            prod_t = tables.VersionedTable(spark, f"{root}/product")
-            out["product"] = prod_t.apply(
-                lambda cur: fresh.product if cur is None
-                else merge.insert_ignore(cur.select(*PRODUCT_COLUMNS), fresh.product, ["id_name"]))
+            out["product"] = add_to_catalog(spark, f"{root}/product", fresh.product)
         for name, rows in (("book_a", fresh.book_a), ("history", fresh.history)):
             if rows is None:
                 out[name] = None
@@ -139,7 +152,9 @@ def run_ods_day(
                                     lambda t, s: merge.upsert(t, s, ODS_KEYS), sort_within=ODS_KEYS)
             out[name] = 0
         if fresh.book_b is not None:
-            out["book_b"] = tables.VersionedTable(spark, f"{root}/book_b").replace(fresh.book_b)
+            tables.merge_partitions(spark, f"{root}/book_b", tables.with_day(fresh.book_b), "day",
+                                    lambda t, s: s, sort_within=ODS_KEYS)
+            out["book_b"] = 0
     finally:
         for df in kept:
             df.unpersist()
@@ -151,13 +166,15 @@ def read_ods(spark: SparkSession, ods_root: str) -> Ods:
 
     def part(name):
         p = f"{root}/{name}"
-        return spark.read.parquet(p) if tables.path_exists(spark, p) else None
+        # The declared schema: a table without a data file yet is an empty table.
+        schema = T.StructType([*ODS_SCHEMAS[name].fields, T.StructField("day", T.DateType())])
+        return spark.read.schema(schema).parquet(p) if tables.path_exists(spark, p) else None
 
     return Ods(
         product=tables.VersionedTable(spark, f"{root}/product").read(),
         book_a=part("book_a"),
         history=part("history"),
-        book_b=tables.VersionedTable(spark, f"{root}/book_b").read(),
+        book_b=part("book_b"),
     )
 
 

@@ -20,7 +20,7 @@ def _days_only(df: DataFrame | None, days) -> DataFrame | None:
 
 def ods_check_parts(ods: Ods, as_of_ts, days=None) -> list[DataFrame]:
     """``(check, row)`` violation rows of every ODS check; one scan per table
-    for the row-level checks.
+    for the row-level checks. A check is named ``<table>.<what is wrong>``.
 
     ``days`` limits the book and history checks to those UTC days (the days a
     load touched). Keys include the timestamp, so a duplicate can only occur
@@ -32,38 +32,38 @@ def ods_check_parts(ods: Ods, as_of_ts, days=None) -> list[DataFrame]:
     p = ods.product
     if p is not None:
         parts.append(qc.row_checks(p, {
-            "product: nulls in key fields": qc.any_null(["id_name", "name"]),
-            "product: id_name != uuid5(name)": qc.key_mismatch("id_name", "name"),
+            "product.key_null": qc.any_null(["id_name", "name"]),
+            "product.key_wrong": qc.key_mismatch("id_name", "name"),
         }, ["id_name", "name"]))
-        parts.append(qc.as_check("product: one name maps to >1 id_name", qc.one_to_many(p)))
+        parts.append(qc.as_check("product.name_split", qc.one_to_many(p)))
     if ods.book_a is not None:
         a = ods.book_a
         parts.append(qc.row_checks(a, {
-            "book_a: nulls in key fields": qc.any_null(ODS_KEYS),
-            "book_a: invalid price values": qc.invalid_prices(list(BOOK_A_PRICES), "min_price", "max_price"),
-            "book_a: future dates": qc.future_time("date_extracted", as_of_ts),
+            "book_a.key_null": qc.any_null(ODS_KEYS),
+            "book_a.price": qc.invalid_prices(list(BOOK_A_PRICES), "min_price", "max_price"),
+            "book_a.ahead_of_time": qc.future_time("date_extracted", as_of_ts),
         }, ODS_KEYS))
-        parts.append(qc.as_check("book_a: duplicates (id_name, date_extracted)", qc.duplicates(a, ODS_KEYS)))
+        parts.append(qc.as_check("book_a.twice", qc.duplicates(a, ODS_KEYS)))
         if p is not None:
-            parts.append(qc.as_check("book_a: orphan key", qc.orphans(a, p, "id_name", show=ODS_KEYS)))
+            parts.append(qc.as_check("book_a.unknown_product", qc.orphans(a, p, "id_name", show=ODS_KEYS)))
     if ods.history is not None:
         h = ods.history
-        preds = {f"history: invariants broken for {pr}": qc.period_invariants(pr) for pr in PERIODS}
-        preds["history: negative volumes"] = qc.negative_values([f"{pr}_volume" for pr in PERIODS])
-        preds["history: future dates"] = qc.future_time("date_extracted", as_of_ts)
+        preds = {f"history.order.{pr}": qc.period_invariants(pr) for pr in PERIODS}
+        preds["history.volume"] = qc.negative_values([f"{pr}_volume" for pr in PERIODS])
+        preds["history.ahead_of_time"] = qc.future_time("date_extracted", as_of_ts)
         parts.append(qc.row_checks(h, preds, ODS_KEYS))
-        parts.append(qc.as_check("history: duplicates (id_name, date_extracted)", qc.duplicates(h, ODS_KEYS)))
+        parts.append(qc.as_check("history.twice", qc.duplicates(h, ODS_KEYS)))
         if p is not None:
-            parts.append(qc.as_check("history: orphan key", qc.orphans(h, p, "id_name", show=ODS_KEYS)))
+            parts.append(qc.as_check("history.unknown_product", qc.orphans(h, p, "id_name", show=ODS_KEYS)))
     if ods.book_b is not None:
         b = ods.book_b
         parts.append(qc.row_checks(b, {
-            "book_b: negative price": qc.invalid_prices(["price"]),
-            "book_b: future dates": qc.future_time("date_extracted", as_of_ts),
+            "book_b.price": qc.invalid_prices(["price"]),
+            "book_b.ahead_of_time": qc.future_time("date_extracted", as_of_ts),
         }, ODS_KEYS))
-        parts.append(qc.as_check("book_b: duplicates (id_name, date_extracted)", qc.duplicates(b, ODS_KEYS)))
+        parts.append(qc.as_check("book_b.twice", qc.duplicates(b, ODS_KEYS)))
         if p is not None:
-            parts.append(qc.as_check("book_b: orphan key", qc.orphans(b, p, "id_name", show=ODS_KEYS)))
+            parts.append(qc.as_check("book_b.unknown_product", qc.orphans(b, p, "id_name", show=ODS_KEYS)))
     return parts
 
 
@@ -88,9 +88,17 @@ def ods_summaries(ods: Ods) -> dict[str, DataFrame]:
     return out
 
 
-def run_checks(ods: Ods, as_of_ts) -> None:
-    """Fail once, listing every failing check (bounded samples only reach the driver)."""
-    qc.assert_clean(ods_report(ods, as_of_ts))
+def collected_summaries(ods: Ods) -> dict[str, dict]:
+    """The summaries as plain values: one row per table reaches the driver."""
+    return {name: df.first().asDict() for name, df in ods_summaries(ods).items()}
+
+
+def run_checks(ods: Ods, as_of_ts, days=None) -> dict[str, dict]:
+    """The summaries of every table; raises once, listing every failing check
+    (with the summaries on the error). Bounded samples only reach the driver."""
+    summaries = collected_summaries(ods)
+    qc.assert_clean(ods_report(ods, as_of_ts, days), summaries)
+    return summaries
 
 
 def check_ods_root(spark, ods_root: str, as_of_ts, fail: bool = True, days=None) -> DataFrame:
@@ -98,7 +106,8 @@ def check_ods_root(spark, ods_root: str, as_of_ts, fail: bool = True, days=None)
     given); with ``fail``, raise once listing every failing check. Returns the report."""
     from pricelake.plans.ods import read_ods
 
-    report = ods_report(read_ods(spark, ods_root), as_of_ts, days)
+    ods = read_ods(spark, ods_root)
+    report = ods_report(ods, as_of_ts, days)
     if fail:
-        qc.assert_clean(report)
+        qc.assert_clean(report, collected_summaries(ods))
     return report

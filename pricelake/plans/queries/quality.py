@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pricelake.functions.keys import uuid5
 from pricelake.operators import freshness as fresh
 from pricelake.operators import quality as qc
+from pricelake.operators.joins import join_dimension
 from pricelake.plans import fixture_views as fv
 from pricelake.plans.queries.base import register, uuid5_sql, AS_OF_TS
 
@@ -220,7 +221,7 @@ def _fixture_ods(t: fv.Tables):
     cust = t.customer.select("c_custkey", F.col("c_name").alias("name"), uuid5("c_name").alias("id_name"))
     product = cust.select("id_name", "name", F.lit(None).cast("string").alias("item_page"),
                           F.lit(None).cast("string").alias("market_page"))
-    ev = t.events.join(F.broadcast(cust.select(F.col("c_custkey").alias("user_id"), "id_name")), "user_id")
+    ev = join_dimension(t.events, cust.select(F.col("c_custkey").alias("user_id"), "id_name"), "user_id")
     v = F.col("value").cast("decimal(18,4)")
     book_a = ev.filter(F.col("event_type").isin("view", "click")).select(
         "id_name", F.col("ts").cast("timestamp").alias("date_extracted"), v.alias("suggested_price"),
@@ -235,12 +236,12 @@ def _fixture_ods(t: fv.Tables):
 @register("ods_quality_report", """
 WITH e AS (SELECT * FROM events WHERE user_id IN (SELECT c_custkey FROM customer)),
 r AS (
-  SELECT 'book_a: invalid price values' AS "check", COUNT(*) AS violations
+  SELECT 'book_a.price' AS "check", COUNT(*) AS violations
   FROM e WHERE event_type = 'view' AND CAST(value AS DECIMAL(18,4)) > CAST(value AS DECIMAL(18,4)) / 2
-  UNION ALL SELECT 'book_a: future dates', COUNT(*) FROM e
+  UNION ALL SELECT 'book_a.ahead_of_time', COUNT(*) FROM e
   WHERE event_type IN ('view', 'click') AND ts > TIMESTAMP '2024-01-30 00:00:00' + INTERVAL 5 MINUTE
-  UNION ALL SELECT 'book_b: negative price', COUNT(*) FROM e WHERE event_type = 'purchase' AND value < 100
-  UNION ALL SELECT 'book_b: future dates', COUNT(*) FROM e
+  UNION ALL SELECT 'book_b.price', COUNT(*) FROM e WHERE event_type = 'purchase' AND value < 100
+  UNION ALL SELECT 'book_b.ahead_of_time', COUNT(*) FROM e
   WHERE event_type = 'purchase' AND ts > TIMESTAMP '2024-01-30 00:00:00' + INTERVAL 5 MINUTE
 )
 SELECT "check", violations FROM r WHERE violations > 0

@@ -60,7 +60,7 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster that setting points at shared storage and is used as is. Only
@@ -74,9 +74,9 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
             sc.setCheckpointDir(current)  # DataFrame.checkpoint() lands in the same shared folder
         return current
     master = spark.sparkContext.master or ""
-    if fallback is None and not master.startswith("local"):
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder: intermediate tables go there")
-    path = fallback or tempfile.mkdtemp(prefix="pricelake-ckpt-")
+    path = tempfile.mkdtemp(prefix="pricelake-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
     spark.conf.set("spark.checkpoint.dir", path)
     return path

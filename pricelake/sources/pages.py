@@ -14,18 +14,27 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_META_TAG = r"""(?i)<meta\b(?:[^>"']|"[^"]*"|'[^']*')*>"""
+# Character references of attribute values; the ampersand comes last, so that nothing is decoded twice.
+_ENTITIES = (("&quot;", '"'), ("&#34;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&#x27;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"))
+
+
+def _attribute(tag: Column, attr: str) -> Column:
+    """Decoded value of an attribute of one tag, in double quotes, single quotes or bare; NULL when absent or empty."""
+    start = rf"(?i)\s{attr}\s*=\s*"
+    forms = (start + r'"([^"]*)"', start + r"'([^']*)'", start + r"""([^\s"'>]+)""")
+    value = F.coalesce(*[F.nullif(F.regexp_extract(tag, form, 1), F.lit("")) for form in forms])
+    for entity, char in _ENTITIES:
+        value = F.replace(value, F.lit(entity), F.lit(char))
+    return value
+
+
 def meta_content(html: Column | str, value: str, attr: str = "property") -> Column:
-    """``content`` of ``<meta {attr}="{value}" content="...">`` (attributes in
-    either order, single or double quotes); NULL when absent or empty."""
-    v = value.replace(".", r"\.")
-    q = "[\"']"
-    first = rf"(?i)<meta\s[^>]*\b{attr}\s*=\s*{q}{v}{q}[^>]*\bcontent\s*=\s*{q}([^\"']*){q}"
-    second = rf"(?i)<meta\s[^>]*\bcontent\s*=\s*{q}([^\"']*){q}[^>]*\b{attr}\s*=\s*{q}{v}{q}"
-    h = _col(html)
-    return F.coalesce(
-        F.nullif(F.regexp_extract(h, first, 1), F.lit("")),
-        F.nullif(F.regexp_extract(h, second, 1), F.lit("")),
-    )
+    """``content`` of the first ``<meta>`` tag whose ``attr`` is ``value`` (attributes in any
+    order, any quoting, character references decoded); NULL when absent or empty."""
+    tags = F.regexp_extract_all(_col(html), F.lit(_META_TAG), F.lit(0))
+    tag = F.get(F.filter(tags, lambda t: F.lower(_attribute(t, attr)) == value.lower()), 0)
+    return _attribute(tag, "content")
 
 
 def html_lang(html: Column | str) -> Column:
@@ -52,7 +61,7 @@ def extract_meta(
 ) -> DataFrame:
     """Rows ``(name, image_url, source)`` for pages with a non-empty url and
     name whose meta tag has content. ``limit`` caps the number of *hits* (a
-    per-run quota), applied after the filter; default: no cap. With
+    per-run quota): the first by name and image; default: no cap. With
     ``extracted_at`` the rows also carry that extraction time."""
     present = (F.coalesce(F.col(url_col), F.lit("")) != "") & (F.coalesce(F.col(name_col), F.lit("")) != "")
     hits = pages.filter(present).select(
@@ -62,7 +71,7 @@ def extract_meta(
     ).filter(F.col("image_url").isNotNull())
     if extracted_at is not None:
         hits = hits.withColumn("extracted_at", F.lit(extracted_at).cast("timestamp"))
-    return hits.limit(limit) if limit is not None else hits
+    return hits.orderBy("name", "image_url").limit(limit) if limit is not None else hits
 
 
 def url_param(url: Column | str, key: str) -> Column:
@@ -92,8 +101,16 @@ def item_images(
 ) -> DataFrame:
     """Image rows for items: each item's page (matched on its page URL in a
     table of stored pages) -> its ``og:image``. Items without a name or page,
-    and pages without the tag, give no row; ``limit`` caps the hits."""
-    wanted = items.select(F.col(name_col).alias("name"), F.col(page_col).alias(url_col))
-    joined = wanted.join(pages.select(url_col, html_col), on=url_col, how="inner")
-    return extract_meta(joined, html_col=html_col, url_col=url_col, name_col="name",
-                        limit=limit, extracted_at=extracted_at)
+    and pages without the tag, give no row; a URL stored twice gives its
+    least image. ``limit`` caps the hits (the first by name and image).
+
+    The image is extracted where the page is read, so one short string per
+    URL is shuffled and never the HTML."""
+    images = (pages.select(url_col, meta_content(html_col, "og:image").alias("image_url"))
+              .filter(F.col("image_url").isNotNull()).groupBy(url_col).agg(F.min("image_url").alias("image_url")))
+    wanted = items.select(F.col(name_col).alias("name"), F.col(page_col).alias(url_col)).filter(
+        (F.coalesce("name", F.lit("")) != "") & (F.coalesce(F.col(url_col), F.lit("")) != ""))
+    hits = wanted.join(images, on=url_col, how="inner").select("name", "image_url", F.lit("og_image").alias("source"))
+    if extracted_at is not None:
+        hits = hits.withColumn("extracted_at", F.lit(extracted_at).cast("timestamp"))
+    return hits.orderBy("name", "image_url").limit(limit) if limit is not None else hits

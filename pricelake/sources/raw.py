@@ -25,6 +25,19 @@ def _stamp(df: DataFrame, ingest_ts) -> DataFrame:
     return df.select("payload", ts.alias("created_at"), F.to_date(ts).alias("ingest_date"), "load_pos")
 
 
+def _as_array(text_col: str):
+    """The document's text as a root array (an object becomes a one-element array); NULL for anything else."""
+    v = F.trim(F.col(text_col))
+    return F.when(v.startswith("["), v).when(v.startswith("{"), F.concat(F.lit("["), v, F.lit("]")))
+
+
+def rejected_documents(docs: DataFrame, text_col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """The documents that ``documents_to_payloads(lenient=True)`` leaves out: text, not blank, that is no
+    JSON object or array. Write them aside; together the two outputs account for every document."""
+    parsed = F.from_json(_as_array(text_col), "array<string>", {"mode": "PERMISSIVE"})
+    return docs.filter((F.trim(text_col) != "") & parsed.isNull()).select(text_col, *keep)
+
+
 def documents_to_payloads(
     docs: DataFrame, text_col: str = "value", lenient: bool = False, keep: Sequence[str] = ()
 ) -> DataFrame:
@@ -32,16 +45,11 @@ def documents_to_payloads(
     none for an empty array or a scalar; each payload is the element's JSON text.
 
     A malformed document fails the load (as a JSON reader would), unless
-    ``lenient``, which skips it. ``keep`` columns of ``docs`` ride along.
+    ``lenient``, which skips it (see ``rejected_documents``). ``keep`` columns of ``docs`` ride along.
     """
-    v = F.trim(F.col(text_col))
-    as_array = (
-        F.when(v.startswith("["), v)
-        .when(v.startswith("{"), F.concat(F.lit("["), v, F.lit("]")))
-    )
     mode = {"mode": "PERMISSIVE" if lenient else "FAILFAST"}
     return (
-        docs.select(F.posexplode(F.from_json(as_array, "array<string>", mode)).alias("load_pos", "payload"), *keep)
+        docs.select(F.posexplode(F.from_json(_as_array(text_col), "array<string>", mode)).alias("load_pos", "payload"), *keep)
         .filter(F.col("payload").isNotNull())
         .select("payload", F.col("load_pos").cast("bigint").alias("load_pos"), *keep)
     )
@@ -59,20 +67,32 @@ def load_raw(
 
     ``json_lines=False``: each file is one JSON document (root array or
     object), read whole — one task per file, so land big feeds as JSON lines.
-    ``json_lines=True``: one JSON value per line; the reader splits files, so
-    this is the route that scales. ``suffix`` (e.g. ``".json"``) takes only
-    files whose name ends with it. A malformed document fails the load unless
-    ``lenient``.
+    ``json_lines=True``: one JSON document per line (an array line gives a row
+    per element); the reader splits files, so this is the route that scales.
+    ``suffix`` (e.g. ``".json"``) takes only files whose name ends with it. A
+    malformed document or line fails the load unless ``lenient``;
+    ``load_rejected`` then returns what was left out.
+
+    ``load_pos`` orders the rows of one file; lines of one file keep their
+    order across its splits. Elements of one array line share a position.
     """
     reader = spark.read.option("pathGlobFilter", f"*{suffix}") if suffix else spark.read
     if json_lines:
-        lines = reader.text(path).filter(F.trim("value") != "")
-        docs = lines.select(F.col("value").alias("payload"), F.monotonically_increasing_id().alias("load_pos"))
+        lines = reader.text(path).withColumn("__line", F.monotonically_increasing_id()).filter(F.trim("value") != "")
+        docs = documents_to_payloads(lines, lenient=lenient, keep=("__line",)).select(
+            "payload", F.col("__line").alias("load_pos"))
     else:
         docs = documents_to_payloads(reader.text(path, wholetext=True), lenient=lenient)
     return _stamp(docs, ingest_ts)
 
 
+def load_rejected(spark: SparkSession, path: str | Sequence[str], json_lines: bool = False, suffix: str | None = None) -> DataFrame:
+    """``(file, value)`` of the documents or lines that a lenient ``load_raw`` leaves out."""
+    reader = spark.read.option("pathGlobFilter", f"*{suffix}") if suffix else spark.read
+    docs = reader.text(path, wholetext=not json_lines).withColumn("file", F.col("_metadata.file_path"))
+    return rejected_documents(docs, keep=("file",)).select("file", "value")
+
+
 def payloads_from_rows(
     df: DataFrame,
     payload_cols: Sequence[str] | None = None,

@@ -21,7 +21,6 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelake.operators.joins import maybe_broadcast
 from pricelake.session import scratch_dir
 
 _PREFIX = "v="
@@ -106,11 +105,6 @@ class VersionedTable:
         return gone
 
 
-# Above this many touched partitions a merge stops listing them and falls back
-# to a semi join (correct, but without partition pruning).
-MAX_LISTED_PARTITIONS = 10_000
-
-
 def merge_partitions(
     spark: SparkSession,
     path: str,
@@ -127,9 +121,11 @@ def merge_partitions(
     Parquet's per-row-group min/max lets readers that filter on them skip
     most of a day (the order also satisfies the partitioned writer's own sort).
 
-    The touched partition values (days: a calendar-bounded handful per load)
+    The touched partition values (days: their number is bounded by the calendar)
     are listed with one small distinct job and become a static partition
-    filter, so the scan of the target opens only those partitions. The
+    filter, so the scan of the target opens only those partitions. The target
+    is read with the source's schema, so a table without a data file yet is
+    an empty table. The
     source is persisted for the duration, so it is computed once. The merged
     rows are written to a staging folder under the shared checkpoint folder
     first: the final overwrite never reads the files it replaces, and a lost
@@ -140,31 +136,28 @@ def merge_partitions(
     src = source.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if path_exists(spark, path):
-            target = spark.read.format(fmt).load(path)
-            listed = [r[0] for r in src.select(part_col).distinct().limit(MAX_LISTED_PARTITIONS + 1).collect()]
-            if len(listed) <= MAX_LISTED_PARTITIONS:
-                values = [v for v in listed if v is not None]
-                cond = F.col(part_col).isin(values) if values else F.lit(False)
-                if len(values) < len(listed):
-                    cond = cond | F.col(part_col).isNull()
-                touched = target.filter(cond)
-            else:
-                days = maybe_broadcast(src.select(part_col).distinct())
-                touched = target.join(days, on=part_col, how="left_semi").select(*target.columns)
-            merged = op(touched, src.select(*target.columns))
+            target = spark.read.schema(src.schema).format(fmt).load(path)
+            listed = [r[0] for r in src.select(part_col).distinct().collect()]
+            values = [v for v in listed if v is not None]
+            cond = F.col(part_col).isin(values) if values else F.lit(False)
+            if len(values) < len(listed):
+                cond = cond | F.col(part_col).isNull()
+            merged = op(target.filter(cond), src.select(*target.columns))
         else:
             merged = src
         staging = scratch_dir(spark, f"stage-{uuid.uuid4().hex}")
-        merged.write.mode("errorifexists").format(fmt).save(staging)
+        try:
+            merged.write.mode("errorifexists").format(fmt).save(staging)
+            staged = spark.read.schema(merged.schema).format(fmt).load(staging)
+            if sort_within:
+                staged = staged.sortWithinPartitions(part_col, *sort_within)
+            (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                .partitionBy(part_col).format(fmt).save(path))
+        finally:
+            fs, p = _fs(spark, staging)
+            fs.delete(p, True)
     finally:
         src.unpersist()
-    staged = spark.read.format(fmt).load(staging)
-    if sort_within:
-        staged = staged.sortWithinPartitions(part_col, *sort_within)
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(part_col).format(fmt).save(path))
-    fs, _ = _fs(spark, staging)
-    fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staging), True)
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet") -> None:

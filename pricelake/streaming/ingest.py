@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelake.operators import merge, staging
-from pricelake.plans.ods import ODS_KEYS
+from pricelake.plans.ods import ODS_KEYS, add_to_catalog
 from pricelake.sources import tables
 from pricelake.sources.raw import documents_to_payloads
 
@@ -106,17 +106,15 @@ def _merge_staged(spark: SparkSession, batch: DataFrame, kind: str, ods_path: st
     the touched days."""
     from pyspark import StorageLevel
 
-    from pricelake.operators.catalog import PRODUCT_COLUMNS, catalog_candidates
+    from pricelake.operators.catalog import catalog_candidates
 
     staged = _STAGERS[kind](batch, keep_catalog=True).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if product_path is not None:
             fresh = catalog_candidates(staging.catalog_part(staged))
-            tables.VersionedTable(spark, product_path).apply(
-                lambda cur: fresh if cur is None
-                else merge.insert_ignore(cur.select(*PRODUCT_COLUMNS), fresh, ["id_name"]))
+            add_to_catalog(spark, product_path, fresh)
         rows = tables.with_day(staging.dedup_staged(staged).filter(F.col("date_extracted").isNotNull()))
-        days = [r[0] for r in rows.select("day").distinct().limit(tables.MAX_LISTED_PARTITIONS + 1).collect()]
+        days = [r[0] for r in rows.select("day").distinct().collect()]
         tables.merge_partitions(spark, ods_path, rows, "day", lambda t, s: merge.upsert(t, s, ODS_KEYS),
                                 sort_within=ODS_KEYS)
     finally:
@@ -149,8 +147,6 @@ def merge_and_refresh_batch(spark: SparkSession, ods_root: str, marts_root: str,
 
     def fn(batch: DataFrame, epoch_id: int) -> None:
         days = _merge_staged(spark, batch, kind, f"{root}/{target}", f"{root}/product")
-        if days and len(days) <= tables.MAX_LISTED_PARTITIONS:
+        if days:
             run_marts(spark, ods_root, marts_root, days=days, **mart_args)
-        elif days:
-            run_marts(spark, ods_root, marts_root, **mart_args)
     return fn

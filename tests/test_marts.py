@@ -100,3 +100,23 @@ def test_books_scale_side_b(spark):
     assert r == []  # 10 vs 5 x 2: no gap
     r = marts.order_books(marts.joined_books(a, b, p)).first()
     assert r.price_diff == Decimal("5.0000")
+
+
+def test_group_analytics_is_the_same_with_and_without_broadcast(spark):
+    """A catalog with two rows of one id: dedup first, then join, at every size."""
+    import datetime as dt
+
+    from pricelake.operators.marts import group_analytics
+
+    product = spark.createDataFrame([("i", "Lamp one"), ("i", "Lamp two")], "id_name string, name string")
+    t = dt.datetime(2025, 1, 1, 5)
+    history = spark.createDataFrame([("i", t, 2.0, 5)], "id_name string, date_extracted timestamp, last_24_hours_avg double, last_24_hours_volume int")
+    got = []
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for limit in ("-1", "10485760"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            got.append([tuple(r) for r in group_analytics(history, product, [("lamps", ["Lamp%"])]).collect()])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert got[0] == got[1] and got[0][0][3] == 10
