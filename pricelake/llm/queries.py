@@ -121,3 +121,51 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_lm_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lm_scores(documents(spark, sf_dir), fold(5) != 1)
     return out.select("doc_id", (fold(5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+ORACLES["op1_decontaminate"] = r"""
+WITH bench AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark
+), item_windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(ws[s:s + n - 1], ' ') AS k
+  FROM (SELECT item_id, ws, least(10, len(ws)) AS n, unnest(range(1, len(ws) - least(10, len(ws)) + 2)) AS s FROM bench WHERE len(ws) > 0)
+), docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+), doc_windows AS (
+  SELECT doc_id, n, s, array_to_string(ws[s:s + n - 1], ' ') AS k
+  FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS s FROM docs, (SELECT DISTINCT n FROM item_windows))
+), hits AS (
+  SELECT doc_id, d.n, s, item_id FROM doc_windows d JOIN item_windows i ON d.n = i.n AND d.k = i.k
+), words AS (
+  SELECT doc_id, count(DISTINCT pos)::BIGINT AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS pos FROM hits) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*)::BIGINT AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+""".strip()
+
+ORACLES["op8_seed_extend"] = r"""
+WITH split AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), windows AS (
+  SELECT doc_id, s, array_to_string(ws[s:s + 12], ' ') AS k
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS s FROM split)
+), earliest AS (
+  SELECT k, min(doc_id) AS lo FROM windows GROUP BY k
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(s, s + 13)) AS pos FROM windows JOIN earliest USING (k) WHERE lo < doc_id
+), words AS (
+  SELECT doc_id, generate_subscripts(ws, 1) AS pos, unnest(ws) AS word FROM split
+), marked AS (
+  SELECT words.doc_id, words.pos, word, gone.pos IS NOT NULL AS out FROM words LEFT JOIN gone ON words.doc_id = gone.doc_id AND words.pos = gone.pos
+), kept AS (
+  SELECT doc_id, count(*) FILTER (out) AS n, string_agg(word, ' ' ORDER BY pos) FILTER (NOT out) AS text FROM marked GROUP BY doc_id
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM split LEFT JOIN kept USING (doc_id)
+""".strip()
