@@ -122,6 +122,7 @@ def load_catalog(
 
     Within one load the *last* row of a key wins (rows apply in order). Returns
     ``(new_catalog, new_agg)``; ``new_agg`` is None when no history was given.
+    History needs ``extracted_at``: a run's rows carry its time, not the clock's.
     """
     last_first = [F.col("load_pos").desc()]
     items = merge.dedup_source(parse_items(items_raw), list(ITEM_KEYS), last_first).drop("load_pos")
@@ -132,10 +133,12 @@ def load_catalog(
         new_catalog = merge.upsert(catalog.select(*ITEM_FIELDS), items, list(ITEM_KEYS), update_cols=update)
     if history_raw is None:
         return new_catalog, None
+    if extracted_at is None:
+        raise ValueError("extracted_at is required with history")
     wide = merge.dedup_source(parse_period_stats(history_raw), ["market_hash_name", "currency"], last_first)
     long = unpivot_periods(wide, ["market_hash_name", "currency", "item_page", "market_page"]).withColumn(
         "extracted_at",
-        (F.lit(extracted_at).cast("timestamp") if extracted_at is not None else F.current_timestamp()),
+        F.lit(extracted_at).cast("timestamp"),
     )
     if agg is None:
         return new_catalog, long

@@ -98,3 +98,25 @@ def q_insert_new(spark: SparkSession, sf: str) -> DataFrame:
     return merge.new_rows(returned, source, ["o_orderkey"])
 
 
+
+
+@register("insert_new_table", _MERGE_INPUTS_SQL + """
+SELECT * FROM t
+UNION ALL SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.user_id = s.user_id AND t.day = s.day)
+""")
+def q_insert_new_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole new content: the target and the source rows whose key it lacks."""
+    target, source = _merge_inputs(spark, sf)
+    return merge.insert_new(target, source, _MERGE_KEYS)
+
+
+@register("replace_table", _MERGE_INPUTS_SQL + "SELECT user_id, day, value, event_id FROM s")
+def q_replace_table(spark: SparkSession, sf: str) -> DataFrame:
+    target, source = _merge_inputs(spark, sf)
+    return merge.replace(target, source.select("event_id", "value", "day", "user_id"))
+
+
+@register("append_rows", _MERGE_INPUTS_SQL + "SELECT * FROM t UNION ALL SELECT * FROM s")
+def q_append_rows(spark: SparkSession, sf: str) -> DataFrame:
+    target, source = _merge_inputs(spark, sf)
+    return merge.append(target, source.select("event_id", "value", "day", "user_id"))

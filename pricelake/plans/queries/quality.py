@@ -94,6 +94,20 @@ def q_check_negative_values(spark: SparkSession, sf: str) -> DataFrame:
     return qc.violations(fv.Tables(spark, sf).customer, qc.negative_values(["c_acctbal"]), ["c_custkey", "c_acctbal"])
 
 
+_VOLUMES = {"last_24_hours_volume": "l_quantity - 10", "last_7_days_volume": "l_linenumber - 2",
+            "last_30_days_volume": "l_quantity - 30", "last_90_days_volume": "l_orderkey"}
+
+
+@register("check_negative_volumes", "SELECT l_orderkey, l_linenumber, "
+          + ", ".join(f"CAST({e} AS BIGINT) AS {n}" for n, e in _VOLUMES.items())
+          + " FROM lineitem WHERE " + " OR ".join(f"{e} < 0" for e in _VOLUMES.values()))
+def q_check_negative_volumes(spark: SparkSession, sf: str) -> DataFrame:
+    """Any of the four volumes below zero."""
+    lines = fv.Tables(spark, sf).lineitem.selectExpr(
+        "l_orderkey", "l_linenumber", *[f"CAST({e} AS BIGINT) AS {n}" for n, e in _VOLUMES.items()])
+    return qc.violations(lines, qc.negative_values(list(_VOLUMES)), ["l_orderkey", "l_linenumber", *_VOLUMES])
+
+
 @register("check_future", """
 SELECT event_id, user_id, ts FROM events WHERE ts > TIMESTAMP '2024-01-30 00:00:00' + INTERVAL 5 MINUTE
 """)
@@ -102,8 +116,8 @@ def q_check_future(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _part_price_stats(t: fv.Tables) -> DataFrame:
-    """Per part, two statistic blocks from its lines; the median slot of the
-    first and the average slot of the second come from the list price."""
+    """Per part, four statistic blocks from its lines, some slots from the list
+    price, some swapped or empty, so that every order rule is broken by some part."""
     ext = F.col("l_extendedprice")
     per_part = t.lineitem.groupBy("l_partkey").agg(
         F.min(ext).alias("mn"), F.max(ext).alias("mx"),
@@ -115,6 +129,10 @@ def _part_price_stats(t: fv.Tables) -> DataFrame:
         (F.col("p_retailprice") * 20).alias("last_24_hours_median"), F.col("av").alias("last_24_hours_avg"),
         F.col("mn").alias("last_7_days_min"), F.col("mx").alias("last_7_days_max"),
         F.col("av").alias("last_7_days_median"), (F.col("p_retailprice") * 10).alias("last_7_days_avg"),
+        F.col("mx").alias("last_30_days_min"), F.col("mn").alias("last_30_days_max"),
+        F.lit(None).cast("double").alias("last_30_days_median"), F.lit(None).cast("double").alias("last_30_days_avg"),
+        F.lit(None).cast("double").alias("last_90_days_min"), F.col("av").alias("last_90_days_max"),
+        (F.col("p_retailprice") * 15).alias("last_90_days_median"), F.col("mn").alias("last_90_days_avg"),
     )
 
 
@@ -124,7 +142,8 @@ WITH a AS (
          CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(l_extendedprice) AS av
   FROM lineitem GROUP BY l_partkey
 ), s AS (
-  SELECT a.l_partkey, mn, mx, p.p_retailprice * 20 AS md24, av, p.p_retailprice * 10 AS av7
+  SELECT a.l_partkey, mn, mx, p.p_retailprice * 20 AS md24, av, p.p_retailprice * 10 AS av7,
+         p.p_retailprice * 15 AS md90, CAST(NULL AS DOUBLE) AS nil
   FROM a JOIN part p ON p.p_partkey = a.l_partkey
 )
 """
@@ -138,10 +157,12 @@ def _inv_sql(period: str, mn: str, md: str, mx: str, av: str) -> str:
 
 
 @register("check_period_invariants", _PART_STATS_SQL + _inv_sql("last_24_hours", "mn", "md24", "mx", "av")
-          + "\nUNION ALL\n" + _inv_sql("last_7_days", "mn", "av", "mx", "av7"))
+          + "\nUNION ALL\n" + _inv_sql("last_7_days", "mn", "av", "mx", "av7")
+          + "\nUNION ALL\n" + _inv_sql("last_30_days", "mx", "nil", "mn", "nil")
+          + "\nUNION ALL\n" + _inv_sql("last_90_days", "nil", "md90", "av", "mn"))
 def q_check_period_invariants(spark: SparkSession, sf: str) -> DataFrame:
     stats = _part_price_stats(fv.Tables(spark, sf))
-    return qc.period_violations(stats, ["last_24_hours", "last_7_days"], ["l_partkey"])
+    return qc.period_violations(stats, ["last_24_hours", "last_7_days", "last_30_days", "last_90_days"], ["l_partkey"])
 
 
 @register("null_profile", """

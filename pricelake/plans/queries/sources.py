@@ -92,6 +92,25 @@ def q_cheapest_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 
+@register("cheapest_listings", """
+SELECT id, price, sticker_counter, created_at, name AS market_hash_name, skin_id FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY skin_id ORDER BY price, id) AS rn FROM (
+    SELECT l_orderkey * 10 + l_linenumber AS id, l_extendedprice AS price, l_linenumber AS sticker_counter,
+           l_returnflag AS created_at, l_linestatus AS name, l_partkey AS skin_id FROM lineitem)
+  WHERE skin_id IN (SELECT p_partkey FROM part WHERE p_size > 10)
+) WHERE rn <= 3
+""")
+def q_cheapest_listings(spark: SparkSession, sf: str) -> DataFrame:
+    """The 3 cheapest lines, as listings, of every larger part."""
+    from pricelake.operators.listings import cheapest_listings
+
+    t = fv.Tables(spark, sf)
+    listings = t.lineitem.selectExpr(
+        "l_orderkey * 10 + l_linenumber AS id", "l_extendedprice AS price", "l_linenumber AS sticker_counter",
+        "l_returnflag AS created_at", "l_linestatus AS name", "l_partkey AS skin_id")
+    return cheapest_listings(listings, t.part.filter("p_size > 10").selectExpr("p_partkey AS id"), n=3)
+
+
 @register("request_filter", """
 SELECT p_partkey, p_name AS market_hash_name, p_size FROM part
 WHERE p_size > 25 AND p_name IN (SELECT p_name FROM part WHERE p_type = 'ECONOMY')
