@@ -173,7 +173,7 @@ def _found(docs: DataFrame, benchmark: DataFrame, window: int, id_col: str, text
         block = windows.filter(F.pmod(F.xxhash64("words"), F.lit(blocks)) == k)
         each = block.select("words", F.explode("shingles").alias("s")).select("words", "s.offset", "s.shingle")
         sizes = sorted({min(SHINGLE, r[0]) for r in block.select(F.size("words")).distinct().collect()})
-        hashes = np.array(sorted(r[0] for r in each.select("shingle").distinct().collect()), dtype=np.int64)
+        hashes = np.sort(each.select("shingle").distinct().toArrow().column(0).to_numpy())
         if len(hashes):
             rarity = _counted(slim.select("text"), sizes, hashes)
             # The rarest shingle is the window's prefix; one that no document holds rules the window out.
@@ -181,10 +181,11 @@ def _found(docs: DataFrame, benchmark: DataFrame, window: int, id_col: str, text
                 F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "shingle", "offset")).alias("p"))
                 .filter("p.n > 0").select("words", "p.shingle", "p.offset", F.size("words").alias("width")))
             prefix = stored(prefix, "prefix")
-            rows = prefix.groupBy("shingle").agg(F.min("offset"), F.min(F.col("width") - F.col("offset"))).orderBy("shingle").collect()
+            least = prefix.groupBy("shingle").agg(F.min("offset").alias("a"), F.min(F.col("width") - F.col("offset")).alias("b"))
+            table = least.orderBy("shingle").toArrow()
+            bounds = np.array([table.column(c).to_numpy() for c in ("shingle", "a", "b")], dtype=np.int64)
         else:
-            prefix, rows = None, []
-        bounds = np.array([tuple(r) for r in rows], dtype=np.int64).reshape(-1, 3).T.copy()
+            prefix, bounds = None, np.zeros((3, 0), dtype=np.int64)
         probed = stored(_probed(slim, sizes, bounds, window), "probed")
         base = probed.select(KEY_ID, KEY_HASH, "n_words") if base is None else base
         if prefix is None:
