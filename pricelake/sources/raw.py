@@ -9,6 +9,7 @@ element of the same load wins a tie).
 from __future__ import annotations
 
 import datetime as _dt
+import re
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
@@ -25,6 +26,33 @@ def _stamp(df: DataFrame, ingest_ts) -> DataFrame:
     return df.select("payload", ts.alias("created_at"), F.to_date(ts).alias("ingest_date"), "load_pos")
 
 
+# A position is (file's rank by path, place in the file): 18 bits for the file, 15 for the split's start in
+# steps of 4 MB, 30 for the row within its read partition.
+_FILE_SHIFT, _SPLIT_SHIFT, _SPLIT_STEP = 45, 30, 22
+MAX_FILES = 1 << (63 - _FILE_SHIFT)
+
+
+def _with_position(df: DataFrame, lines: bool) -> DataFrame:
+    """``__at``: a number that grows with the file's path and, for lines, with the place in the file.
+
+    Spark reads big splits first, so its own row order depends on file sizes; this one doesn't.
+    """
+    # One spelling of a path's root: "file:///a" and "file:/a" are the same file.
+    files = sorted({re.sub(r"^([A-Za-z0-9+.-]+):///+", r"\1:/", f) for f in df.inputFiles()})
+    if len(files) > MAX_FILES:
+        raise ValueError(f"{len(files)} files in one load; split it below {MAX_FILES}")
+    place = F.lit(0).cast("bigint")
+    if lines:
+        place = (F.shiftleft(F.shiftright(F.col("_metadata.file_block_start"), _SPLIT_STEP), _SPLIT_SHIFT)
+                 + F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _SPLIT_SHIFT) - 1)))
+    placed = df.select("value", place.alias("__place"),
+                       F.regexp_replace(F.col("_metadata.file_path"), r"^([A-Za-z0-9+.-]+):///+", "$1:/").alias("__file"))
+    ranks = df.sparkSession.createDataFrame(list(enumerate(files)), "__rank long, __file string")
+    rank = F.coalesce("__rank", F.raise_error(F.concat(F.lit("file not listed: "), "__file")).cast("bigint"))
+    return placed.join(F.broadcast(ranks), "__file", "left").select(
+        "value", (F.shiftleft(rank, _FILE_SHIFT) + F.col("__place")).alias("__at"))
+
+
 def _as_array(text_col: str):
     """The document's text as a root array (an object becomes a one-element array); NULL for anything else."""
     v = F.trim(F.col(text_col))
@@ -73,16 +101,18 @@ def load_raw(
     malformed document or line fails the load unless ``lenient``;
     ``load_rejected`` then returns what was left out.
 
-    ``load_pos`` orders the rows of one file; lines of one file keep their
-    order across its splits. Elements of one array line share a position.
+    ``load_pos`` orders the rows by file path, then place in the file,
+    whatever the files' sizes. Elements of one array line share a position.
     """
     reader = spark.read.option("pathGlobFilter", f"*{suffix}") if suffix else spark.read
     if json_lines:
-        lines = reader.text(path).withColumn("__line", F.monotonically_increasing_id()).filter(F.trim("value") != "")
-        docs = documents_to_payloads(lines, lenient=lenient, keep=("__line",)).select(
-            "payload", F.col("__line").alias("load_pos"))
+        lines = _with_position(reader.text(path), lines=True).filter(F.trim("value") != "")
+        docs = documents_to_payloads(lines, lenient=lenient, keep=("__at",)).select(
+            "payload", F.col("__at").alias("load_pos"))
     else:
-        docs = documents_to_payloads(reader.text(path, wholetext=True), lenient=lenient)
+        whole = _with_position(reader.text(path, wholetext=True), lines=False)
+        docs = documents_to_payloads(whole, lenient=lenient, keep=("__at",)).select(
+            "payload", (F.col("load_pos") + F.col("__at")).alias("load_pos"))
     return _stamp(docs, ingest_ts)
 
 
@@ -180,9 +210,8 @@ def read_ids(spark: SparkSession, path: str, n: int | None = None) -> DataFrame:
     from per-partition top-n, not a global sort).
     """
     ids = (
-        spark.read.text(path)
-        .select(F.regexp_extract("value", r"^\s*(?:-\s*)?(\d+)\s*$", 1).alias("txt"),
-                F.monotonically_increasing_id().alias("ord"))
+        _with_position(spark.read.text(path), lines=True)
+        .select(F.regexp_extract("value", r"^\s*(?:-\s*)?(\d+)\s*$", 1).alias("txt"), F.col("__at").alias("ord"))
         .filter(F.col("txt") != "")
         .select(F.col("txt").cast("bigint").alias("id"), "ord")
     )

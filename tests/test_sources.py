@@ -110,3 +110,30 @@ def test_json_lines_lose_no_line(spark, tmp):
     got = rawsrc.load_raw(spark, path, "2025-01-02 03:04:05", json_lines=True, lenient=True).collect()
     assert sorted(r.payload.replace(" ", "") for r in got) == ['{"a":1}', '{"a":2}', '{"a":3}']
     assert [r.value.strip() for r in rawsrc.load_rejected(spark, path, json_lines=True).collect()] == ['{"a":']
+
+
+def test_later_file_wins_whatever_the_sizes(spark, tmp):
+    """The last row of a load wins by file path and place, not by which file Spark reads first."""
+    for big in ("1_first", "2_second"):
+        d = os.path.join(tmp, big)
+        os.makedirs(d)
+        for name in ("1_first", "2_second"):
+            filler = [f'{{"k": "f{i}", "v": "{"x" * 50}"}}' for i in range(2000 if name == big else 1)]
+            with open(os.path.join(d, f"{name}.jsonl"), "w") as f:
+                f.write("\n".join([*filler, f'{{"k": "same", "v": "{name}"}}']) + "\n")
+        for lines in (True, False):
+            if not lines:
+                for name in ("1_first", "2_second"):
+                    p = os.path.join(d, f"{name}.jsonl")
+                    body = ",".join(x for x in open(p).read().split("\n") if x)
+                    with open(p, "w") as f:
+                        f.write(f"[{body}]")
+            got = rawsrc.load_raw(spark, d, "2025-01-02 03:04:05", json_lines=lines)
+            last = got.filter("payload like '%same%'").orderBy("load_pos").collect()
+            assert ["1_first" in last[0].payload, "2_second" in last[1].payload] == [True, True]
+        ids = os.path.join(tmp, f"ids_{big}")
+        os.makedirs(ids)
+        for name, first in (("1_first", 1), ("2_second", 100_001)):
+            with open(os.path.join(ids, name), "w") as f:
+                f.write("".join(f"{first + i}\n" for i in range(5000 if name == big else 3)))
+        assert [r.id for r in rawsrc.read_ids(spark, ids, 2).collect()] == [1, 2]
