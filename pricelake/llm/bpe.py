@@ -28,9 +28,9 @@ from pyspark.sql import types as T
 from pricelake.llm.common import arrow_rows, pieces
 
 #: Distinct pieces whose tokens a task remembers; then it starts afresh.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 #: Tree entries that are worked on at once.
-TREE_ENTRIES = 1 << 21
+TREE_ENTRIES = 1 << 18
 
 _NONE = np.int64(1) << np.int64(62)
 _SHIFT = np.int64(32)

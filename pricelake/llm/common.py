@@ -20,7 +20,7 @@ SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 KEY_ID, KEY_HASH = "__llm_id", "__llm_hash"
 
 #: A numpy step works on about so many bytes of text at once, whatever the batch size.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 1 << 20
 
 #: Rows of one Arrow batch; long texts make larger batches costly.
 BATCH_ROWS = 1000
