@@ -183,7 +183,7 @@ def _counted_spans(segments: DataFrame, width: int) -> DataFrame:
         f"{KEY_HASH} long, start int, single boolean, w1 long, w2 long").fields])
     windows = stored(segments.mapInArrow(expand, schema), "large-windows")
     twice = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("w1", "w2")
-    return windows.filter("single").join(twice, ["w1", "w2"]).select(
+    return windows.filter("single").join(stored(twice, "twice"), ["w1", "w2"]).select(
         KEY_ID, KEY_HASH, "start", (F.col("start") + F.lit(width)).alias("end"))
 
 
@@ -191,14 +191,15 @@ def repeat_spans(slim: DataFrame, width: int, anchor: int = ANCHOR_BYTES, larges
     """(key, start, end): spans of bytes whose windows start elsewhere too; they may overlap."""
     runs = anchored_runs(slim, "bytes", anchor, width)
     again = runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
-    runs = stored(runs.join(again, "anchor"), "anchored-runs")
+    # Aggregates are stored before a join needs them, so that Spark can split the partition of a hot key.
+    runs = stored(runs.join(stored(again, "anchors"), "anchor"), "anchored-runs")
     one = F.struct(KEY_ID, KEY_HASH, "first", "count", "shift")
     segments = runs.groupBy("anchor", "segment").agg(F.count(F.lit(1)).alias("n"), F.first(one).alias("one"))
     segments = stored(segments, "segments")
     whole = runs.join(segments.filter("n > 1").select("anchor", "segment"), ["anchor", "segment"]).select(
         KEY_ID, KEY_HASH, *run_span(width))
     kinds = segments.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
-    wanted = segments.join(kinds, "anchor").select(
+    wanted = segments.join(stored(kinds, "kinds"), "anchor").select(
         "one.*", "anchor", (F.col("n") == 1).alias("single"), (F.col("kinds") > largest).alias("large"))
     wanted = stored(wanted, "segments-wanted")
     parts = [whole]

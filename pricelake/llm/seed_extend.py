@@ -63,17 +63,19 @@ def _window_hashes(docs: DataFrame, runs: DataFrame, width: int) -> DataFrame:
 def repeat_spans(slim: DataFrame, width: int, seed_words: int = SEED_WORDS) -> DataFrame:
     """(key, start, end): spans of words that an earlier document repeats; they may overlap."""
     runs = anchored_runs(slim.filter(F.col(KEY_ID).isNotNull()), "words", seed_words, width).drop("shift")
+    # Aggregates are stored before a join needs them: the join then reads a shuffle of its own on either side,
+    # and Spark can split the partition of a hot key.
     seeds = runs.groupBy("anchor").agg(F.min(KEY_ID).alias("lo"), F.max(KEY_ID).alias("hi")).filter("lo < hi").select("anchor")
-    runs = stored(runs.join(seeds, "anchor"), "seed-runs")
-    segments = runs.groupBy("anchor", "segment").agg(F.min(KEY_ID).alias("lo"))
-    shapes = segments.groupBy("anchor").agg((F.count(F.lit(1)) > 1).alias("several"))
-    judged = runs.join(segments.join(shapes, "anchor"), ["anchor", "segment"])
+    runs = stored(runs.join(stored(seeds, "seeds"), "anchor"), "seed-runs")
+    segments = stored(runs.groupBy("anchor", "segment").agg(F.min(KEY_ID).alias("lo")), "seed-segments")
+    shapes = stored(segments.groupBy("anchor").agg((F.count(F.lit(1)) > 1).alias("several")), "seed-shapes")
+    judged = runs.join(stored(segments.join(shapes, "anchor"), "segment-shapes"), ["anchor", "segment"])
     # A run that an earlier document has whole goes whole; the earliest one of each shape is looked at window by window.
     judged = stored(judged.filter((F.col(KEY_ID) > F.col("lo")) | F.col("several")).select(
         KEY_ID, KEY_HASH, "first", "count", (F.col(KEY_ID) > F.col("lo")).alias("whole")), "judged-runs")
     windows = stored(_window_hashes(slim, judged.filter(~F.col("whole")), width), "run-windows")
     earliest = windows.groupBy("w1", "w2").agg(F.min(KEY_ID).alias("lo"), F.max(KEY_ID).alias("hi")).filter("lo < hi").select("w1", "w2", "lo")
-    later = windows.join(earliest, ["w1", "w2"]).filter(F.col(KEY_ID) > F.col("lo"))
+    later = windows.join(stored(earliest, "earliest"), ["w1", "w2"]).filter(F.col(KEY_ID) > F.col("lo"))
     return judged.filter("whole").select(KEY_ID, KEY_HASH, *run_span(width)).unionByName(
         later.select(KEY_ID, KEY_HASH, F.col("pos").alias("start"), (F.col("pos") + F.lit(width)).alias("end")))
 
