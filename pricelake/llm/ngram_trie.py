@@ -1,23 +1,28 @@
-"""Language-model scoring with an Elias-Fano n-gram trie.
-
-Counts come from all training documents. The trie holds words, bigrams and
-trigrams whose share of all training tokens is at least ``share``: at most
-1/share entries a level at any corpus size, a bound that makes the model safe to
-broadcast. Since a frequent n-gram has frequent parts, each level is
-counted among the survivors of the one below, without losing one.
-
-Level 1 is the words by frequency. In level 2 the pairs (context, word) are one
+"""Language-model scoring with a sharded Elias-Fano n-gram trie.
+
+Counts come from all training documents, and every n-gram counted is in the
+model: all words, bigrams and trigrams, down to those seen once. The model
+grows with the corpus, so it lies in shards. A trigram (a, b, c) belongs
+to the shard of its middle word b, which holds all that a token c after a, b
+needs: the trigrams around b, the bigrams that begin with b and the counts of their last words.
+A word of many tokens has several shards, by a hash of a; each has all its bigrams.
+A shard is a row (shard, part, Elias-Fano level file) in the shared checkpoint folder. Document n-grams, added up per
+row, are routed to their shard; a shard asked for often is laid out in several parts, dealt by row.
+Neither the driver nor a broadcast holds a level.
+
+In a shard words are numbered by their place among its word keys (64-bit hashes).
+Level 1 is the words. In level 2 the pairs (context, word) are one
 monotone sequence, in level 3 a word is numbered relative to its context: by
 its place among the successors of the word before it. Sequences and pointers
 are Elias-Fano coded (low bits packed, high bits in unary), smoothed probabilities and
-back-off weights are quantised to 16 bits. Tasks map the levels from a file and
-find a successor by its high bits, then its low bits.
+back-off weights are quantised to 16 bits. A successor is found by its high bits, then its low bits.
 
 Smoothing is interpolated absolute discounting over the base model
 (c + 0.5) / (N + 0.5 (V + 1)), so every word, also an unknown one, has a probability.
-Words outside level 1 need their counts for the base: these rare
-occurrences are joined with the whole count table; frequent words never
-meet that shuffle.
+The score is the base score plus what each token's context changes, so shards
+need no counts of words unseen after their context. For the base score the words with a share of
+``share`` or more of all tokens (at most 1/share) are broadcast with their counts; the other
+occurrences are joined with the whole count table. The share changes no result.
 
 Defined results: a null or empty text is one end token; repeated rows count as
 documents of their own and repeat; a row whose id is null is scored, and its fold is the caller's.
@@ -25,6 +30,7 @@ documents of their own and repeat; a row whose id is null is scored, and its fol
 
 from __future__ import annotations
 
+import hashlib
 import io
 import itertools
 import os
@@ -42,14 +48,16 @@ from pricelake.llm.common import arrow_rows, pieces, stored
 
 #: The end token; no word contains a line feed.
 END = b"\n"
-#: Least share of the training tokens of an n-gram in the trie.
+#: Least share of the training tokens of a word whose count is broadcast.
 SHARE = 1e-6
-#: Count subtracted from each n-gram in the trie.
+#: Count subtracted from each n-gram.
 DISCOUNT = 0.75
 #: Steps of log10 probability per quantisation unit.
 STEPS = 4096
 #: Counts a task holds before it hands them on.
 FLUSH = 1_000_000
+#: Training tokens of a shard.
+SHARD_TOKENS = 1_000_000
 
 
 class EliasFano:
@@ -116,10 +124,11 @@ def quantised(log10: np.ndarray) -> np.ndarray:
 
 
 class Trie:
-    """The mapped model: ``score`` gives the part of a text's log10 probability that needs no rare word's count."""
+    """The mapped levels: ``score`` gives the part of a text's log10 probability that needs no rare word's count."""
 
     def __init__(self, file: str):
         levels = _mapped(file)
+        self.keys = levels.get("keys")
         self.words, self.unigram = int(levels["words"][0]), levels["unigram"]
         self.pairs, self.pointers, self.triples = (
             EliasFano(*map(int, levels[f"{k}_size"]), levels[f"{k}_low"], levels[f"{k}_high"]) for k in ("pairs", "pointers", "triples"))
@@ -229,13 +238,14 @@ def tokens(text: str | None) -> list[bytes]:
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
-    """(word, n) over all texts, the end token included; tasks add up before the shuffle."""
+    """(word, key, n) over all texts, the end token included; tasks add up before the shuffle."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
 
         def flushed() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
+            keys = pa.array(map(_Keys().__missing__, seen), pa.int64())
+            out = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), keys, pa.array(list(seen.values()), pa.int64())], names=["word", "key", "n"])
             seen.clear()
             return out
 
@@ -248,7 +258,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
         if seen:
             yield flushed()
 
-    return texts.mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(count, "word binary, key long, n long").groupBy("word", "key").agg(F.sum("n").alias("n"))
 
 
 class _Ids:
@@ -258,94 +268,149 @@ class _Ids:
         self.number = {w: i for i, w in enumerate(vocabulary)}
         self.end = self.number.get(END, -1)
 
-    def of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[list[bytes]]]:
-        """(tokens, the token before each, head marks, words) of texts one after another, ends included."""
+    def of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
+        """(tokens, first token of each text, words) of texts one after another, ends included."""
         words = [tokens(t) for t in texts]
         get = self.number.get
         flat = np.fromiter((i for w in words for i in [*map(get, w, _MINUS), self.end]), dtype=np.int64)
         size = np.array([len(w) + 1 for w in words], dtype=np.int64)
-        start = np.cumsum(size) - size
-        head = np.zeros(len(flat), dtype=bool)
-        head[start] = True
-        before = np.concatenate([[-1], flat[:-1]])
-        before[start] = self.end
-        return flat, before, head, words
+        return flat, np.cumsum(size) - size, words
 
 
 _MINUS = itertools.repeat(-1)
 
 
-def _summed(texts: DataFrame, keys_of) -> DataFrame:
-    """(key, n): how often ``keys_of(texts)`` gives each key; tasks add up before the shuffle."""
+class _Keys(dict):
+    """64-bit hashes of words, remembered."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > FLUSH // 4:
+            self.clear()
+        key = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little", signed=True)
+        return key
+
+
+END_KEY = _Keys()[END]
+
+
+def _contexts(keys: _Keys, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text's place, middle word b, first word a, last word c) of each token c; after the end token, at a head, a is 0."""
+    get = keys.__getitem__
+    words = [tokens(t) for t in texts]
+    c = np.fromiter((i for w in words for i in [*map(get, w), END_KEY]), dtype=np.int64)
+    size = np.array([len(w) + 1 for w in words], dtype=np.int64)
+    start = np.cumsum(size) - size
+    b = np.concatenate([[END_KEY], c[:-1]])
+    a = np.concatenate([[0], b[:-1]])
+    b[start], a[start] = END_KEY, 0
+    return np.repeat(np.arange(len(texts)), size), b, a, c
+
+
+def _added_up(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct rows of equally long columns, and how often each occurs."""
+    order = np.lexsort(columns[::-1])
+    columns = [x[order] for x in columns]
+    new = np.concatenate([[True], np.logical_or.reduce([x[1:] != x[:-1] for x in columns])])
+    at = np.flatnonzero(new)
+    return [x[at] for x in columns], np.diff(np.append(at, len(order)))
+
+
+def trigram_counts(texts: DataFrame) -> DataFrame:
+    """(b, a, c, n) of every trigram of the texts; tasks add up before the shuffle."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held: list[tuple] = []
         size = 0
 
         def flushed() -> pa.RecordBatch:
-            keys, n = np.unique(np.concatenate(held), return_counts=True)
+            columns, n = _added_up([np.concatenate(x) for x in zip(*held, strict=True)])
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], names=["key", "n"])
+            return pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(n)], names=["b", "a", "c", "n"])
 
-        keys_in = keys_of()
+        keys = _Keys()
         for batch in pieces(batches, "text"):
-            keys = keys_in(batch.column(0).to_pylist())
-            held.append(keys)
-            size += len(keys)
+            _, *columns = _contexts(keys, batch.column(0).to_pylist())
+            held.append(columns)
+            size += len(columns[0])
             if size > FLUSH:
                 yield flushed()
                 size = 0
         if size:
             yield flushed()
 
-    return texts.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-
-
-def _kept(counts: DataFrame, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """The bounded list of frequent keys, sorted, and their counts."""
-    table = counts.filter(F.col("n") >= max(2.0, least)).orderBy("key").toArrow()
-    return table.column("key").to_numpy(), table.column("n").to_numpy()
-
-
-def train(texts: DataFrame, share: float = SHARE) -> tuple[DataFrame, int, int, list[bytes], np.ndarray, bytes]:
-    """(count table, tokens, distinct tokens, frequent words, their counts, level file) of the training ``texts`` (text)."""
-    spark = texts.sparkSession
-    table = stored(word_counts(texts), "word-counts")
-    total, distinct = table.agg(F.sum("n"), F.count(F.lit(1))).first()
-    total, distinct = int(total or 0), int(distinct)
-    top = table.filter(F.col("n") >= share * total).orderBy(F.desc("n"), "word").toArrow()
-    vocabulary, counts = top.column("word").to_pylist(), top.column("n").to_numpy()
-    size = max(1, len(vocabulary))
-    sent = spark.sparkContext.broadcast(vocabulary)
-
-    def pair_keys():
-        ids = _Ids(sent.value)
-
-        def keys(some: list[str | None]) -> np.ndarray:
-            word, before, _, _ = ids.of(some)
-            good = (word >= 0) & (before >= 0)
-            return before[good] * size + word[good]
-        return keys
-
-    pairs, pair_counts = _kept(_summed(texts, pair_keys), share * total)
-    sent_pairs = spark.sparkContext.broadcast(pairs)
-
-    def triple_keys():
-        ids, known = _Ids(sent.value), sent_pairs.value
-
-        def keys(some: list[str | None]) -> np.ndarray:
-            word, before, head, _ = ids.of(some)
-            key = np.where((word >= 0) & (before >= 0), before * size + word, -1)
-            place = np.minimum(np.searchsorted(known, key), max(0, len(known) - 1))
-            place = np.where(known[place] == key, place, -1) if len(known) else np.full(len(key), -1)
-            prior = np.concatenate([[-1], place[:-1]])
-            good = (place >= 0) & (prior >= 0) & ~head
-            return prior[good] * size + word[good]
-        return keys
-
-    triples, triple_counts = _kept(_summed(texts, triple_keys), share * total)
-    levels = build_levels(counts, pairs, pair_counts, triples, triple_counts, total, distinct)
-    return table, total, distinct, vocabulary, counts, levels
+    return texts.mapInArrow(count, "b long, a long, c long, n long").groupBy("b", "a", "c").agg(F.sum("n").alias("n"))
+
+
+def _shard(shards: int, splits: DataFrame, rows: DataFrame) -> DataFrame:
+    """``rows`` (b, a, ...) with their shard; the words of ``splits`` (b, splits) have several."""
+    salt = F.when(F.col("b") == END_KEY, 0).otherwise(F.pmod(F.xxhash64("a"), F.coalesce("splits", F.lit(1))))
+    return rows.join(F.broadcast(splits), "b", "left").withColumn(
+        "shard", F.pmod(F.xxhash64("b", salt.cast("long")), F.lit(shards))).drop("splits")
+
+
+def shard_levels(total: int, distinct: int):
+    """The function that makes one shard's level file of its trigrams (b, a, c, n) and bigrams (b, c, n, last)."""
+
+    def build(key, triples: pa.Table, pairs: pa.Table) -> pa.Table:
+        b, a, c, n = (triples.column(x).to_numpy() for x in ("b", "a", "c", "n"))
+        begin, last, pair_n, last_n = (pairs.column(x).to_numpy() for x in ("b", "c", "n", "last"))
+        inner = b != END_KEY  # a head has no trigram
+        b, a, c, n = b[inner], a[inner], c[inner], n[inner]
+        words = np.unique(np.concatenate([a, b, c, begin, last]))
+        size = len(words)
+        a, b, c, begin, last = (np.searchsorted(words, x) for x in (a, b, c, begin, last))
+        # Words that only come first have no count here, and none is asked for.
+        counts = np.ones(size, np.int64)
+        counts[begin] = np.bincount(begin, pair_n, minlength=size)[begin].astype(np.int64)
+        counts[last] = last_n
+        # A word before the middle one: its pair's count is the sum of its trigrams, as only the end token has none after it.
+        own, at = np.unique(a * size + b, return_inverse=True)
+        own_n = np.bincount(at, n, minlength=len(own)).astype(np.int64)
+        both, first = np.unique(np.concatenate([begin * size + last, own]), return_index=True)
+        both_n = np.concatenate([pair_n, own_n])[first]
+        triple = np.searchsorted(both, a * size + b) * size + c
+        order = np.argsort(triple)
+        levels = build_levels(counts, both, both_n, triple[order], n[order], total, distinct)
+        return pa.table({"shard": pa.array([key[0].as_py()], pa.int64()), "levels": pa.array([level_file({"keys": words}) + levels], pa.binary())})
+
+    return build
+
+
+def train(texts: DataFrame, table: DataFrame, total: int, distinct: int) -> tuple[DataFrame, DataFrame, int]:
+    """((shard, parts, levels) of every shard, (b, splits) of the words with several, shards) of the training ``texts`` (text)."""
+    shards = max(1, -(-total // SHARD_TOKENS))
+    words = table.select(F.col("key").alias("b"), "n")
+    many = words.filter((F.col("n") > SHARD_TOKENS // 4) & (F.col("b") != END_KEY)).select(
+        "b", F.ceil(F.col("n") / (SHARD_TOKENS // 4)).cast("long").alias("splits"))
+    triples = stored(_shard(shards, many, trigram_counts(texts)), "lm-trigrams")
+    pairs = triples.groupBy("b", "c").agg(F.sum("n").alias("n"))
+    pairs = stored(pairs.join(words.select(F.col("b").alias("c"), F.col("n").alias("last")), "c"), "lm-bigrams")
+    # Each shard of a word has all its bigrams.
+    placed = pairs.join(triples.select("b", "shard").distinct(), "b").select(F.col("shard").alias("to"), "b", "c", "n", "last")
+    levels = triples.groupBy("shard").cogroup(placed.groupBy("to")).applyInArrow(
+        shard_levels(total, distinct), "shard long, levels binary")
+    asked = triples.groupBy("shard").agg(F.ceil(F.sum("n") / (2 * SHARD_TOKENS)).cast("long").alias("parts"))
+    return stored(levels.join(asked, "shard"), "lm-levels"), many, shards
+
+
+def score_shard(key, asked: pa.Table, levels: pa.Table) -> pa.Table:
+    """(row, model): what the contexts change in a row's log10 probability, over the tokens of one shard."""
+    row, b, a, c, k = (asked.column(x).to_numpy() for x in ("row", "b", "a", "c", "k"))
+    if not len(row) or not levels.num_rows:  # no training token has this shard: nothing is known of the context
+        return pa.table({"row": pa.array([], pa.int64()), "model": pa.array([], pa.float64())})
+    trie = open_trie(levels.column("levels")[0].as_py())
+    ids = []
+    for x in (a, b, c):
+        place = np.minimum(np.searchsorted(trie.keys, x), len(trie.keys) - 1)
+        ids.append(np.where(trie.keys[place] == x, place, -1))
+    a, b, c = ids
+    a[asked.column("b").to_numpy() == END_KEY] = -1
+    # Each token after the word before it; only the former's score counts.
+    word, before = np.stack([b, c], 1).reshape(-1), np.stack([a, b], 1).reshape(-1)
+    gain = trie.score(word, before, np.tile([True, False], len(c)))[1::2]
+    gain -= np.where(c >= 0, trie.unigram[c], 0.0)
+    rows, at = np.unique(row, return_inverse=True)
+    return pa.table({"row": rows, "model": np.bincount(at, gain * k, minlength=len(rows))})
 
 
 def score_documents(docs: DataFrame, learn: Column, share: float = SHARE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -353,42 +418,59 @@ def score_documents(docs: DataFrame, learn: Column, share: float = SHARE, id_col
     spark = docs.sparkSession
     arrow_rows(spark)
     texts = docs.filter(learn).select(F.col(text_col).alias("text"))
-    table, total, distinct, vocabulary, counts, levels = train(texts, share)
+    table = stored(word_counts(texts), "word-counts")
+    total, distinct = table.agg(F.sum("n"), F.count(F.lit(1))).first()
+    total, distinct = int(total or 0), int(distinct)
+    top = table.filter(F.col("n") >= share * total).orderBy(F.desc("n"), "word").select("word", "n").toArrow()
+    vocabulary, counts = top.column("word").to_pylist(), top.column("n").to_numpy()
     base = np.log10((counts + 0.5) / (total + 0.5 * (distinct + 1)))
-    sent = spark.sparkContext.broadcast((vocabulary, base, levels))
+    sent = spark.sparkContext.broadcast((vocabulary, base))
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     rare_kind = pa.list_(pa.struct([("word", pa.binary()), ("k", pa.int64())]))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, base, levels = sent.value
-        ids, trie = _Ids(vocabulary), open_trie(levels)
+        vocabulary, base = sent.value
+        ids = _Ids(vocabulary)
         for batch in pieces(batches, "text"):
-            word, before, head, words = ids.of(batch.column(1).to_pylist())
-            start = np.flatnonzero(head)
+            word, start, words = ids.of(batch.column(1).to_pylist())
             known = word >= 0
             plain = np.zeros(len(word))
             plain[known] = base[word[known]]
-            model = trie.score(word, before, head)
-            sums = [np.add.reduceat(x, start) for x in (known.astype(np.int64), plain, model)]
+            sums = [np.add.reduceat(x, start) for x in (known.astype(np.int64), plain)]
             get = ids.number
             rare = [[{"word": w, "k": k} for w, k in Counter([w for w in some if w not in get]).items()] for some in words]
             if ids.end < 0:  # not one training document
                 for some in rare:
                     some.append({"word": END, "k": 1})
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.diff(np.append(start, len(word)))), *map(pa.array, sums), pa.array(rare, rare_kind)],
-                names=["doc_id", "n_tokens", "n_known", "base", "model", "rare"])
+                [*batch.columns, pa.array(np.diff(np.append(start, len(word)))), *map(pa.array, sums), pa.array(rare, rare_kind)],
+                names=["doc_id", "text", "n_tokens", "n_known", "base", "rare"])
+
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = _Keys()
+        for batch in pieces(batches, "text"):
+            place, *columns = _contexts(keys, batch.column(1).to_pylist())
+            columns, k = _added_up([batch.column(0).to_numpy()[place], *columns])
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(k)], names=["row", "b", "a", "c", "k"])
 
     schema = T.StructType([slim.schema["doc_id"], *T.StructType.fromDDL(
-        "n_tokens long, n_known long, base double, model double, rare array<struct<word:binary,k:bigint>>").fields])
-    first = stored(slim.mapInArrow(score, schema).withColumn("row", F.monotonically_increasing_id()), "lm-scores")
+        "text string, n_tokens long, n_known long, base double, rare array<struct<word:binary,k:bigint>>").fields])
+    first = stored(slim.mapInArrow(score, schema).withColumn("row", F.monotonically_increasing_id()), "lm-rows")
     each = first.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.k")
     bottom = total + 0.5 * (distinct + 1)
     looked = each.join(table, "word", "left").select(
         "row", F.when(F.col("n").isNotNull(), F.col("k")).otherwise(0).alias("found"),
         (F.col("k") * F.log10((F.coalesce("n", F.lit(0)) + 0.5) / F.lit(bottom))).alias("log"))
     sums = looked.groupBy("row").agg(F.sum("found").alias("found"), F.sum("log").alias("log"))
-    log = F.coalesce("log", F.lit(0.0))
-    return first.join(sums, "row", "left").select(
+    levels, many, shards = train(texts, table, total, distinct)
+    parts = levels.select("shard", "parts")
+    routed = _shard(shards, many, first.select("row", "text").mapInArrow(asked, "row long, b long, a long, c long, k long"))
+    routed = routed.join(F.broadcast(parts), "shard").withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")))
+    laid = levels.select("shard", "levels", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")).withColumnRenamed("shard", "to")
+    gains = routed.drop("parts").groupBy("shard", "part").cogroup(laid.groupBy("to", "part")).applyInArrow(
+        score_shard, "row long, model double").groupBy("row").agg(F.sum("model").alias("model"))
+    gains = stored(gains, "lm-scores")
+    whole = F.col("base") + F.coalesce("log", F.lit(0.0))
+    return first.drop("text").join(sums, "row", "left").join(gains, "row", "left").select(
         F.col("doc_id").alias(id_col), "n_tokens", (F.col("n_known") + F.coalesce("found", F.lit(0))).alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + log).alias("base_score"), (F.col("model") + log).alias("score"))
+        F.lit(total).cast("long").alias("train_tokens"), whole.alias("base_score"), (whole + F.coalesce("model", F.lit(0.0))).alias("score"))

@@ -281,3 +281,50 @@ def test_boosted_candidates_add_what_looks_alike(spark):
     assert sum(bare) >= 0.8 * len(bare)
     sheep = sum(len(got[i]) > 1 for i in range(900))
     assert sheep <= 45
+
+
+# --- LM scoring: the whole model
+
+def test_lm_keeps_every_ngram_at_any_share(spark, monkeypatch):
+    """Scores equal the plain model over all n-grams, singletons too, whatever the shard size and share."""
+    from pricelake.llm import ngram_trie
+
+    rng = random.Random(12)
+    rows = [(i, " ".join(rng.choice("abcdefgh") * rng.randrange(1, 4) for _ in range(rng.randrange(0, 40)))) for i in range(120)]
+    rows += [(200, None), (None, "a b c"), (5, rows[5][1]), (300, "unseen words a b"), (301, "a unseen b"), (302, "a a a a a a a")]
+    learn = [i is not None and i < 300 and i % 5 != 1 for i, _ in rows]
+    split = [[*tokens(t), b"\n"] for _, t in rows]
+    one, two, three = Counter(), Counter(), Counter()
+    for w in (w for w, use in zip(split, learn, strict=True) if use):
+        v = [b"\n", *w]
+        one.update(w)
+        two.update(zip(v, v[1:]))
+        three.update(zip(v, v[1:], v[2:]))
+    after = {x: sum(n - 0.75 for k, n in two.items() if k[0] == x) for x in one}
+    after2 = {x: sum(n - 0.75 for k, n in three.items() if k[:2] == x) for x in two}
+    bottom = sum(one.values()) + 0.5 * (len(one) + 1)
+
+    def plain(c):
+        return (one[c] + 0.5) / bottom
+
+    def mixed(n, context, left, lower):
+        return max(n - 0.75, 0) / context + max(1 - left / context, 1e-6) * lower if context else lower
+
+    expected = []
+    for w in split:
+        v, total = [b"\n", *w], 0.0
+        for p in range(1, len(v)):
+            q = mixed(two[v[p - 1], v[p]], one[v[p - 1]], after.get(v[p - 1], 0), plain(v[p]))
+            if p > 1:
+                ab = (v[p - 2], v[p - 1])
+                q = mixed(three[*ab, v[p]], two[ab], after2.get(ab, 0), q)
+            total += math.log10(q)
+        expected.append(total)
+    order = sorted(range(len(rows)), key=lambda i: (str(rows[i][0]), expected[i]))
+    for size, share in ((1_000_000, 0.5), (200, 1e-6)):
+        monkeypatch.setattr(ngram_trie, "SHARD_TOKENS", size, raising=False)
+        fold = F.coalesce((F.col("doc_id") < 300) & (F.col("doc_id") % 5 != 1), F.lit(False))
+        got = sorted(((str(r["doc_id"]), r["score"]) for r in score_documents(frame(spark, rows), fold, share=share).collect()))
+        assert [i for i, _ in got] == [str(rows[i][0]) for i in order]
+        for (_, score), i in zip(got, order, strict=True):
+            assert abs(score - expected[i]) < 2 * len(split[i]) / 4096
