@@ -49,10 +49,10 @@ GENERATORS = {
     "card": r"(?:\G|(?<![0-9]))[0-9](?:[\x20.-]?[0-9]){11,18}+",
     "phone": r"(?:\G|(?<![0-9]))(?:\+|\()?[0-9](?:[\x20().-]{0,2}[0-9]){6,14}+",
 }
-#: What a text must hold to be searched for a kind at all.
+#: What a text must hold to be searched for a kind at all; every match of a generator holds it.
 NEEDS = {
     "email": r"@|[\[({]at[\])}]",
-    "ip": r"[0-9]\]?\)?\.[0-9\])]",
+    "ip": r"[0-9](?:\.|\[\.\]|\(\.\))[0-9]",
     "card": r"[0-9](?:[\x20.-]?[0-9]){11}",
     "phone": r"[0-9](?:[\x20().-]{0,2}[0-9]){6}",
 }

@@ -328,3 +328,21 @@ def test_lm_keeps_every_ngram_at_any_share(spark, monkeypatch):
         assert [i for i, _ in got] == [str(rows[i][0]) for i in order]
         for (_, score), i in zip(got, order, strict=True):
             assert abs(score - expected[i]) < 2 * len(split[i]) / 4096
+
+
+# --- personal data: pre-filters, calibration
+
+def test_candidate_prefilters_hold_in_every_match(spark):
+    """Each kind's pre-filter passes every text in which its generator matches, however the parts are written."""
+    rng = random.Random(21)
+    alone = {"email": ["bob [at] site [dot] com", "x{at}y", "a@b", "me(at)z(dot)org"],
+             "ip": ["server 192[.]168[.]0[.]1 answers", "server 10(.)0(.)0(.)1 answers", "1.2[.]3(.)4", "at 8.8.8.8"],
+             "card": ["4111.1111.1111.1111", "4-1-1-1-1-1-1-1-1-1-1-1"], "phone": ["(555) 010-4477", "5(.1)-2..3 4 5 6 7"]}
+    for kind, parts in (("email", ["a", "@", " [at] ", "(at)", ".", " {dot} ", "b"]), ("ip", ["1", "25", ".", "[.]", "(.)", "x"]),
+                        ("card", ["1", "22", " ", ".", "-"]), ("phone", ["1", "22", " ", "(", ")", ".", "-", "+"])):
+        rows = [(i, t) for i, t in enumerate(alone[kind] + ["".join(rng.choices(parts, k=rng.randrange(3, 24))) for _ in range(500)])]
+        df = spark.createDataFrame(rows, "id long, text string")
+        out = df.select("id", pii.find_spans("text", pii.GENERATORS[kind]).alias("plain"),
+                        pii.find_spans("text", pii.GENERATORS[kind], pii.NEEDS[kind]).alias("found")).collect()
+        assert all(r["plain"] == r["found"] for r in out)
+        assert all(r["plain"] for r in out if r["id"] < len(alone[kind]))
