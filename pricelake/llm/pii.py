@@ -10,7 +10,8 @@ runs on rows. Two layers:
   Boosted trees score a candidate from its format and its context. They learn on a
   bounded sample of documents, with the base spans as labels and without the features
   that the base checks decide on. Per kind the least score whose precision on held-out
-  candidates reaches ``precision`` is the threshold; accepted candidates that
+  candidates reaches ``precision`` is the threshold; held out are all candidates of all documents
+  that the trees have not learnt from, whatever the size. Accepted candidates that
   meet no base span of their kind are added.
 
 The trees become one SQL expression, so scoring happens where the text is read: no shuffle of texts.
@@ -77,7 +78,7 @@ FEATURES = ("kind", "length", "digits", "letters", "marks", "groups", "longest",
 
 @dataclass(frozen=True)
 class Settings:
-    """Bounds of training, and what the thresholds aim at."""
+    """Bounds of the trees' sample, and what the thresholds aim at."""
 
     sample_docs: int = 4_000
     rounds: int = 8
@@ -176,13 +177,20 @@ def score_sql(model, candidate: str) -> str:
 
 
 def train(docs: DataFrame, settings: Settings = Settings()):
-    """(model, {kind: threshold}) from a bounded sample of documents (__id, __text); (None, {}) without both classes."""
-    # Documents that may hold personal data, those of least hash; the list of ids is bounded, so its join is a broadcast.
-    maybe = docs.filter(F.col("__text").rlike("@|[0-9](?:[ ().-]{0,2}[0-9]){5}")).select("__id")
-    chosen = maybe.withColumn("o", F.xxhash64("__id", F.lit(settings.seed))).orderBy("o").limit(settings.sample_docs).select("__id").distinct()
-    chosen = stored(chosen.coalesce(1), "pii-sample")
-    some = with_spans(docs.join(F.broadcast(chosen), "__id"))
-    each = some.select("__id", F.explode(F.concat(*[F.col(f"__cand_{k}") for k in KINDS])).alias("c"))
+    """(model, {kind: threshold}) of documents (__id, __text); (None, {}) without both classes in the sample.
+
+    The trees learn on a bounded sample; the thresholds come from all candidates they have not learnt from.
+    """
+    # Rows with a candidate, those of least hash; equal rows have one hash and count once in the sample.
+    maybe = F.lit(False)
+    for kind in KINDS:
+        maybe = maybe | (F.col("__text").rlike(NEEDS[kind]) & F.col("__text").rlike(GENERATORS[kind]))
+    order = F.xxhash64("__id", "__text", F.lit(settings.seed))
+    last = docs.filter(maybe).select(order.alias("o")).orderBy("o").limit(settings.sample_docs).agg(F.max("o")).first()[0]
+    if last is None:
+        return None, {}
+    chosen = docs.filter((order <= last) & maybe).dropDuplicates(["__id", "__text"])
+    each = with_spans(chosen).select("__id", F.explode(F.concat(*[F.col(f"__cand_{k}") for k in KINDS])).alias("c"))
     each = stored(each.select("c.*", F.pmod(F.xxhash64("__id", "c.kind", "c.start"), F.lit(4)).alias("fold")), "pii-candidates")
     classes = each.filter("fold <> 0").agg(F.count_if(F.col("known")), F.count_if(~F.col("known"))).first()
     if not all(classes):
@@ -191,15 +199,21 @@ def train(docs: DataFrame, settings: Settings = Settings()):
         each.withColumn("label", F.col("known").cast("double")))
     model = GBTClassifier(maxIter=settings.rounds, maxDepth=settings.depth, stepSize=0.3, maxBins=64, seed=settings.seed,
                           checkpointInterval=-1).fit(rows.filter("fold <> 0").select("features", "label").coalesce(1))
-    # Held-out precision at each score, from the highest score down; scores are as few as the trees' leaf patterns.
-    scored = (each.filter("fold = 0").withColumn("score", F.expr(score_sql(model, "c").replace("c.", "")))
+    # Held out are a quarter of the sample's candidates and those of all other documents, added up in tasks.
+    held_out = each.filter("fold = 0").drop("fold")
+    others = with_spans(docs.filter(order > last)).select(F.explode(F.concat(*[F.col(f"__cand_{k}") for k in KINDS])).alias("c"))
+    held_out = held_out.unionByName(others.select("c.*"))
+    # Their precision at each score, from the highest score down; scores are as few as the trees' leaf patterns.
+    scored = (held_out.withColumn("score", F.expr(score_sql(model, "c").replace("c.", "")))
               .groupBy("kind", "score").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("known")).alias("good")).collect())
     thresholds = {}
     for k, kind in enumerate(KINDS):
+        of_kind = sorted((r for r in scored if r["kind"] == k), key=lambda r: -r["score"])
+        least = min(settings.least_held_out, sum(r["n"] for r in of_kind))
         n = good = 0
-        for row in sorted((r for r in scored if r["kind"] == k), key=lambda r: -r["score"]):
+        for row in of_kind:
             n, good = n + row["n"], good + row["good"]
-            if n >= settings.least_held_out and good >= settings.precision * n:
+            if n >= least and good >= settings.precision * n:
                 thresholds[kind] = row["score"]
     return model, thresholds
 

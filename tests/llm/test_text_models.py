@@ -346,3 +346,21 @@ def test_candidate_prefilters_hold_in_every_match(spark):
                         pii.find_spans("text", pii.GENERATORS[kind], pii.NEEDS[kind]).alias("found")).collect()
         assert all(r["plain"] == r["found"] for r in out)
         assert all(r["plain"] for r in out if r["id"] < len(alone[kind]))
+
+
+def test_thresholds_come_from_all_documents(spark):
+    """A kind that is rare in the sample is calibrated on the whole corpus."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(1200):
+        number = " ".join(str(rng.randrange(1, 9)) for _ in range(rng.randrange(8, 12)))
+        rows.append((i, f"please call +1 ({rng.randrange(100, 999)}) 555-{rng.randrange(1000, 9999)} today or count {number} sheep"))
+        if i % 10 == 0:
+            rows.append((5000 + i, "the server 10." + ".".join(str(rng.randrange(100, 250)) for _ in range(3)) + " answers"))
+    rows += [(9000 + i, f"the server 10[.]{i + 120}[.]133[.]201 answers") for i in range(3)]
+    df = frame(spark, rows)
+    slim = df.select(F.col("doc_id").alias("__id"), F.coalesce("text", F.lit("")).alias("__text"))
+    settings = pii.Settings(sample_docs=200)
+    assert "ip" in pii.train(slim, settings)[1]
+    got = {r["doc_id"]: r["spans"] for r in pii.find_personal_data(df, settings).collect()}
+    assert all(any(s["kind"] == 1 for s in got[9000 + i]) for i in range(3))
