@@ -13,7 +13,7 @@ import re
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -32,6 +32,12 @@ _FILE_SHIFT, _SPLIT_SHIFT, _SPLIT_STEP = 45, 30, 22
 MAX_FILES = 1 << (63 - _FILE_SHIFT)
 
 
+def line_place(split_start: Column) -> Column:
+    """A number that grows with a line's place in its file: the split's start, then the row within the read partition."""
+    return (F.shiftleft(F.shiftright(split_start, _SPLIT_STEP), _SPLIT_SHIFT)
+            + F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _SPLIT_SHIFT) - 1)))
+
+
 def _with_position(df: DataFrame, lines: bool) -> DataFrame:
     """``__at``: a number that grows with the file's path and, for lines, with the place in the file.
 
@@ -43,8 +49,7 @@ def _with_position(df: DataFrame, lines: bool) -> DataFrame:
         raise ValueError(f"{len(files)} files in one load; split it below {MAX_FILES}")
     place = F.lit(0).cast("bigint")
     if lines:
-        place = (F.shiftleft(F.shiftright(F.col("_metadata.file_block_start"), _SPLIT_STEP), _SPLIT_SHIFT)
-                 + F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _SPLIT_SHIFT) - 1)))
+        place = line_place(F.col("_metadata.file_block_start"))
     placed = df.select("value", place.alias("__place"),
                        F.regexp_replace(F.col("_metadata.file_path"), r"^([A-Za-z0-9+.-]+):///+", "$1:/").alias("__file"))
     ranks = df.sparkSession.createDataFrame(list(enumerate(files)), "__rank long, __file string")

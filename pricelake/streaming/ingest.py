@@ -6,12 +6,16 @@ poll of the original workflow), hands each micro-batch to ``foreachBatch``.
 The checkpoint remembers which files were taken, so each file is processed
 once; the batch handler merges by key, so a retried batch changes nothing.
 
+Documents and lines that are no JSON object or array go to a quarantine
+folder with their file and time; payloads and quarantine together account for every line.
+
 Late data: a batch may carry rows of past days; only the days present in
 the batch are re-merged (see ``tables.merge_partitions``).
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,32 +24,54 @@ from pyspark.sql import functions as F
 from pricelake.operators import merge, staging
 from pricelake.plans.ods import ODS_KEYS, add_to_catalog
 from pricelake.sources import tables
-from pricelake.sources.raw import documents_to_payloads
+from pricelake.sources.raw import documents_to_payloads, line_place, rejected_documents
 
 BatchFn = Callable[[DataFrame, int], None]
 
 
+def text_stream(spark: SparkSession, in_path: str, json_lines: bool = True, max_files: int | None = None) -> DataFrame:
+    """Streaming documents as they landed (value, file, landed_at, split): a line each, or a whole file each.
+
+    ``landed_at`` is the file's modification time, ``split`` where the read split starts in the file.
+    """
+    reader = spark.readStream.format("text")
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", str(max_files))
+    return reader.option("wholetext", "false" if json_lines else "true").load(in_path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("landed_at"),
+        F.col("_metadata.file_block_start").alias("split"))
+
+
+def to_raw(landed: DataFrame, json_lines: bool = True) -> DataFrame:
+    """Raw rows (payload, created_at, ingest_date, load_pos) of ``text_stream`` rows; see ``rejected`` for what is left out.
+
+    A line's position is its place in the file (files are ordered by their time); elements of one array line
+    share it, as in ``sources.raw.load_raw``. Rows are numbered in a batch only, a line of a stream has no position.
+    """
+    numbered = json_lines and not landed.isStreaming
+    place = line_place(F.col("split")) if numbered else F.lit(None).cast("bigint")
+    docs = documents_to_payloads(landed.withColumn("place", place), lenient=True, keep=("landed_at", "place"))
+    ts = F.col("landed_at")
+    return docs.select("payload", ts.alias("created_at"), F.to_date(ts).alias("ingest_date"),
+                       F.col("place" if json_lines else "load_pos").alias("load_pos"))
+
+
+def rejected(landed: DataFrame) -> DataFrame:
+    """(value, file, landed_at, ingest_date) of the ``text_stream`` rows that ``to_raw`` leaves out."""
+    return rejected_documents(landed, keep=("file", "landed_at")).withColumn("ingest_date", F.to_date("landed_at"))
+
+
 def raw_stream(spark: SparkSession, in_path: str, json_lines: bool = True, max_files: int | None = None) -> DataFrame:
     """Streaming raw rows (payload, created_at, ingest_date, load_pos) from text files.
 
     The load time is the landed file's modification time: a batch that is
     run again after a failure stamps its rows exactly as the first time, so
-    the keyed merges downstream absorb the repeat. A malformed whole
-    document is skipped: failing the batch would stall the stream on that
-    file for good (the batch loader ``sources.raw.load_raw`` fails instead).
+    the keyed merges downstream absorb the repeat. A line that holds an array
+    gives a row per element. A malformed document or line gives none: failing the batch would
+    stall the stream on that file for good (the batch loader
+    ``sources.raw.load_raw`` fails instead); ``ingest_stream`` writes it to its quarantine.
     """
-    reader = spark.readStream.format("text")
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", str(max_files))
-    stamped = reader.option("wholetext", "false" if json_lines else "true").load(in_path).select(
-        "value", F.col("_metadata.file_modification_time").alias("__ts"))
-    if json_lines:
-        docs = stamped.filter(F.trim("value") != "").select(
-            F.col("value").alias("payload"), F.lit(None).cast("bigint").alias("load_pos"), "__ts")
-    else:
-        docs = documents_to_payloads(stamped, lenient=True, keep=("__ts",))
-    ts = F.col("__ts")
-    return docs.select("payload", ts.alias("created_at"), F.to_date(ts).alias("ingest_date"), "load_pos")
+    return to_raw(text_stream(spark, in_path, json_lines, max_files), json_lines)
 
 
 def ingest_stream(
@@ -55,21 +81,33 @@ def ingest_stream(
     on_batch: BatchFn,
     json_lines: bool = True,
     wait: bool = True,
+    quarantine: str | None = None,
 ):
     """Run ``on_batch`` over every file not yet seen under ``in_path``, then stop.
 
     ``checkpoint=None`` keeps the stream's progress under the shared
     ``spark.checkpoint.dir``, in a folder named after ``in_path`` (so the next
     run of the same feed resumes where this one stopped).
+
+    Malformed documents and lines go to ``quarantine`` (value, file, landed_at; Parquet by ``ingest_date``),
+    by default a folder of the feed under ``spark.checkpoint.dir`` (``quarantine_dir``). Each batch
+    has a folder ``batch=N`` of its own, which a retry replaces.
     """
     if checkpoint is None:
-        import hashlib
-
         from pricelake.session import scratch_dir
 
-        checkpoint = scratch_dir(spark, "streams/" + hashlib.sha1(in_path.encode()).hexdigest()[:16])
-    q = (raw_stream(spark, in_path, json_lines).writeStream
-         .foreachBatch(on_batch)
+        checkpoint = scratch_dir(spark, "streams/" + _feed(in_path))
+    aside = (quarantine or quarantine_dir(spark, in_path)).rstrip("/")
+    run = _feed(checkpoint)
+
+    def fn(landed: DataFrame, epoch_id: int) -> None:
+        broken = rejected(landed)
+        if not broken.isEmpty():
+            broken.write.mode("overwrite").partitionBy("ingest_date").parquet(f"{aside}/run={run}/batch={epoch_id}")
+        on_batch(to_raw(landed, json_lines), epoch_id)
+
+    q = (text_stream(spark, in_path, json_lines).writeStream
+         .foreachBatch(fn)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())
@@ -78,6 +116,18 @@ def ingest_stream(
     return q
 
 
+def _feed(path: str) -> str:
+    """A folder name for a path."""
+    return hashlib.sha1(path.encode()).hexdigest()[:16]
+
+
+def quarantine_dir(spark: SparkSession, in_path: str) -> str:
+    """Where ``ingest_stream`` puts a feed's malformed documents unless told otherwise."""
+    from pricelake.session import scratch_dir
+
+    return scratch_dir(spark, "quarantine/" + _feed(in_path))
+
+
 def land_batch(raw_root: str) -> BatchFn:
     """Batch handler: append the batch to the raw zone (partitioned by day)."""
     def fn(batch: DataFrame, epoch_id: int) -> None:

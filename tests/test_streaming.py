@@ -91,3 +91,39 @@ def test_default_checkpoint_under_shared_dir(spark, tmp):
     for _ in range(2):
         ingest.ingest_stream(spark, landing, None, lambda df, e: seen.append(df.count()))
     assert sum(seen) == 1  # second run resumed from the shared checkpoint
+
+
+def test_stream_keeps_array_lines_and_quarantines_broken_ones(spark, tmp):
+    landing, aside, out = (os.path.join(tmp, x) for x in ("landing", "aside", "book_a"))
+    os.makedirs(landing)
+    with open(os.path.join(landing, "a.jsonl"), "w") as f:
+        f.write('{"market_hash_name": "A", "suggested_price": 1}\n[{"market_hash_name": "B"}, {"market_hash_name": "C"}]\n'
+                '{"market_hash_name": "D", \n\n17\n{"market_hash_name": "A", "suggested_price": 2}\n')
+    raw = []
+
+    def handler(batch, epoch):
+        raw.extend(batch.collect())
+        ingest.merge_batch(spark, out, "items")(batch, epoch)
+
+    ingest.ingest_stream(spark, landing, os.path.join(tmp, "ck"), handler, quarantine=aside)
+    assert sorted(json.loads(r.payload)["market_hash_name"] for r in raw) == ["A", "A", "B", "C"]
+    # Places follow the lines; elements of one line share theirs.
+    assert len({r.load_pos for r in raw}) == 3 and None not in {r.load_pos for r in raw}
+    assert json.loads(max(raw, key=lambda r: r.load_pos).payload)["suggested_price"] == 2
+    assert spark.read.parquet(out).count() == 3
+    gone = spark.read.parquet(aside).collect()
+    assert sorted(r.value.strip() for r in gone) == ["17", '{"market_hash_name": "D",']
+    assert all(r.file.endswith("a.jsonl") and r.landed_at == raw[0].created_at for r in gone)
+
+
+def test_stream_quarantines_broken_documents(spark, tmp):
+    landing = os.path.join(tmp, "landing")
+    os.makedirs(landing)
+    for name, text in (("a.json", '[{"name": "A"}]'), ("b.json", '[{"name": ')):
+        with open(os.path.join(landing, name), "w") as f:
+            f.write(text)
+    seen = []
+    ingest.ingest_stream(spark, landing, os.path.join(tmp, "ck"), lambda df, e: seen.extend(df.collect()), json_lines=False)
+    assert [json.loads(r.payload)["name"] for r in seen] == ["A"]
+    gone = spark.read.parquet(ingest.quarantine_dir(spark, landing)).collect()
+    assert [r.value for r in gone] == ['[{"name": '] and gone[0].file.endswith("b.json")
