@@ -1,7 +1,8 @@
 """Line-first quality cleaning with DataFrame functions only.
 
 Each line is judged by itself (punctuation, navigation, boilerplate), failing
-lines are removed, and a document that loses too much of its text is
+lines are removed. A boilerplate phrase fails a line that it makes up a fair share of; of a longer line
+only the sentences with a phrase are removed. Then a document that loses too much of its text is
 rejected. Document-wide base counts stand beside it. There is no shuffle: a row's verdict needs that
 row alone.
 
@@ -46,6 +47,8 @@ class Rules:
     max_shouts_per_word: float = 0.3
     #: Share of capital letters at most, for lines of more than three words.
     max_capitals: float = 0.7
+    #: Share of a line's words in boilerplate phrases from which the whole line fails.
+    min_phrase_share: float = 0.125
     #: Share of its characters that a document may lose.
     max_lost: float = 0.5
 
@@ -55,9 +58,8 @@ def _removed(text: Column, chars: str) -> Column:
     return F.length(text) - F.length(F.translate(text, chars, ""))
 
 
-def line_fails(line: Column, rules: Rules = Rules()) -> Column:
-    """Name of the first rule that a line breaks (punctuation, navigation, boilerplate); null if none."""
-    line = F.trim(line)
+def _shape_fails(line: Column, rules: Rules) -> Column:
+    """Name of the first rule of shape that a trimmed line breaks; null if none."""
     words = F.size(F.split(line, BLANK))
     symbols = _removed(line, SYMBOLS + "»•")
     shouts = F.regexp_count(line, F.lit(r"[!?]{2,}"))
@@ -68,14 +70,32 @@ def line_fails(line: Column, rules: Rules = Rules()) -> Column:
                   & (F.regexp_count(line, F.lit(rules.sentence_end)) < rules.min_sentences), F.lit("punctuation"))
             .when(shouts > rules.max_shouts_per_word * words, F.lit("punctuation"))
             .when(symbols > rules.max_symbols_per_word * words, F.lit("navigation"))
-            .when((words > 3) & (capitals > rules.max_capitals * letters), F.lit("navigation"))
-            .when(F.lower(line).rlike("|".join(BOILERPLATE)), F.lit("boilerplate")))
+            .when((words > 3) & (capitals > rules.max_capitals * letters), F.lit("navigation")))
+
+
+def _has_phrase(text: Column) -> Column:
+    return F.lower(text).rlike("|".join(BOILERPLATE))
+
+
+def kept_line(line: Column, rules: Rules = Rules()) -> Column:
+    """What is left of a line: null if it breaks a rule (punctuation, navigation, boilerplate), a longer
+    line without its boilerplate sentences (null if it has no other), else the line."""
+    trimmed = F.trim(line)
+    found = F.regexp_extract_all(F.lower(trimmed), F.lit("|".join(BOILERPLATE)), F.lit(0))
+    phrase_words = F.size(F.split(F.array_join(found, " "), " "))
+    # Sentences keep the blanks after them.
+    sentences = F.split(line, r"""(?<=[.!?…。！？][\"'”’»)\]]{0,3}\s{1,9})(?=\S)""")
+    rest = F.array_join(F.filter(sentences, lambda x: ~_has_phrase(x)), "")
+    return (F.when(_shape_fails(trimmed, rules).isNotNull(), F.lit(None))
+            .when(~_has_phrase(trimmed), line)
+            .when(phrase_words >= rules.min_phrase_share * F.size(F.split(trimmed, BLANK)), F.lit(None))
+            .when(F.length(F.trim(rest)) > 0, rest))
 
 
 def assess(docs: DataFrame, rules: Rules = Rules(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, n_lines, n_failed_lines, text).
 
-    ``text`` is the cleaned text, the lines that break no rule. n_repeat_words: 3-word windows are
+    ``text`` is the cleaned text, what is left of its lines; ``n_failed_lines`` of them are gone as a whole. n_repeat_words: 3-word windows are
     sorted by hash with their places; the places of windows with an equal neighbour are put
     in order, and each adds the words up to the next one, three at most.
     """
@@ -93,7 +113,7 @@ def assess(docs: DataFrame, rules: Rules = Rules(), id_col: str = "doc_id", text
         "__hashes": F.when(n >= 4, F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.xxhash64(
             F.get("__words", i), F.get("__words", i + 1), F.get("__words", i + 2)))),
         "__text_lines": F.filter("__lines", lambda x: F.length(F.translate(x, " \t\n\x0b\f\r", "")) > 0),
-        "__good": F.filter("__lines", lambda x: line_fails(x, rules).isNull()),
+        "__good": F.filter(F.transform("__lines", lambda x: kept_line(x, rules)), lambda x: x.isNotNull()),
     })
     step = step.select(
         "__id", "n_words", "word_chars", "n_symbols", "__lines", "__good",

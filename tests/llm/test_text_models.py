@@ -364,3 +364,13 @@ def test_thresholds_come_from_all_documents(spark):
     assert "ip" in pii.train(slim, settings)[1]
     got = {r["doc_id"]: r["spans"] for r in pii.find_personal_data(df, settings).collect()}
     assert all(any(s["kind"] == 1 for s in got[9000 + i]) for i in range(3))
+
+
+def test_quality_phrase_in_a_long_line_costs_its_sentence(spark):
+    rng = random.Random(7)
+    body = [" ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(11)) + "." for _ in range(12)]
+    phrase = "The mill was powered by water from the river and stood there until the year of the flood."
+    rows = [(1, " ".join([*body[:6], phrase, *body[6:]])), (2, " ".join(body) + "\nPowered by Mill."), (3, " ".join(body))]
+    out = {r["doc_id"]: r for r in assess(frame(spark, rows)).collect()}
+    assert all(r["kept"] and r["text"] == " ".join(body) for r in out.values())
+    assert [out[i]["n_failed_lines"] for i in (1, 2, 3)] == [0, 1, 0]
