@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,9 +15,11 @@ from pricelake.llm.line_dedup import dedup_lines
 from pricelake.llm.ngram_trie import score_documents as lm_scores
 from pricelake.llm.pii import KINDS, find_personal_data, listed
 from pricelake.llm.quality import assess
+from pricelake.llm.records import read_records, write_records
 from pricelake.llm.seed_extend import dedup_substrings
 from pricelake.llm.simhash import near_duplicates
 from pricelake.llm.toxicity import fit, score_documents
+from pricelake.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -123,6 +126,15 @@ def op5_lm_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (fold(5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+@query
+def op11_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = scratch_dir(spark, f"llm-records-{uuid.uuid4().hex}")
+    write_records(documents(spark, sf_dir), path, public_tokenizers.path("word_bpe_49k.json"), end_id=1, by_word=True)
+    return read_records(spark, path, as_array=False).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 ORACLES["op1_decontaminate"] = r"""
 WITH bench AS (
   SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
