@@ -24,7 +24,9 @@ from __future__ import annotations
 import os
 import struct
 import uuid
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -35,13 +37,14 @@ from pyspark.sql import types as T
 
 from pricelake.llm.checksums import crc32c, masked
 from pricelake.llm.common import arrow_rows, pieces
+from pricelake.llm.files import open_store, ragged
 
 #: A file is closed once it holds so many bytes.
 FILE_BYTES = 128 << 20
 #: Bytes asked of the file system at once.
 READ_BYTES = 4 << 20
-#: Words remembered in a task, and characters they may hold together, before its memory starts anew.
-REMEMBERED_WORDS, REMEMBERED_CHARS = 400_000, 8 << 20
+#: Words a Python worker remembers, and characters they may hold together, before its memory starts anew.
+REMEMBERED_WORDS, REMEMBERED_CHARS = 1_000_000, 16 << 20
 #: Files a task of a shuffled read keeps open.
 OPEN_FILES = 32
 
@@ -61,12 +64,6 @@ class Corrupt(ValueError):
 
 # --- encoding
 
-def ragged(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """begin[0], begin[0] + 1, ... (size[0] of them), begin[1], ..."""
-    ends = np.cumsum(size)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - (ends - size), size)
-
-
 class Encoder:
     """Token ids of texts by a ``tokenizers`` tokenizer, given as JSON.
 
@@ -83,48 +80,60 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known: defaultdict[str, int] = defaultdict()
+        self.known.default_factory = self.known.__len__
         self.chars = self.used = 0
         self.flat = np.zeros(1 << 16, np.uint32)
         self.begin = np.zeros(1 << 12, np.int64)
         self.size = np.zeros(1 << 12, np.int64)
 
-    def _learn(self, words: list[str]) -> None:
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+    def _listed(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         size = np.fromiter(map(len, ids), np.int64, len(ids))
-        first, end = len(self.known), self.used + int(size.sum())
-        for name, need in (("flat", end), ("begin", first + len(ids)), ("size", first + len(ids))):
+        return np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum())), size
+
+    def _learn(self, words: list[str]) -> None:
+        """Keep the ids of ``words``, the latest to be numbered."""
+        ids, size = self._listed(words)
+        first, end = len(self.known) - len(words), self.used + len(ids)
+        for name, need in (("flat", end), ("begin", len(self.known)), ("size", len(self.known))):
             old = getattr(self, name)
             if need > len(old):
                 grown = np.zeros(max(need, 2 * len(old)), old.dtype)
                 grown[: len(old)] = old
                 setattr(self, name, grown)
-        self.flat[self.used: end] = np.fromiter((i for one in ids for i in one), np.uint32, end - self.used)
-        self.begin[first: first + len(ids)] = self.used + np.cumsum(size) - size
-        self.size[first: first + len(ids)] = size
-        self.known.update(zip(words, range(first, first + len(words)), strict=True))
+        self.flat[self.used: end] = ids
+        self.begin[first: len(self.known)] = self.used + np.cumsum(size) - size
+        self.size[first: len(self.known)] = size
         self.chars += sum(map(len, words))
         self.used = end
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(all ids in turn, number of ids of each text)."""
         if not self.by_word:
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-            size = np.fromiter(map(len, ids), np.int64, len(ids))
-            return np.fromiter((i for one in ids for i in one), np.uint32, int(size.sum())), size
-        split = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-        new = set().union(*split) - self.known.keys()
-        if len(self.known) + len(new) > REMEMBERED_WORDS or self.chars > REMEMBERED_CHARS:
+            return self._listed(texts)
+        if len(self.known) > REMEMBERED_WORDS or self.chars > REMEMBERED_CHARS:
             self.forget()
-            new = set().union(*split)
-        if new:
-            self._learn(list(new))
-        at = np.fromiter((self.known[w] for words in split for w in words), np.int64, sum(map(len, split)))
+        split = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
+        count, before = [len(words) for words in split], len(self.known)
+        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(split)), np.int64, sum(count))
+        if new := len(self.known) - before:
+            self._learn([*islice(reversed(self.known), new)][::-1])
         size = self.size[at]
-        ends = np.concatenate([[0], np.cumsum(size)])[np.cumsum([0, *map(len, split)])]
+        ends = np.concatenate([[0], np.cumsum(size)])[np.cumsum([0, *count])]
         return self.flat[ragged(self.begin[at], size)], np.diff(ends)
 
 
+#: The last encoder of this Python worker: the next task of the same tokenizer goes on with its memory.
+_LAST: list[tuple[tuple[str, bool], Encoder]] = []
+
+
+def encoder_of(tokenizer_json: str, by_word: bool) -> Encoder:
+    if not _LAST or _LAST[0][0] != (tokenizer_json, by_word):
+        _LAST[:] = [((tokenizer_json, by_word), Encoder(tokenizer_json, by_word))]
+    return _LAST[0][1]
+
+
 # --- frames
 
 def frames(doc_ids: list[int | None], ids: np.ndarray, size: np.ndarray, two_bytes: bool) -> tuple[bytearray, np.ndarray]:
@@ -205,10 +214,6 @@ def file_frames(stream, name: str) -> Iterator[tuple[bytes, np.ndarray]]:
 
 # --- jobs
 
-def _open(path: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{os.path.abspath(path)}")
-
-
 def write_records(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 1, id_col: str = "doc_id",
                   text_col: str = "text", by_word: bool = False) -> None:
     """Encode ``docs`` and write ``path/data`` (record files) and ``path/index`` (Parquet: doc_id, file, offset, length, n_tokens).
@@ -220,20 +225,19 @@ def write_records(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
     arrow_rows(spark)
     with open(tokenizer_path, encoding="utf-8") as f:
         tokenizer = f.read()
-    encoder = Encoder(tokenizer, by_word)
-    two_bytes = max(encoder.tokenizer.get_vocab_size(with_added_tokens=True) - 1, end_id) < 1 << 16
+    two_bytes = max(Encoder(tokenizer, by_word).tokenizer.get_vocab_size(with_added_tokens=True) - 1, end_id) < 1 << 16
     sent = spark.sparkContext.broadcast(tokenizer)
     place = f"{path.rstrip('/')}/data"
-    store, folder = _open(place)
+    store, folder = open_store(place)
     store.create_dir(folder, recursive=True)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(sent.value, by_word)
-        files, top = _open(place)
+        encoder = encoder_of(sent.value, by_word)
+        files, top = open_store(place)
         out, name, offset = None, "", 0
         try:
             for batch in pieces(batches, "text"):
-                ids, size = encode.encode([t or "" for t in batch.column(1).to_pylist()])
+                ids, size = encoder.encode([t or "" for t in batch.column(1).to_pylist()])
                 ids = np.insert(ids, np.cumsum(size), np.uint32(end_id))
                 size = size + 1
                 doc_ids = batch.column(0).to_pylist()
@@ -265,7 +269,7 @@ def write_records(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
 def _drop_unlisted(spark: SparkSession, path: str) -> None:
     """Remove the files of attempts that did not count (names only; one a partition or 128 MB)."""
     listed = {r[0] for r in record_index(spark, path).select("file").distinct().toLocalIterator()}
-    store, folder = _open(f"{path.rstrip('/')}/data")
+    store, folder = open_store(f"{path.rstrip('/')}/data")
     for info in store.get_file_info(pafs.FileSelector(folder)):
         if info.type == pafs.FileType.File and info.base_name not in listed:
             store.delete_file(info.path)
@@ -316,7 +320,7 @@ def read_records(spark: SparkSession, path: str, as_array: bool = True) -> DataF
     names = ["doc_id", "start", "n_tokens", "ids"]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, folder = _open(place)
+        store, folder = open_store(place)
         for batch in batches:
             for name, records, start in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 found = 0
@@ -343,7 +347,7 @@ def read_shuffled(spark: SparkSession, path: str, seed: int, as_array: bool = Tr
     names = ["doc_id", "n_tokens", "ids"]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, folder = _open(place)
+        store, folder = open_store(place)
         opened: dict = {}
         for batch in batches:
             rows = []
