@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelake.llm.bpe import encode_documents
+from pricelake.llm.collocations import collocations
 from pricelake.llm.columnwise import dedup_bytes
 from pricelake.llm.decontaminate import find_contamination
+from pricelake.llm.hard_negatives import hard_negatives
 from pricelake.llm.line_dedup import dedup_lines
 from pricelake.llm.ngram_trie import score_documents as lm_scores
 from pricelake.llm.pii import KINDS, find_personal_data, listed
@@ -135,6 +137,70 @@ def op11_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_records(spark, path, as_array=False).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(documents(spark, sf_dir), min_count=100, max_words=5, top=2000, share=100)
+
+
+ORACLES["op12_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws
+  FROM (SELECT lang, unnest(regexp_split_to_array(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)
+), totals AS (
+  SELECT lang, sum(len(ws)) AS n FROM pieces GROUP BY lang
+), grams AS (
+  SELECT lang, m, array_to_string(ws[s:s + m - 1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, ws, m, unnest(range(1, len(ws) - m + 2)) AS s FROM pieces, (SELECT unnest(range(1, 6)) AS m))
+  GROUP BY ALL HAVING count(*) >= 100
+), cuts AS (
+  SELECT g.lang, g.m, g.phrase, g.f AS a, k, l.f AS l, r.f AS r,
+         ((1000::HUGEINT * g.f * n) // (l.f::HUGEINT * r.f))::BIGINT AS score, l.phrase AS head, r.phrase AS tail, n
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM grams WHERE m > 1) g
+  JOIN grams l ON l.lang = g.lang AND l.phrase = array_to_string(string_split(g.phrase, ' ')[1:k], ' ')
+  JOIN grams r ON r.lang = g.lang AND r.phrase = array_to_string(string_split(g.phrase, ' ')[k + 1:], ' ')
+  JOIN totals t ON t.lang = g.lang
+), held AS (
+  SELECT lang, head AS phrase FROM cuts WHERE m > 2 AND k = m - 1 AND a >= l
+  UNION SELECT lang, tail FROM cuts WHERE m > 2 AND k = 1 AND a >= r
+), weakest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n::BIGINT AS n, score
+  FROM weakest ANTI JOIN held USING (lang, phrase)
+)
+SELECT * FROM ranked WHERE rank <= 2000
+""".strip()
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    moved = vectors.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives(moved, F.col("vec_id") % 100 == 0, positives=5, negatives=5, low=80, high=100, scale=256)
+
+
+ORACLES["op13_hard_negatives"] = r"""
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, embedding AS e
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+   AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), q AS (
+  SELECT vec_id, label, list_transform(e, lambda x: floor(256 * x::DOUBLE)) AS v FROM rows
+), scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM q a JOIN q b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), found AS (
+  SELECT p.anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank
+  FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND NOT same
+   AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+)
+SELECT * FROM found WHERE rank <= 5
+""".strip()
+
 ORACLES["op1_decontaminate"] = r"""
 WITH bench AS (
   SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF}/{table}.parquet')")
     result = con.execute(ORACLES[name])
     columns = [c[0] for c in result.description]
