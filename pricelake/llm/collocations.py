@@ -39,7 +39,10 @@ _BYTES = bytes(0xFF if b in BREAKS else 0x20 if b in BLANKS else b + 32 if 0x41
 SHARD = T.StructType([T.StructField("shard", T.LongType()), T.StructField("lang", T.StringType()),
                       T.StructField("words", T.ArrayType(T.StringType())), T.StructField("begins", T.ArrayType(T.LongType())),
                       T.StructField("sizes", T.ArrayType(T.LongType()))])
-GROWN = T.StructType([T.StructField(c, T.LongType()) for c in ("shard", "part", "word", "lo", "rlo", "n")])
+#: Places within a shard's ring and counts of one shard take four bytes.
+GROWN = T.StructType([T.StructField(c, T.LongType()) for c in ("shard", "part", "word")]
+                     + [T.StructField(c, T.IntegerType()) for c in ("lo", "rlo", "n")])
+_ARROW = [pa.int64()] * 3 + [pa.int32()] * 3
 
 
 def piece_words(text: str | bytes) -> list[bytes]:
@@ -123,11 +126,11 @@ def grown(phrases: DataFrame, words: DataFrame, path: str, to_right: bool) -> Da
     def grow(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         shard = key[0].as_py()
         if not left.num_rows or not right.num_rows:
-            return pa.Table.from_arrays([pa.array([], pa.int64())] * len(GROWN), names=GROWN.fieldNames())
+            return pa.Table.from_arrays([pa.array([], t) for t in _ARROW], names=GROWN.fieldNames())
         files, top = open_store(path)
         with files.open_input_file(f"{top}/{shard:016x}.arrow") as source:
             bwt = pa.ipc.open_file(source).read_all().column("backward" if to_right else "forward").to_numpy()
-        part, lo, rlo, size = (left.column(c).to_numpy() for c in ("id", "lo", "rlo", "n"))
+        part, lo, rlo, size = (left.column(c).to_numpy().astype(np.int64) for c in ("id", "lo", "rlo", "n"))
         here, there = (rlo, lo) if to_right else (lo, rlo)
         phrase, sym, begin, other, count = extend(bwt, here, there, size)
         word = np.full(int(bwt.max()) + 1, -1, np.int64)
@@ -135,7 +138,7 @@ def grown(phrases: DataFrame, words: DataFrame, path: str, to_right: bool) -> Da
         keep = (word[sym] >= 0) & inside(begin, here, size)
         begin, other = (other, begin) if to_right else (begin, other)
         columns = [np.full(int(keep.sum()), shard), part[phrase][keep], word[sym][keep], begin[keep], other[keep], count[keep]]
-        return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in columns], names=GROWN.fieldNames())
+        return pa.Table.from_arrays([pa.array(c, t, safe=False) for c, t in zip(columns, _ARROW, strict=True)], names=GROWN.fieldNames())
 
     return phrases.groupBy("shard").cogroup(words.groupBy("shard")).applyInArrow(grow, GROWN)
 
@@ -146,13 +149,20 @@ def count_phrases(docs: DataFrame, min_count: int = 100, max_words: int = 5, tex
     path = scratch_dir(docs.sparkSession, f"llm-fm-{uuid.uuid4().hex}")
     shards = build_shards(docs, path, max_words, text_col, lang_col)
     local = shards.select("shard", "lang", F.posexplode(F.arrays_zip("words", "begins", "sizes")).alias("at", "w")).select(
-        "shard", "lang", (F.col("at") + 1).cast("long").alias("sym"), F.col("w.words").alias("phrase"),
-        F.col("w.begins").alias("lo"), F.col("w.begins").alias("rlo"), F.col("w.sizes").alias("n"))
+        "shard", "lang", (F.col("at") + 1).alias("sym"), F.col("w.words").alias("phrase"),
+        *[F.col(f"w.{c}").cast("int").alias(a) for c, a in (("begins", "lo"), ("begins", "rlo"), ("sizes", "n"))])
     total = shards.select("lang", F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x).alias("n")).groupBy("lang").agg(
         F.sum("n").alias("n"))
 
     def numbered(df: DataFrame, size: int) -> DataFrame:
-        return stored(df.filter(F.col("f") >= min_count).withColumn("id", F.monotonically_increasing_id()), f"phrases{size}")
+        """The frequent phrases with an ``id`` from 0 on: small numbers make small shuffles."""
+        kept = stored(df.filter(F.col("f") >= min_count).withColumn("__at", F.monotonically_increasing_id()), f"phrases{size}")
+        part, row = F.shiftright("__at", 33), F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+        parts = kept.groupBy(part.alias("__part")).count()  # a row a partition
+        before = parts.select("__part", F.coalesce(F.sum("count").over(
+            Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
+        return kept.withColumn("__part", part).join(F.broadcast(before), "__part").withColumn("id", F.col("__before") + row).drop(
+            "__part", "__at", "__before")
 
     frequent = numbered(local.groupBy("lang", "phrase").agg(F.sum("n").alias("f")), 1)
     known = local.join(frequent, ["lang", "phrase"])

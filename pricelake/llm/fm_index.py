@@ -15,15 +15,28 @@ import numpy as np
 from pricelake.llm.files import ragged
 
 
+def stable_order(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(stable order, sorted keys) of keys that are not negative.
+
+    Key and place are sorted as one number where both fit, which is several
+    times faster than sorting places by key.
+    """
+    key = key.astype(np.int64)
+    bits = max(1, (len(key) - 1).bit_length())
+    if not len(key) or int(key.max()) >> (63 - bits):
+        order = np.argsort(key, kind="stable")
+        return order, key[order]
+    packed = np.sort((key << bits) | np.arange(len(key)))
+    return packed & ((1 << bits) - 1), packed >> bits
+
+
 def rotations(ids: np.ndarray, depth: int) -> np.ndarray:
     """Where the rotations of a ring begin, sorted by their first ``depth`` ids (by prefix doubling)."""
     rank, width = ids.astype(np.int64), 1
-    order = np.argsort(rank, kind="stable")
+    order = stable_order(rank)[0] if depth == 1 else np.zeros(0, np.int64)
     while width < depth:
         step = min(width, depth - width)
-        key = rank * (int(rank.max()) + 1) + np.roll(rank, -step)
-        order = np.argsort(key, kind="stable")
-        key = key[order]
+        order, key = stable_order(rank * (int(rank.max()) + 1) + np.roll(rank, -step))
         rank = np.empty(len(ids), np.int64)
         rank[order] = np.cumsum(np.concatenate([[0], key[1:] != key[:-1]]))
         width += step
@@ -49,7 +62,7 @@ def word_intervals(ids: np.ndarray, symbols: int) -> tuple[np.ndarray, np.ndarra
 def last_to_first(bwt: np.ndarray) -> np.ndarray:
     """For each place of a transform, the rank of the rotation that its word leads."""
     out = np.empty(len(bwt), np.int64)
-    out[np.argsort(bwt, kind="stable")] = np.arange(len(bwt))
+    out[stable_order(bwt)[0]] = np.arange(len(bwt))
     return out
 
 
@@ -63,9 +76,7 @@ def extend(bwt: np.ndarray, here: np.ndarray, there: np.ndarray, size: np.ndarra
     place = ragged(here, size)
     owner = np.repeat(np.arange(len(size)), size)
     symbols = int(bwt.max()) + 1 if len(bwt) else 1
-    key = owner * symbols + bwt[place]
-    order = np.argsort(key, kind="stable")
-    key = key[order]
+    order, key = stable_order(owner * symbols + bwt[place])
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
     count = np.diff(np.append(first, len(key)))
     phrase, word = np.divmod(key[first], symbols)
