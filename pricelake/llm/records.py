@@ -44,7 +44,7 @@ FILE_BYTES = 128 << 20
 #: Bytes asked of the file system at once.
 READ_BYTES = 4 << 20
 #: Words a Python worker remembers, and characters they may hold together, before its memory starts anew.
-REMEMBERED_WORDS, REMEMBERED_CHARS = 1_000_000, 16 << 20
+REMEMBERED_WORDS, REMEMBERED_CHARS = 2_000_000, 32 << 20
 #: Files a task of a shuffled read keeps open.
 OPEN_FILES = 32
 
