@@ -1,9 +1,11 @@
-"""Typed access to JSON payload text.
-
-Payloads are parsed once per row with ``from_json`` against a schema whose
-leaves are all strings; Spark keeps a number token's text for a string leaf,
-so ``12.5`` and ``"12.5"`` read the same. Typing happens afterwards with
-``nullif(x, '')`` + ``cast``, the way the raw zone has always been typed.
+"""Typed access to JSON payloads.
+
+The raw zone keeps a payload parsed, as VARIANT; staging takes the fields it
+needs from it in one ``try_variant_get``, without parsing. Raw rows that have
+the text only are parsed with one ``from_json``. Both give a struct whose
+leaves are all strings, so ``12.5`` and ``"12.5"`` read the same. Typing
+happens afterwards with ``nullif(x, '')`` + ``cast``, the way the raw zone has
+always been typed.
 """
 
 from __future__ import annotations
@@ -61,3 +63,25 @@ def string_struct(fields: list[str | tuple[str, list[str]]]) -> T.StructType:
 def parse_payload(payload: Column | str, schema: T.StructType) -> Column:
     """One JSON parse per row into a struct of string leaves."""
     return F.from_json(_col(payload), schema)
+
+
+def variant_columns(payload: str, body: str) -> dict[str, Column]:
+    """``unparsed``: the text of payloads that VARIANT can't hold (repeated keys, NaN), else NULL, beside their NULL ``body``.
+
+    Staging falls back to it, so it never has to read the payload text of all rows.
+    """
+    return {"unparsed": F.when(F.col(body).isNull(), F.col(payload))}
+
+
+def _ddl(kind: T.DataType) -> str:
+    if not isinstance(kind, T.StructType):
+        return kind.simpleString()
+    return "struct<" + ",".join(f"`{f.name.replace('`', '``')}`:{_ddl(f.dataType)}" for f in kind.fields) + ">"
+
+
+def payload_struct(columns: list[str], schema: T.StructType) -> Column:
+    """The payload's fields as a struct of string leaves: from ``body`` where the raw rows (``columns``) have it, else from the text."""
+    if "body" not in columns:
+        return parse_payload("payload", schema)
+    held = F.try_variant_get("body", "$", _ddl(schema))
+    return F.coalesce(held, parse_payload("unparsed", schema)) if "unparsed" in columns else held

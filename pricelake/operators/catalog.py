@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelake.functions.json_fields import parse_payload, string_struct
+from pricelake.functions.json_fields import payload_struct, string_struct
 from pricelake.functions.keys import usable_name, uuid5
 from pricelake.operators import merge
 from pricelake.operators.staging import PERIOD_STATS, PERIODS, for_day, product_rows, unpivot_periods
@@ -88,7 +88,7 @@ def parse_items(raw: DataFrame) -> DataFrame:
     not a number becomes NULL (``try_cast``).
     """
     p = F.col("p")
-    parsed = raw.select(parse_payload("payload", string_struct(list(ITEM_FIELDS))).alias("p"), "load_pos")
+    parsed = raw.select(payload_struct(raw.columns, string_struct(list(ITEM_FIELDS))).alias("p"), "load_pos")
     return parsed.select(
         *[p[f].try_cast(_ITEM_TYPES[f]).alias(f) if f in _ITEM_TYPES else p[f].alias(f) for f in ITEM_FIELDS],
         "load_pos",
@@ -101,7 +101,7 @@ def parse_period_stats(raw: DataFrame) -> DataFrame:
     schema = string_struct(["market_hash_name", "currency", "item_page", "market_page",
                             *[(pr, list(PERIOD_STATS)) for pr in PERIODS]])
     p = F.col("p")
-    parsed = raw.select(parse_payload("payload", schema).alias("p"), "load_pos")
+    parsed = raw.select(payload_struct(raw.columns, schema).alias("p"), "load_pos")
     stats = [
         p[pr][s].try_cast("bigint" if s == "volume" else "double").alias(f"{pr}_{s}")
         for pr in PERIODS for s in PERIOD_STATS

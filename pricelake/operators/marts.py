@@ -18,7 +18,7 @@ sum, so results do not depend on the order rows were added in.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,6 +73,23 @@ def _product(product: DataFrame) -> DataFrame:
     return product.select("id_name", F.col("name").alias("item_name"))
 
 
+#: What the marts take from a history snapshot.
+HISTORY_COLUMNS = ("id_name", "date_extracted", "last_24_hours_avg", "last_24_hours_volume", "last_7_days_min",
+                   "last_7_days_max", "last_7_days_avg", "last_7_days_volume")
+
+
+def daily_history(history: DataFrame, tie_breaks: Sequence[Column] = ()) -> DataFrame:
+    """Last snapshot per (id, day), with ``report_date``: what all three history marts start from."""
+    return daily_latest(history, "id_name", "date_extracted", tie_breaks, day_col="report_date")
+
+
+def by_name_day(per_id: DataFrame, product: DataFrame, tie_breaks: Sequence[Column] = ()) -> DataFrame:
+    """Last snapshot per (product *name*, day) of ``daily_history`` rows, with ``item_name``."""
+    joined = join_dimension(per_id, _product(product), "id_name")
+    return latest_per_key(joined, ["item_name", "report_date"],
+                          [F.col("date_extracted").desc(), *tie_breaks, F.col("id_name")])
+
+
 def latest_by_name_day(
     history: DataFrame,
     product: DataFrame,
@@ -89,10 +106,16 @@ def latest_by_name_day(
     With a total order this equals one top-1 per (name, day): a group's
     overall winner is also the winner of its own id.
     """
-    per_id = daily_latest(history, "id_name", "date_extracted", tie_breaks, day_col="report_date")
-    joined = join_dimension(per_id, _product(product), "id_name")
-    return latest_per_key(joined, ["item_name", "report_date"],
-                          [F.col("date_extracted").desc(), *tie_breaks, F.col("id_name")])
+    return by_name_day(daily_history(history, tie_breaks), product, tie_breaks)
+
+
+def _sales(latest: DataFrame) -> DataFrame:
+    return latest.select(
+        "item_name",
+        F.col("report_date").alias("date_extracted"),
+        F.col("last_24_hours_avg").alias("avg_price_24h"),
+        F.col("last_24_hours_volume").alias("volume_24h"),
+    )
 
 
 def sales_history(
@@ -101,12 +124,25 @@ def sales_history(
     tie_breaks: Sequence[Column] = (),
 ) -> DataFrame:
     """Last snapshot per (product name, day): 24 h average price and volume."""
-    latest = latest_by_name_day(history, product, tie_breaks)
-    return latest.select(
-        "item_name",
-        F.col("report_date").alias("date_extracted"),
-        F.col("last_24_hours_avg").alias("avg_price_24h"),
-        F.col("last_24_hours_volume").alias("volume_24h"),
+    return _sales(latest_by_name_day(history, product, tie_breaks))
+
+
+def _groups(product: DataFrame, rules: Sequence[tuple[str, Sequence[str]]]) -> DataFrame:
+    return _product(product).select(
+        "id_name", classify(F.col("item_name"), rules).alias("group_name")
+    ).filter(F.col("group_name").isNotNull())
+
+
+def _group_days(per_id: DataFrame, groups: DataFrame) -> DataFrame:
+    return (
+        join_dimension(per_id, groups, "id_name")
+        .select("group_name", "report_date",
+                F.col("last_24_hours_avg").alias("p"), F.col("last_24_hours_volume").alias("v"))
+        .groupBy("group_name", F.col("report_date").alias("date_extracted"))
+        .agg(
+            _ratio(F.sum("p"), F.count("p")).alias("avg_price"),
+            F.sum(F.col("v").cast("bigint")).alias("total_volume"),
+        )
     )
 
 
@@ -126,21 +162,29 @@ def group_analytics(
     group aggregate has few keys and huge groups; Spark's partial (map-side)
     aggregation makes its shuffle one row per group per task.
     """
-    groups = _product(product).select(
-        "id_name", classify(F.col("item_name"), rules).alias("group_name")
-    ).filter(F.col("group_name").isNotNull())
+    groups = _groups(product, rules)
     kept = history.join(maybe_broadcast(groups.select("id_name")), "id_name", "left_semi")
-    latest = daily_latest(kept, "id_name", "date_extracted", tie_breaks, day_col="report_date")
-    latest = join_dimension(latest, groups, "id_name")
-    return (
-        latest.select("group_name", "report_date",
-                      F.col("last_24_hours_avg").alias("p"), F.col("last_24_hours_volume").alias("v"))
-        .groupBy("group_name", F.col("report_date").alias("date_extracted"))
-        .agg(
-            _ratio(F.sum("p"), F.count("p")).alias("avg_price"),
-            F.sum(F.col("v").cast("bigint")).alias("total_volume"),
-        )
-    )
+    return _group_days(daily_history(kept, tie_breaks), groups)
+
+
+def history_marts(
+    history: DataFrame,
+    product: DataFrame,
+    rules: Sequence[tuple[str, Sequence[str]]] = DEFAULT_GROUP_RULES,
+    tie_breaks: Sequence[Column] = (),
+    store: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> dict[str, DataFrame]:
+    """Sales history, group analytics and volatility from one pass over the history.
+
+    The rows are those of the three functions. The history is read and
+    shuffled once, for the last snapshot per (id, day); ``store`` keeps these (one
+    row a product and day), so no mart goes back to the history, and the last
+    snapshot per (name, day), which two marts share.
+    """
+    per_id = store(daily_history(history, tie_breaks))
+    by_name = store(by_name_day(per_id, product, tie_breaks))
+    return {"sales_history": _sales(by_name), "group_analytics": _group_days(per_id, _groups(product, rules)),
+            "volatility": _volatility(by_name)}
 
 
 def joined_books(
@@ -205,15 +249,7 @@ def arbitrage(joined: DataFrame, market_a: str = "market_a", market_b: str = "ma
     )
 
 
-def volatility(
-    history: DataFrame,
-    product: DataFrame,
-    tie_breaks: Sequence[Column] = (),
-) -> DataFrame:
-    """Per (product name, day), from the latest snapshot: 7-day spread
-    (max - min), spread over 7-day average (0 when the average is not
-    positive or NULL) and 7-day volume."""
-    latest = latest_by_name_day(history, product, tie_breaks)
+def _volatility(latest: DataFrame) -> DataFrame:
     spread = F.col("last_7_days_max") - F.col("last_7_days_min")
     avg = F.col("last_7_days_avg")
     return latest.select(
@@ -225,7 +261,19 @@ def volatility(
     )
 
 
+def volatility(
+    history: DataFrame,
+    product: DataFrame,
+    tie_breaks: Sequence[Column] = (),
+) -> DataFrame:
+    """Per (product name, day), from the latest snapshot: 7-day spread
+    (max - min), spread over 7-day average (0 when the average is not
+    positive or NULL) and 7-day volume."""
+    return _volatility(latest_by_name_day(history, product, tie_breaks))
+
+
 __all__ = [
-    "DEFAULT_GROUP_RULES", "MART_KEYS", "classify", "latest_by_name_day", "sales_history", "group_analytics",
+    "DEFAULT_GROUP_RULES", "MART_KEYS", "classify", "HISTORY_COLUMNS", "daily_history", "by_name_day",
+    "latest_by_name_day", "history_marts", "sales_history", "group_analytics",
     "joined_books", "order_books", "arbitrage", "volatility",
 ]

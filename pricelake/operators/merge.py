@@ -135,6 +135,14 @@ def insert_new(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Dat
     return target.unionByName(_align(new_rows(target, source, keys), target.columns))
 
 
+def _single(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``source``, failing on a key that has more than one row."""
+    rest = [c for c in source.columns if c not in keys]
+    one = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *[F.first(c).alias(c) for c in rest])
+    fail = F.raise_error(F.concat(F.lit("the source holds a key twice: "), F.to_json(F.struct(*keys)))).cast("boolean")
+    return one.filter(F.when((F.col("__n") > 1) & _key_not_null(keys), fail).otherwise(F.lit(True))).select(*source.columns)
+
+
 def update_from(
     target: DataFrame,
     source: DataFrame,
@@ -145,7 +153,11 @@ def update_from(
     """Matched target rows take the source's ``cols`` (a NULL in the source
     overwrites); unmatched target rows stay; source-only rows are ignored.
 
-    One left join, which reads the target once; a broadcast source shuffles nothing."""
+    One left join, which reads the target once; a broadcast source shuffles nothing.
+    A key that the source holds twice would be ambiguous: with ``order`` its first row counts,
+    without, the query fails (an update never multiplies target rows)."""
+    if order is None:
+        source = _single(source, keys)
     src = dedup_source(source, keys, order).filter(_key_not_null(keys)).select(
         *keys, *[F.col(c).alias(f"__s_{c}") for c in cols], F.lit(True).alias(_MATCHED)
     )

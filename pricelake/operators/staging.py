@@ -1,10 +1,10 @@
 """Raw payload rows -> typed ODS rows.
 
-Raw rows are ``payload STRING, created_at TIMESTAMP, ingest_date DATE,
-load_pos BIGINT`` with ``ingest_date`` the partition column (UTC day of
-``created_at``) and ``load_pos`` the element's position in its load. Each
-staging function parses the payload once (``from_json`` with string leaves),
-derives the product key from the canonical name, and casts with
+Raw rows (``sources.raw``) have ``created_at``, ``ingest_date`` (its UTC day,
+the partition column), ``load_pos`` (the element's position in its load) and
+the payload, parsed (``body``, VARIANT) or as text alone. Each staging
+function takes its fields from the VARIANT without a parse, or parses the text
+once (``functions.json_fields.payload_struct``), derives the product key from the canonical name, and casts with
 ``nullif(x, '')``. It keeps ``src_ts``, ``src_pos`` and ``src_hash`` (a 64-bit
 payload hash) as compact tie-breaks instead of the payload text.
 
@@ -27,7 +27,7 @@ from pricelake.functions.json_fields import (
     json_decimal,
     json_int,
     json_timestamp,
-    parse_payload,
+    payload_struct,
     string_struct,
 )
 from pricelake.functions.keys import NAME_FIELDS, canon_name, usable_name, uuid5
@@ -39,20 +39,12 @@ PERIODS = ("last_24_hours", "last_7_days", "last_30_days", "last_90_days")
 PERIOD_STATS = ("min", "max", "avg", "median", "volume")
 BOOK_A_PRICES = ("suggested_price", "min_price", "max_price", "mean_price", "median_price")
 
-RAW_SCHEMA = T.StructType([
-    T.StructField("payload", T.StringType()),
-    T.StructField("created_at", T.TimestampType()),
-    T.StructField("ingest_date", T.DateType()),
-    T.StructField("load_pos", T.LongType()),
-])
-
-
 def _tie_cols(raw: DataFrame) -> list[Column]:
     """Compact tie-breaks for rows of one key and load time: the position in
     the load (a later element wins) and a 64-bit hash of the payload text.
     The payload itself never has to travel through the dedup shuffle."""
     pos = F.col("load_pos") if "load_pos" in raw.columns else F.lit(None).cast("bigint")
-    return [pos.alias("src_pos"), F.xxhash64("payload").alias("src_hash")]
+    return [pos.alias("src_pos"), (F.col("payload_hash") if "payload_hash" in raw.columns else F.xxhash64("payload")).alias("src_hash")]
 
 
 def period_columns(periods: Sequence[str] = PERIODS, stats: Sequence[str] = PERIOD_STATS) -> list[str]:
@@ -81,7 +73,7 @@ def _parsed_with_name(raw: DataFrame, schema: T.StructType) -> DataFrame:
     the row through ``explode`` of a filtered one-element array holds the
     predicate above the single parse.
     """
-    p = parse_payload("payload", schema)
+    p = payload_struct(raw.columns, schema)
     keep = F.filter(F.array(p), lambda x: usable_name(_named(x)))
     return raw.select(F.explode(keep).alias("p"), "created_at", *_tie_cols(raw))
 
@@ -97,22 +89,46 @@ def _catalog_cols(keep: bool) -> list[Column]:
     return [_named(p).alias("name"), *[p[f].alias(f) for f in CATALOG_FIELDS]]
 
 
+#: Column of staged rows that lists the texts a lenient load could not type: array of (field, text).
+REJECTS = "rejected_fields"
+
+
+def _rejects(lenient: bool, fields: list[tuple[str, Column, Column]]) -> list[Column]:
+    """The (name, text, typed value) fields whose text, not blank, gave no value; nothing on strict loads (they fail)."""
+    if not lenient:
+        return []
+    entries = [F.when(F.nullif(text, F.lit("")).isNotNull() & typed.isNull(), F.struct(F.lit(name).alias("field"), text.alias("text")))
+               for name, text, typed in fields]
+    return [F.filter(F.array(*entries), lambda x: x.isNotNull()).alias(REJECTS)]
+
+
+def rejected_fields(staged: DataFrame) -> DataFrame:
+    """``(id_name, src_ts, src_pos, src_hash, field, text)`` of a lenient load: each text that became NULL
+    because it could not be typed. From the staged rows themselves, so payloads are parsed once for both."""
+    return staged.filter(F.size(REJECTS) > 0).select(
+        "id_name", "src_ts", "src_pos", "src_hash", F.explode(REJECTS).alias("__r")).select(
+        "id_name", "src_ts", "src_pos", "src_hash", "__r.field", "__r.text")
+
+
 def stage_book_a(raw: DataFrame, lenient: bool = False, keep_catalog: bool = False) -> DataFrame:
     """Book A items: key, load time, five prices; rows without a usable name dropped.
 
     ``keep_catalog`` also returns ``name, item_page, market_page`` so the
-    catalog can be fed from the same single parse.
+    catalog can be fed from the same single parse. A ``lenient`` load gives NULL
+    for unreadable numbers and lists them (``REJECTS``, see ``rejected_fields``).
     """
     fields = [*NAME_FIELDS, *BOOK_A_PRICES, *(CATALOG_FIELDS if keep_catalog else ())]
     parsed = _parsed_with_name(raw, string_struct(fields))
     name = _named(F.col("p"))
+    typed = [(f, F.col("p")[f], json_decimal(F.col("p")[f], PRICE_TYPE, lenient)) for f in BOOK_A_PRICES]
     return parsed.select(
         uuid5(name).alias("id_name"),
         F.col("created_at").alias("date_extracted"),
-        *[json_decimal(F.col("p")[f], PRICE_TYPE, lenient).alias(f) for f in BOOK_A_PRICES],
+        *[value.alias(f) for f, _, value in typed],
         F.col("created_at").alias("src_ts"),
         "src_pos", "src_hash",
         *_catalog_cols(keep_catalog),
+        *_rejects(lenient, typed),
     )
 
 
@@ -130,19 +146,19 @@ def stage_history(
     fields = [*NAME_FIELDS, *[(pr, list(stats)) for pr in periods], *(CATALOG_FIELDS if keep_catalog else ())]
     parsed = _parsed_with_name(raw, string_struct(fields))
     name = _named(F.col("p"))
-    cols = []
+    typed = []
     for pr in periods:
         for s in stats:
             leaf = F.col("p")[pr][s]
-            typed = json_int(leaf, lenient) if s == "volume" else json_decimal(leaf, PRICE_TYPE, lenient)
-            cols.append(typed.alias(f"{pr}_{s}"))
+            typed.append((f"{pr}_{s}", leaf, json_int(leaf, lenient) if s == "volume" else json_decimal(leaf, PRICE_TYPE, lenient)))
     return parsed.select(
         uuid5(name).alias("id_name"),
-        *cols,
+        *[value.alias(f) for f, _, value in typed],
         F.col("created_at").alias("date_extracted"),
         F.col("created_at").alias("src_ts"),
         "src_pos", "src_hash",
         *_catalog_cols(keep_catalog),
+        *_rejects(lenient, typed),
     )
 
 
@@ -152,13 +168,16 @@ def stage_book_b(raw: DataFrame, lenient: bool = False, keep_catalog: bool = Fal
     fields = [*NAME_FIELDS, "created_at", "price", *(CATALOG_FIELDS if keep_catalog else ())]
     parsed = _parsed_with_name(raw, string_struct(fields))
     name = _named(F.col("p"))
+    when, price = F.col("p")["created_at"], F.col("p")["price"]
+    typed = [("created_at", when, json_timestamp(when, lenient)), ("price", price, json_decimal(price, PRICE_TYPE, lenient))]
     return parsed.select(
         uuid5(name).alias("id_name"),
-        json_timestamp(F.col("p")["created_at"], lenient).alias("date_extracted"),
-        json_decimal(F.col("p")["price"], PRICE_TYPE, lenient).alias("price"),
+        typed[0][2].alias("date_extracted"),
+        typed[1][2].alias("price"),
         F.col("created_at").alias("src_ts"),
         "src_pos", "src_hash",
         *_catalog_cols(keep_catalog),
+        *_rejects(lenient, typed),
     )
 
 
@@ -166,12 +185,12 @@ def dedup_staged(staged: DataFrame, keys: Sequence[str] = ("id_name", "date_extr
     """Latest load per key; within one load the later element wins, then the
     payload hash decides, so the survivor does not depend on how the input
     was partitioned."""
-    keyed = staged
+    keyed = staged.drop(REJECTS)
     for k in keys:
         keyed = keyed.filter(F.col(k).isNotNull())
     order = [F.col("src_ts").desc(), F.col("src_pos").desc_nulls_last(), F.col("src_hash").desc()]
     out = latest_per_key(keyed, list(keys), order)
-    return out.drop("src_ts", "src_pos", "src_hash", "name", *CATALOG_FIELDS)
+    return out.drop("src_ts", "src_pos", "src_hash", "name", REJECTS, *CATALOG_FIELDS)
 
 
 def catalog_part(staged: DataFrame) -> DataFrame:

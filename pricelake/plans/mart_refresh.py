@@ -40,9 +40,7 @@ def mart_rows(
     hist = _only_days(ods.history, days)
     out: dict[str, DataFrame] = {}
     if hist is not None:
-        out["sales_history"] = marts.sales_history(hist, ods.product)
-        out["group_analytics"] = marts.group_analytics(hist, ods.product, rules)
-        out["volatility"] = marts.volatility(hist, ods.product)
+        out |= marts.history_marts(hist, ods.product, rules)
     a, b = _only_days(ods.book_a, days), _only_days(ods.book_b, days)
     if a is not None and b is not None:
         joined = marts.joined_books(a, b, ods.product)
@@ -81,30 +79,26 @@ def run_marts(
     """Recompute the marts (all days, or ``days``) and merge them into
     day-partitioned tables under ``marts_root``; returns the marts written.
 
-    Only the days present in the new rows are rewritten. The joined books feed
-    two marts, so they are computed once and kept (memory, spilling to disk)
-    until both are written.
+    Only the days present in the new rows are rewritten. What several marts
+    share is computed once and stored in the shared checkpoint folder until all
+    are written: the last snapshot per product and day (the only shuffle of the
+    history), the last per name and day, and the joined books.
     """
-    from pyspark import StorageLevel
-
     from pricelake.plans.ods import read_ods
     from pricelake.sources import tables
 
     ods = read_ods(spark, ods_root)
     hist = _only_days(ods.history, days)
     a, b = _only_days(ods.book_a, days), _only_days(ods.book_b, days)
-    joined = None
     rows: dict[str, DataFrame] = {}
-    if hist is not None:
-        rows["sales_history"] = marts.sales_history(hist, ods.product)
-        rows["group_analytics"] = marts.group_analytics(hist, ods.product, rules)
-        rows["volatility"] = marts.volatility(hist, ods.product)
-    if a is not None and b is not None:
-        joined = marts.joined_books(a, b, ods.product).persist(StorageLevel.MEMORY_AND_DISK)
-        rows["order_books"] = marts.order_books(joined)
-        rows["arbitrage"] = marts.arbitrage(joined, market_a, market_b)
     written = []
-    try:
+    with tables.scratch(spark) as store:
+        if hist is not None:
+            rows |= marts.history_marts(hist.select(*marts.HISTORY_COLUMNS), ods.product, rules, store=store)
+        if a is not None and b is not None:
+            joined = store(marts.joined_books(a, b, ods.product))
+            rows["order_books"] = marts.order_books(joined)
+            rows["arbitrage"] = marts.arbitrage(joined, market_a, market_b)
         for name, new in rows.items():
             keys = marts.MART_KEYS[name]
             op = ((lambda t, s, k=keys: merge.upsert(t, s, k)) if name in _UPSERT
@@ -112,7 +106,4 @@ def run_marts(
             with_day = new.withColumn("day", F.to_date("date_extracted"))
             tables.merge_partitions(spark, f"{marts_root.rstrip('/')}/{name}", with_day, "day", op)
             written.append(name)
-    finally:
-        if joined is not None:
-            joined.unpersist()
     return written

@@ -17,6 +17,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricelake.operators import merge, staging
@@ -51,19 +52,19 @@ def _merge_or_new(target: DataFrame | None, fresh: DataFrame) -> DataFrame:
 _STAGERS = (("items", staging.stage_book_a), ("history", staging.stage_history), ("listings", staging.stage_book_b))
 
 
-def staged_day(raw: Raw, as_of, persist: bool = False, lenient: bool = False) -> tuple[Ods, list[DataFrame]]:
+def staged_day(raw: Raw, as_of, persist: bool = False, lenient: bool = False) -> tuple[Ods, dict[str, DataFrame]]:
     """The day's deduplicated rows of each ODS table (nothing merged yet).
 
     Each raw source of the day is parsed once: its staged rows carry the name
     and page links too, and feed both the catalog candidates and the book.
     With ``persist`` the staged rows are kept (memory, spilling to disk) for
-    the several writes that read them; the second list holds them so the
-    caller can release them. ``lenient`` turns unreadable numbers and times
-    into NULL instead of failing the load.
+    the several writes that read them; the second result holds them by source, so the
+    caller can read and release them. ``lenient`` turns unreadable numbers and times
+    into NULL instead of failing the load, and lists them (``staging.rejected_fields``).
     """
     from pyspark import StorageLevel
 
-    kept: list[DataFrame] = []
+    kept: dict[str, DataFrame] = {}
     staged: dict[str, DataFrame] = {}
     for kind, stager in _STAGERS:
         df = getattr(raw, kind)
@@ -72,7 +73,7 @@ def staged_day(raw: Raw, as_of, persist: bool = False, lenient: bool = False) ->
         rows = stager(staging.for_day(df, as_of), lenient=lenient, keep_catalog=True)
         if persist:
             rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-            kept.append(rows)
+            kept[kind] = rows
         staged[kind] = rows
     names = [staging.catalog_part(r) for r in staged.values()]
     if raw.out_of_stock is not None:
@@ -136,6 +137,9 @@ def run_ods_day(
     load are rewritten: book A and history by upsert; of book B a load
     replaces its days, so a day holds the listings of its last load (a
     stream's batches, which bring a day bit by bit, upsert them instead).
+
+    A ``lenient`` load files what it could not type under ``<ods_root>/rejects``
+    (by day and source) and returns how much that was, by source: ``rejects.<source>``.
     """
     raw = read_raw_zone(spark, raw_root)
     fresh, kept = staged_day(raw, as_of, persist=True, lenient=lenient)
@@ -155,12 +159,29 @@ def run_ods_day(
             tables.merge_partitions(spark, f"{root}/book_b", tables.with_day(fresh.book_b), "day",
                                     lambda t, s: s, sort_within=ODS_KEYS)
             out["book_b"] = 0
+        if lenient:
+            for kind, rows in kept.items():
+                out[f"rejects.{kind}"] = write_rejects(spark, f"{root}/rejects", kind, as_of, rows)
     finally:
-        for df in kept:
+        for df in kept.values():
             df.unpersist()
     return out
 
 
+def write_rejects(spark: SparkSession, path: str, kind: str, as_of: _dt.date | str, staged: DataFrame) -> int:
+    """File the texts that a lenient load of one source and day could not type, in the place of an earlier run's; returns their number.
+
+    ``path`` is partitioned by ``load_day`` and ``batch`` (the source). ``staged`` is
+    kept by the caller, so counting and writing parse nothing again.
+    """
+    day = as_of if isinstance(as_of, _dt.date) else _dt.date.fromisoformat(str(as_of))
+    tables.drop_partition(spark, path, load_day=day, batch=kind)
+    rows = staging.rejected_fields(staged)
+    (rows.withColumns({"load_day": F.lit(day), "batch": F.lit(kind)}).write.mode("append")
+        .partitionBy("load_day", "batch").parquet(path))
+    return rows.count()
+
+
 def read_ods(spark: SparkSession, ods_root: str) -> Ods:
     root = ods_root.rstrip("/")
 
@@ -168,6 +189,7 @@ def read_ods(spark: SparkSession, ods_root: str) -> Ods:
         p = f"{root}/{name}"
         # The declared schema: a table without a data file yet is an empty table.
         schema = T.StructType([*ODS_SCHEMAS[name].fields, T.StructField("day", T.DateType())])
+        tables.recover(spark, p)
         return spark.read.schema(schema).parquet(p) if tables.path_exists(spark, p) else None
 
     return Ods(
@@ -180,9 +202,11 @@ def read_ods(spark: SparkSession, ods_root: str) -> Ods:
 
 def raw_freshness(spark: SparkSession, raw_root: str, as_of) -> DataFrame:
     """The freshness gate over the landed raw zone: ``(table, day, rows_today,
-    fresh)`` per source, counted on the ``ingest_date`` partition (pruned)."""
-    from pricelake.operators.freshness import freshness
-
-    raw = read_raw_zone(spark, raw_root)
-    present = {n: (getattr(raw, n), "ingest_date") for n in RAW_NAMES if getattr(raw, n) is not None}
-    return freshness(present, as_of, day_is_column=True)
+    fresh)`` per source, counted in the file footers of the day's partition."""
+    from pricelake.operators.freshness import stored_freshness
+
+    paths = {n: f"{raw_root.rstrip('/')}/{n}" for n in RAW_NAMES}
+    present = {n: p for n, p in paths.items() if tables.path_exists(spark, p)}
+    for p in present.values():
+        tables.recover(spark, p)
+    return stored_freshness(spark, present, as_of)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -71,28 +73,72 @@ def ods_report(ods: Ods, as_of_ts, days=None) -> DataFrame:
     return qc.suite_report(ods_check_parts(ods, as_of_ts, days))
 
 
+#: What the summaries count NULLs of: output name -> column, by table.
+PROFILED: dict[str, dict[str, str]] = {
+    "product": {},
+    "book_a": {"null_min": "min_price", "null_max": "max_price", "null_mean": "mean_price", "null_median": "median_price"},
+    "history": {"null_24h_avg": "last_24_hours_avg", "null_7d_avg": "last_7_days_avg",
+                "null_30d_avg": "last_30_days_avg", "null_90d_avg": "last_90_days_avg"},
+    "book_b": {"null_price": "price"},
+}
+
+
 def ods_summaries(ods: Ods) -> dict[str, DataFrame]:
     """Row totals and NULL profiles per table (one aggregate each)."""
-    out = {}
+    present = {name: getattr(ods, name) for name in PROFILED}
+    return {name: qc.null_profile(df, PROFILED[name]) for name, df in present.items() if df is not None}
+
+
+def kept_summaries(spark, ods_root: str, days=None) -> dict[str, DataFrame]:
+    """The summaries from profiles that are kept by day under ``<ods_root>/profiles``.
+
+    Only ``days`` (the days a load touched) are counted again, and days that have no profile yet;
+    a table's summary adds up its days. The first run counts all days. The catalog, which has no days, is counted whole.
+    """
+    from pricelake.plans.ods import read_ods
+    from pricelake.sources import tables
+
+    ods = read_ods(spark, ods_root)
+    out: dict[str, DataFrame] = {}
     if ods.product is not None:
-        out["product"] = qc.null_profile(ods.product, {})
-    if ods.book_a is not None:
-        out["book_a"] = qc.null_profile(ods.book_a, {"null_min": "min_price", "null_max": "max_price",
-                                                     "null_mean": "mean_price", "null_median": "median_price"})
-    if ods.history is not None:
-        out["history"] = qc.null_profile(ods.history, {
-            "null_24h_avg": "last_24_hours_avg", "null_7d_avg": "last_7_days_avg",
-            "null_30d_avg": "last_30_days_avg", "null_90d_avg": "last_90_days_avg"})
-    if ods.book_b is not None:
-        out["book_b"] = qc.null_profile(ods.book_b, {"null_price": "price"})
+        out["product"] = qc.null_profile(ods.product, PROFILED["product"])
+    for name in ("book_a", "history", "book_b"):
+        df = getattr(ods, name)
+        if df is None:
+            continue
+        path = f"{ods_root.rstrip('/')}/profiles/{name}"
+        shape = qc.daily_profile(df, PROFILED[name]).schema
+        tables.recover(spark, path)
+        if tables.path_exists(spark, path):
+            known = {r[0] for r in spark.read.schema(shape).parquet(path).select("day").distinct().collect()}
+            stale = (tables.partition_days(spark, f"{ods_root.rstrip('/')}/{name}", "day") - known) | set(map(_date, days or ()))
+            df = df.filter(F.col("day").isin(list(stale))) if stale else None
+        if df is not None:
+            tables.swap_in(spark, path, qc.daily_profile(df, PROFILED[name]).coalesce(1), "day")
+        out[name] = qc.merged_profile(spark.read.schema(shape).parquet(path))
     return out
 
 
+def _date(day) -> _dt.date:
+    return day if isinstance(day, _dt.date) else _dt.date.fromisoformat(str(day)[:10])
+
+
 def collected_summaries(ods: Ods) -> dict[str, dict]:
     """The summaries as plain values: one row per table reaches the driver."""
     return {name: df.first().asDict() for name, df in ods_summaries(ods).items()}
 
 
+def audit_ods_root(spark, ods_root: str, as_of_ts, days=None) -> tuple[list[dict], dict[str, dict]]:
+    """(failing checks, summaries) of one run on the ODS tables under ``ods_root``; raises for neither.
+
+    With ``days``, checks read these days only and the summaries come from kept profiles (``kept_summaries``)."""
+    from pricelake.plans.ods import read_ods
+
+    report = ods_report(read_ods(spark, ods_root), as_of_ts, days)
+    found = [r.asDict() for r in report.orderBy("check").collect()]
+    return found, {name: df.first().asDict() for name, df in kept_summaries(spark, ods_root, days).items()}
+
+
 def run_checks(ods: Ods, as_of_ts, days=None) -> dict[str, dict]:
     """The summaries of every table; raises once, listing every failing check
     (with the summaries on the error). Bounded samples only reach the driver."""

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from pricelake.functions.json_fields import PRICE_TYPE
 from pricelake.operators.staging import BOOK_A_PRICES, PERIOD_STATS, PERIODS
+from pricelake.sources.raw import POSITION
 
 _S, _TS, _D, _I, _L, _DBL = T.StringType(), T.TimestampType(), T.DateType(), T.IntegerType(), T.LongType(), T.DoubleType()
 
@@ -19,7 +20,8 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(n, t) for n, t in fields])
 
 
-RAW = _struct(("payload", _S), ("created_at", _TS), ("ingest_date", _D), ("load_pos", _L))
+RAW = _struct(("payload", _S), ("created_at", _TS), ("ingest_date", _D), ("load_pos", POSITION),
+              ("body", T.VariantType()), ("unparsed", _S), ("payload_hash", _L))
 
 PRODUCT = _struct(("id_name", _S), ("name", _S), ("item_page", _S), ("market_page", _S))
 BOOK_A = _struct(("id_name", _S), ("date_extracted", _TS), *[(p, PRICE_TYPE) for p in BOOK_A_PRICES])

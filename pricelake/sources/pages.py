@@ -14,7 +14,15 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-_META_TAG = r"""(?i)<meta\b(?:[^>"']|"[^"]*"|'[^']*')*>"""
+# One token of a page: a comment, a declaration or CDATA section, a script or style element with all it
+# holds, or a tag whose quoted values may hold anything. Group 1 is the token if it is a meta tag. Tokens
+# are consumed one after the other, so text in comments, scripts and attribute values is never taken for a tag.
+_IN_TAG = r"""(?:[^>"']++|"[^"]*+(?:"|\z)|'[^']*+(?:'|\z))*+"""
+_TOKEN = "".join((
+    r"(?is)<!--(?:>|->|.*?(?:--!?>|\z))", r"|<!\[CDATA\[.*?(?:\]\]>|\z)", r"|<[!?][^>]*+>?",
+    rf"|<(?:script|style)(?=[\s/>]){_IN_TAG}>.*?(?:</(?:script|style)\s*+>|\z)",
+    rf"|(<meta(?=[\s/>]){_IN_TAG}>)", rf"|</?[a-z]{_IN_TAG}>",
+))
 # Character references of attribute values; the ampersand comes last, so that nothing is decoded twice.
 _ENTITIES = (("&quot;", '"'), ("&#34;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&#x27;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"))
 
@@ -31,9 +39,10 @@ def _attribute(tag: Column, attr: str) -> Column:
 
 def meta_content(html: Column | str, value: str, attr: str = "property") -> Column:
     """``content`` of the first ``<meta>`` tag whose ``attr`` is ``value`` (attributes in any
-    order, any quoting, character references decoded); NULL when absent or empty."""
-    tags = F.regexp_extract_all(_col(html), F.lit(_META_TAG), F.lit(0))
-    tag = F.get(F.filter(tags, lambda t: F.lower(_attribute(t, attr)) == value.lower()), 0)
+    order, any quoting, character references decoded); NULL when absent or empty. Tags in
+    comments, scripts, styles, CDATA sections and attribute values don't count."""
+    tags = F.regexp_extract_all(_col(html), F.lit(_TOKEN), F.lit(1))
+    tag = F.get(F.filter(tags, lambda t: (t != "") & (F.lower(_attribute(t, attr)) == value.lower())), 0)
     return _attribute(tag, "content")
 
 

@@ -4,7 +4,8 @@ A file-source stream over a landing folder, run with
 ``trigger(availableNow=True)`` (process what is there, then stop — the hourly
 poll of the original workflow), hands each micro-batch to ``foreachBatch``.
 The checkpoint remembers which files were taken, so each file is processed
-once; the batch handler merges by key, so a retried batch changes nothing.
+once; batch handlers merge by key, or append under the batch's name, so a
+retried batch changes nothing.
 
 Documents and lines that are no JSON object or array go to a quarantine
 folder with their file and time; payloads and quarantine together account for every line.
@@ -24,7 +25,17 @@ from pyspark.sql import functions as F
 from pricelake.operators import merge, staging
 from pricelake.plans.ods import ODS_KEYS, add_to_catalog
 from pricelake.sources import tables
-from pricelake.sources.raw import documents_to_payloads, line_place, rejected_documents
+from pricelake.sources.raw import (
+    BATCH,
+    append_batch,
+    documents_to_payloads,
+    file_name,
+    line_row,
+    not_blank,
+    position,
+    rejected_documents,
+    with_body,
+)
 
 BatchFn = Callable[[DataFrame, int], None]
 
@@ -42,23 +53,29 @@ def text_stream(spark: SparkSession, in_path: str, json_lines: bool = True, max_
         F.col("_metadata.file_block_start").alias("split"))
 
 
+def _documents(landed: DataFrame, json_lines: bool) -> DataFrame:
+    return landed.filter(not_blank()) if json_lines else landed
+
+
 def to_raw(landed: DataFrame, json_lines: bool = True) -> DataFrame:
-    """Raw rows (payload, created_at, ingest_date, load_pos) of ``text_stream`` rows; see ``rejected`` for what is left out.
+    """Raw rows of ``text_stream`` rows; see ``rejected`` for what is left out.
 
-    A line's position is its place in the file (files are ordered by their time); elements of one array line
-    share it, as in ``sources.raw.load_raw``. Rows are numbered in a batch only, a line of a stream has no position.
+    Positions are as in ``sources.raw.load_raw``. Rows are numbered in a batch only: lines of a stream
+    itself have no row in theirs.
     """
-    numbered = json_lines and not landed.isStreaming
-    place = line_place(F.col("split")) if numbered else F.lit(None).cast("bigint")
-    docs = documents_to_payloads(landed.withColumn("place", place), lenient=True, keep=("landed_at", "place"))
+    row = None
+    if json_lines and not landed.isStreaming:
+        landed, row = landed.withColumn("__row", line_row()), F.col("__row")
+    docs = documents_to_payloads(_documents(landed, json_lines), lenient=True,
+                                 keep=("landed_at", "file", "split", *(["__row"] if row is not None else [])))
     ts = F.col("landed_at")
-    return docs.select("payload", ts.alias("created_at"), F.to_date(ts).alias("ingest_date"),
-                       F.col("place" if json_lines else "load_pos").alias("load_pos"))
+    at = position(file_name("file"), F.col("split"), row, F.col("load_pos"))
+    return with_body(docs.select("payload", ts.alias("created_at"), F.to_date(ts).alias("ingest_date"), at.alias("load_pos")))
 
 
-def rejected(landed: DataFrame) -> DataFrame:
+def rejected(landed: DataFrame, json_lines: bool = True) -> DataFrame:
     """(value, file, landed_at, ingest_date) of the ``text_stream`` rows that ``to_raw`` leaves out."""
-    return rejected_documents(landed, keep=("file", "landed_at")).withColumn("ingest_date", F.to_date("landed_at"))
+    return rejected_documents(_documents(landed, json_lines), keep=("file", "landed_at")).withColumn("ingest_date", F.to_date("landed_at"))
 
 
 def raw_stream(spark: SparkSession, in_path: str, json_lines: bool = True, max_files: int | None = None) -> DataFrame:
@@ -91,20 +108,23 @@ def ingest_stream(
 
     Malformed documents and lines go to ``quarantine`` (value, file, landed_at; Parquet by ``ingest_date``),
     by default a folder of the feed under ``spark.checkpoint.dir`` (``quarantine_dir``). Each batch
-    has a folder ``batch=N`` of its own, which a retry replaces.
+    has a folder ``batch=N`` of its own, which a retry replaces. Rows reach ``on_batch`` with a column
+    ``batch``, named after the stream's progress and the batch: handlers that append let it
+    own what they write, so a retry replaces that instead of adding to it.
     """
     if checkpoint is None:
         from pricelake.session import scratch_dir
 
         checkpoint = scratch_dir(spark, "streams/" + _feed(in_path))
     aside = (quarantine or quarantine_dir(spark, in_path)).rstrip("/")
-    run = _feed(checkpoint)
 
     def fn(landed: DataFrame, epoch_id: int) -> None:
-        broken = rejected(landed)
+        # The query's own id lives in its checkpoint: a new checkpoint never takes an old one's batches for its own.
+        run = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or _feed(checkpoint)
+        broken = rejected(landed, json_lines)
         if not broken.isEmpty():
             broken.write.mode("overwrite").partitionBy("ingest_date").parquet(f"{aside}/run={run}/batch={epoch_id}")
-        on_batch(to_raw(landed, json_lines), epoch_id)
+        on_batch(to_raw(landed, json_lines).withColumn(BATCH, F.lit(f"{run}-{epoch_id}")), epoch_id)
 
     q = (text_stream(spark, in_path, json_lines).writeStream
          .foreachBatch(fn)
@@ -129,16 +149,16 @@ def quarantine_dir(spark: SparkSession, in_path: str) -> str:
 
 
 def land_batch(raw_root: str) -> BatchFn:
-    """Batch handler: append the batch to the raw zone (partitioned by day)."""
+    """Batch handler: append the batch to the raw zone (partitioned by day, then batch), once however often it is retried."""
     def fn(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("append").partitionBy("ingest_date").parquet(raw_root)
+        append_batch(batch, raw_root)
     return fn
 
 
 def fan_out_batch(sinks) -> BatchFn:
     """Batch handler: write each batch to several sinks, computing it once
-    (``sources.raw.fan_out``); file sinks append, so a retried batch should
-    go to sinks that tolerate it or be followed by a keyed merge."""
+    (``sources.raw.fan_out``). A retried batch replaces what it wrote to
+    appending file sinks before, so each sink holds it once."""
     from pricelake.sources.raw import fan_out
 
     def fn(batch: DataFrame, epoch_id: int) -> None:

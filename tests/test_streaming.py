@@ -107,8 +107,8 @@ def test_stream_keeps_array_lines_and_quarantines_broken_ones(spark, tmp):
 
     ingest.ingest_stream(spark, landing, os.path.join(tmp, "ck"), handler, quarantine=aside)
     assert sorted(json.loads(r.payload)["market_hash_name"] for r in raw) == ["A", "A", "B", "C"]
-    # Places follow the lines; elements of one line share theirs.
-    assert len({r.load_pos for r in raw}) == 3 and None not in {r.load_pos for r in raw}
+    # Positions follow the lines, then the place in an array line.
+    assert len({r.load_pos for r in raw}) == 4 and None not in {r.load_pos.row for r in raw}
     assert json.loads(max(raw, key=lambda r: r.load_pos).payload)["suggested_price"] == 2
     assert spark.read.parquet(out).count() == 3
     gone = spark.read.parquet(aside).collect()
