@@ -6,7 +6,7 @@ at the end on both sides, so the two engines' decimal result types do not
 matter for the comparison. Import order is registration order.
 """
 
-from pricelake.plans.queries import marts, merges, staging, sources, quality, day_loads  # noqa: F401
+from pricelake.plans.queries import marts, merges, staging, sources, quality, day_loads, raw_zone, suite  # noqa: F401
 from pricelake.plans.queries.base import ORACLES, QUERIES, register, uuid5_sql
 
 __all__ = ["ORACLES", "QUERIES", "register", "uuid5_sql"]
