@@ -189,7 +189,7 @@ def read_ods(spark: SparkSession, ods_root: str) -> Ods:
         p = f"{root}/{name}"
         # The declared schema: a table without a data file yet is an empty table.
         schema = T.StructType([*ODS_SCHEMAS[name].fields, T.StructField("day", T.DateType())])
-        tables.recover(spark, p)
+        tables.recover(spark, p, reader=True)
         return spark.read.schema(schema).parquet(p) if tables.path_exists(spark, p) else None
 
     return Ods(
@@ -208,5 +208,5 @@ def raw_freshness(spark: SparkSession, raw_root: str, as_of) -> DataFrame:
     paths = {n: f"{raw_root.rstrip('/')}/{n}" for n in RAW_NAMES}
     present = {n: p for n, p in paths.items() if tables.path_exists(spark, p)}
     for p in present.values():
-        tables.recover(spark, p)
+        tables.recover(spark, p, reader=True)
     return stored_freshness(spark, present, as_of)

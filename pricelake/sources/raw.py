@@ -11,7 +11,8 @@ all that staging reads.
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -203,20 +204,34 @@ def append_raw(raw: DataFrame, path: str, fmt: str = "parquet", batch: str | Non
     if batch is None:
         storable(raw, fmt).write.mode("append").partitionBy("ingest_date").format(fmt).save(path)
     else:
-        append_batch(raw.withColumn(BATCH, F.lit(batch)), path, fmt, ("ingest_date",))
+        with held(raw.withColumn(BATCH, F.lit(batch))) as rows:
+            append_batch(rows, path, fmt, ("ingest_date",))
 
 
 #: Partition column that names the batch a row came with.
 BATCH = "batch"
 
 
+@contextmanager
+def held(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` persisted (memory, spilling to disk) for several jobs over it."""
+    from pyspark import StorageLevel
+
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
 def append_batch(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ("ingest_date",), **options) -> None:
     """Append rows that carry their batch's name in the column ``batch``, once however often it is tried.
 
     The folders are the ledger: the batch owns the partitions ``.../batch=<name>``.
     A retry replaces them (dynamic partition overwrite), and drops those that an
     earlier try wrote for days the batch no longer has. A zone is filled either
-    by batches or by ``land``: their folders have different depths.
+    by batches or by ``land``: their folders have different depths. Three jobs
+    read ``df``: persist it (``held``).
     """
     from pricelake.sources import tables
 
@@ -244,7 +259,7 @@ def read_raw(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """The landed raw zone; filter ``ingest_date`` to prune partitions."""
     from pricelake.sources import tables
 
-    tables.recover(spark, path)
+    tables.recover(spark, path, reader=True)
     return spark.read.format(fmt).load(path)
 
 
@@ -264,10 +279,7 @@ def fan_out(df: DataFrame, sinks: Iterable[Sink]) -> None:
     batch is retried (``append_batch``). The rows are persisted (memory and disk) for the duration of the writes;
     a lost executor only recomputes its own partitions from the lineage.
     """
-    from pyspark import StorageLevel
-
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with held(df) as cached:
         for s in sinks:
             if s.mode == "append" and BATCH in cached.columns:
                 append_batch(cached, s.path, s.fmt, s.partition_by, **s.options)
@@ -276,8 +288,6 @@ def fan_out(df: DataFrame, sinks: Iterable[Sink]) -> None:
             if s.partition_by:
                 w = w.partitionBy(*s.partition_by)
             w.save(s.path)
-    finally:
-        cached.unpersist()
 
 
 def read_names(spark: SparkSession, path: str) -> DataFrame:

@@ -12,14 +12,15 @@ has no MERGE. Two publishing modes cover the merge family:
   a hidden folder of the table and moved in. Untouched days are never read or rewritten.
 
 Several partitions can't be moved in one step. ``swap_in`` therefore notes
-its intent in the table first: whoever opens the table next, reader or writer,
-finishes a swap that was cut short (``recover``), so a table shows all days
-of a write or none. One writer a table at a time.
+its intent in the table first: the next writer, or a reader that finds the note
+long after (``GRACE_SECONDS``), finishes a swap that was cut short (``recover``), so a
+table shows all days of a write or none. One writer a table at a time.
 """
 
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
@@ -32,6 +33,8 @@ from pricelake.session import scratch_dir
 _PREFIX = "v="
 #: Hidden names in a table's folder: rows of a write not moved in yet, and the note that says they are complete.
 _STAGING, _INTENT = "_staging-", "_swap-"
+#: Readers leave a swap to its writer for so long; moving a write's partitions in takes seconds.
+GRACE_SECONDS = 600
 #: Committed versions that a ``VersionedTable`` keeps, unless told otherwise: readers of the last few stay valid.
 KEEP_VERSIONS = 8
 
@@ -240,19 +243,24 @@ def _child(spark: SparkSession, path: str, name: str):
     return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, name)
 
 
-def recover(spark: SparkSession, path: str) -> int:
-    """Finish the swaps that were noted but cut short, drop staged rows that never were; returns how many were finished."""
+def recover(spark: SparkSession, path: str, reader: bool = False) -> int:
+    """Finish the swaps that were noted but cut short; returns how many.
+
+    A writer also drops staged rows that were never noted. A ``reader`` may run beside a writer: it
+    touches nothing but swaps noted more than ``GRACE_SECONDS`` ago.
+    """
     fs, root = _fs(spark, path)
     if not fs.exists(root):
         return 0
-    names = [st.getPath().getName() for st in fs.listStatus(root)]
-    noted = [n[len(_INTENT):] for n in names if n.startswith(_INTENT)]
-    for key in noted:
+    found = {st.getPath().getName(): st.getModificationTime() / 1000 for st in fs.listStatus(root)}
+    noted = [n[len(_INTENT):] for n in found if n.startswith(_INTENT)]
+    due = [k for k in noted if not reader or time.time() - found[_INTENT + k] > GRACE_SECONDS]
+    for key in due:
         _move_in(spark, path, key)
-    for n in names:
+    for n in found if not reader else ():
         if n.startswith(_STAGING) and n[len(_STAGING):] not in noted:
             fs.delete(_child(spark, path, n), True)
-    return len(noted)
+    return len(due)
 
 
 def _move_in(spark: SparkSession, path: str, key: str) -> None:
@@ -268,6 +276,8 @@ def _move_in(spark: SparkSession, path: str, key: str) -> None:
 
 
 def _replace_partition(fs, staged, target) -> None:
+    if not fs.exists(staged):
+        return
     fs.delete(target, True)
     if not fs.rename(staged, target):
         raise OSError(f"could not move {staged} to {target}")

@@ -30,6 +30,7 @@ from pricelake.sources.raw import (
     append_batch,
     documents_to_payloads,
     file_name,
+    held,
     line_row,
     not_blank,
     position,
@@ -151,7 +152,8 @@ def quarantine_dir(spark: SparkSession, in_path: str) -> str:
 def land_batch(raw_root: str) -> BatchFn:
     """Batch handler: append the batch to the raw zone (partitioned by day, then batch), once however often it is retried."""
     def fn(batch: DataFrame, epoch_id: int) -> None:
-        append_batch(batch, raw_root)
+        with held(batch) as rows:
+            append_batch(rows, raw_root)
     return fn
 
 
