@@ -374,3 +374,20 @@ def test_quality_phrase_in_a_long_line_costs_its_sentence(spark):
     out = {r["doc_id"]: r for r in assess(frame(spark, rows)).collect()}
     assert all(r["kept"] and r["text"] == " ".join(body) for r in out.values())
     assert [out[i]["n_failed_lines"] for i in (1, 2, 3)] == [0, 1, 0]
+
+
+def test_quality_counts_characters_with_plain_searches(spark):
+    """Odd blanks, symbols and letters count as before; no character map and no pattern of all phrases (slow on every character)."""
+    from pricelake.llm import quality
+
+    texts = ["", "a b #*$\t%&|<>x\n \n \t\n", "\U0001d400ǅ ALL CAPS HERE NOW.", "Fine line here. TERMS Of Use.\nIt goes on? Yes."]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    out = quality.assess(docs)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "translate(" not in plan and "RLIKE " + "|".join(quality.BOILERPLATE)[:20] not in plan
+    found = {r.doc_id: r for r in out.collect()}
+    blanks = set(" \t\n\x0b\f\r")
+    for i, text in enumerate(texts):
+        assert found[i].word_chars == sum(c not in blanks for c in text)
+        assert found[i].n_symbols == sum(c in quality.SYMBOLS for c in text)
+    assert found[3].text == "It goes on? Yes."
