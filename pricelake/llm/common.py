@@ -26,19 +26,19 @@ STEP_BYTES = 1 << 20
 BATCH_ROWS = 1000
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """``df`` written as Parquet to the shared checkpoint folder and read again.
 
     It cuts the lineage: a lost executor costs no earlier stage, and every
     later reader sees the same rows. The shuffle files of the write are of no
-    further use and go with its end, so that steps don't add up on disk.
+    further use and go with its end, so that steps don't add up on disk. ``codec`` is the session's unless given.
     """
     spark = df.sparkSession
     path = os.path.join(ensure_checkpoint_dir(spark), f"llm-{name}-{uuid.uuid4().hex}")
     before = spark.conf.get(SHUFFLE_CLEANUP, None)
     spark.conf.set(SHUFFLE_CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.parquet(path, compression=codec)
     finally:
         if before is None:
             spark.conf.unset(SHUFFLE_CLEANUP)

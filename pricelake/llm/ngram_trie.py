@@ -6,16 +6,16 @@ grows with the corpus, so it lies in shards. A trigram (a, b, c) belongs
 to the shard of its middle word b, which holds all that a token c after a, b
 needs: the trigrams around b, the bigrams that begin with b and the counts of their last words.
 A word of many tokens has several shards, by a hash of a; each has all its bigrams.
-A shard is a row (shard, part, Elias-Fano level file) in the shared checkpoint folder. Document n-grams, added up per
-row, are routed to their shard; a shard asked for often is laid out in several parts, dealt by row.
-Neither the driver nor a broadcast holds a level.
+Its training trigrams, added up and packed, are a file in the shared checkpoint folder. Document tokens with the two words
+before them are packed, too, and routed to their shard, whose task builds the levels and scores them; a shard asked for
+often is dealt to several tasks, by row. Neither the driver nor a broadcast holds a level.
 
-In a shard words are numbered by their place among its word keys (64-bit hashes).
+In a shard words are numbered by their place among its word keys (numbers of the words sent to every task, 63-bit hashes of rare ones).
 Level 1 is the words. In level 2 the pairs (context, word) are one
 monotone sequence, in level 3 a word is numbered relative to its context: by
 its place among the successors of the word before it. Sequences and pointers
 are Elias-Fano coded (low bits packed, high bits in unary), smoothed probabilities and
-back-off weights are quantised to 16 bits. A successor is found by its high bits, then its low bits.
+back-off weights are quantised to 16 bits. A successor is found by its high bits, then by halves among its low bits.
 
 Smoothing is interpolated absolute discounting over the base model
 (c + 0.5) / (N + 0.5 (V + 1)), so every word, also an unknown one, has a probability.
@@ -35,7 +35,8 @@ import io
 import itertools
 import os
 import tempfile
-from collections import Counter
+import uuid
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,6 +46,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricelake.llm.common import arrow_rows, pieces, stored
+from pricelake.llm.files import open_store
+from pricelake.session import scratch_dir
 
 #: The end token; no word contains a line feed.
 END = b"\n"
@@ -70,6 +73,8 @@ class EliasFano:
         zeros = np.flatnonzero(bits == 0)
         self.start = np.concatenate([[0], zeros - np.arange(len(zeros))]).astype(np.int64)
         self.start = np.minimum(self.start, n)
+        low = np.ascontiguousarray(low)
+        self.wide = np.ndarray(max(0, len(low) - 7), "<i8", low, strides=(1,))
 
     @classmethod
     def of(cls, values: np.ndarray) -> EliasFano:
@@ -90,6 +95,8 @@ class EliasFano:
     def low_part(self, at: np.ndarray) -> np.ndarray:
         bit = at * self.low_bits
         byte, shift = bit >> 3, bit & 7
+        if self.low_bits <= 56:  # within the eight bytes from there on
+            return (self.wide[byte] >> shift) & ((1 << self.low_bits) - 1)
         out = np.zeros(len(at), dtype=np.int64)
         for k in range((self.low_bits + 7 + 7) // 8):
             out |= self.low[byte + k].astype(np.int64) << (8 * k)
@@ -102,22 +109,29 @@ class EliasFano:
         some = np.flatnonzero((targets >= 0) & (high + 1 < len(self.start)))
         at, end = self.start[high[some]], self.start[high[some] + 1]
         low = targets[some] & ((1 << self.low_bits) - 1)
-        while True:
-            live = at < end
-            some, at, end, low = some[live], at[live], end[live], low[live]
-            if not len(some):
-                return out
-            here = self.low_part(at)
-            hit = here == low
-            out[some[hit]] = at[hit]
-            more = here < low  # successors come in order
-            some, at, end, low = some[more], at[more] + 1, end[more], low[more]
+        stop = end.copy()
+        live = np.flatnonzero(at < end)
+        while len(live):  # by halves: a frequent context has very many successors with the same high bits
+            mid = (at[live] + end[live]) >> 1
+            less = self.low_part(mid) < low[live]
+            at[live[less]] = mid[less] + 1
+            end[live[~less]] = mid[~less]
+            live = live[at[live] < end[live]]
+        some, at, low = (x[at < stop] for x in (some, at, low))
+        hit = self.low_part(at) == low
+        out[some[hit]] = at[hit]
+        return out
 
     def get(self, at: np.ndarray) -> np.ndarray:
         """The numbers at these indices."""
         high = np.searchsorted(self.start, at, side="right") - 1
         return high << self.low_bits | self.low_part(at)
 
+    def every(self) -> np.ndarray:
+        """All the numbers."""
+        high = np.repeat(np.arange(len(self.start)), np.diff(np.append(self.start, self.n)))
+        return high << self.low_bits | self.low_part(np.arange(self.n))
+
 
 def quantised(log10: np.ndarray) -> np.ndarray:
     return np.clip(np.rint(-log10 * STEPS), 0, 65535).astype(np.uint16)
@@ -149,7 +163,7 @@ class Trie:
         triple = np.full(len(word), -1, dtype=np.int64)
         both = np.flatnonzero((pair >= 0) & (prior >= 0))
         if len(both):
-            relative = pair[both] - self.pointers.get(before[both])
+            relative = pair[both] - self.pointers.every()[before[both]]
             triple[both] = self.triples.find(prior[both] * self.width + relative)
         out = np.zeros(len(word))
         has = triple >= 0
@@ -237,6 +251,15 @@ def tokens(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
+#: Stands for the end token in ``marked``; no UTF-8 text holds the byte 0xFF.
+MARK = b"\xff"
+
+
+def marked(texts: list[str | None]) -> list[bytes]:
+    """The texts' words in order, a ``MARK`` after each text."""
+    return (b" \xff ".join([(t or "").encode() for t in texts]).lower() + b" \xff").split()
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
     """(word, key, n) over all texts, the end token included; tasks add up before the shuffle."""
 
@@ -244,7 +267,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
         seen: Counter = Counter()
 
         def flushed() -> pa.RecordBatch:
-            keys = pa.array(map(_Keys().__missing__, seen), pa.int64())
+            keys = pa.array(map(word_key, seen), pa.int64())
             out = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), keys, pa.array(list(seen.values()), pa.int64())], names=["word", "key", "n"])
             seen.clear()
             return out
@@ -261,156 +284,311 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(count, "word binary, key long, n long").groupBy("word", "key").agg(F.sum("n").alias("n"))
 
 
-class _Ids:
-    """Numbers of the frequent words, and what an Arrow column of texts is in them."""
-
-    def __init__(self, vocabulary: list[bytes]):
-        self.number = {w: i for i, w in enumerate(vocabulary)}
-        self.end = self.number.get(END, -1)
-
-    def of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
-        """(tokens, first token of each text, words) of texts one after another, ends included."""
-        words = [tokens(t) for t in texts]
-        get = self.number.get
-        flat = np.fromiter((i for w in words for i in [*map(get, w, _MINUS), self.end]), dtype=np.int64)
-        size = np.array([len(w) + 1 for w in words], dtype=np.int64)
-        return flat, np.cumsum(size) - size, words
-
-
-_MINUS = itertools.repeat(-1)
-
-
-class _Keys(dict):
-    """64-bit hashes of words, remembered."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > FLUSH // 4:
-            self.clear()
-        key = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little", signed=True)
-        return key
-
-
-END_KEY = _Keys()[END]
-
-
-def _contexts(keys: _Keys, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text's place, middle word b, first word a, last word c) of each token c; after the end token, at a head, a is 0."""
-    get = keys.__getitem__
-    words = [tokens(t) for t in texts]
-    c = np.fromiter((i for w in words for i in [*map(get, w), END_KEY]), dtype=np.int64)
-    size = np.array([len(w) + 1 for w in words], dtype=np.int64)
-    start = np.cumsum(size) - size
-    b = np.concatenate([[END_KEY], c[:-1]])
-    a = np.concatenate([[0], b[:-1]])
-    b[start], a[start] = END_KEY, 0
-    return np.repeat(np.arange(len(texts)), size), b, a, c
-
-
-def _added_up(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
-    """Distinct rows of equally long columns, and how often each occurs."""
-    order = np.lexsort(columns[::-1])
-    columns = [x[order] for x in columns]
-    new = np.concatenate([[True], np.logical_or.reduce([x[1:] != x[:-1] for x in columns])])
+def word_key(word: bytes) -> int:
+    """A rare word's 63-bit hash, as a negative number."""
+    return ~(int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little") >> 1)
+
+
+class _Numbered:
+    """Tokens of some texts by local numbers; ``keys`` has their words in the numbering of all tasks:
+    0 is the end token, the words sent to every task follow, and a rare word has its ``word_key``."""
+
+    def __init__(self, number: dict[bytes, int]):
+        self.number = number
+        self.ids: defaultdict[bytes, int] = defaultdict()
+        self.ids.default_factory = self.ids.__len__
+        self.ids[MARK]  # noqa: B018 - takes number 0
+        self.held: list[tuple] = []
+        self.size = 0
+
+    def add(self, texts: list[str | None]) -> None:
+        words = marked(texts)
+        c = np.fromiter(map(self.ids.__getitem__, words), np.int64, len(words))
+        self.held.append((c, np.diff(np.flatnonzero(c == 0), prepend=-1)))
+        self.size += len(c)
+
+    def contexts(self) -> tuple[np.ndarray, ...]:
+        """(keys in order, text's place, middle word b, first word a, last word c) of each token c, as places in the keys; at a head b and a are the end token."""
+        number = self.number
+        keys = np.fromiter((0 if w == MARK else number[w] + 1 if w in number else word_key(w) for w in self.ids), np.int64, len(self.ids))
+        order = np.argsort(keys)
+        place = np.empty(len(keys), np.int64)
+        place[order] = np.arange(len(keys))
+        c, size = (np.concatenate(x) for x in zip(*self.held, strict=True))
+        c, start = place[c], np.cumsum(size) - size
+        b = np.concatenate([[place[0]], c[:-1]])
+        a = np.concatenate([[place[0]], b[:-1]])
+        b[start], a[start] = place[0], place[0]
+        return keys[order], np.repeat(np.arange(len(size)), size), b, a, c
+
+
+def added_up(columns: list[np.ndarray], top: int, n: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct rows, in order, of equally long columns of numbers below ``top``, and the sum of ``n`` of each (default: how often it occurs)."""
+    if top ** len(columns) < 1 << 63:  # as one number
+        code = columns[0]
+        for x in columns[1:]:
+            code = code * top + x
+        order = None if n is None else np.argsort(code)
+        code = np.sort(code) if n is None else code[order]
+        new = np.concatenate([np.ones(min(1, len(code)), bool), code[1:] != code[:-1]])
+        rest, out = code[new], []
+        for _ in columns:
+            rest, x = np.divmod(rest, top)
+            out.append(x)
+        out = out[::-1]
+    else:
+        order = np.lexsort(columns[::-1])
+        columns = [x[order] for x in columns]
+        new = np.concatenate([[True], np.logical_or.reduce([x[1:] != x[:-1] for x in columns])])
+        out = [x[new] for x in columns]
     at = np.flatnonzero(new)
-    return [x[at] for x in columns], np.diff(np.append(at, len(order)))
+    sums = np.diff(np.append(at, len(new))) if n is None else np.add.reduceat(n[order], at) if len(at) else n
+    return out, sums
+
+
+def packed(keys: np.ndarray, words: list[np.ndarray], numbers: list[np.ndarray]) -> bytes:
+    """Equally long columns as bytes: ``words`` are places in ``keys`` (in order), ``numbers`` have no sign; the first column of each is best in order.
+
+    Rare words are written once; a word is its place among them, or its number after them.
+    """
+    used = np.zeros(len(keys), bool)
+    used[: np.searchsorted(keys, 0)] = True
+    some = np.zeros(len(keys), bool)
+    for x in words:
+        some[x] = True
+    rare = np.flatnonzero(used & some)
+    code = keys + len(rare)
+    code[rare] = np.arange(len(rare))
+    head, body = [len(numbers[0]), len(rare), len(words), len(numbers)], [keys[rare].tobytes()]
+    for x in [*(code[w] for w in words), *numbers]:
+        step = np.diff(x, prepend=x[:1])
+        least, down = (int(x[0]), True) if len(x) and (step >= 0).all() else (0, False)
+        x = np.ascontiguousarray(step if down else x).astype("<i8")
+        width = max(1, (int(x.max(initial=0)).bit_length() + 7) // 8)
+        head += [int(down), least, width]
+        body.append(x.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes())  # byte by byte: high bytes are nearly all alike
+    whole = b"".join([np.array(head, "<i8").tobytes(), *body])
+    return len(whole).to_bytes(8, "little") + pa.compress(whole, codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """(columns of word keys, columns of numbers) of ``packed``."""
+    whole = np.frombuffer(pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True), np.uint8)
+    n, rare, words, numbers = whole[:32].view("<i8").tolist()
+    heads = whole[32: 32 + 24 * (words + numbers)].view("<i8").reshape(-1, 3).tolist()
+    at = 32 + 24 * (words + numbers)
+    keys = whole[at: at + 8 * rare].view("<i8")
+    at += 8 * rare
+    out = []
+    for down, least, width in heads:
+        x = np.zeros((n, 8), np.uint8)
+        x[:, :width] = whole[at: at + n * width].reshape(width, n).T
+        at += n * width
+        x = x.view("<i8").reshape(-1)
+        out.append(np.cumsum(x) + least if down else x)
+    for k, code in enumerate(out[:words]):
+        key = code - rare
+        seldom = key < 0
+        key[seldom] = keys[code[seldom]]
+        out[k] = key
+    return out[:words], out[words:]
+
+
+def _unpacked(column: pa.ChunkedArray, words: int, numbers: int) -> list[np.ndarray]:
+    """All columns of several ``packed``, one after another."""
+    parts = [sum(unpacked(x.as_py()), []) for x in column]
+    return [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else [np.zeros(0, np.int64)] * (words + numbers)
+
+
+def _hash(x: np.ndarray) -> np.ndarray:
+    """64-bit mix of whole numbers (splitmix)."""
+    x = x.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _shard(keys: np.ndarray, b: np.ndarray, a: np.ndarray, splits: dict[int, int], shards: int) -> np.ndarray:
+    """Shard of each (b, a), places in ``keys``: by b, and by a too for the words with ``splits``."""
+    mixed, many = _hash(keys), np.fromiter((splits.get(k, 1) for k in keys.tolist()), np.int64, len(keys)).astype(np.uint64)
+    out = (_hash(mixed) % np.uint64(shards)).astype(np.int64)[b]
+    salted = np.flatnonzero((many > 1)[b])
+    out[salted] = (_hash(mixed[b[salted]] + mixed[a[salted]] % many[b[salted]]) % np.uint64(shards)).astype(np.int64)
+    return out
 
 
-def trigram_counts(texts: DataFrame) -> DataFrame:
-    """(b, a, c, n) of every trigram of the texts; tasks add up before the shuffle."""
+def _by_shard(shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    order = np.argsort(shard, kind="stable")
+    found, begin = np.unique(shard[order], return_index=True)
+    for one, rows in zip(found.tolist(), np.split(order, begin[1:]), strict=True):
+        yield one, rows
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        size = 0
 
-        def flushed() -> pa.RecordBatch:
-            columns, n = _added_up([np.concatenate(x) for x in zip(*held, strict=True)])
-            held.clear()
-            return pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(n)], names=["b", "a", "c", "n"])
+def trigram_blocks(texts: DataFrame, number, splits: dict[int, int], shards: int) -> DataFrame:
+    """(shard, grams) of every trigram (b, a, c, n) of the texts; tasks add up before the shuffle."""
 
-        keys = _Keys()
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flushed(held: _Numbered) -> pa.RecordBatch:
+            keys, _, *columns = held.contexts()
+            (b, a, c), n = added_up(columns, len(keys))
+            rows = [(one, packed(keys, [b[at], a[at], c[at]], [n[at]])) for one, at in _by_shard(_shard(keys, b, a, splits, shards))]
+            ids, grams = zip(*rows, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(grams, pa.binary())], names=["shard", "grams"])
+
+        known = number.value
+        held = _Numbered(known)
         for batch in pieces(batches, "text"):
-            _, *columns = _contexts(keys, batch.column(0).to_pylist())
-            held.append(columns)
-            size += len(columns[0])
-            if size > FLUSH:
-                yield flushed()
-                size = 0
-        if size:
-            yield flushed()
+            held.add(batch.column(0).to_pylist())
+            if held.size > FLUSH:
+                yield flushed(held)
+                held = _Numbered(known)
+        if held.size:
+            yield flushed(held)
+
+    return texts.mapInArrow(count, "shard long, grams binary")
+
+
+class _Dense:
+    """Places of some word keys in their order: numbered words by a table, rare ones by search."""
+
+    def __init__(self, known: int, columns: list[np.ndarray]):
+        some = np.zeros(known, bool)
+        for x in columns:
+            some[x[x >= 0]] = True
+        rare = np.unique(np.concatenate([np.unique(x[x < 0]) for x in columns]))
+        self.rare, top = rare, np.flatnonzero(some)
+        self.place = np.full(known, -1, np.int64)
+        self.place[top] = len(rare) + np.arange(len(top))
+        self.words = np.concatenate([rare, top])
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        """Places of the keys, -1 where they are not among them."""
+        out = self.place[np.maximum(keys, 0)]
+        seldom = np.flatnonzero(keys < 0)
+        if len(seldom):
+            at = np.minimum(np.searchsorted(self.rare, keys[seldom]), max(0, len(self.rare) - 1))
+            out[seldom] = np.where(self.rare[at] == keys[seldom], at, -1) if len(self.rare) else -1
+        return out
 
-    return texts.mapInArrow(count, "b long, a long, c long, n long").groupBy("b", "a", "c").agg(F.sum("n").alias("n"))
-
-
-def _shard(shards: int, splits: DataFrame, rows: DataFrame) -> DataFrame:
-    """``rows`` (b, a, ...) with their shard; the words of ``splits`` (b, splits) have several."""
-    salt = F.when(F.col("b") == END_KEY, 0).otherwise(F.pmod(F.xxhash64("a"), F.coalesce("splits", F.lit(1))))
-    return rows.join(F.broadcast(splits), "b", "left").withColumn(
-        "shard", F.pmod(F.xxhash64("b", salt.cast("long")), F.lit(shards))).drop("splits")
-
-
-def shard_levels(total: int, distinct: int):
-    """The function that makes one shard's level file of its trigrams (b, a, c, n) and bigrams (b, c, n, last)."""
-
-    def build(key, triples: pa.Table, pairs: pa.Table) -> pa.Table:
-        b, a, c, n = (triples.column(x).to_numpy() for x in ("b", "a", "c", "n"))
-        begin, last, pair_n, last_n = (pairs.column(x).to_numpy() for x in ("b", "c", "n", "last"))
-        inner = b != END_KEY  # a head has no trigram
-        b, a, c, n = b[inner], a[inner], c[inner], n[inner]
-        words = np.unique(np.concatenate([a, b, c, begin, last]))
-        size = len(words)
-        a, b, c, begin, last = (np.searchsorted(words, x) for x in (a, b, c, begin, last))
-        # Words that only come first have no count here, and none is asked for.
-        counts = np.ones(size, np.int64)
-        counts[begin] = np.bincount(begin, pair_n, minlength=size)[begin].astype(np.int64)
-        counts[last] = last_n
-        # A word before the middle one: its pair's count is the sum of its trigrams, as only the end token has none after it.
-        own, at = np.unique(a * size + b, return_inverse=True)
-        own_n = np.bincount(at, n, minlength=len(own)).astype(np.int64)
-        both, first = np.unique(np.concatenate([begin * size + last, own]), return_index=True)
-        both_n = np.concatenate([pair_n, own_n])[first]
-        triple = np.searchsorted(both, a * size + b) * size + c
-        order = np.argsort(triple)
-        levels = build_levels(counts, both, both_n, triple[order], n[order], total, distinct)
-        return pa.table({"shard": pa.array([key[0].as_py()], pa.int64()), "levels": pa.array([level_file({"keys": words}) + levels], pa.binary())})
-
-    return build
-
-
-def train(texts: DataFrame, table: DataFrame, total: int, distinct: int) -> tuple[DataFrame, DataFrame, int]:
-    """((shard, parts, levels) of every shard, (b, splits) of the words with several, shards) of the training ``texts`` (text)."""
-    shards = max(1, -(-total // SHARD_TOKENS))
-    words = table.select(F.col("key").alias("b"), "n")
-    many = words.filter((F.col("n") > SHARD_TOKENS // 4) & (F.col("b") != END_KEY)).select(
-        "b", F.ceil(F.col("n") / (SHARD_TOKENS // 4)).cast("long").alias("splits"))
-    triples = stored(_shard(shards, many, trigram_counts(texts)), "lm-trigrams")
-    pairs = triples.groupBy("b", "c").agg(F.sum("n").alias("n"))
-    pairs = stored(pairs.join(words.select(F.col("b").alias("c"), F.col("n").alias("last")), "c"), "lm-bigrams")
-    # Each shard of a word has all its bigrams.
-    placed = pairs.join(triples.select("b", "shard").distinct(), "b").select(F.col("shard").alias("to"), "b", "c", "n", "last")
-    levels = triples.groupBy("shard").cogroup(placed.groupBy("to")).applyInArrow(
-        shard_levels(total, distinct), "shard long, levels binary")
-    asked = triples.groupBy("shard").agg(F.ceil(F.sum("n") / (2 * SHARD_TOKENS)).cast("long").alias("parts"))
-    return stored(levels.join(asked, "shard"), "lm-levels"), many, shards
-
-
-def score_shard(key, asked: pa.Table, levels: pa.Table) -> pa.Table:
-    """(row, model): what the contexts change in a row's log10 probability, over the tokens of one shard."""
-    row, b, a, c, k = (asked.column(x).to_numpy() for x in ("row", "b", "a", "c", "k"))
-    if not len(row) or not levels.num_rows:  # no training token has this shard: nothing is known of the context
-        return pa.table({"row": pa.array([], pa.int64()), "model": pa.array([], pa.float64())})
-    trie = open_trie(levels.column("levels")[0].as_py())
-    ids = []
-    for x in (a, b, c):
-        place = np.minimum(np.searchsorted(trie.keys, x), len(trie.keys) - 1)
-        ids.append(np.where(trie.keys[place] == x, place, -1))
-    a, b, c = ids
-    a[asked.column("b").to_numpy() == END_KEY] = -1
+
+def train(texts: DataFrame, table: DataFrame, number, known: int, splits: dict[int, int], shards: int, path: str) -> DataFrame:
+    """(shard, file, tokens, rare, pairs) of every shard of the training ``texts`` (text).
+
+    Its trigrams, added up, lie in the shared folder ``path``; ``rare`` are the rare words asked for there, ``pairs`` the bigrams (b, c, n) of the words
+    with ``splits`` as far as they are in this shard.
+    """
+    store, folder = open_store(path)
+    store.create_dir(folder, recursive=True)
+    split = np.array(sorted(splits), np.int64)
+
+    def merge(key: tuple[pa.Scalar, ...], blocks: pa.Table) -> pa.Table:
+        b, a, c, n = _unpacked(blocks.column("grams"), 3, 1)
+        dense = _Dense(known, [b, a, c])
+        size = len(dense.words)
+        (b, a, c), n = added_up([dense.of(x) for x in (b, a, c)], size, n)
+        files, top = open_store(path)
+        name = uuid.uuid4().hex  # of this attempt alone
+        with files.open_output_stream(f"{top}/{name}") as out:
+            out.write(packed(dense.words, [b, a, c], [n]))
+        rare = np.unique(c[c < len(dense.rare)])
+        shared = np.isin(dense.words, split)[b]
+        (first, last), sums = added_up([b[shared], c[shared]], size, n[shared])
+        lists = [pa.array([dense.words[rare]], pa.list_(pa.int64())),
+                 *[pa.array([x], pa.list_(pa.int64())) for x in (dense.words[first], dense.words[last], sums)]]
+        return pa.Table.from_arrays([pa.array([key[0].as_py()], pa.int64()), pa.array([name]), pa.array([int(n.sum())], pa.int64()), *lists],
+                                    names=["shard", "file", "tokens", "rare", "b", "c", "n"])
+
+    return stored(trigram_blocks(texts, number, splits, shards).groupBy("shard").applyInArrow(
+        merge, "shard long, file string, tokens long, rare array<long>, b array<long>, c array<long>, n array<long>"), "lm-shards")
+
+
+def shard_side(levels: DataFrame, rare_words: DataFrame) -> DataFrame:
+    """(to, b, c, n, last): what a shard needs of others. The counts ``last`` of its rare words (b is null), and all bigrams of its words with splits."""
+    counts = rare_words.select(F.col("key").alias("c"), F.col("n").alias("last"))
+    rare = levels.select(F.col("shard").alias("to"), F.explode("rare").alias("c")).join(counts, "c").select(
+        "to", F.lit(None).cast("long").alias("b"), "c", F.lit(None).cast("long").alias("n"), "last")
+    some = levels.select("shard", F.explode(F.arrays_zip("b", "c", "n")).alias("p")).select("shard", "p.b", "p.c", "p.n")
+    pairs = some.groupBy("b", "c").agg(F.sum("n").alias("n")).join(counts, "c", "left")
+    homes = levels.select(F.col("shard").alias("to"), F.explode(F.array_distinct("b")).alias("b"))
+    return rare.unionByName(pairs.join(homes, "b").select("to", "b", "c", "n", "last"))
+
+
+def build_shard(grams: list[np.ndarray], side: pa.Table, counts: np.ndarray, splits: dict[int, int], total: int, distinct: int) -> tuple[Trie, _Dense]:
+    """The levels of one shard, of its trigrams (b, a, c, n) and its ``shard_side``; ``counts`` are those of the numbered words."""
+    b, a, c, n = grams
+    begin, last, pair_n, last_n = (side.column(x).to_numpy(zero_copy_only=False) for x in ("b", "c", "n", "last"))
+    is_pair = np.asarray(side.column("b").is_valid())
+    begin, pair_n = begin[is_pair].astype(np.int64), pair_n[is_pair].astype(np.int64)
+    has = np.asarray(side.column("last").is_valid())
+    rare, rare_n = last[has].astype(np.int64), last_n[has].astype(np.int64)
+    last = last[is_pair].astype(np.int64)
+    dense = _Dense(len(counts), [b, a, c, begin, last])
+    words, size = dense.words, len(dense.words)
+    shared = np.isin(words, np.array(sorted(splits), np.int64))
+    a, b, c, begin, last = (dense.of(x) for x in (a, b, c, begin, last))
+    own = ~shared[b]
+    (one, two), sums = added_up([b[own], c[own]], size, n[own])
+    begin, last, pair_n = np.concatenate([begin, one]), np.concatenate([last, two]), np.concatenate([pair_n, sums])
+    # Rare words that only come first have no count here, and none is asked for.
+    many = np.ones(size, np.int64)
+    many[begin] = np.bincount(begin, pair_n, minlength=size)[begin].astype(np.int64)
+    many[words >= 0] = counts[words[words >= 0]]
+    at = dense.of(rare)
+    many[at[at >= 0]] = rare_n[at >= 0]
+    inner = b != dense.of(np.zeros(1, np.int64))[0]  # a head has no trigram
+    b, a, c, n = b[inner], a[inner], c[inner], n[inner]
+    # A word before the middle one: its pair's count is the sum of its trigrams, as only the end token has none after it.
+    (front, middle), front_n = added_up([a, b], size, n)
+    both, first = np.unique(np.concatenate([begin * size + last, front * size + middle]), return_index=True)
+    both_n = np.concatenate([pair_n, front_n])[first]
+    triple = np.searchsorted(both, a * size + b) * size + c
+    order = np.argsort(triple)
+    return open_trie(build_levels(many, both, both_n, triple[order], n[order], total, distinct)), dense
+
+
+def shard_gains(trie: Trie, dense: _Dense, b: np.ndarray, a: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """What the contexts change in the log10 probability of each token c after a, b."""
+    head = b == 0
+    a, b, c = (dense.of(x) for x in (a, b, c))
+    a[head] = -1
     # Each token after the word before it; only the former's score counts.
     word, before = np.stack([b, c], 1).reshape(-1), np.stack([a, b], 1).reshape(-1)
     gain = trie.score(word, before, np.tile([True, False], len(c)))[1::2]
-    gain -= np.where(c >= 0, trie.unigram[c], 0.0)
-    rows, at = np.unique(row, return_inverse=True)
-    return pa.table({"row": rows, "model": np.bincount(at, gain * k, minlength=len(rows))})
+    return gain - np.where(c >= 0, trie.unigram[c], 0.0)
+
+
+def asked_blocks(rows: DataFrame, number, splits: dict[int, int], shards: int, parts: dict[int, int]) -> DataFrame:
+    """(shard, part, asked) of every token (b, a, c, row) of ``rows`` (row, text) whose shard there is."""
+    schema = "shard long, part long, asked binary"
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flushed(held: _Numbered, ids: list[np.ndarray]) -> pa.RecordBatch:
+            keys, place, b, a, c = held.contexts()
+            row = np.concatenate(ids)[place]
+            out = []
+            for shard, at in _by_shard(_shard(keys, b, a, splits, shards)):
+                count = parts.get(shard, 0)
+                part = (_hash(row[at]) % np.uint64(max(1, count))).astype(np.int64)
+                for k in np.unique(part).tolist() if count else ():
+                    some = at[part == k]
+                    some = some[np.argsort(b[some], kind="stable")]  # the words b in order take few bytes
+                    out.append((shard, k, packed(keys, [b[some], a[some], c[some]], [row[some]])))
+            columns = list(zip(*out, strict=True)) or [(), (), ()]
+            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.int64(), pa.binary()), strict=True)],
+                                              names=["shard", "part", "asked"])
+
+        known = number.value
+        held, ids = _Numbered(known), []
+        for batch in pieces(batches, "text"):
+            held.add(batch.column(1).to_pylist())
+            ids.append(batch.column(0).to_numpy())
+            if held.size > FLUSH:
+                yield flushed(held, ids)
+                held, ids = _Numbered(known), []
+        if held.size:
+            yield flushed(held, ids)
+
+    return rows.mapInArrow(ask, schema)
 
 
 def score_documents(docs: DataFrame, learn: Column, share: float = SHARE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -418,7 +596,7 @@ def score_documents(docs: DataFrame, learn: Column, share: float = SHARE, id_col
     spark = docs.sparkSession
     arrow_rows(spark)
     texts = docs.filter(learn).select(F.col(text_col).alias("text"))
-    table = stored(word_counts(texts), "word-counts")
+    table = stored(word_counts(texts), "word-counts", "zstd")
     total, distinct = table.agg(F.sum("n"), F.count(F.lit(1))).first()
     total, distinct = int(total or 0), int(distinct)
     top = table.filter(F.col("n") >= share * total).orderBy(F.desc("n"), "word").select("word", "n").toArrow()
@@ -430,45 +608,66 @@ def score_documents(docs: DataFrame, learn: Column, share: float = SHARE, id_col
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, base = sent.value
-        ids = _Ids(vocabulary)
+        number = {w: i for i, w in enumerate(vocabulary)}
+        end = number.get(END, -1)
         for batch in pieces(batches, "text"):
-            word, start, words = ids.of(batch.column(1).to_pylist())
+            words = marked(batch.column(1).to_pylist())
+            word = np.fromiter(map(number.get, words, itertools.repeat(-1)), np.int64, len(words))
+            is_end = np.fromiter(map(MARK.__eq__, words), bool, len(words))
+            ends = np.flatnonzero(is_end)
+            start = np.concatenate([[0], ends[:-1] + 1])
+            word[ends] = end
             known = word >= 0
             plain = np.zeros(len(word))
             plain[known] = base[word[known]]
             sums = [np.add.reduceat(x, start) for x in (known.astype(np.int64), plain)]
-            get = ids.number
-            rare = [[{"word": w, "k": k} for w, k in Counter([w for w in some if w not in get]).items()] for some in words]
-            if ids.end < 0:  # not one training document
-                for some in rare:
-                    some.append({"word": END, "k": 1})
+            seldom = np.flatnonzero(~known)
+            owner = np.searchsorted(ends, seldom)
+            rare = Counter(zip(owner.tolist(), [END if words[i] == MARK else words[i] for i in seldom.tolist()], strict=True))  # in order of rows
+            rows = np.fromiter((row for row, _ in rare), np.int64, len(rare))
+            each = pa.StructArray.from_arrays([pa.array([w for _, w in rare], pa.binary()), pa.array(list(rare.values()), pa.int64())], names=["word", "k"])
+            begins = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=len(ends)))])
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(np.diff(np.append(start, len(word)))), *map(pa.array, sums), pa.array(rare, rare_kind)],
+                [*batch.columns, pa.array(np.diff(ends, prepend=-1)), *map(pa.array, sums), pa.ListArray.from_arrays(pa.array(begins, pa.int32()), each).cast(rare_kind)],
                 names=["doc_id", "text", "n_tokens", "n_known", "base", "rare"])
 
-    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = _Keys()
-        for batch in pieces(batches, "text"):
-            place, *columns = _contexts(keys, batch.column(1).to_pylist())
-            columns, k = _added_up([batch.column(0).to_numpy()[place], *columns])
-            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(k)], names=["row", "b", "a", "c", "k"])
-
     schema = T.StructType([slim.schema["doc_id"], *T.StructType.fromDDL(
         "text string, n_tokens long, n_known long, base double, rare array<struct<word:binary,k:bigint>>").fields])
-    first = stored(slim.mapInArrow(score, schema).withColumn("row", F.monotonically_increasing_id()), "lm-rows")
-    each = first.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.k")
+    first = stored(slim.mapInArrow(score, schema).withColumn("row", F.monotonically_increasing_id()), "lm-rows", "zstd")
+    single = first.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.k")
     bottom = total + 0.5 * (distinct + 1)
-    looked = each.join(table, "word", "left").select(
+    looked = single.join(table, "word", "left").select(
         "row", F.when(F.col("n").isNotNull(), F.col("k")).otherwise(0).alias("found"),
         (F.col("k") * F.log10((F.coalesce("n", F.lit(0)) + 0.5) / F.lit(bottom))).alias("log"))
     sums = looked.groupBy("row").agg(F.sum("found").alias("found"), F.sum("log").alias("log"))
-    levels, many, shards = train(texts, table, total, distinct)
-    parts = levels.select("shard", "parts")
-    routed = _shard(shards, many, first.select("row", "text").mapInArrow(asked, "row long, b long, a long, c long, k long"))
-    routed = routed.join(F.broadcast(parts), "shard").withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")))
-    laid = levels.select("shard", "levels", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")).withColumnRenamed("shard", "to")
-    gains = routed.drop("parts").groupBy("shard", "part").cogroup(laid.groupBy("to", "part")).applyInArrow(
-        score_shard, "row long, model double").groupBy("row").agg(F.sum("model").alias("model"))
+    path = scratch_dir(spark, f"llm-lm-{uuid.uuid4().hex}")
+    shards = max(1, -(-total // SHARD_TOKENS))
+    place = {w: i + 1 for i, w in enumerate(vocabulary)}
+    most = SHARD_TOKENS // 4
+    splits = {place.get(bytes(r["word"]), r["key"]): -(-r["n"] // most) for r in table.filter(F.col("n") > most).collect() if bytes(r["word"]) != END}
+    numbers = spark.sparkContext.broadcast({w: i for i, w in enumerate(vocabulary)})
+    ends = table.filter(F.col("word") == F.lit(bytearray(END))).first()
+    numbered = spark.sparkContext.broadcast(np.concatenate([[ends["n"] if ends else 0], counts]).astype(np.int64))
+    levels = train(texts, table, numbers, len(vocabulary) + 1, splits, shards, path)
+    found = {r["shard"]: (r["file"], -(-r["tokens"] // (2 * SHARD_TOKENS))) for r in levels.select("shard", "file", "tokens").collect()}  # a row a million tokens
+    parts = {shard: n for shard, (_, n) in found.items()}
+    dealt = spark.createDataFrame([(s, p) for s, n in parts.items() for p in range(n)], "to long, part long")
+    side = shard_side(levels, table.filter(F.col("n") < share * total))
+    side = dealt.join(side, "to", "left") if any(n > 1 for n in parts.values()) else side.withColumn("part", F.lit(0).cast("long"))
+
+    def gained(key: tuple[pa.Scalar, ...], asked: pa.Table, others: pa.Table) -> pa.Table:
+        b, a, c, row = _unpacked(asked.column("asked"), 3, 1)
+        if not len(row):
+            return pa.table({"row": pa.array([], pa.int64()), "model": pa.array([], pa.float64())})
+        files, top = open_store(path)
+        with files.open_input_file(f"{top}/{found[key[0].as_py()][0]}") as source:
+            grams = sum(unpacked(source.read()), [])
+        trie, dense = build_shard(grams, others, numbered.value, splits, total, distinct)
+        rows, at = np.unique(row, return_inverse=True)
+        return pa.table({"row": rows, "model": np.bincount(at, shard_gains(trie, dense, b, a, c), minlength=len(rows))})
+
+    gains = asked_blocks(first.select("row", "text"), numbers, splits, shards, parts).groupBy("shard", "part").cogroup(
+        side.groupBy("to", "part")).applyInArrow(gained, "row long, model double").groupBy("row").agg(F.sum("model").alias("model"))
     gains = stored(gains, "lm-scores")
     whole = F.col("base") + F.coalesce("log", F.lit(0.0))
     return first.drop("text").join(sums, "row", "left").join(gains, "row", "left").select(

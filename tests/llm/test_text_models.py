@@ -391,3 +391,52 @@ def test_quality_counts_characters_with_plain_searches(spark):
         assert found[i].word_chars == sum(c not in blanks for c in text)
         assert found[i].n_symbols == sum(c in quality.SYMBOLS for c in text)
     assert found[3].text == "It goes on? Yes."
+
+
+# --- LM scoring: packed n-grams
+
+def test_packed_ngrams_take_few_bytes_and_round_trip():
+    """Blocks of n-grams give back their words and numbers, also rare words and empty columns, in a third of their plain bytes."""
+    from pricelake.llm.ngram_trie import packed, unpacked
+
+    rng = np.random.default_rng(9)
+    keys = np.sort(np.concatenate([-rng.integers(1, 1 << 62, 500), np.arange(30_000)]))
+    rank = np.minimum(rng.zipf(1.2, (3, 50_000)), 30_000) - 1
+    places = [np.where(rng.random(50_000) < 0.02, rng.integers(0, 500, 50_000), 500 + r) for r in rank]
+    places[0].sort()
+    row = (7 << 33) + rng.integers(0, 2000, 50_000)
+    data = packed(keys, places, [row])
+    words, numbers = unpacked(data)
+    assert all((w == keys[p]).all() for w, p in zip(words, places, strict=True)) and (numbers[0] == row).all()
+    assert len(data) < 4 * 8 * 50_000 / 3
+    none = np.zeros(0, np.int64)
+    words, numbers = unpacked(packed(none, [none, none], [none]))
+    assert [len(x) for x in words + numbers] == [0, 0, 0]
+
+
+def test_added_up_counts_rows_also_beyond_one_number():
+    from pricelake.llm.ngram_trie import added_up
+
+    rng = np.random.default_rng(10)
+    columns = [rng.integers(0, 6, 1000) for _ in range(3)]
+    n = rng.integers(1, 5, 1000)
+    expected = Counter()
+    for *row, k in zip(*columns, n, strict=True):
+        expected[tuple(map(int, row))] += int(k)
+    for top in (6, 1 << 40):  # as one number, and by columns
+        got, sums = added_up(columns, top, n)
+        assert list(zip(zip(*(x.tolist() for x in got), strict=True), sums.tolist(), strict=True)) == sorted(expected.items())
+        assert added_up(columns, top)[1].sum() == 1000
+
+
+def test_elias_fano_finds_among_many_with_the_same_high_bits():
+    """One bucket of very many numbers takes as many steps as its halves, not as its numbers."""
+    values = np.concatenate([np.arange(200_000), [1 << 50]])
+    coded = EliasFano.of(values)
+    steps = []
+    low_part = coded.low_part
+    coded.low_part = lambda at: steps.append(len(at)) or low_part(at)
+    ask = np.array([0, 5, 199_999, 200_000, 1 << 50, (1 << 50) + 1, -3])
+    assert coded.find(ask).tolist() == [0, 5, 199_999, -1, 200_000, -1, -1]
+    assert len(steps) < 40
+    assert (coded.every() == values).all()
