@@ -516,12 +516,12 @@ def shard_side(levels: DataFrame, rare_words: DataFrame) -> DataFrame:
 def build_shard(grams: list[np.ndarray], side: pa.Table, counts: np.ndarray, splits: dict[int, int], total: int, distinct: int) -> tuple[Trie, _Dense]:
     """The levels of one shard, of its trigrams (b, a, c, n) and its ``shard_side``; ``counts`` are those of the numbered words."""
     b, a, c, n = grams
-    begin, last, pair_n, last_n = (side.column(x).to_numpy(zero_copy_only=False) for x in ("b", "c", "n", "last"))
+    begin, last, pair_n, last_n = (side.column(x).fill_null(0).to_numpy() for x in ("b", "c", "n", "last"))  # with nulls, large keys would be rounded
     is_pair = np.asarray(side.column("b").is_valid())
-    begin, pair_n = begin[is_pair].astype(np.int64), pair_n[is_pair].astype(np.int64)
+    begin, pair_n = begin[is_pair], pair_n[is_pair]
     has = np.asarray(side.column("last").is_valid())
-    rare, rare_n = last[has].astype(np.int64), last_n[has].astype(np.int64)
-    last = last[is_pair].astype(np.int64)
+    rare, rare_n = last[has], last_n[has]
+    last = last[is_pair]
     dense = _Dense(len(counts), [b, a, c, begin, last])
     words, size = dense.words, len(dense.words)
     shared = np.isin(words, np.array(sorted(splits), np.int64))

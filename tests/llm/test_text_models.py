@@ -440,3 +440,16 @@ def test_elias_fano_finds_among_many_with_the_same_high_bits():
     assert coded.find(ask).tolist() == [0, 5, 199_999, -1, 200_000, -1, -1]
     assert len(steps) < 40
     assert (coded.every() == values).all()
+
+
+def test_lm_words_with_several_shards_may_be_rare(spark, monkeypatch):
+    """A word dealt to several shards need not be among the words sent to every task: its hash stays exact."""
+    from pricelake.llm import ngram_trie
+
+    rng = random.Random(14)
+    rows = [(i, " ".join(rng.choice("aaabcd") * rng.randrange(1, 3) for _ in range(30))) for i in range(80)]
+    got = []
+    for size, share in ((1_000_000, 1e-6), (200, 0.5)):
+        monkeypatch.setattr(ngram_trie, "SHARD_TOKENS", size)
+        got.append(sorted((r["doc_id"], r["score"]) for r in score_documents(frame(spark, rows), F.col("doc_id") % 5 != 1, share=share).collect()))
+    assert all(i == j and abs(x - y) < 1e-6 for (i, x), (j, y) in zip(*got, strict=True))
