@@ -111,3 +111,30 @@ def test_products_beyond_64_bits_are_exact(spark, monkeypatch):
     monkeypatch.setattr(col, "count_phrases", lambda *a: (counts, total))
     (row,) = col.collocations(spark.createDataFrame([], "text string, lang string")).collect()
     assert row["score"] == 1000 * (big - 12) * (10**13 + 3) // ((big + 7) * (big - 11))
+
+
+def test_extensions_travel_as_blocks_not_as_rows(spark, monkeypatch):
+    rows, kept = {}, col.stored
+
+    def counted(df, name, *more):
+        out = kept(df, name, *more)
+        rows[name] = out.count()
+        return out
+
+    monkeypatch.setattr(col, "stored", counted)
+    monkeypatch.setattr(col, "BUCKETS", 3, raising=False)
+    rng = random.Random(5)
+    texts = [(" ".join(f"w{rng.randrange(80)}" for _ in range(400)), "en") for _ in range(40)]
+    docs = spark.createDataFrame(texts, "text string, lang string").repartition(2)
+    counts, _ = col.count_phrases(docs, 6, 3)
+    f, _ = plain_counts(texts, 3)
+    assert by_row(map(tuple, counts.collect())) == by_row((lang, len(w), " ".join(w), a) for (lang, w), a in f.items() if a >= 6)
+    shards = 2
+    assert sum(len(w) == 2 for _, w in f) > 5000  # pairs, of which each shard has most
+    assert rows["fm-shards"] <= shards * 4 and rows["grown2"] <= shards * 4 and rows["grown3"] <= shards * 4
+
+
+def test_packed_pairs_come_back():
+    part, word, n = (np.array(x, np.int64) for x in ([2, 2, 2, 5, 9, 9], [0, 7, 1 << 40, 3, 4, 5], [1, 1 << 33, 2, 1, 1, 3]))
+    assert [x.tolist() for x in col.unpack_pairs(col.pack_pairs(part, word, n))] == [part.tolist(), word.tolist(), n.tolist()]
+    assert [len(x) for x in col.unpack_pairs(col.pack_pairs(*[part[:0]] * 3))] == [0, 0, 0]
