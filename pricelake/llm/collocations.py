@@ -116,14 +116,18 @@ class _Shard:
     def close(self, store, folder: str, depth: int, lang: str, buckets: int) -> pa.Table:
         """Write the index file; the rows of ``WORDS``."""
         ids = np.concatenate(self.runs)
+        words, size = list(self.ids)[1:], np.bincount(ids, minlength=len(self.ids))
+        often = np.argsort(-size[1:], kind="stable")  # frequent words get small numbers, which take fewer bytes
+        number = np.zeros(len(size), np.int32)
+        number[often + 1] = np.arange(1, len(size))
+        ids, words = number[ids], [words[i] for i in often.tolist()]
         forward, backward = both_transforms(ids, depth)
         shard = uuid.uuid4().int >> 65  # of this attempt alone
-        table = pa.table({"forward": forward, "backward": backward})
+        table = pa.table({"forward": [_pack(forward)], "backward": [_pack(backward)]})
         with store.open_output_stream(f"{folder}/{shard:016x}.arrow") as out:
-            with pa.ipc.new_file(out, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+            with pa.ipc.new_file(out, table.schema) as writer:
                 writer.write_table(table)
         begin, size = word_intervals(ids, len(self.ids))
-        words = list(self.ids)[1:]
         order = np.array(sorted(range(len(words)), key=words.__getitem__), np.int64)
         bucket = np.fromiter((zlib.crc32(words[i]) % buckets for i in order.tolist()), np.int64, len(words))
         by_bucket, bucket = stable_order(bucket)
@@ -287,15 +291,20 @@ def grown(own: DataFrame, answers: DataFrame, path: str, size: int, buckets: int
         with files.open_input_file(f"{top}/{shard:016x}.arrow") as source:
             index = pa.ipc.open_file(source).read_all()
 
+        def transform(to_right: bool) -> np.ndarray:
+            return _unpack(index.column("backward" if to_right else "forward")[0].as_py())[0].astype(np.int32)
+
         def longer(phrases: list[np.ndarray], words: list[np.ndarray], k: int) -> list[np.ndarray]:
-            return extensions(index.column("backward" if k % 2 == 0 else "forward").to_numpy(), phrases, words, k % 2 == 0, buckets)
+            return extensions(transform(k % 2 == 0), phrases, words, k % 2 == 0, buckets)
 
         right, had = right.sort_by("bucket"), _unpack(left.column("data")[0].as_py())
         if size == 2:
             bucket, sym, begin = had
             at, ids = answered(bucket, right, buckets)
-            lo, n = begin[sym[at] - 1], np.diff(np.append(begin, index.num_rows))[sym[at] - 1]
-            words, phrases = [sym[at], ids], [ids, lo, lo, n]
+            by_sym = np.argsort(sym[at])  # words in order are packed as steps
+            sym, ids = sym[at][by_sym], ids[by_sym]
+            lo, n = begin[sym - 1], np.diff(np.append(begin, len(transform(True))))[sym - 1]
+            words, phrases = [sym, ids], [ids, lo, lo, n]
         else:
             words = _unpack(left.column("words")[0].as_py())
             bucket, _, _, *places = longer(had, words, size - 1)
