@@ -5,10 +5,13 @@ model: all words, bigrams and trigrams, down to those seen once. The model
 grows with the corpus, so it lies in shards. A trigram (a, b, c) belongs
 to the shard of its middle word b, which holds all that a token c after a, b
 needs: the trigrams around b, the bigrams that begin with b and the counts of their last words.
-A word of many tokens has several shards, by a hash of a; each has all its bigrams.
-Its training trigrams, added up and packed, are a file in the shared checkpoint folder. Document tokens with the two words
-before them are packed, too, and routed to their shard, whose task builds the levels and scores them; a shard asked for
-often is dealt to several tasks, by row. Neither the driver nor a broadcast holds a level.
+A word of many tokens has several shards, by a hash of a; its bigrams are added up on their own, and each of its shards reads those it is asked for.
+
+Texts are split into tokens once. About a million tokens make a block, a file in the shared checkpoint folder with its words and, packed,
+their numbers in it; whatever comes later reads blocks. A block sends each distinct trigram once, with its training count and the counts
+of its rare words, packed, to its shard, whose task builds the levels from all blocks' counts, looks each distinct trigram up and
+gives each block its answers, as whole quantisation units, in the block's order. The block adds them up by text.
+Neither the driver nor a broadcast holds a level.
 
 In a shard words are numbered by their place among its word keys (numbers of the words sent to every task, 63-bit hashes of rare ones).
 Level 1 is the words. In level 2 the pairs (context, word) are one
@@ -19,10 +22,9 @@ back-off weights are quantised to 16 bits. A successor is found by its high bits
 
 Smoothing is interpolated absolute discounting over the base model
 (c + 0.5) / (N + 0.5 (V + 1)), so every word, also an unknown one, has a probability.
-The score is the base score plus what each token's context changes, so shards
-need no counts of words unseen after their context. For the base score the words with a share of
-``share`` or more of all tokens (at most 1/share) are broadcast with their counts; the other
-occurrences are joined with the whole count table. The share changes no result.
+The score is the base score plus what each token's context changes. The words with a share of
+``share`` or more of all tokens (at most 1/share) are broadcast with their counts; a block gets those of its other
+words from the whole count table. The share changes no result.
 
 Defined results: a null or empty text is one end token; repeated rows count as
 documents of their own and repeat; a row whose id is null is scored, and its fold is the caller's.
@@ -30,17 +32,16 @@ documents of their own and repeat; a row whose id is null is scored, and its fol
 
 from __future__ import annotations
 
-import hashlib
 import io
-import itertools
 import os
 import tempfile
 import uuid
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,10 +58,12 @@ SHARE = 1e-6
 DISCOUNT = 0.75
 #: Steps of log10 probability per quantisation unit.
 STEPS = 4096
-#: Counts a task holds before it hands them on.
+#: Tokens of a block; words a task counts before it hands them on are a quarter.
 FLUSH = 1_000_000
-#: Training tokens of a shard.
+#: Tokens of a shard.
 SHARD_TOKENS = 1_000_000
+#: Numbers whose low bits are packed at once.
+CHUNK = 1 << 16
 
 
 class EliasFano:
@@ -86,12 +89,19 @@ class EliasFano:
         n = len(values)
         top = int(values[-1]) + 1 if n else 1
         low_bits = max(0, (top // max(1, n)).bit_length() - 1)
-        bits = (values[:, None] >> np.arange(low_bits)) & 1 if low_bits else np.zeros((n, 0), np.int64)
-        low = np.packbits(bits.astype(np.uint8).reshape(-1), bitorder="little")
+        low = EliasFano._low(values, low_bits)
         high = np.zeros(n + (top >> low_bits) + 2, dtype=np.uint8)
         high[(values >> low_bits) + np.arange(n)] = 1
         return n, low_bits, np.concatenate([low, np.zeros(9, np.uint8)]), np.packbits(high, bitorder="little")
 
+    @staticmethod
+    def _low(values: np.ndarray, low_bits: int) -> np.ndarray:
+        out = [np.zeros(0, np.uint8)]
+        for at in range(0, len(values) if low_bits else 0, CHUNK):  # a chunk of so many numbers fills whole bytes
+            octets = np.ascontiguousarray(values[at: at + CHUNK], "<i8").view(np.uint8).reshape(-1, 8)
+            out.append(np.packbits(np.unpackbits(octets, axis=1, count=low_bits, bitorder="little"), bitorder="little"))
+        return np.concatenate(out)
+
     def low_part(self, at: np.ndarray) -> np.ndarray:
         bit = at * self.low_bits
         byte, shift = bit >> 3, bit & 7
@@ -149,36 +159,45 @@ class Trie:
         self.width = int(levels["width"][0])
         self.log = {k: levels[k] for k in ("pair_log", "pair_back", "word_back", "triple_log")}
 
-    def _log(self, name: str, at: np.ndarray) -> np.ndarray:
-        return self.log[name][at].astype(float) / -STEPS
-
     def score(self, word: np.ndarray, before: np.ndarray, head: np.ndarray) -> np.ndarray:
         """log10 probability of each token; rare words (-1) lack their base part.
 
         ``before`` is the token before (the end token at a text's head), ``head`` marks first tokens.
         """
-        pair = self.pairs.find(np.where((word >= 0) & (before >= 0), before * self.words + word, -1))
+        pair = self.pair(before, word)
         prior = np.concatenate([[-1], pair[:-1]])
         prior[head] = -1
+        units, plain = self.units(word, before, pair, prior)
+        out = units / -STEPS
+        out[plain] += self.unigram[word[plain]]
+        return out
+
+    def pair(self, before: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """Places of the bigrams, -1 where there is none."""
+        return self.pairs.find(np.where((word >= 0) & (before >= 0), before * self.words + word, -1))
+
+    def units(self, word: np.ndarray, before: np.ndarray, pair: np.ndarray, prior: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(quantisation units of -log10, whether the word's base probability comes on top) of each token.
+
+        ``pair`` is the place of (before, word), ``prior`` that of the bigram before it.
+        """
         triple = np.full(len(word), -1, dtype=np.int64)
         both = np.flatnonzero((pair >= 0) & (prior >= 0))
         if len(both):
             relative = pair[both] - self.pointers.every()[before[both]]
             triple[both] = self.triples.find(prior[both] * self.width + relative)
-        out = np.zeros(len(word))
+        out = np.zeros(len(word), dtype=np.int64)
         has = triple >= 0
-        out[has] = self._log("triple_log", triple[has])
+        out[has] = self.log["triple_log"][triple[has]]
         rest = ~has
         back = rest & (prior >= 0)
-        out[back] += self._log("pair_back", prior[back])
+        out[back] += self.log["pair_back"][prior[back]]
         two = rest & (pair >= 0)
-        out[two] += self._log("pair_log", pair[two])
+        out[two] += self.log["pair_log"][pair[two]]
         one = rest & (pair < 0)
         known = one & (before >= 0)
-        out[known] += self._log("word_back", before[known])
-        plain = one & (word >= 0)
-        out[plain] += self.unigram[word[plain]]
-        return out
+        out[known] += self.log["word_back"][before[known]]
+        return out, one & (word >= 0)
 
 
 def _mapped(file: str) -> dict[str, np.ndarray]:
@@ -220,13 +239,19 @@ def open_trie(levels: bytes) -> Trie:
 
 
 def build_levels(counts: np.ndarray, pairs: np.ndarray, pair_counts: np.ndarray, triples: np.ndarray, triple_counts: np.ndarray,
-                 total: int, distinct: int, discount: float = DISCOUNT) -> bytes:
-    """The level file. ``pairs`` are (context * words + word), ``triples`` (pair index * words + word), both sorted."""
+                 total: int, distinct: int, discount: float = DISCOUNT, successors: np.ndarray | None = None) -> bytes:
+    """The level file. ``pairs`` are (context * words + word), ``triples`` (pair index * words + word), both sorted.
+
+    ``successors`` is not 0 for words with only some of their bigrams here: the number of all.
+    """
     words = len(counts)
     unigram = np.log10((counts + 0.5) / (total + 0.5 * (distinct + 1)))
     context, word = pairs // max(1, words), pairs % max(1, words)
     share = (pair_counts - discount) / counts[context]
     rest = 1 - np.bincount(context, share, minlength=words)
+    if successors is not None:
+        some = np.flatnonzero(successors)
+        rest[some] = discount * successors[some] / counts[some]
     rest = np.clip(rest, 1e-6, 1)
     smooth = share + rest[context] * 10 ** unigram[word]
     pointers = np.searchsorted(context, np.arange(words + 1))
@@ -251,75 +276,194 @@ def tokens(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
-#: Stands for the end token in ``marked``; no UTF-8 text holds the byte 0xFF.
-MARK = b"\xff"
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(the texts' words in order, A-Z lower-cased, number of words of each text)."""
+    found = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words, size = found.flatten(), found.value_lengths().to_numpy()
+    some = pc.not_equal(pc.binary_length(words), 0)  # blanks at a text's ends give empty ones
+    owner = np.repeat(np.arange(len(size)), size)[some.to_numpy(zero_copy_only=False)]
+    return words.filter(some), np.bincount(owner, minlength=len(size))
 
 
-def marked(texts: list[str | None]) -> list[bytes]:
-    """The texts' words in order, a ``MARK`` after each text."""
-    return (b" \xff ".join([(t or "").encode() for t in texts]).lower() + b" \xff").split()
+def _zipped(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
 
 
-def word_counts(texts: DataFrame) -> DataFrame:
-    """(word, key, n) over all texts, the end token included; tasks add up before the shuffle."""
+def _unzipped(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-
-        def flushed() -> pa.RecordBatch:
-            keys = pa.array(map(word_key, seen), pa.int64())
-            out = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), keys, pa.array(list(seen.values()), pa.int64())], names=["word", "key", "n"])
-            seen.clear()
-            return out
-
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                seen.update(tokens(text))
-                if len(seen) > FLUSH // 4:
-                    yield flushed()
-            seen[END] += batch.num_rows
-        if seen:
-            yield flushed()
 
-    return texts.mapInArrow(count, "word binary, key long, n long").groupBy("word", "key").agg(F.sum("n").alias("n"))
+class _Texts:
+    """Tokens of some texts."""
 
+    def __init__(self):
+        self.words: list[pa.Array] = []
+        self.docs: list[pa.RecordBatch] = []
+        self.size = 0
 
-def word_key(word: bytes) -> int:
-    """A rare word's 63-bit hash, as a negative number."""
-    return ~(int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little") >> 1)
-
+    def add(self, keys: pa.Array, texts: pa.Array, learn: pa.Array) -> None:
+        words, size = words_of(texts)
+        self.words.append(words)
+        self.docs.append(pa.RecordBatch.from_arrays([keys, learn, pa.array(size + 1)], names=["doc_id", "learn", "size"]))
+        self.size += len(words) + len(size)
 
-class _Numbered:
-    """Tokens of some texts by local numbers; ``keys`` has their words in the numbering of all tasks:
-    0 is the end token, the words sent to every task follow, and a rare word has its ``word_key``."""
+    def file(self) -> bytes:
+        """The block's file: rows, words, how often each occurs in learned texts and in all, tokens.
 
-    def __init__(self, number: dict[bytes, int]):
-        self.number = number
-        self.ids: defaultdict[bytes, int] = defaultdict()
-        self.ids.default_factory = self.ids.__len__
-        self.ids[MARK]  # noqa: B018 - takes number 0
-        self.held: list[tuple] = []
-        self.size = 0
-
-    def add(self, texts: list[str | None]) -> None:
-        words = marked(texts)
-        c = np.fromiter(map(self.ids.__getitem__, words), np.int64, len(words))
-        self.held.append((c, np.diff(np.flatnonzero(c == 0), prepend=-1)))
-        self.size += len(c)
+        Words have numbers: 0 is the end token, then the most frequent come first.
+        """
+        docs, words = pa.Table.from_batches(self.docs), pa.chunked_array(self.words).combine_chunks().dictionary_encode()
+        size = docs.column("size").to_numpy()
+        inner = np.ones(self.size, bool)
+        inner[np.cumsum(size) - 1] = False
+        local, kinds = words.indices.to_numpy(), words.dictionary.cast(pa.binary())
+        order = np.argsort(-np.bincount(local, minlength=len(kinds)), kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(1, len(order) + 1)
+        c = np.zeros(self.size, np.int64)
+        c[inner] = place[local]
+        learned, n = (np.bincount(x, minlength=len(order) + 1) for x in (c[_each(docs)[0]], c))
+        sink = io.BytesIO()
+        with pa.ipc.new_stream(sink, docs.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_table(docs)
+        none = np.zeros(0, np.int64)
+        parts = [sink.getvalue(), _zipped(b" ".join([END, *kinds.take(pa.array(order)).to_pylist()])), packed(none, [], [learned, n]), packed(none, [], [c])]
+        return b"".join([len(x).to_bytes(8, "little") + x for x in parts])
+
+
+def _each(docs: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """(whether learned, row's place) of each token of a block's rows."""
+    size = docs.column("size").to_numpy()
+    return np.repeat(docs.column("learn").to_numpy(), size), np.repeat(np.arange(len(size)), size)
+
+
+class _Block:
+    """A block read back; ``counts`` and ``keys`` of its words are there once ``with_counts`` has written them."""
+
+    def __init__(self, path: str, name: int, counts: bool = False):
+        files, top = open_store(path)
+        with files.open_input_file(f"{top}/{name}") as source:
+            raw = source.read()
+        parts, at = [], 0
+        while at < len(raw):
+            size = int.from_bytes(raw[at: at + 8], "little")
+            parts.append(raw[at + 8: at + 8 + size])
+            at += 8 + size
+        self.docs = pa.ipc.open_stream(parts[0]).read_all()
+        self.words = pc.split_pattern(pa.array([_unzipped(parts[1])], pa.large_binary()), pattern=b" ").flatten()
+        self.learned, self.n = unpacked(parts[2])[1]
+        self._tokens = parts[3]
+        if counts:
+            with files.open_input_file(f"{top}/{name}-counts") as source:
+                self.counts, keys = unpacked(source.read())[1]
+            self.keys = np.where(keys & 1, ~(keys >> 1), keys >> 1)
+
+    def numbers(self, vocabulary: pa.Array) -> np.ndarray:
+        """Places of the words in the numbering of all tasks: 0 is the end token, the words sent to every task follow, -1 is a rare one."""
+        out = pc.fill_null(pc.index_in(self.words, value_set=vocabulary), -2).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+        out[0] = 0
+        return out
 
     def contexts(self) -> tuple[np.ndarray, ...]:
-        """(keys in order, text's place, middle word b, first word a, last word c) of each token c, as places in the keys; at a head b and a are the end token."""
-        number = self.number
-        keys = np.fromiter((0 if w == MARK else number[w] + 1 if w in number else word_key(w) for w in self.ids), np.int64, len(self.ids))
+        """(keys in order, places of the words in them, middle word b, first word a, last word c) of each token c, as places in the keys; at a head b and a are the end token."""
+        keys = self.keys
         order = np.argsort(keys)
         place = np.empty(len(keys), np.int64)
         place[order] = np.arange(len(keys))
-        c, size = (np.concatenate(x) for x in zip(*self.held, strict=True))
-        c, start = place[c], np.cumsum(size) - size
-        b = np.concatenate([[place[0]], c[:-1]])
-        a = np.concatenate([[place[0]], b[:-1]])
+        c = place[unpacked(self._tokens)[1][0]]
+        size = self.docs.column("size").to_numpy()
+        start = np.cumsum(size) - size
+        b = np.concatenate([place[:1], c[:-1]])
+        a = np.concatenate([place[:1], b[:-1]])
         b[start], a[start] = place[0], place[0]
-        return keys[order], np.repeat(np.arange(len(size)), size), b, a, c
+        return keys[order], place, b, a, c
+
+
+def text_blocks(rows: DataFrame, path: str) -> DataFrame:
+    """(block, tokens) of the files in the shared folder ``path`` that hold the ``rows`` (doc_id, text, learn)."""
+    store, folder = open_store(path)
+    store.create_dir(folder, recursive=True)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, top = open_store(path)
+
+        def flushed(held: _Texts) -> pa.RecordBatch:
+            name = uuid.uuid4().int >> 65  # of this attempt alone
+            with files.open_output_stream(f"{top}/{name}") as out:
+                out.write(held.file())
+            return pa.RecordBatch.from_arrays([pa.array([name], pa.int64()), pa.array([held.size], pa.int64())], names=["block", "tokens"])
+
+        held = _Texts()
+        for batch in pieces(batches, "text"):
+            held.add(*batch.columns)
+            if held.size > FLUSH:
+                yield flushed(held)
+                held = _Texts()
+        if held.size:
+            yield flushed(held)
+
+    return stored(rows.mapInArrow(write, "block long, tokens long"), "lm-blocks")
+
+
+def word_counts(blocks: DataFrame, path: str) -> DataFrame:
+    """(word, n, uses) of the blocks, the end token included: how often in learned texts, and in all; tasks add up before the shuffle."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        size = 0
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                block = _Block(path, name)
+                held.append(pa.table({"word": block.words, "n": block.learned, "uses": block.n}))
+                size += len(block.n)
+                if size > FLUSH:
+                    yield _summed(held)
+                    held, size = [], 0
+        if held:
+            yield _summed(held)
+
+    return blocks.mapInArrow(count, "word binary, n long, uses long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("uses").alias("uses"))
+
+
+def _summed(held: list[pa.Table]) -> pa.RecordBatch:
+    whole = pa.concat_tables(held).combine_chunks()
+    words = whole.column("word").combine_chunks().dictionary_encode()
+    sums = [pa.array(np.bincount(words.indices.to_numpy(), whole.column(x).to_numpy()).astype(np.int64)) for x in ("n", "uses")]  # exact below 2 ** 53
+    return pa.RecordBatch.from_arrays([words.dictionary.cast(pa.binary()), *sums], names=["word", "n", "uses"])
+
+
+def with_counts(blocks: DataFrame, rare_words: DataFrame, number, counts, path: str) -> DataFrame:
+    """(block) once a file beside each block holds the counts and keys of its words: those sent to every task, and the others from ``rare_words`` (word, n, id)."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                block = _Block(path, name)
+                rare = np.flatnonzero(block.numbers(number.value) < 0)
+                words = block.words.take(pa.array(rare)).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rare), name), pa.int64()), pa.array(rare, pa.int32()), words],
+                                                 names=["block", "place", "word"])
+
+    def write(key: tuple[pa.Scalar, ...], found: pa.Table) -> pa.Table:
+        name = key[0].as_py()
+        keys = _Block(path, name).numbers(number.value)
+        n = np.where(keys < 0, 0, counts.value[keys])
+        place, sums, ids = (found.column(x).to_numpy() for x in ("place", "n", "id"))
+        real = place >= 0
+        n[place[real]], keys[place[real]] = sums[real], ~ids[real]
+        files, top = open_store(path)
+        with files.open_output_stream(f"{top}/{name}-counts") as out:  # an attempt writes the same bytes
+            out.write(packed(np.zeros(0, np.int64), [], [n, np.where(keys < 0, ~keys << 1 | 1, keys << 1)]))
+        return pa.table({"block": pa.array([name], pa.int64())})
+
+    some = blocks.mapInArrow(ask, "block long, place int, word binary").join(rare_words.hint("merge"), "word").select("block", "place", "n", "id")
+    every = blocks.select("block", F.lit(-1).alias("place"), *[F.lit(0).cast("long").alias(x) for x in ("n", "id")])  # also blocks without rare words
+    return stored(some.unionByName(every).groupBy("block").applyInArrow(write, "block long"), "lm-counted")
+
+
+def distinct_of(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    return x[np.concatenate([np.ones(min(1, len(x)), bool), x[1:] != x[:-1]])]
 
 
 def added_up(columns: list[np.ndarray], top: int, n: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
@@ -346,39 +490,54 @@ def added_up(columns: list[np.ndarray], top: int, n: np.ndarray | None = None) -
     return out, sums
 
 
+def rare_used(keys: np.ndarray, words: list[np.ndarray]) -> np.ndarray:
+    """Places of the rare words among ``words``, in order."""
+    seldom = np.searchsorted(keys, 0)
+    return distinct_of(np.concatenate([np.zeros(0, np.int64), *(x[x < seldom] for x in words)]))
+
+
 def packed(keys: np.ndarray, words: list[np.ndarray], numbers: list[np.ndarray]) -> bytes:
     """Equally long columns as bytes: ``words`` are places in ``keys`` (in order), ``numbers`` have no sign; the first column of each is best in order.
 
     Rare words are written once; a word is its place among them, or its number after them.
     """
-    used = np.zeros(len(keys), bool)
-    used[: np.searchsorted(keys, 0)] = True
-    some = np.zeros(len(keys), bool)
+    rare, seldom, codes = rare_used(keys, words), np.searchsorted(keys, 0), []
+    place = np.empty(seldom, np.int64)
+    place[rare] = np.arange(len(rare))
     for x in words:
-        some[x] = True
-    rare = np.flatnonzero(used & some)
-    code = keys + len(rare)
-    code[rare] = np.arange(len(rare))
-    head, body = [len(numbers[0]), len(rare), len(words), len(numbers)], [keys[rare].tobytes()]
-    for x in [*(code[w] for w in words), *numbers]:
+        code, some = keys[x] + len(rare), np.flatnonzero(x < seldom)
+        code[some] = place[x[some]]
+        codes.append(code)
+    seldom = keys[rare]
+    head, body = [len(numbers[0]), len(rare), len(words), len(numbers)], []
+    if len(rare):
+        step = np.diff(seldom, prepend=seldom[:1]).astype("<i8")
+        width = max(1, (int(step.max()).bit_length() + 7) // 8)
+        head += [int(seldom[0]), width]
+        body.append(step.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes())
+    for x in [*codes, *numbers]:
         step = np.diff(x, prepend=x[:1])
         least, down = (int(x[0]), True) if len(x) and (step >= 0).all() else (0, False)
         x = np.ascontiguousarray(step if down else x).astype("<i8")
         width = max(1, (int(x.max(initial=0)).bit_length() + 7) // 8)
         head += [int(down), least, width]
         body.append(x.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes())  # byte by byte: high bytes are nearly all alike
-    whole = b"".join([np.array(head, "<i8").tobytes(), *body])
-    return len(whole).to_bytes(8, "little") + pa.compress(whole, codec="zstd", asbytes=True)
+    return _zipped(b"".join([np.array(head, "<i8").tobytes(), *body]))
 
 
 def unpacked(data: bytes) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """(columns of word keys, columns of numbers) of ``packed``."""
-    whole = np.frombuffer(pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True), np.uint8)
+    whole = np.frombuffer(_unzipped(data), np.uint8)
     n, rare, words, numbers = whole[:32].view("<i8").tolist()
-    heads = whole[32: 32 + 24 * (words + numbers)].view("<i8").reshape(-1, 3).tolist()
-    at = 32 + 24 * (words + numbers)
-    keys = whole[at: at + 8 * rare].view("<i8")
-    at += 8 * rare
+    at = 48 if rare else 32
+    heads = whole[at: at + 24 * (words + numbers)].view("<i8").reshape(-1, 3).tolist()
+    keys, at = np.zeros(rare, np.int64), at + 24 * (words + numbers)
+    if rare:
+        begin, width = whole[32: 48].view("<i8").tolist()
+        step = np.zeros((rare, 8), np.uint8)
+        step[:, :width] = whole[at: at + rare * width].reshape(width, rare).T
+        keys = begin + np.cumsum(step.view("<i8").reshape(-1))
+        at += rare * width
     out = []
     for down, least, width in heads:
         x = np.zeros((n, 8), np.uint8)
@@ -394,10 +553,20 @@ def unpacked(data: bytes) -> tuple[list[np.ndarray], list[np.ndarray]]:
     return out[:words], out[words:]
 
 
-def _unpacked(column: pa.ChunkedArray, words: int, numbers: int) -> list[np.ndarray]:
-    """All columns of several ``packed``, one after another."""
-    parts = [sum(unpacked(x.as_py()), []) for x in column]
-    return [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else [np.zeros(0, np.int64)] * (words + numbers)
+def ranked(columns: list[np.ndarray], top: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """(distinct rows, in order, of equally long columns of numbers below ``top``; the place of each row among them)."""
+    code, limit = columns[0], top
+    for x in columns[1:]:
+        if limit > (1 << 63) // max(1, top):
+            code = np.unique(code, return_inverse=True)[1]
+            limit = len(code)
+        code, limit = code * top + x, limit * top
+    order, place = np.argsort(code), np.empty(len(code), np.int64)
+    code = code[order]
+    new = np.concatenate([np.ones(min(1, len(code)), bool), code[1:] != code[:-1]])
+    place[order] = np.cumsum(new) - 1
+    some = order[new]
+    return [x[some] for x in columns], place
 
 
 def _hash(x: np.ndarray) -> np.ndarray:
@@ -410,7 +579,10 @@ def _hash(x: np.ndarray) -> np.ndarray:
 
 def _shard(keys: np.ndarray, b: np.ndarray, a: np.ndarray, splits: dict[int, int], shards: int) -> np.ndarray:
     """Shard of each (b, a), places in ``keys``: by b, and by a too for the words with ``splits``."""
-    mixed, many = _hash(keys), np.fromiter((splits.get(k, 1) for k in keys.tolist()), np.int64, len(keys)).astype(np.uint64)
+    mixed, many = _hash(keys), np.ones(len(keys), np.uint64)
+    split = np.array(sorted(splits), np.int64)
+    at = np.minimum(np.searchsorted(keys, split), len(keys) - 1)
+    many[at[keys[at] == split]] = np.array([splits[k] for k in split[keys[at] == split].tolist()], np.uint64)
     out = (_hash(mixed) % np.uint64(shards)).astype(np.int64)[b]
     salted = np.flatnonzero((many > 1)[b])
     out[salted] = (_hash(mixed[b[salted]] + mixed[a[salted]] % many[b[salted]]) % np.uint64(shards)).astype(np.int64)
@@ -418,36 +590,13 @@ def _shard(keys: np.ndarray, b: np.ndarray, a: np.ndarray, splits: dict[int, int
 
 
 def _by_shard(shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(shard, kind="stable")
-    found, begin = np.unique(shard[order], return_index=True)
-    for one, rows in zip(found.tolist(), np.split(order, begin[1:]), strict=True):
+    order = np.argsort(shard.astype(np.int16) if len(shard) and shard.max() < 1 << 15 else shard, kind="stable")
+    found = shard[order]
+    begin = np.flatnonzero(np.concatenate([np.ones(min(1, len(found)), bool), found[1:] != found[:-1]]))
+    for one, rows in zip(found[begin].tolist(), np.split(order, begin[1:]), strict=len(order) > 0):
         yield one, rows
 
 
-def trigram_blocks(texts: DataFrame, number, splits: dict[int, int], shards: int) -> DataFrame:
-    """(shard, grams) of every trigram (b, a, c, n) of the texts; tasks add up before the shuffle."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flushed(held: _Numbered) -> pa.RecordBatch:
-            keys, _, *columns = held.contexts()
-            (b, a, c), n = added_up(columns, len(keys))
-            rows = [(one, packed(keys, [b[at], a[at], c[at]], [n[at]])) for one, at in _by_shard(_shard(keys, b, a, splits, shards))]
-            ids, grams = zip(*rows, strict=True)
-            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(grams, pa.binary())], names=["shard", "grams"])
-
-        known = number.value
-        held = _Numbered(known)
-        for batch in pieces(batches, "text"):
-            held.add(batch.column(0).to_pylist())
-            if held.size > FLUSH:
-                yield flushed(held)
-                held = _Numbered(known)
-        if held.size:
-            yield flushed(held)
-
-    return texts.mapInArrow(count, "shard long, grams binary")
-
-
 class _Dense:
     """Places of some word keys in their order: numbered words by a table, rare ones by search."""
 
@@ -455,7 +604,7 @@ class _Dense:
         some = np.zeros(known, bool)
         for x in columns:
             some[x[x >= 0]] = True
-        rare = np.unique(np.concatenate([np.unique(x[x < 0]) for x in columns]))
+        rare = distinct_of(np.concatenate([distinct_of(x[x < 0]) for x in columns]))
         self.rare, top = rare, np.flatnonzero(some)
         self.place = np.full(known, -1, np.int64)
         self.place[top] = len(rare) + np.arange(len(top))
@@ -471,71 +620,93 @@ class _Dense:
         return out
 
 
-def train(texts: DataFrame, table: DataFrame, number, known: int, splits: dict[int, int], shards: int, path: str) -> DataFrame:
-    """(shard, file, tokens, rare, pairs) of every shard of the training ``texts`` (text).
-
-    Its trigrams, added up, lie in the shared folder ``path``; ``rare`` are the rare words asked for there, ``pairs`` the bigrams (b, c, n) of the words
-    with ``splits`` as far as they are in this shard.
-    """
-    store, folder = open_store(path)
-    store.create_dir(folder, recursive=True)
+def split_pairs(blocks: DataFrame, splits: dict[int, int], known: int, path: str) -> dict[int, tuple[int, list[str]]]:
+    """Of each word b with ``splits``: the number of its bigrams (b, c) in learned texts, and the files with their last words c and counts."""
     split = np.array(sorted(splits), np.int64)
+    buckets = {b: -(-n // 16) for b, n in splits.items()}
 
-    def merge(key: tuple[pa.Scalar, ...], blocks: pa.Table) -> pa.Table:
-        b, a, c, n = _unpacked(blocks.column("grams"), 3, 1)
-        dense = _Dense(known, [b, a, c])
-        size = len(dense.words)
-        (b, a, c), n = added_up([dense.of(x) for x in (b, a, c)], size, n)
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                block = _Block(path, name, counts=True)
+                keys, _, b, _, c = block.contexts()
+                some = np.flatnonzero(_each(block.docs)[0] & np.isin(keys, split)[b])
+                (b, c), n = added_up([b[some], c[some]], len(keys))
+                mixed = _hash(keys)[c]
+                rows = []
+                for one, at in _by_shard(b):
+                    word = int(keys[one])
+                    for bucket, part in _by_shard((mixed[at] % np.uint64(buckets[word])).astype(np.int64)):
+                        rows.append((word, bucket, packed(keys, [c[at[part]]], [n[at[part]]])))
+                words, places, pairs = zip(*rows, strict=True) if rows else ((), (), ())
+                yield pa.RecordBatch.from_arrays([pa.array(words, pa.int64()), pa.array(places, pa.int64()), pa.array(pairs, pa.binary())],
+                                                 names=["b", "bucket", "pairs"])
+
+    def merge(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        parts = [unpacked(x.as_py()) for x in rows.column("pairs")]
+        c, n = np.concatenate([words[0] for words, _ in parts]), np.concatenate([numbers[0] for _, numbers in parts])
+        dense = _Dense(known, [c])
+        (c,), n = added_up([dense.of(c)], len(dense.words), n)
         files, top = open_store(path)
-        name = uuid.uuid4().hex  # of this attempt alone
+        name = f"pairs-{uuid.uuid4().hex}"  # of this attempt alone
         with files.open_output_stream(f"{top}/{name}") as out:
-            out.write(packed(dense.words, [b, a, c], [n]))
-        rare = np.unique(c[c < len(dense.rare)])
-        shared = np.isin(dense.words, split)[b]
-        (first, last), sums = added_up([b[shared], c[shared]], size, n[shared])
-        lists = [pa.array([dense.words[rare]], pa.list_(pa.int64())),
-                 *[pa.array([x], pa.list_(pa.int64())) for x in (dense.words[first], dense.words[last], sums)]]
-        return pa.Table.from_arrays([pa.array([key[0].as_py()], pa.int64()), pa.array([name]), pa.array([int(n.sum())], pa.int64()), *lists],
-                                    names=["shard", "file", "tokens", "rare", "b", "c", "n"])
-
-    return stored(trigram_blocks(texts, number, splits, shards).groupBy("shard").applyInArrow(
-        merge, "shard long, file string, tokens long, rare array<long>, b array<long>, c array<long>, n array<long>"), "lm-shards")
-
-
-def shard_side(levels: DataFrame, rare_words: DataFrame) -> DataFrame:
-    """(to, b, c, n, last): what a shard needs of others. The counts ``last`` of its rare words (b is null), and all bigrams of its words with splits."""
-    counts = rare_words.select(F.col("key").alias("c"), F.col("n").alias("last"))
-    rare = levels.select(F.col("shard").alias("to"), F.explode("rare").alias("c")).join(counts, "c").select(
-        "to", F.lit(None).cast("long").alias("b"), "c", F.lit(None).cast("long").alias("n"), "last")
-    some = levels.select("shard", F.explode(F.arrays_zip("b", "c", "n")).alias("p")).select("shard", "p.b", "p.c", "p.n")
-    pairs = some.groupBy("b", "c").agg(F.sum("n").alias("n")).join(counts, "c", "left")
-    homes = levels.select(F.col("shard").alias("to"), F.explode(F.array_distinct("b")).alias("b"))
-    return rare.unionByName(pairs.join(homes, "b").select("to", "b", "c", "n", "last"))
-
-
-def build_shard(grams: list[np.ndarray], side: pa.Table, counts: np.ndarray, splits: dict[int, int], total: int, distinct: int) -> tuple[Trie, _Dense]:
-    """The levels of one shard, of its trigrams (b, a, c, n) and its ``shard_side``; ``counts`` are those of the numbered words."""
+            out.write(packed(dense.words, [c], [n]))
+        return pa.table({"b": pa.array([key[0].as_py()], pa.int64()), "file": [name], "kinds": pa.array([len(c)], pa.int64())})
+
+    if not splits:
+        return {}
+    merged = stored(blocks.mapInArrow(count, "b long, bucket long, pairs binary").groupBy("b", "bucket").applyInArrow(
+        merge, "b long, file string, kinds long"), "lm-pairs")
+    return {r["b"]: (r["kinds"], r["files"]) for r in merged.groupBy("b").agg(F.sum("kinds").alias("kinds"), F.collect_list("file").alias("files")).collect()}
+
+
+class _Asked:
+    """The distinct trigrams of a block, dealt to shards."""
+
+    def __init__(self, block: _Block, splits: dict[int, int], shards: int):
+        keys, place, *columns = block.contexts()
+        self.keys, self.counts = keys, np.empty(len(keys), np.int64)
+        self.counts[place] = block.counts
+        self.last = columns[2]  # of each token
+        self.columns, self.place = ranked(columns, len(keys))
+        self.n = np.bincount(self.place[_each(block.docs)[0]], minlength=len(self.columns[0]))
+        self.shards = list(_by_shard(_shard(keys, self.columns[0], self.columns[1], splits, shards)))
+
+    def rows(self) -> Iterator[tuple[int, bytes, bytes]]:
+        """(shard, trigrams (b, a, c) with their training counts, counts of their rare words)."""
+        for shard, at in self.shards:
+            words = [x[at] for x in self.columns]
+            yield shard, packed(self.keys, words, [self.n[at]]), packed(self.keys, [], [self.counts[rare_used(self.keys, words)]])
+
+
+def asked_blocks(blocks: DataFrame, splits: dict[int, int], shards: int, path: str) -> DataFrame:
+    """(shard, block, grams, rare) of every block and each shard it has trigrams of."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                ids, grams, rare = zip(*_Asked(_Block(path, name, counts=True), splits, shards).rows(), strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(np.full(len(ids), name), pa.int64()), pa.array(grams, pa.binary()),
+                                                  pa.array(rare, pa.binary())], names=["shard", "block", "grams", "rare"])
+
+    return blocks.mapInArrow(ask, "shard long, block long, grams binary, rare binary")
+
+
+def build_shard(grams: list[np.ndarray], many: np.ndarray, end: int, shared: dict[int, tuple[int, np.ndarray, np.ndarray]], total: int, distinct: int) -> Trie:
+    """The levels of one shard, of its trigrams (b, a, c, n), as places among its words, and the words' counts ``many``; the end token is at ``end``.
+
+    ``shared`` has, for the words with several shards, the number of all their bigrams, the last words of those here and their counts.
+    """
     b, a, c, n = grams
-    begin, last, pair_n, last_n = (side.column(x).fill_null(0).to_numpy() for x in ("b", "c", "n", "last"))  # with nulls, large keys would be rounded
-    is_pair = np.asarray(side.column("b").is_valid())
-    begin, pair_n = begin[is_pair], pair_n[is_pair]
-    has = np.asarray(side.column("last").is_valid())
-    rare, rare_n = last[has], last_n[has]
-    last = last[is_pair]
-    dense = _Dense(len(counts), [b, a, c, begin, last])
-    words, size = dense.words, len(dense.words)
-    shared = np.isin(words, np.array(sorted(splits), np.int64))
-    a, b, c, begin, last = (dense.of(x) for x in (a, b, c, begin, last))
-    own = ~shared[b]
-    (one, two), sums = added_up([b[own], c[own]], size, n[own])
-    begin, last, pair_n = np.concatenate([begin, one]), np.concatenate([last, two]), np.concatenate([pair_n, sums])
-    # Rare words that only come first have no count here, and none is asked for.
-    many = np.ones(size, np.int64)
-    many[begin] = np.bincount(begin, pair_n, minlength=size)[begin].astype(np.int64)
-    many[words >= 0] = counts[words[words >= 0]]
-    at = dense.of(rare)
-    many[at[at >= 0]] = rare_n[at >= 0]
-    inner = b != dense.of(np.zeros(1, np.int64))[0]  # a head has no trigram
+    size = len(many)
+    successors = np.zeros(size, np.int64)
+    for word, (kinds, _, _) in shared.items():
+        successors[word] = kinds
+    own = successors[b] == 0
+    (begin, last), pair_n = added_up([b[own], c[own]], size, n[own])
+    for word, (_, after, after_n) in shared.items():
+        begin, last, pair_n = np.concatenate([begin, np.full(len(after), word)]), np.concatenate([last, after]), np.concatenate([pair_n, after_n])
+    inner = b != end  # a head has no trigram
     b, a, c, n = b[inner], a[inner], c[inner], n[inner]
     # A word before the middle one: its pair's count is the sum of its trigrams, as only the end token has none after it.
     (front, middle), front_n = added_up([a, b], size, n)
@@ -543,133 +714,107 @@ def build_shard(grams: list[np.ndarray], side: pa.Table, counts: np.ndarray, spl
     both_n = np.concatenate([pair_n, front_n])[first]
     triple = np.searchsorted(both, a * size + b) * size + c
     order = np.argsort(triple)
-    return open_trie(build_levels(many, both, both_n, triple[order], n[order], total, distinct)), dense
-
-
-def shard_gains(trie: Trie, dense: _Dense, b: np.ndarray, a: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """What the contexts change in the log10 probability of each token c after a, b."""
-    head = b == 0
-    a, b, c = (dense.of(x) for x in (a, b, c))
-    a[head] = -1
-    # Each token after the word before it; only the former's score counts.
-    word, before = np.stack([b, c], 1).reshape(-1), np.stack([a, b], 1).reshape(-1)
-    gain = trie.score(word, before, np.tile([True, False], len(c)))[1::2]
-    return gain - np.where(c >= 0, trie.unigram[c], 0.0)
-
-
-def asked_blocks(rows: DataFrame, number, splits: dict[int, int], shards: int, parts: dict[int, int]) -> DataFrame:
-    """(shard, part, asked) of every token (b, a, c, row) of ``rows`` (row, text) whose shard there is."""
-    schema = "shard long, part long, asked binary"
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flushed(held: _Numbered, ids: list[np.ndarray]) -> pa.RecordBatch:
-            keys, place, b, a, c = held.contexts()
-            row = np.concatenate(ids)[place]
-            out = []
-            for shard, at in _by_shard(_shard(keys, b, a, splits, shards)):
-                count = parts.get(shard, 0)
-                part = (_hash(row[at]) % np.uint64(max(1, count))).astype(np.int64)
-                for k in np.unique(part).tolist() if count else ():
-                    some = at[part == k]
-                    some = some[np.argsort(b[some], kind="stable")]  # the words b in order take few bytes
-                    out.append((shard, k, packed(keys, [b[some], a[some], c[some]], [row[some]])))
-            columns = list(zip(*out, strict=True)) or [(), (), ()]
-            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.int64(), pa.binary()), strict=True)],
-                                              names=["shard", "part", "asked"])
-
-        known = number.value
-        held, ids = _Numbered(known), []
-        for batch in pieces(batches, "text"):
-            held.add(batch.column(1).to_pylist())
-            ids.append(batch.column(0).to_numpy())
-            if held.size > FLUSH:
-                yield flushed(held, ids)
-                held, ids = _Numbered(known), []
-        if held.size:
-            yield flushed(held, ids)
-
-    return rows.mapInArrow(ask, schema)
+    return open_trie(build_levels(many, both, both_n, triple[order], n[order], total, distinct, successors=successors))
+
+
+def shard_units(trie: Trie, b: np.ndarray, a: np.ndarray, c: np.ndarray, end: int) -> np.ndarray:
+    """Twice the quantisation units of each token c after a, b, and one more if the word's base probability is not part of its own; (b, a) in order."""
+    new = np.ones(len(b), bool)
+    new[1:] = (b[1:] != b[:-1]) | (a[1:] != a[:-1])
+    prior = trie.pair(np.where(b[new] == end, -1, a[new]), b[new])[np.cumsum(new) - 1]
+    units, plain = trie.units(c, b, trie.pair(b, c), prior)
+    return 2 * units + ~plain
+
+
+def answers(asked: DataFrame, counts, splits: dict[int, int], pairs: dict[int, tuple[int, list[str]]], total: int, distinct: int, path: str) -> DataFrame:
+    """(block, shard, units) of the asked blocks: a shard's levels are built of all its trigrams, then each is looked up once."""
+
+    def answer(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        numbered = counts.value
+        parts = [unpacked(x.as_py()) for x in table.column("grams")]
+        sizes = np.array([len(numbers[0]) for _, numbers in parts])
+        found = [distinct_of(np.concatenate([x[x < 0] for x in words])) for words, _ in parts]
+        rare, rare_n = np.concatenate(found), np.concatenate([unpacked(x.as_py())[1][0] for x in table.column("rare")])
+        columns = [np.concatenate([words[k] for words, _ in parts]) for k in range(3)]
+        n = np.concatenate([numbers[0] for _, numbers in parts])
+        del parts, found
+        dense = _Dense(len(numbered), columns)
+        words, size = dense.words, len(dense.words)
+        many = np.zeros(size, np.int64)
+        many[words >= 0] = numbered[words[words >= 0]]
+        many[dense.of(rare)] = rare_n
+        (b, a, c), place = ranked([dense.of(x) for x in columns], size)
+        del columns
+        n = np.bincount(place, n, minlength=len(b)).astype(np.int64)
+        end = int(dense.of(np.zeros(1, np.int64))[0])
+        files, top = open_store(path)
+        shared = {}
+        for word in np.flatnonzero(np.isin(words, np.array(sorted(pairs), np.int64))).tolist():
+            wanted = distinct_of(c[np.searchsorted(b, word): np.searchsorted(b, word, side="right")])
+            if not len(wanted):
+                continue
+            kinds, names = pairs[int(words[word])]
+            last, last_n = [], []
+            for name in names:
+                with files.open_input_file(f"{top}/{name}") as source:
+                    (keys,), (some_n,) = unpacked(source.read())
+                at = dense.of(keys)
+                here = (at >= 0) & np.isin(at, wanted)
+                last.append(at[here])
+                last_n.append(some_n[here])
+            shared[word] = kinds, np.concatenate(last), np.concatenate(last_n)
+        learned = n > 0
+        trie = build_shard([x[learned] for x in (b, a, c, n)], many, end, shared, total, distinct)
+        units = shard_units(trie, b, a, c, end)[place]
+        out = [packed(np.zeros(0, np.int64), [], [x]) for x in np.split(units, np.cumsum(sizes)[:-1])]
+        return pa.table({"block": table.column("block"), "shard": table.column("shard"), "units": pa.array(out, pa.binary())})
+
+    return asked.groupBy("shard").applyInArrow(answer, "block long, shard long, units binary")
 
 
 def score_documents(docs: DataFrame, learn: Column, share: float = SHARE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_tokens, n_known, train_tokens, base_score, score) per row; the model learns from the rows where ``learn`` holds."""
     spark = docs.sparkSession
     arrow_rows(spark)
-    texts = docs.filter(learn).select(F.col(text_col).alias("text"))
-    table = stored(word_counts(texts), "word-counts", "zstd")
-    total, distinct = table.agg(F.sum("n"), F.count(F.lit(1))).first()
+    path = scratch_dir(spark, f"llm-lm-{uuid.uuid4().hex}")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"))
+    blocks = text_blocks(rows, path)
+    number_of, tokens_of = blocks.agg(F.count(F.lit(1)), F.sum("tokens")).first()
+    spread = lambda x, n=1: x.select("block").repartition(max(1, min(number_of, 2 * spark.sparkContext.defaultParallelism), number_of // n))  # noqa: E731 - n blocks a task
+    table = stored(word_counts(spread(blocks, 8), path).withColumn("id", F.monotonically_increasing_id()), "word-counts", "zstd")
+    learned = table.filter("n > 0")
+    total, distinct = learned.agg(F.sum("n"), F.count(F.lit(1))).first()
     total, distinct = int(total or 0), int(distinct)
-    top = table.filter(F.col("n") >= share * total).orderBy(F.desc("n"), "word").select("word", "n").toArrow()
+    top = learned.filter(F.col("n") >= share * total).orderBy(F.desc("n"), "word").select("word", "n").toArrow()
     vocabulary, counts = top.column("word").to_pylist(), top.column("n").to_numpy()
-    base = np.log10((counts + 0.5) / (total + 0.5 * (distinct + 1)))
-    sent = spark.sparkContext.broadcast((vocabulary, base))
-    slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    rare_kind = pa.list_(pa.struct([("word", pa.binary()), ("k", pa.int64())]))
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, base = sent.value
-        number = {w: i for i, w in enumerate(vocabulary)}
-        end = number.get(END, -1)
-        for batch in pieces(batches, "text"):
-            words = marked(batch.column(1).to_pylist())
-            word = np.fromiter(map(number.get, words, itertools.repeat(-1)), np.int64, len(words))
-            is_end = np.fromiter(map(MARK.__eq__, words), bool, len(words))
-            ends = np.flatnonzero(is_end)
-            start = np.concatenate([[0], ends[:-1] + 1])
-            word[ends] = end
-            known = word >= 0
-            plain = np.zeros(len(word))
-            plain[known] = base[word[known]]
-            sums = [np.add.reduceat(x, start) for x in (known.astype(np.int64), plain)]
-            seldom = np.flatnonzero(~known)
-            owner = np.searchsorted(ends, seldom)
-            rare = Counter(zip(owner.tolist(), [END if words[i] == MARK else words[i] for i in seldom.tolist()], strict=True))  # in order of rows
-            rows = np.fromiter((row for row, _ in rare), np.int64, len(rare))
-            each = pa.StructArray.from_arrays([pa.array([w for _, w in rare], pa.binary()), pa.array(list(rare.values()), pa.int64())], names=["word", "k"])
-            begins = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=len(ends)))])
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(np.diff(ends, prepend=-1)), *map(pa.array, sums), pa.ListArray.from_arrays(pa.array(begins, pa.int32()), each).cast(rare_kind)],
-                names=["doc_id", "text", "n_tokens", "n_known", "base", "rare"])
-
-    schema = T.StructType([slim.schema["doc_id"], *T.StructType.fromDDL(
-        "text string, n_tokens long, n_known long, base double, rare array<struct<word:binary,k:bigint>>").fields])
-    first = stored(slim.mapInArrow(score, schema).withColumn("row", F.monotonically_increasing_id()), "lm-rows", "zstd")
-    single = first.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.k")
-    bottom = total + 0.5 * (distinct + 1)
-    looked = single.join(table, "word", "left").select(
-        "row", F.when(F.col("n").isNotNull(), F.col("k")).otherwise(0).alias("found"),
-        (F.col("k") * F.log10((F.coalesce("n", F.lit(0)) + 0.5) / F.lit(bottom))).alias("log"))
-    sums = looked.groupBy("row").agg(F.sum("found").alias("found"), F.sum("log").alias("log"))
-    path = scratch_dir(spark, f"llm-lm-{uuid.uuid4().hex}")
-    shards = max(1, -(-total // SHARD_TOKENS))
-    place = {w: i + 1 for i, w in enumerate(vocabulary)}
+    number = spark.sparkContext.broadcast(pa.array(vocabulary, pa.large_binary()))
+    ends = learned.filter(F.col("word") == F.lit(bytearray(END))).first()
+    end_n = ends["n"] if ends else 0
+    numbered = spark.sparkContext.broadcast(np.concatenate([[end_n], counts]).astype(np.int64))
     most = SHARD_TOKENS // 4
-    splits = {place.get(bytes(r["word"]), r["key"]): -(-r["n"] // most) for r in table.filter(F.col("n") > most).collect() if bytes(r["word"]) != END}
-    numbers = spark.sparkContext.broadcast({w: i for i, w in enumerate(vocabulary)})
-    ends = table.filter(F.col("word") == F.lit(bytearray(END))).first()
-    numbered = spark.sparkContext.broadcast(np.concatenate([[ends["n"] if ends else 0], counts]).astype(np.int64))
-    levels = train(texts, table, numbers, len(vocabulary) + 1, splits, shards, path)
-    found = {r["shard"]: (r["file"], -(-r["tokens"] // (2 * SHARD_TOKENS))) for r in levels.select("shard", "file", "tokens").collect()}  # a row a million tokens
-    parts = {shard: n for shard, (_, n) in found.items()}
-    dealt = spark.createDataFrame([(s, p) for s, n in parts.items() for p in range(n)], "to long, part long")
-    side = shard_side(levels, table.filter(F.col("n") < share * total))
-    side = dealt.join(side, "to", "left") if any(n > 1 for n in parts.values()) else side.withColumn("part", F.lit(0).cast("long"))
-
-    def gained(key: tuple[pa.Scalar, ...], asked: pa.Table, others: pa.Table) -> pa.Table:
-        b, a, c, row = _unpacked(asked.column("asked"), 3, 1)
-        if not len(row):
-            return pa.table({"row": pa.array([], pa.int64()), "model": pa.array([], pa.float64())})
-        files, top = open_store(path)
-        with files.open_input_file(f"{top}/{found[key[0].as_py()][0]}") as source:
-            grams = sum(unpacked(source.read()), [])
-        trie, dense = build_shard(grams, others, numbered.value, splits, total, distinct)
-        rows, at = np.unique(row, return_inverse=True)
-        return pa.table({"row": rows, "model": np.bincount(at, shard_gains(trie, dense, b, a, c), minlength=len(rows))})
-
-    gains = asked_blocks(first.select("row", "text"), numbers, splits, shards, parts).groupBy("shard", "part").cogroup(
-        side.groupBy("to", "part")).applyInArrow(gained, "row long, model double").groupBy("row").agg(F.sum("model").alias("model"))
-    gains = stored(gains, "lm-scores")
-    whole = F.col("base") + F.coalesce("log", F.lit(0.0))
-    return first.drop("text").join(sums, "row", "left").join(gains, "row", "left").select(
-        F.col("doc_id").alias(id_col), "n_tokens", (F.col("n_known") + F.coalesce("found", F.lit(0))).alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"), whole.alias("base_score"), (whole + F.coalesce("model", F.lit(0.0))).alias("score"))
+    shards = max(1, -(-int(tokens_of or 0) // SHARD_TOKENS))
+    place = {w: i + 1 for i, w in enumerate(vocabulary)}
+    common = table.filter((F.col("uses") > most) & (F.col("word") != F.lit(bytearray(END)))).collect()
+    splits = {place.get(bytes(r["word"]), ~r["id"]): -(-r["uses"] // most) for r in common}
+    counted = with_counts(spread(blocks), table.filter((F.col("n") == 0) | (F.col("n") < share * total)).select("word", "n", "id"), number, numbered, path)
+    pairs = split_pairs(spread(counted), splits, len(vocabulary) + 1, path)
+    asked = asked_blocks(spread(counted), splits, shards, path)
+
+    def finish(key: tuple[pa.Scalar, ...], found: pa.Table) -> pa.Table:
+        block = _Block(path, key[0].as_py(), counts=True)
+        asks = _Asked(block, splits, shards)
+        units = dict(zip(found.column("shard").to_pylist(), found.column("units"), strict=True))
+        answer = np.empty(len(asks.columns[0]), np.int64)
+        for shard, at in asks.shards:
+            answer[at] = unpacked(units[shard].as_py())[1][0]
+        base = np.log10((asks.counts + 0.5) / (total + 0.5 * (distinct + 1)))
+        gain = (answer >> 1) / -STEPS - np.where(answer & 1, base[asks.columns[2]], 0.0)
+        _, row = _each(block.docs)
+        known, plain, model = (np.bincount(row, x, minlength=block.docs.num_rows) for x in (
+            asks.counts[asks.last] > 0, base[asks.last], gain[asks.place]))
+        return pa.Table.from_arrays([block.docs.column("doc_id"), block.docs.column("size"), pa.array(known.astype(np.int64)),
+                                     pa.array(plain), pa.array(plain + model)], names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
+
+    schema = T.StructType([rows.schema["doc_id"], *T.StructType.fromDDL("n_tokens long, n_known long, base_score double, score double").fields])
+    scores = stored(answers(asked, numbered, splits, pairs, total, distinct, path).groupBy("block").applyInArrow(finish, schema), "lm-scores")
+    return scores.select(F.col("doc_id").alias(id_col), "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")

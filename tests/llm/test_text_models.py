@@ -453,3 +453,55 @@ def test_lm_words_with_several_shards_may_be_rare(spark, monkeypatch):
         monkeypatch.setattr(ngram_trie, "SHARD_TOKENS", size)
         got.append(sorted((r["doc_id"], r["score"]) for r in score_documents(frame(spark, rows), F.col("doc_id") % 5 != 1, share=share).collect()))
     assert all(i == j and abs(x - y) < 1e-6 for (i, x), (j, y) in zip(*got, strict=True))
+
+
+# --- LM scoring: blocks
+
+def test_lm_words_of_texts_are_their_tokens():
+    """Words found column by column are those of each text: white space is that of ASCII only, A-Z alone is lower-cased."""
+    import pyarrow as pa
+
+    from pricelake.llm.ngram_trie import words_of
+
+    rows = [None, "", "  ", " A  b\tC\n", "x\x0by\x0cz\rÄ É", "a\x1cb\x1fc\x00d", "a\u0085b c d", "İI퟿", *(t for _, t in texts())]
+    words, size = words_of(pa.array(rows, pa.string()))
+    ends = np.cumsum(size)
+    got = [[w.encode() for w in words[int(e - n): int(e)].to_pylist()] for n, e in zip(size, ends, strict=True)]
+    assert got == [tokens(t) for t in rows]
+
+
+def test_lm_block_sends_each_distinct_trigram_once(tmp_path):
+    """Copies cost a block no more trigrams; counts are those of learned texts, and each token finds its trigram again."""
+    import pyarrow as pa
+
+    from pricelake.llm.ngram_trie import _Asked, _Block, _Texts, packed, unpacked
+
+    some = [t for _, t in texts() if t][:6] * 40
+    learn = [i % 3 != 1 for i in range(len(some))]
+    held = _Texts()
+    held.add(pa.array(range(len(some))), pa.array(some, pa.string()), pa.array(learn))
+    (tmp_path / "1").write_bytes(held.file())
+    words = _Block(str(tmp_path), 1).words.to_pylist()
+    keys = np.where(np.arange(len(words)) % 2 == 1, ~np.arange(len(words)), np.arange(len(words)))  # every other word is rare
+    stored = np.where(keys < 0, ~keys << 1 | 1, keys << 1)
+    (tmp_path / "1-counts").write_bytes(packed(np.zeros(0, np.int64), [], [np.arange(len(words)) + 5, stored]))
+    asked = _Asked(_Block(str(tmp_path), 1, counts=True), {int(keys[1]): 3}, 5)
+    name = {int(k): w for k, w in zip(keys, words, strict=True)}
+    expected, order = Counter(), []
+    for text, use in zip(some, learn, strict=True):
+        v = [b"\n", b"\n", *tokens(text), b"\n"]
+        for a, b, c in zip(v, v[1:], v[2:]):
+            expected[b, a, c] += use
+            order.append((b, a, c))
+    got, rare = Counter(), {}
+    for _, grams, counts in asked.rows():
+        columns, (n,) = unpacked(grams)
+        for *gram, k in zip(*(x.tolist() for x in columns), n.tolist(), strict=True):
+            assert tuple(name[g] for g in gram) not in got
+            got[tuple(name[g] for g in gram)] = k
+        seldom = sorted({k for x in columns for k in x.tolist() if k < 0})
+        rare |= dict(zip(seldom, unpacked(counts)[1][0].tolist(), strict=True))
+    assert got == expected and len(got) < len(order) / 20
+    assert all(n == ~k + 5 for k, n in rare.items())
+    b, a, c = ([name[int(asked.keys[i])] for i in x[asked.place]] for x in asked.columns)
+    assert list(zip(b, a, c, strict=True)) == order
