@@ -62,7 +62,7 @@ STEPS = 4096
 FLUSH = 1_000_000
 #: Tokens of a shard.
 SHARD_TOKENS = 1_000_000
-#: Numbers whose low bits are packed at once.
+#: Numbers that are worked on at once where arrays are long.
 CHUNK = 1 << 16
 
 
@@ -156,6 +156,7 @@ class Trie:
         self.words, self.unigram = int(levels["words"][0]), levels["unigram"]
         self.pairs, self.pointers, self.triples = (
             EliasFano(*map(int, levels[f"{k}_size"]), levels[f"{k}_low"], levels[f"{k}_high"]) for k in ("pairs", "pointers", "triples"))
+        self.begin = self.pointers.every()
         self.width = int(levels["width"][0])
         self.log = {k: levels[k] for k in ("pair_log", "pair_back", "word_back", "triple_log")}
 
@@ -184,7 +185,7 @@ class Trie:
         triple = np.full(len(word), -1, dtype=np.int64)
         both = np.flatnonzero((pair >= 0) & (prior >= 0))
         if len(both):
-            relative = pair[both] - self.pointers.every()[before[both]]
+            relative = pair[both] - self.begin[before[both]]
             triple[both] = self.triples.find(prior[both] * self.width + relative)
         out = np.zeros(len(word), dtype=np.int64)
         has = triple >= 0
@@ -245,7 +246,8 @@ def build_levels(counts: np.ndarray, pairs: np.ndarray, pair_counts: np.ndarray,
     ``successors`` is not 0 for words with only some of their bigrams here: the number of all.
     """
     words = len(counts)
-    unigram = np.log10((counts + 0.5) / (total + 0.5 * (distinct + 1)))
+    plain = (counts + 0.5) / (total + 0.5 * (distinct + 1))
+    unigram = np.log10(plain)
     context, word = pairs // max(1, words), pairs % max(1, words)
     share = (pair_counts - discount) / counts[context]
     rest = 1 - np.bincount(context, share, minlength=words)
@@ -253,7 +255,7 @@ def build_levels(counts: np.ndarray, pairs: np.ndarray, pair_counts: np.ndarray,
         some = np.flatnonzero(successors)
         rest[some] = discount * successors[some] / counts[some]
     rest = np.clip(rest, 1e-6, 1)
-    smooth = share + rest[context] * 10 ** unigram[word]
+    smooth = share + rest[context] * plain[word]
     pointers = np.searchsorted(context, np.arange(words + 1))
     parent, last = triples // max(1, words), triples % max(1, words)
     lower = np.searchsorted(pairs, word[parent] * words + last)
@@ -496,6 +498,18 @@ def rare_used(keys: np.ndarray, words: list[np.ndarray]) -> np.ndarray:
     return distinct_of(np.concatenate([np.zeros(0, np.int64), *(x[x < seldom] for x in words)]))
 
 
+def _planes(x: np.ndarray, width: int) -> bytes:
+    """Numbers without a sign byte by byte: high bytes are nearly all alike."""
+    return b"".join([(x >> 8 * k).astype(np.uint8).tobytes() for k in range(width)])
+
+
+def _from_planes(data: np.ndarray, n: int, width: int) -> np.ndarray:
+    out = np.zeros(n, np.int64)
+    for k in range(width):
+        out |= data[k * n: (k + 1) * n].astype(np.int64) << 8 * k
+    return out
+
+
 def packed(keys: np.ndarray, words: list[np.ndarray], numbers: list[np.ndarray]) -> bytes:
     """Equally long columns as bytes: ``words`` are places in ``keys`` (in order), ``numbers`` have no sign; the first column of each is best in order.
 
@@ -511,17 +525,17 @@ def packed(keys: np.ndarray, words: list[np.ndarray], numbers: list[np.ndarray])
     seldom = keys[rare]
     head, body = [len(numbers[0]), len(rare), len(words), len(numbers)], []
     if len(rare):
-        step = np.diff(seldom, prepend=seldom[:1]).astype("<i8")
+        step = np.diff(seldom, prepend=seldom[:1])
         width = max(1, (int(step.max()).bit_length() + 7) // 8)
         head += [int(seldom[0]), width]
-        body.append(step.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes())
+        body.append(_planes(step, width))
     for x in [*codes, *numbers]:
         step = np.diff(x, prepend=x[:1])
         least, down = (int(x[0]), True) if len(x) and (step >= 0).all() else (0, False)
-        x = np.ascontiguousarray(step if down else x).astype("<i8")
+        x = step if down else x
         width = max(1, (int(x.max(initial=0)).bit_length() + 7) // 8)
         head += [int(down), least, width]
-        body.append(x.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes())  # byte by byte: high bytes are nearly all alike
+        body.append(_planes(x, width))
     return _zipped(b"".join([np.array(head, "<i8").tobytes(), *body]))
 
 
@@ -534,16 +548,12 @@ def unpacked(data: bytes) -> tuple[list[np.ndarray], list[np.ndarray]]:
     keys, at = np.zeros(rare, np.int64), at + 24 * (words + numbers)
     if rare:
         begin, width = whole[32: 48].view("<i8").tolist()
-        step = np.zeros((rare, 8), np.uint8)
-        step[:, :width] = whole[at: at + rare * width].reshape(width, rare).T
-        keys = begin + np.cumsum(step.view("<i8").reshape(-1))
+        keys = begin + np.cumsum(_from_planes(whole[at: at + rare * width], rare, width))
         at += rare * width
     out = []
     for down, least, width in heads:
-        x = np.zeros((n, 8), np.uint8)
-        x[:, :width] = whole[at: at + n * width].reshape(width, n).T
+        x = _from_planes(whole[at: at + n * width], n, width)
         at += n * width
-        x = x.view("<i8").reshape(-1)
         out.append(np.cumsum(x) + least if down else x)
     for k, code in enumerate(out[:words]):
         key = code - rare
@@ -722,8 +732,12 @@ def shard_units(trie: Trie, b: np.ndarray, a: np.ndarray, c: np.ndarray, end: in
     new = np.ones(len(b), bool)
     new[1:] = (b[1:] != b[:-1]) | (a[1:] != a[:-1])
     prior = trie.pair(np.where(b[new] == end, -1, a[new]), b[new])[np.cumsum(new) - 1]
-    units, plain = trie.units(c, b, trie.pair(b, c), prior)
-    return 2 * units + ~plain
+    out = np.empty(len(c), np.int64)
+    for at in range(0, len(c), CHUNK):  # arrays of a chunk stay in the processor's cache
+        some = slice(at, at + CHUNK)
+        units, plain = trie.units(c[some], b[some], trie.pair(b[some], c[some]), prior[some])
+        out[some] = 2 * units + ~plain
+    return out
 
 
 def answers(asked: DataFrame, counts, splits: dict[int, int], pairs: dict[int, tuple[int, list[str]]], total: int, distinct: int, path: str) -> DataFrame:
